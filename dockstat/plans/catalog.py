@@ -21,6 +21,8 @@ from dockstat.plans.marts_core import dim_pricing_plans
 from dockstat.plans.marts_ops import (fleet_availability, region_hourly_availability,
                                       top_priority_stations)
 from dockstat.plans import fixtures as fx
+from dockstat.operators.nearest import nearest_station
+from dockstat.plans.experiments import intervention_periods, intervention_results, station_interventions
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -105,11 +107,6 @@ def q_bucket(spark, sf_dir):
         C.availability_bucket("dock_availability_rate").alias("dock_availability_bucket"))
 
 
-_COMPOSITE_SQL = (
-    "floor((((coalesce({bb}, 0) + coalesce({bd}, 0)) * 3 * d1 + k * 10000 * d1 + low) * 2 + d1 * 12)"
-    " / (d1 * 12 * 2)) / 100")
-
-
 @register("composite_health_score", O.q("history", """
 select station_id, ingested_at,
   floor((((coalesce(bb, 0) + coalesce(bd, 0)) * 3 * d1 + k * 10000 * d1 + low) * 2 + d1 * 12)
@@ -222,3 +219,62 @@ select plan_id, plan_name, currency, price, is_taxable, description, ingested_at
   from orders) where rn = 1""")
 def q_dim_pricing_plans(spark, sf_dir):
     return dim_pricing_plans(fx.pricing_plans(spark, sf_dir), tiebreak="_tiebreak")
+
+
+# -- geo -------------------------------------------------------------------------
+
+@register("haversine", O.q("enriched", f"""
+select station_id, {O.km_sql(O.hav_term_sql('latitude', 'longitude', '40.6', '-74.05'))} as km_from_origin
+from enriched"""))
+def q_haversine(spark, sf_dir):
+    return Models(spark, sf_dir).enriched.select(
+        "station_id", C.haversine_km("latitude", "longitude", F.lit(40.6), F.lit(-74.05)).alias("km_from_origin"))
+
+
+@register("nearest_station", O.q(["bk", "enriched"], f"""
+select bike_id, bike_latitude, bike_longitude, is_reserved, is_disabled, vehicle_type_id,
+  nearest_station_id, nearest_station_name, region_id, region_name, {O.km_sql('a')} as distance_km, ingested_at
+from (select b.bike_id, b.latitude as bike_latitude, b.longitude as bike_longitude, b.is_reserved,
+        b.is_disabled, b.vehicle_type_id, b.ingested_at, s.station_id as nearest_station_id,
+        s.station_name as nearest_station_name, s.region_id, s.region_name,
+        {O.hav_term_sql('b.latitude', 'b.longitude', 's.latitude', 's.longitude')} as a,
+        row_number() over (partition by b.bike_id, b.ingested_at
+          order by {O.hav_term_sql('b.latitude', 'b.longitude', 's.latitude', 's.longitude')}, s.station_id) as rn
+      from bk b cross join enriched s
+      where s.latitude is not null and s.longitude is not null)
+where rn = 1"""))
+def q_nearest(spark, sf_dir):
+    m = Models(spark, sf_dir)
+    return nearest_station(fx.bikes(spark, sf_dir), m.enriched)
+
+
+# -- experiments -----------------------------------------------------------------
+
+@register("station_interventions", O.q("si", "select * from si"))
+def q_station_interventions(spark, sf_dir):
+    m = Models(spark, sf_dir)
+    return station_interventions(fx.interventions(spark, sf_dir), m.dim_stations)
+
+
+@register("intervention_periods", O.q("ivperiods", "select * from ivperiods"))
+def q_intervention_periods(spark, sf_dir):
+    m = Models(spark, sf_dir)
+    return intervention_periods(station_interventions(fx.interventions(spark, sf_dir), m.dim_stations), m.fact)
+
+
+@register("intervention_results", O.q("ivresults", "select * from ivresults"))
+def q_intervention_results(spark, sf_dir):
+    m = Models(spark, sf_dir)
+    return intervention_results(station_interventions(fx.interventions(spark, sf_dir), m.dim_stations), m.fact)
+
+
+@register("intervention_significance", O.q("ivresults", """
+select *, z_score > 1.96 as is_significant from (
+  select *, case when pre_snapshot_count = 0 or post_snapshot_count = 0 then null
+    else round(abs(post_avg_availability - pre_avg_availability)
+               / (0.25 * sqrt(1.0 / pre_snapshot_count + 1.0 / post_snapshot_count)), 4) end as z_score
+  from ivresults)"""))
+def q_intervention_significance(spark, sf_dir):
+    m = Models(spark, sf_dir)
+    return intervention_results(station_interventions(fx.interventions(spark, sf_dir), m.dim_stations), m.fact,
+                                significance=True)

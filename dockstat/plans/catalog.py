@@ -21,7 +21,15 @@ from dockstat.plans.marts_core import dim_pricing_plans
 from dockstat.plans.marts_ops import (fleet_availability, region_hourly_availability,
                                       top_priority_stations)
 from dockstat.plans import fixtures as fx
+from dockstat.operators.dedup import latest_per_key
+from dockstat.operators.incremental import incremental_merge
 from dockstat.operators.nearest import nearest_station
+from dockstat.operators.quality import (NOT_NULL, check_no_future, check_not_null, check_rate_valid,
+                                        check_score_bounded, run_checks)
+from dockstat.operators.scd2 import scd2_check, scd2_from_history, snapshot_capacity, snapshot_operational
+from dockstat.operators.staging import (stage_bikes, stage_pricing_plans, stage_regions, stage_station_status,
+                                        stage_stations)
+from dockstat.session import work_path
 from dockstat.plans.experiments import intervention_periods, intervention_results, station_interventions
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -278,3 +286,255 @@ def q_intervention_significance(spark, sf_dir):
     m = Models(spark, sf_dir)
     return intervention_results(station_interventions(fx.interventions(spark, sf_dir), m.dim_stations), m.fact,
                                 significance=True)
+
+
+# -- staging ---------------------------------------------------------------------
+
+_ST_FLAT = """select c_custkey as station_id, c_name as station_name, c_mktsegment as short_name,
+  n_regionkey as region_id,
+  cast(40.6 as double) + cast((c_custkey*53)%997 as double)/4000 as latitude,
+  cast(-74.05 as double) + cast((c_custkey*71)%991 as double)/4000 as longitude,
+  cast((c_custkey*7)%70 as bigint) as total_docks, c_nationkey%2=0 as has_kiosk
+from customer join nation on c_nationkey=n_nationkey join region on n_regionkey=r_regionkey
+where c_custkey%13<>5"""
+
+
+@register("stage_stations", f"""
+select cast(station_id as varchar) as station_id, station_name, short_name,
+  cast(region_id as varchar) as region_id, latitude, longitude, total_docks, has_kiosk,
+  {O.RUN_TS} as ingested_at
+from ({_ST_FLAT})""")
+def q_stage_stations(spark, sf_dir):
+    return stage_stations(fx.raw_station_information(spark, sf_dir))
+
+
+@register("stage_station_status", O.q("status", """
+select cast(station_id as varchar) as station_id, num_bikes_available, num_ebikes_available,
+  num_bikes_disabled, num_docks_available, num_docks_disabled, is_installed, is_renting, is_returning,
+  make_timestamp((epoch_us(last_reported_at) // 1000000) * 1000000) as last_reported_at, ingested_at
+from status"""))
+def q_stage_status(spark, sf_dir):
+    return stage_station_status(fx.raw_station_status(spark, sf_dir))
+
+
+@register("stage_regions", f"""
+select cast(r_regionkey as varchar) as region_id, r_name as region_name, {O.RUN_TS} as ingested_at
+from region""")
+def q_stage_regions(spark, sf_dir):
+    return stage_regions(fx.raw_system_regions(spark, sf_dir))
+
+
+@register("stage_bikes", O.q("bk", """
+select cast(bike_id as varchar) as bike_id, latitude, longitude, is_reserved, is_disabled,
+  vehicle_type_id, ingested_at from bk"""))
+def q_stage_bikes(spark, sf_dir):
+    return stage_bikes(fx.raw_free_bike_status(spark, sf_dir))
+
+
+@register("stage_pricing_plans", """
+select cast(o_custkey as varchar) as plan_id, o_orderpriority as plan_name, 'USD' as currency,
+  o_totalprice as price, o_orderstatus = 'F' as is_taxable, cast(o_orderkey as varchar) as description,
+  o_orderdate as ingested_at
+from orders""")
+def q_stage_plans(spark, sf_dir):
+    return stage_pricing_plans(fx.raw_pricing_plans(spark, sf_dir))
+
+
+@register("latest_per_key", O.q("status", """
+select * exclude (rn) from (
+  select *, row_number() over (partition by station_id
+    order by ingested_at desc nulls last, last_reported_at desc nulls last) as rn from status)
+where rn = 1"""))
+def q_latest_per_key(spark, sf_dir):
+    return latest_per_key(fx.status(spark, sf_dir), "station_id", "ingested_at", "last_reported_at")
+
+
+# -- incremental fact --------------------------------------------------------------
+
+SPLIT_AT = "2024-01-15 00:00:00"
+
+
+@register("incremental_merge", O.q("fact", "select *, cast(ingested_at as date) as snapshot_date from fact"))
+def q_incremental_merge(spark, sf_dir):
+    """First run loads snapshots before the split, the second run the whole feed."""
+    fact = Models(spark, sf_dir).fact
+    path = work_path(spark, "fct_status_snapshots")
+    incremental_merge(path, fact.filter(F.col("ingested_at") < F.lit(SPLIT_AT).cast("timestamp_ntz")))
+    return incremental_merge(path, fact)
+
+
+# -- SCD type 2 ------------------------------------------------------------------------
+
+CAP_COLS = ["station_id", "station_name", "region_id", "region_name", "total_docks", "has_kiosk",
+            "latitude", "longitude", "ingested_at"]
+OPS_COLS = ["station_id", "station_name", "region_id", "region_name", "is_installed", "is_renting",
+            "is_returning", "num_bikes_available", "num_docks_available", "last_reported_at", "ingested_at"]
+RUNS3 = ["2024-01-02 06:00:00", "2024-01-03 06:00:00", "2024-01-04 06:00:00"]
+
+
+def _cap_batches(m: Models):
+    cur = latest_per_key(m.enriched, "station_id", "ingested_at").select(*CAP_COLS)
+    run1 = cur.filter(F.col("station_id") % 19 != 0)
+    run2 = (cur.filter(F.col("station_id") % 17 != 0)
+            .withColumn("total_docks", F.when(F.col("station_id") % 10 == 0, F.col("total_docks") + 5)
+                        .otherwise(F.col("total_docks"))))
+    return [run1, run2, cur]
+
+
+_CAP_CUR = "select " + ", ".join(CAP_COLS) + " from enriched"
+_CAP_SQL = [
+    _CAP_CUR + " where station_id % 19 <> 0",
+    _CAP_CUR.replace("total_docks,", "case when station_id % 10 = 0 then total_docks + 5 else total_docks end"
+                     " as total_docks,") + " where station_id % 17 <> 0",
+    _CAP_CUR,
+]
+
+
+def _scd_oracle(runs, key, cols, check_cols, base):
+    body = O.scd2_sql(runs, key, cols, check_cols)
+    return O.with_ctes(*base).rstrip("\n") + ",\n" + body[len("with "):]
+
+
+@register("scd2_merge", _scd_oracle(list(zip(RUNS3, _CAP_SQL)), "station_id", CAP_COLS,
+                                    ["total_docks", "has_kiosk"], ["enriched"]))
+def q_scd2_merge(spark, sf_dir):
+    """Three runs: unchanged, changed, new, absent and returning stations."""
+    snap = None
+    for as_of, batch in zip(RUNS3, _cap_batches(Models(spark, sf_dir))):
+        snap = scd2_check(snap, batch, "station_id", ["total_docks", "has_kiosk"], as_of)
+    return snap
+
+
+@register("snap_capacity", _scd_oracle(list(zip(RUNS3[:2], [_CAP_CUR, _CAP_SQL[1]])), "station_id", CAP_COLS,
+                                       ["total_docks", "has_kiosk"], ["enriched"]))
+def q_snap_capacity(spark, sf_dir):
+    m = Models(spark, sf_dir)
+    b = _cap_batches(m)
+    snap = snapshot_capacity(None, m.enriched, RUNS3[0])
+    return scd2_check(snap, b[1], "station_id", ["total_docks", "has_kiosk"], RUNS3[1])
+
+
+OPS_RUNS = ["2024-01-15 00:00:00", "2024-02-01 00:00:00"]
+_OPS_CUR = ("select " + ", ".join(OPS_COLS) + " from (select *, row_number() over (partition by station_id "
+            "order by ingested_at desc nulls last, last_reported_at desc nulls last) as rn from history {w}) "
+            "where rn = 1")
+
+
+@register("snap_operational", _scd_oracle(
+    list(zip(OPS_RUNS, [_OPS_CUR.format(w=f"where ingested_at < timestamp '{SPLIT_AT}'"), _OPS_CUR.format(w="")])),
+    "station_id", OPS_COLS, ["is_installed", "is_renting", "is_returning"], ["history"]))
+def q_snap_operational(spark, sf_dir):
+    h = Models(spark, sf_dir).history
+    early = h.filter(F.col("ingested_at") < F.lit(SPLIT_AT).cast("timestamp_ntz"))
+    snap = snapshot_operational(None, early, OPS_RUNS[0])
+    return snapshot_operational(snap, h, OPS_RUNS[1])
+
+
+@register("scd2_from_history", O.q("history", """
+select station_id, version, is_installed, is_renting, is_returning, valid_from, valid_to, last_seen, snapshots,
+  floor((epoch_us(valid_to) - epoch_us(valid_from)) / 1000000) as duration_seconds
+from (
+  select station_id, version, min(ingested_at) as valid_from, max(ingested_at) as last_seen,
+    count(*) as snapshots, any_value(is_installed) as is_installed, any_value(is_renting) as is_renting,
+    any_value(is_returning) as is_returning,
+    lead(min(ingested_at)) over (partition by station_id order by version) as valid_to
+  from (
+    select *, sum(case when rn = 1 or ch then 1 else 0 end)
+                over (partition by station_id order by ingested_at rows between unbounded preceding and current row)
+              as version
+    from (select station_id, ingested_at, is_installed, is_renting, is_returning,
+            row_number() over w as rn,
+            (lag(is_installed) over w) is distinct from is_installed
+              or (lag(is_renting) over w) is distinct from is_renting
+              or (lag(is_returning) over w) is distinct from is_returning as ch
+          from history window w as (partition by station_id order by ingested_at asc nulls first)))
+  group by station_id, version)"""))
+def q_scd2_from_history(spark, sf_dir):
+    return scd2_from_history(Models(spark, sf_dir).history, "station_id", "ingested_at",
+                             ["is_installed", "is_renting", "is_returning"])
+
+
+# -- data quality ------------------------------------------------------------------------
+
+NO_FUTURE_AS_OF = "2024-01-25 00:00:00"
+
+
+def _staged(spark, sf_dir):
+    return {
+        "stage_stations": stage_stations(fx.raw_station_information(spark, sf_dir)),
+        "stage_station_status": stage_station_status(fx.raw_station_status(spark, sf_dir)),
+        "stage_regions": stage_regions(fx.raw_system_regions(spark, sf_dir)),
+        "stage_bikes": stage_bikes(fx.raw_free_bike_status(spark, sf_dir)),
+        "stage_pricing_plans": stage_pricing_plans(fx.raw_pricing_plans(spark, sf_dir)),
+    }
+
+
+_NN_SOURCES = {
+    "stage_stations": ("st", {"station_id": "station_id", "station_name": "station_name",
+                              "latitude": "latitude", "longitude": "longitude",
+                              "total_docks": "total_docks", "ingested_at": "ingested_at"}),
+    "stage_station_status": ("status", {"station_id": "station_id", "num_bikes_available": "num_bikes_available",
+                                        "num_docks_available": "num_docks_available",
+                                        "last_reported_at": "last_reported_at", "ingested_at": "ingested_at"}),
+    "stage_regions": ("rg", {"region_id": "region_id", "region_name": "region_name", "ingested_at": "ingested_at"}),
+    "stage_bikes": ("bk", {"bike_id": "bike_id", "ingested_at": "ingested_at"}),
+    "stage_pricing_plans": ("orders", {"plan_id": "o_custkey", "plan_name": "o_orderpriority",
+                                       "price": "o_totalprice", "ingested_at": "o_orderdate"}),
+}
+
+
+def _not_null_sql() -> str:
+    parts = []
+    for table, cols in NOT_NULL.items():
+        src, mapping = _NN_SOURCES[table]
+        for c in cols:
+            parts.append(f"select 'not_null_{table}_{c}' as check_name, "
+                         f"cast(count_if({mapping[c]} is null) as bigint) as failures from {src}")
+    return "\nunion all\n".join(parts)
+
+
+_DQ_NN = O.with_ctes("st", "rg", "status", "bk") + "select * from (" + _not_null_sql() + ")"
+
+
+@register("dq_not_null", _DQ_NN)
+def q_dq_not_null(spark, sf_dir):
+    return check_not_null(_staged(spark, sf_dir))
+
+
+@register("dq_rate_valid", O.q("fact", """
+select station_id, ingested_at, bike_availability_rate, dock_availability_rate from fact
+where (bike_availability_rate is not null and (bike_availability_rate < 0 or bike_availability_rate > 1))
+   or (dock_availability_rate is not null and (dock_availability_rate < 0 or dock_availability_rate > 1))"""))
+def q_dq_rate_valid(spark, sf_dir):
+    return check_rate_valid(Models(spark, sf_dir).fact)
+
+
+@register("dq_score_bounded", O.q("health", """
+select station_id, station_name, health_score from health where health_score < 0 or health_score > 100"""))
+def q_dq_score_bounded(spark, sf_dir):
+    return check_score_bounded(Models(spark, sf_dir).health)
+
+
+@register("dq_no_future", O.q("fact", f"""
+select station_id, ingested_at from fact where ingested_at > timestamp '{NO_FUTURE_AS_OF}'"""))
+def q_dq_no_future(spark, sf_dir):
+    return check_no_future(Models(spark, sf_dir).fact, NO_FUTURE_AS_OF)
+
+
+@register("dq_summary", O.with_ctes("st", "rg", "status", "bk", "fact", "health") + f"""
+select check_name, failures, failures = 0 as passed from (
+  {_not_null_sql()}
+  union all
+  select 'rate_valid', count(*) from fact
+   where (bike_availability_rate is not null and (bike_availability_rate < 0 or bike_availability_rate > 1))
+      or (dock_availability_rate is not null and (dock_availability_rate < 0 or dock_availability_rate > 1))
+  union all
+  select 'score_bounded', count(*) from health where health_score < 0 or health_score > 100
+  union all
+  select 'no_future', count(*) from fact where ingested_at > timestamp '{NO_FUTURE_AS_OF}')""")
+def q_dq_summary(spark, sf_dir):
+    m = Models(spark, sf_dir)
+    return run_checks(check_not_null(_staged(spark, sf_dir)), {
+        "rate_valid": check_rate_valid(m.fact),
+        "score_bounded": check_score_bounded(m.health),
+        "no_future": check_no_future(m.fact, NO_FUTURE_AS_OF)})

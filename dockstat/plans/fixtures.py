@@ -135,3 +135,62 @@ def pricing_plans(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderkey").cast("string").alias("description"),
         F.col("o_orderdate").alias("ingested_at"),
         F.col("o_orderkey").alias("_tiebreak"))
+
+
+# -- raw-shaped (string) feeds, as landed by the ingest step ---------------------
+
+def _iso(ts) -> F.Column:
+    """ISO-8601 UTC text of a wall-clock UTC timestamp, like ``datetime.isoformat()``."""
+    return F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00"))
+
+
+_RUN_ISO = "2024-01-01T00:00:00+00:00"
+
+
+def raw_station_information(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = v_stations(spark, sf_dir)
+    return s.select(
+        F.col("station_id").cast("string").alias("station_id"),
+        F.col("station_name").alias("name"), "short_name",
+        F.col("region_id").cast("string").alias("region_id"),
+        F.col("latitude").cast("string").alias("lat"), F.col("longitude").cast("string").alias("lon"),
+        F.col("total_docks").cast("string").alias("capacity"),
+        F.col("has_kiosk").cast("string").alias("has_kiosk"),
+        F.lit(_RUN_ISO).alias("ingested_at"))
+
+
+def raw_station_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = status(spark, sf_dir)
+    counts = ["num_bikes_available", "num_ebikes_available", "num_bikes_disabled",
+              "num_docks_available", "num_docks_disabled"]
+    flags = ["is_installed", "is_renting", "is_returning"]
+    return s.select(
+        F.col("station_id").cast("string").alias("station_id"),
+        *[F.col(c).cast("string").alias(c) for c in counts + flags],
+        F.unix_seconds(F.col("last_reported_at").cast("timestamp")).cast("string").alias("last_reported"),
+        _iso(F.col("ingested_at")).alias("ingested_at"))
+
+
+def raw_system_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "region").select(
+        F.col("r_regionkey").cast("string").alias("region_id"), F.col("r_name").alias("name"),
+        F.lit(_RUN_ISO).alias("ingested_at"))
+
+
+def raw_free_bike_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = bikes(spark, sf_dir)
+    return b.select(
+        F.col("bike_id").cast("string").alias("bike_id"),
+        F.col("latitude").cast("string").alias("lat"), F.col("longitude").cast("string").alias("lon"),
+        F.col("is_reserved").cast("string").alias("is_reserved"),
+        F.col("is_disabled").cast("string").alias("is_disabled"),
+        "vehicle_type_id", F.lit(_RUN_ISO).alias("ingested_at"))
+
+
+def raw_pricing_plans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = pricing_plans(spark, sf_dir)
+    return p.select(
+        F.col("plan_id").cast("string").alias("plan_id"), F.col("plan_name").alias("name"), "currency",
+        F.col("price").cast("string").alias("price"),
+        F.col("is_taxable").cast("string").alias("is_taxable"), "description",
+        _iso(F.col("ingested_at")).alias("ingested_at"))

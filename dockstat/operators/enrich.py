@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from dockstat.functions.columns import capped_rate
 from dockstat.operators.dedup import latest_per_key
+from dockstat.operators.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast
 
 ENRICHED_COLUMNS = ["station_id", "station_name", "short_name", "latitude", "longitude",
                     "total_docks", "has_kiosk", "region_id", "region_name", "ingested_at"]
@@ -35,17 +36,19 @@ def stations_enriched(stations: DataFrame, regions: DataFrame, grain: str = "dec
     return stations.join(r, "region_id", "left").select(*ENRICHED_COLUMNS)
 
 
-def status_history(status: DataFrame, enriched: DataFrame) -> DataFrame:
+def status_history(status: DataFrame, enriched: DataFrame,
+                   broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Every status snapshot with station metadata and capped availability rates.
 
     Snapshots of unknown stations keep NULL metadata and NULL rates.  The
-    station side is a dimension; Spark broadcasts it when its measured size
-    is under the broadcast threshold (statically or, with AQE, at run time)
-    and otherwise shuffles both sides on station_id.
+    station side is a dimension: when its measured row count is within
+    ``broadcast_rows`` it is broadcast and the snapshots are joined where
+    they lie, without a shuffle; otherwise both sides are shuffled on
+    station_id and AQE splits a hot station's partition.
     """
     st = enriched.select("station_id", "station_name", "region_id", "region_name",
                          "total_docks", "latitude", "longitude")
-    j = status.join(st, "station_id", "left")
+    j = status.join(bounded_broadcast(st, broadcast_rows), "station_id", "left")
     return j.select(
         *[c for c in HISTORY_COLUMNS[:-2]],
         capped_rate("num_bikes_available", "total_docks").alias("bike_availability_rate"),

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dockstat.functions.columns import (health_status, hundredths, score_low_disabled_h,
+from dockstat.functions.columns import (health_status, rate_to_bp, hundredths, score_low_disabled_h,
                                         score_operational_h, score_rate_h)
 
 HEALTH_INPUT = ["station_id", "station_name", "region_id", "region_name", "total_docks",
@@ -15,6 +15,29 @@ HEALTH_INPUT = ["station_id", "station_name", "region_id", "region_name", "total
                 "rolling_3_bike_availability_rate", "last_reported_at", "ingested_at"]
 
 
+def latest_snapshots(history: DataFrame, n: int = 3) -> DataFrame:
+    """Each station's newest snapshot with the rolling mean of its last ``n``.
+
+    Same rows as ``availability_windows(history)`` at recency rank 1, but
+    only the newest ``n`` snapshots per station are kept, by a rank filter
+    that Spark applies per partition before the shuffle -- a station with
+    millions of snapshots sends at most ``n`` per map task.
+    """
+    w = Window.partitionBy("station_id").orderBy(F.col("ingested_at").desc_nulls_last(),
+                                                 F.col("last_reported_at").desc_nulls_last())
+    top = history.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= n)
+    bp = rate_to_bp("bike_availability_rate")
+    per = Window.partitionBy("station_id")
+    roll = F.try_divide(F.sum(bp).over(per), F.count(bp).over(per)) / 10000
+    return (top.withColumn("rolling_3_bike_availability_rate", roll)
+            .filter(F.col("_r") == 1).drop("_r"))
+
+
+def health_from_history(history: DataFrame, n: int = 3) -> DataFrame:
+    """:func:`health_scores` computed straight from the snapshot history."""
+    return _score(latest_snapshots(history, n).select(*HEALTH_INPUT))
+
+
 def health_scores(windows: DataFrame) -> DataFrame:
     """One row per station: four 25-point components (each rounded to 2 dp),
     their rounded sum and a status taken from the unrounded sum.
@@ -22,7 +45,10 @@ def health_scores(windows: DataFrame) -> DataFrame:
     NULL components (e.g. a snapshot of an unknown station) give a NULL
     score and the status 'critical'.
     """
-    latest = windows.filter(F.col("snapshot_recency_rank") == 1).select(*HEALTH_INPUT)
+    return _score(windows.filter(F.col("snapshot_recency_rank") == 1).select(*HEALTH_INPUT))
+
+
+def _score(latest: DataFrame) -> DataFrame:
     h_bike = score_rate_h("bike_availability_rate")
     h_dock = score_rate_h("dock_availability_rate")
     h_ops = score_operational_h("is_installed", "is_renting", "is_returning")

@@ -1,8 +1,23 @@
-"""Per-station snapshot windows: rolling mean, lag and recency rank."""
+"""Per-station snapshot windows: rolling mean, lag and recency rank.
+
+Two plans compute the same result:
+
+* ``method="station"`` -- the textbook plan: one window partitioned by
+  station.  Every snapshot of a station meets in one task, so a station
+  holding a large share of all snapshots becomes one huge task.
+* ``method="bucketed"`` (default) -- windows partitioned by (station,
+  time bucket), a day by default.  The few rows a bucket needs from before
+  it (the last ``n - 1`` snapshots, for the rolling frame and the lag) are
+  found by a small top-k per bucket and added as "halo" rows; the recency
+  rank adds the number of snapshots in later buckets, from a per-bucket
+  count.  Both helper passes reduce map-side (partial aggregation and a
+  partial per-partition limit), so only one shuffle moves whole rows and
+  no task holds more than one station-bucket.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dockstat.functions.columns import rate_to_bp
@@ -11,6 +26,8 @@ WINDOW_COLUMNS = ["station_id", "station_name", "region_id", "region_name", "tot
                   "last_reported_at", "ingested_at", "num_bikes_available", "num_bikes_disabled",
                   "num_docks_available", "num_docks_disabled", "is_installed", "is_renting",
                   "is_returning", "bike_availability_rate", "dock_availability_rate"]
+OUT_COLUMNS = WINDOW_COLUMNS + ["rolling_3_bike_availability_rate", "prev_bikes_available",
+                                "prev_docks_available", "snapshot_recency_rank"]
 
 
 def _asc(key: str, order: str):
@@ -45,13 +62,79 @@ def with_recency_rank(df: DataFrame, key: str = "station_id", order: str = "inge
     return df.withColumn(out, F.row_number().over(w))
 
 
-def availability_windows(history: DataFrame, n: int = 3) -> DataFrame:
+def _windows_by_station(base: DataFrame, n: int) -> DataFrame:
+    out = rolling_mean_rate(base, n=n)
+    out = with_lag(out)
+    return with_recency_rank(out)
+
+
+def _windows_bucketed(base: DataFrame, n: int, bucket: Column) -> DataFrame:
+    key, t, tb = "station_id", "ingested_at", "last_reported_at"
+    m = max(n - 1, 1)
+    b = base.withColumn("_bk", bucket)
+
+    # Pass A1: snapshots per (station, bucket) -- partial aggregation.
+    counts = b.groupBy(key, "_bk").agg(F.count(F.lit(1)).alias("_cnt"))
+
+    # Pass A2: the last m snapshots of each bucket -- partial per-partition limit.
+    wdesc = Window.partitionBy(key, "_bk").orderBy(F.col(t).desc_nulls_last(), F.col(tb).desc_nulls_last())
+    tails = (b.select(key, "_bk", t, tb, rate_to_bp("bike_availability_rate").alias("_bp"),
+                      "num_bikes_available", "num_docks_available")
+             .withColumn("_r", F.row_number().over(wdesc)).filter(F.col("_r") <= m)
+             .groupBy(key, "_bk")
+             .agg(F.sort_array(F.collect_list(F.struct(t, tb, "_bp", "num_bikes_available",
+                                                       "num_docks_available"))).alias("_tail")))
+
+    # Per station-bucket (small): rows in later buckets, and the halo = the
+    # last m snapshots before the bucket (each earlier bucket has >= 1 row,
+    # so the previous m buckets hold them).
+    sb = counts.join(tails, [key, "_bk"])
+    ws = Window.partitionBy(key).orderBy(F.col("_bk").asc_nulls_first())
+    prev = F.flatten(F.collect_list("_tail").over(ws.rowsBetween(-m, -1)))
+    sb = sb.select(
+        key, "_bk", "_cnt",
+        F.coalesce(F.sum("_cnt").over(ws.rowsBetween(1, Window.unboundedFollowing)), F.lit(0)).alias("_later"),
+        F.when(F.size(prev) > m, F.slice(prev, -m, m)).otherwise(prev).alias("_halo"))
+
+    header = sb.select(key, "_bk", "_cnt", "_later", F.lit(0).alias("_kind"))
+    halo = (sb.select(key, "_bk", F.explode("_halo").alias("_h"))
+            .select(key, "_bk", F.col("_h")[t].alias(t), F.col("_h")[tb].alias(tb),
+                    (F.col("_h._bp").cast("double") / 10000).alias("bike_availability_rate"),
+                    F.col("_h.num_bikes_available").alias("num_bikes_available"),
+                    F.col("_h.num_docks_available").alias("num_docks_available"),
+                    F.lit(1).alias("_kind")))
+    rows = b.withColumn("_kind", F.lit(2))
+    allrows = rows.unionByName(halo, allowMissingColumns=True).unionByName(header, allowMissingColumns=True)
+
+    # Pass B: one shuffle of the snapshots by (station, bucket).
+    w = Window.partitionBy(key, "_bk").orderBy(F.col("_kind"), F.col(t).asc_nulls_first(),
+                                               F.col(tb).asc_nulls_first())
+    bp = rate_to_bp("bike_availability_rate")
+    frame = w.rowsBetween(-(n - 1), 0)
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    is_row = F.when(F.col("_kind") == 2, 1).otherwise(0)
+    out = allrows.select(
+        *WINDOW_COLUMNS, "_kind",
+        (F.try_divide(F.sum(bp).over(frame), F.count(bp).over(frame)) / 10000)
+        .alias("rolling_3_bike_availability_rate"),
+        F.lag("num_bikes_available").over(w).alias("prev_bikes_available"),
+        F.lag("num_docks_available").over(w).alias("prev_docks_available"),
+        (F.max("_cnt").over(whole) - F.sum(is_row).over(w.rowsBetween(Window.unboundedPreceding, 0)) + 1
+         + F.max("_later").over(whole)).cast("int").alias("snapshot_recency_rank"))
+    return out.filter(F.col("_kind") == 2).select(*OUT_COLUMNS)
+
+
+def availability_windows(history: DataFrame, n: int = 3, method: str = "bucketed",
+                         bucket: Column | None = None) -> DataFrame:
     """Rolling ``n``-snapshot mean, previous counts and recency rank per station.
 
-    All windows share the ``station_id`` partitioning, so the plan has a
-    single exchange; the ascending and descending orders each need a sort.
+    ``bucket`` (default: the UTC day of ``ingested_at``) sets the slice of a
+    station's history one task sees in the bucketed plan; use an hour when a
+    single station-day is still too large.
     """
     base = history.select(*WINDOW_COLUMNS)
-    out = rolling_mean_rate(base, n=n)
-    out = with_lag(out)
-    return with_recency_rank(out)
+    if method == "station":
+        return _windows_by_station(base, n).select(*OUT_COLUMNS)
+    if method != "bucketed":
+        raise ValueError(f"method must be 'bucketed' or 'station', got {method!r}")
+    return _windows_bucketed(base, n, F.to_date("ingested_at") if bucket is None else bucket)

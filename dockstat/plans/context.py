@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dockstat.operators.enrich import stations_enriched, status_history
-from dockstat.operators.health import health_scores
+from dockstat.operators.health import health_from_history
 from dockstat.operators.windows import availability_windows
 from dockstat.plans import fixtures as fx
 from dockstat.plans.marts_core import dim_regions, dim_stations, fct_status_snapshots
@@ -62,7 +62,7 @@ class Models:
 
     @cached_property
     def health(self) -> DataFrame:
-        return health_scores(self.windows)
+        return health_from_history(self.history)
 
     # marts
     @cached_property

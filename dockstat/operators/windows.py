@@ -68,13 +68,14 @@ def _windows_by_station(base: DataFrame, n: int) -> DataFrame:
     return with_recency_rank(out)
 
 
-def _windows_bucketed(base: DataFrame, n: int, bucket: Column) -> DataFrame:
+def _bucket_counts(b: DataFrame, key: str) -> DataFrame:
+    """Pass A1: snapshots per (station, bucket) -- partial aggregation."""
+    return b.groupBy(key, "_bk").agg(F.count(F.lit(1)).alias("_cnt"))
+
+
+def _windows_bucketed(b: DataFrame, n: int, counts: DataFrame) -> DataFrame:
     key, t, tb = "station_id", "ingested_at", "last_reported_at"
     m = max(n - 1, 1)
-    b = base.withColumn("_bk", bucket)
-
-    # Pass A1: snapshots per (station, bucket) -- partial aggregation.
-    counts = b.groupBy(key, "_bk").agg(F.count(F.lit(1)).alias("_cnt"))
 
     # Pass A2: the last m snapshots of each bucket -- partial per-partition limit.
     wdesc = Window.partitionBy(key, "_bk").orderBy(F.col(t).desc_nulls_last(), F.col(tb).desc_nulls_last())
@@ -124,17 +125,33 @@ def _windows_bucketed(base: DataFrame, n: int, bucket: Column) -> DataFrame:
     return out.filter(F.col("_kind") == 2).select(*OUT_COLUMNS)
 
 
-def availability_windows(history: DataFrame, n: int = 3, method: str = "bucketed",
-                         bucket: Column | None = None) -> DataFrame:
+# Above this many snapshots for one station, "auto" picks the bucketed plan.
+STATION_ROWS_LIMIT = 2_000_000
+
+
+def availability_windows(history: DataFrame, n: int = 3, method: str = "auto",
+                         bucket: Column | None = None,
+                         station_rows_limit: int = STATION_ROWS_LIMIT) -> DataFrame:
     """Rolling ``n``-snapshot mean, previous counts and recency rank per station.
 
-    ``bucket`` (default: the UTC day of ``ingested_at``) sets the slice of a
-    station's history one task sees in the bucketed plan; use an hour when a
-    single station-day is still too large.
+    ``method="auto"`` counts snapshots per (station, bucket) once -- a small
+    aggregate kept for the bucketed plan -- and uses the single
+    station-partitioned window only when no station exceeds
+    ``station_rows_limit`` snapshots.  ``bucket`` (default: the UTC day of
+    ``ingested_at``) sets the slice of a station's history one task sees in
+    the bucketed plan; use an hour when a single station-day is too large.
     """
     base = history.select(*WINDOW_COLUMNS)
     if method == "station":
         return _windows_by_station(base, n).select(*OUT_COLUMNS)
-    if method != "bucketed":
-        raise ValueError(f"method must be 'bucketed' or 'station', got {method!r}")
-    return _windows_bucketed(base, n, F.to_date("ingested_at") if bucket is None else bucket)
+    if method not in ("bucketed", "auto"):
+        raise ValueError(f"method must be 'auto', 'bucketed' or 'station', got {method!r}")
+    b = base.withColumn("_bk", F.to_date("ingested_at") if bucket is None else bucket)
+    counts = _bucket_counts(b, "station_id")
+    if method == "auto":
+        counts = counts.persist()
+        largest = counts.groupBy("station_id").agg(F.sum("_cnt").alias("_n")).agg(F.max("_n")).first()[0]
+        if (largest or 0) <= station_rows_limit:
+            counts.unpersist()
+            return _windows_by_station(base, n).select(*OUT_COLUMNS)
+    return _windows_bucketed(b, n, counts)

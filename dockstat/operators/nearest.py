@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dockstat.functions.columns import haversine_term, term_to_km
+from dockstat.operators.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast
 from dockstat.session import checkpoint_root
 
 NEAREST_COLUMNS = ["bike_id", "bike_latitude", "bike_longitude", "is_reserved", "is_disabled",
@@ -91,7 +92,8 @@ def _search(pending: DataFrame, stations: DataFrame, n: int, top: bool) -> DataF
     return best.withColumn("_ok", ok).drop("_bcx", "_bcy")
 
 
-def nearest_station(bikes: DataFrame, stations: DataFrame, cell_deg: float = 0.01) -> DataFrame:
+def nearest_station(bikes: DataFrame, stations: DataFrame, cell_deg: float = 0.01,
+                    broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """One row per bike snapshot with its nearest station and distance in km.
 
     ``bikes``: bike_id, latitude, longitude, is_reserved, is_disabled,
@@ -101,6 +103,9 @@ def nearest_station(bikes: DataFrame, stations: DataFrame, cell_deg: float = 0.0
 
     Each level's result is checkpointed (to the shared checkpoint folder) so
     the next level and the final union read it instead of recomputing it.
+    The station side is broadcast when its measured row count is within
+    ``broadcast_rows`` (bikes then never move for the candidate join);
+    otherwise both sides are shuffled on the cell key.
     """
     checkpoint_root(bikes.sparkSession)
     p = _levels(cell_deg)
@@ -113,6 +118,7 @@ def nearest_station(bikes: DataFrame, stations: DataFrame, cell_deg: float = 0.0
                           "region_id", "region_name",
                           F.col("latitude").alias("_slat"), F.col("longitude").alias("_slon"))
           .filter(F.col("_slat").isNotNull() & F.col("_slon").isNotNull()))
+    st = bounded_broadcast(st, broadcast_rows)
     found = []
     for level in range(p):
         n = 2 ** (p - level)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dockstat.operators.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast
 from dockstat.functions.columns import half_up_div, rate_to_bp, z_score, Z_SIGNIFICANT
 
 INTERVENTION_KEYS = ["station_id", "station_name", "region_name", "intervention_date", "intervention_type"]
@@ -22,23 +23,28 @@ def station_interventions(seed: DataFrame, stations_dim: DataFrame) -> DataFrame
                     "intervention_type", "notes"))
 
 
-def _windowed(interventions: DataFrame, fact: DataFrame, days: int) -> DataFrame:
+def _windowed(interventions: DataFrame, fact: DataFrame, days: int,
+              broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Snapshots within ``days`` days either side of each intervention.
 
     The band condition ``|snapshot_date - intervention_date| <= days`` is
     turned into an equi-join: every intervention is expanded to its
     ``2 * days + 1`` calendar dates and joined on (station_id,
-    snapshot_date).  The snapshot side is never shuffled by station alone
-    (a busy station spreads over its dates), and with a fact partitioned by
-    snapshot_date the join key is the partition column, which lets dynamic
-    partition pruning skip dates no intervention touches.
+    snapshot_date).  The expanded interventions are broadcast when their
+    measured row count is within ``broadcast_rows``: the fact is filtered
+    where it lies and only per-intervention partial aggregates are
+    shuffled.  Otherwise the fact is shuffled on (station_id,
+    snapshot_date), never by station alone, so a busy station spreads over
+    its dates.  With a fact partitioned by snapshot_date the join key is the
+    partition column, which lets dynamic partition pruning skip dates no
+    intervention touches.
     """
     iv = (interventions.select(*INTERVENTION_KEYS)
           .withColumn("snapshot_date", F.explode(F.sequence(
               F.date_sub("intervention_date", days), F.date_add("intervention_date", days)))))
     snaps = fact.select("station_id", F.to_date("ingested_at").alias("snapshot_date"),
                         "bike_availability_rate", "num_bikes_available", "num_docks_available")
-    j = iv.join(snaps, ["station_id", "snapshot_date"])
+    j = bounded_broadcast(iv, broadcast_rows).join(snaps, ["station_id", "snapshot_date"])
     return (j.withColumn("days_from_intervention", F.datediff("snapshot_date", "intervention_date"))
             .withColumn("period", F.when(F.col("snapshot_date") < F.col("intervention_date"), "pre")
                         .otherwise("post")))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from dockstat.functions import columns as C
 from dockstat.operators.tiers import with_capacity_tier
-from dockstat.operators.windows import rolling_mean_rate, with_lag, with_recency_rank, WINDOW_COLUMNS
+from dockstat.operators.windows import availability_windows, rolling_mean_rate, with_lag, with_recency_rank, WINDOW_COLUMNS
 from dockstat.plans import oracle as O
 from dockstat.plans.context import Models
 from dockstat.plans.marts_core import dim_pricing_plans
@@ -97,6 +97,12 @@ def q_windows(spark, sf_dir):
     return Models(spark, sf_dir).windows
 
 
+@register("availability_windows_bucketed", O.q("windows", "select * from windows"))
+def q_windows_bucketed(spark, sf_dir):
+    """The hot-station plan, forced: windows by (station, day) with halo rows."""
+    return availability_windows(Models(spark, sf_dir).history, method="bucketed")
+
+
 # -- column functions ------------------------------------------------------------
 
 _BUCKET_SQL = """case when {r} is null then 'unknown' when {r} = 0 then 'empty' when {r} < 0.20 then 'critical'

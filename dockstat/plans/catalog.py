@@ -460,6 +460,31 @@ def q_scd2_from_history(spark, sf_dir):
                              ["is_installed", "is_renting", "is_returning"])
 
 
+@register("scd2_from_history_bucketed", O.q("history", """
+select station_id, version, is_installed, is_renting, is_returning, valid_from, valid_to, last_seen, snapshots,
+  floor((epoch_us(valid_to) - epoch_us(valid_from)) / 1000000) as duration_seconds
+from (
+  select station_id, version, min(ingested_at) as valid_from, max(ingested_at) as last_seen,
+    count(*) as snapshots, any_value(is_installed) as is_installed, any_value(is_renting) as is_renting,
+    any_value(is_returning) as is_returning,
+    lead(min(ingested_at)) over (partition by station_id order by version) as valid_to
+  from (
+    select *, sum(case when rn = 1 or ch then 1 else 0 end)
+                over (partition by station_id order by ingested_at rows between unbounded preceding and current row)
+              as version
+    from (select station_id, ingested_at, is_installed, is_renting, is_returning,
+            row_number() over w as rn,
+            (lag(is_installed) over w) is distinct from is_installed
+              or (lag(is_renting) over w) is distinct from is_renting
+              or (lag(is_returning) over w) is distinct from is_returning as ch
+          from history window w as (partition by station_id order by ingested_at asc nulls first)))
+  group by station_id, version)"""))
+def q_scd2_from_history_bucketed(spark, sf_dir):
+    """The hot-station plan, forced: versions found per (station, day)."""
+    return scd2_from_history(Models(spark, sf_dir).history, "station_id", "ingested_at",
+                             ["is_installed", "is_renting", "is_returning"], method="bucketed")
+
+
 # -- data quality ------------------------------------------------------------------------
 
 NO_FUTURE_AS_OF = "2024-01-25 00:00:00"

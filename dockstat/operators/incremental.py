@@ -67,8 +67,11 @@ def incremental_merge(target_path: str, source: DataFrame, keys: Sequence[str] =
 
     target = spark.read.parquet(target_path)
     if partition_col:
-        touched = new.select(partition_col).distinct()
-        current = target.join(touched, partition_col, "left_semi")
+        # The dates a batch touches are few (one or two per half-hourly run,
+        # one per day of a backfill); as a literal list they prune the scan
+        # of the existing table to exactly those partitions.
+        touched = [r[0] for r in new.select(partition_col).distinct().collect()]
+        current = target.filter(F.col(partition_col).isin(touched))
     else:
         current = target
     kept = current.join(new.select(*keys), keys, "left_anti")

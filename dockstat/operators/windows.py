@@ -59,7 +59,7 @@ def with_recency_rank(df: DataFrame, key: str = "station_id", order: str = "inge
     """1 for the newest snapshot of each station, counting up into the past."""
     w = Window.partitionBy(key).orderBy(F.col(order).desc_nulls_last(),
                                         F.col("last_reported_at").desc_nulls_last())
-    return df.withColumn(out, F.row_number().over(w))
+    return df.withColumn(out, F.row_number().over(w).cast("long"))
 
 
 def _windows_by_station(base: DataFrame, n: int) -> DataFrame:
@@ -121,7 +121,7 @@ def _windows_bucketed(b: DataFrame, n: int, counts: DataFrame) -> DataFrame:
         F.lag("num_bikes_available").over(w).alias("prev_bikes_available"),
         F.lag("num_docks_available").over(w).alias("prev_docks_available"),
         (F.max("_cnt").over(whole) - F.sum(is_row).over(w.rowsBetween(Window.unboundedPreceding, 0)) + 1
-         + F.max("_later").over(whole)).cast("int").alias("snapshot_recency_rank"))
+         + F.max("_later").over(whole)).cast("long").alias("snapshot_recency_rank"))
     return out.filter(F.col("_kind") == 2).select(*OUT_COLUMNS)
 
 

@@ -445,9 +445,9 @@ from (
     any_value(is_returning) as is_returning,
     lead(min(ingested_at)) over (partition by station_id order by version) as valid_to
   from (
-    select *, sum(case when rn = 1 or ch then 1 else 0 end)
+    select *, cast(sum(case when rn = 1 or ch then 1 else 0 end)
                 over (partition by station_id order by ingested_at rows between unbounded preceding and current row)
-              as version
+              as bigint) as version
     from (select station_id, ingested_at, is_installed, is_renting, is_returning,
             row_number() over w as rn,
             (lag(is_installed) over w) is distinct from is_installed
@@ -469,9 +469,9 @@ from (
     any_value(is_returning) as is_returning,
     lead(min(ingested_at)) over (partition by station_id order by version) as valid_to
   from (
-    select *, sum(case when rn = 1 or ch then 1 else 0 end)
+    select *, cast(sum(case when rn = 1 or ch then 1 else 0 end)
                 over (partition by station_id order by ingested_at rows between unbounded preceding and current row)
-              as version
+              as bigint) as version
     from (select station_id, ingested_at, is_installed, is_renting, is_returning,
             row_number() over w as rn,
             (lag(is_installed) over w) is distinct from is_installed

@@ -38,7 +38,7 @@ from dockstat.plans.marts_ops import (fleet_availability, region_hourly_availabi
 from dockstat.session import build_session
 from dockstat.sources.gbfs import FEEDS, read_gbfs
 from dockstat.sources.seeds import capacity_tiers, read_interventions
-from dockstat.sources.sinks import append_raw, publish_table
+from dockstat.sources.sinks import append_raw, append_version, publish_table, read_latest_version
 
 
 @dataclass
@@ -119,13 +119,13 @@ def run_daily(spark: SparkSession, p: Paths, as_of: str | None = None) -> DataFr
         publish_table(iv, p.mart("fct_station_interventions"))
         publish_table(intervention_results(iv, fact), p.mart("agg_intervention_results"))
 
+    run = as_of.replace("-", "").replace(":", "").replace(" ", "T")
     for name, fn, src in (("snap_station_capacity_changes", snapshot_capacity, enriched),
                           ("snap_station_operational_status", snapshot_operational, history)):
-        prev = _read(spark, p.snapshot(name))
-        new = fn(prev, src, as_of)
-        stage = f"{p.snapshot(name)}__next"
-        publish_table(new, stage)
-        publish_table(spark.read.parquet(stage), p.snapshot(name))
+        prev, version = read_latest_version(spark, p.snapshot(name))
+        if version is not None and version >= run:
+            continue  # this run is already published; a retry changes nothing
+        append_version(fn(prev, src, as_of), p.snapshot(name), run)
 
     return run_checks(check_not_null(st), {
         "rate_valid": check_rate_valid(fact),

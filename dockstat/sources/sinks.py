@@ -27,3 +27,27 @@ def publish_table(df: DataFrame, path: str, partition_by: str | None = None) ->
     if partition_by:
         w = w.option("partitionOverwriteMode", "dynamic").partitionBy(partition_by)
     w.parquet(path)
+
+
+def append_version(df: DataFrame, path: str, version: str, version_col: str = "snapshot_run") -> None:
+    """Publish a full new version of a table next to the previous ones.
+
+    The version is a partition of an append-only folder, so the previous
+    version stays readable while the new one is written, and the write
+    becomes visible only when Spark commits the job -- a failed run leaves
+    the current version untouched and can simply be retried.
+    """
+    (df.withColumn(version_col, F.lit(version)).write.mode("append")
+     .partitionBy(version_col).parquet(path))
+
+
+def read_latest_version(spark, path: str, version_col: str = "snapshot_run"):
+    """``(rows of the newest published version, its version)`` or ``(None, None)``."""
+    try:
+        t = spark.read.parquet(path)
+    except Exception:  # noqa: BLE001 -- nothing published yet
+        return None, None
+    last = t.select(version_col).distinct().agg(F.max(version_col)).first()[0]
+    if last is None:
+        return None, None
+    return t.filter(F.col(version_col) == F.lit(last)).drop(version_col), str(last)

@@ -37,114 +37,89 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
-def _run_ts() -> F.Column:
-    return F.to_timestamp_ntz(F.lit(FIXTURE_RUN))
+_STATION_EXPRS = [
+    "c_custkey as station_id", "c_name as station_name", "c_mktsegment as short_name",
+    "n_regionkey as region_id",
+    "cast(40.6 as double) + cast((c_custkey * 53) % 997 as double) / 4000 as latitude",
+    "cast(-74.05 as double) + cast((c_custkey * 71) % 991 as double) / 4000 as longitude",
+    "cast((c_custkey * 7) % 70 as bigint) as total_docks", "c_nationkey % 2 = 0 as has_kiosk",
+]
+
+
+def _customer_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = table(spark, sf_dir, "customer").where("c_custkey % 13 <> 5")
+    n = table(spark, sf_dir, "nation")
+    return c.join(n, F.col("c_nationkey") == F.col("n_nationkey"))
 
 
 def v_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stations with region names already attached (flat view)."""
-    c = table(spark, sf_dir, "customer")
-    n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
-    key = F.col("c_custkey")
-    return (c.filter(key % 13 != 5)
-            .join(n, F.col("c_nationkey") == F.col("n_nationkey"))
-            .join(r, F.col("n_regionkey") == F.col("r_regionkey"))
-            .select(key.alias("station_id"),
-                    F.col("c_name").alias("station_name"),
-                    F.col("c_mktsegment").alias("short_name"),
-                    F.col("n_regionkey").alias("region_id"),
-                    F.col("r_name").alias("region_name"),
-                    (F.lit(40.6) + ((key * 53) % 997).cast("double") / 4000).alias("latitude"),
-                    (F.lit(-74.05) + ((key * 71) % 991).cast("double") / 4000).alias("longitude"),
-                    ((key * 7) % 70).cast("long").alias("total_docks"),
-                    (F.col("c_nationkey") % 2 == 0).alias("has_kiosk")))
+    j = _customer_nation(spark, sf_dir).join(r, F.col("n_regionkey") == F.col("r_regionkey"))
+    exprs = _STATION_EXPRS[:4] + ["r_name as region_name"] + _STATION_EXPRS[4:]
+    return j.selectExpr(*exprs)
 
 
 def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Staged-shape station rows (no region name) of one feed run."""
-    c = table(spark, sf_dir, "customer")
-    n = table(spark, sf_dir, "nation")
-    key = F.col("c_custkey")
-    return (c.filter(key % 13 != 5)
-            .join(n, F.col("c_nationkey") == F.col("n_nationkey"))
-            .select(key.alias("station_id"),
-                    F.col("c_name").alias("station_name"),
-                    F.col("c_mktsegment").alias("short_name"),
-                    F.col("n_regionkey").alias("region_id"),
-                    (F.lit(40.6) + ((key * 53) % 997).cast("double") / 4000).alias("latitude"),
-                    (F.lit(-74.05) + ((key * 71) % 991).cast("double") / 4000).alias("longitude"),
-                    ((key * 7) % 70).cast("long").alias("total_docks"),
-                    (F.col("c_nationkey") % 2 == 0).alias("has_kiosk"),
-                    _run_ts().alias("ingested_at")))
+    return _customer_nation(spark, sf_dir).selectExpr(
+        *_STATION_EXPRS, f"timestamp_ntz'{FIXTURE_RUN}' as ingested_at")
 
 
 def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Staged-shape region rows of one feed run."""
-    return table(spark, sf_dir, "region").select(
-        F.col("r_regionkey").alias("region_id"),
-        F.col("r_name").alias("region_name"),
-        _run_ts().alias("ingested_at"))
+    return table(spark, sf_dir, "region").selectExpr(
+        "r_regionkey as region_id", "r_name as region_name", f"timestamp_ntz'{FIXTURE_RUN}' as ingested_at")
 
 
 def status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Staged-shape station_status snapshots: one per event."""
-    e = table(spark, sf_dir, "events")
-    eid = F.col("event_id")
-    bikes = F.floor("value").cast("long") % 40
-    return e.select(
-        F.col("user_id").alias("station_id"),
-        bikes.alias("num_bikes_available"),
-        (bikes % 7).alias("num_ebikes_available"),
-        (eid % 4).alias("num_bikes_disabled"),
-        ((eid * 13) % 45).alias("num_docks_available"),
-        (eid % 3).alias("num_docks_disabled"),
-        (F.col("event_type") != "error").alias("is_installed"),
-        (eid % 7 != 0).alias("is_renting"),
-        (eid % 11 != 0).alias("is_returning"),
-        F.col("ts").alias("last_reported_at"),
-        F.col("ts").alias("ingested_at"))
+    return table(spark, sf_dir, "events").selectExpr(
+        "user_id as station_id",
+        "floor(value) % 40 as num_bikes_available",
+        "(floor(value) % 40) % 7 as num_ebikes_available",
+        "event_id % 4 as num_bikes_disabled",
+        "(event_id * 13) % 45 as num_docks_available",
+        "event_id % 3 as num_docks_disabled",
+        "event_type <> 'error' as is_installed",
+        "event_id % 7 <> 0 as is_renting",
+        "event_id % 11 <> 0 as is_returning",
+        "ts as last_reported_at",
+        "ts as ingested_at")
 
 
 def bikes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Staged-shape free-bike positions: one per supplier, one feed run."""
-    s = table(spark, sf_dir, "supplier")
-    key = F.col("s_suppkey")
-    return s.select(
-        key.alias("bike_id"),
-        (F.lit(40.6) + ((key * 37) % 1000).cast("double") / 4000).alias("latitude"),
-        (F.lit(-74.05) + ((key * 91) % 1000).cast("double") / 4000).alias("longitude"),
-        (key % 9 == 0).alias("is_reserved"),
-        (key % 10 == 0).alias("is_disabled"),
-        F.when(key % 3 == 0, "electric_bike").otherwise("classic").alias("vehicle_type_id"),
-        _run_ts().alias("ingested_at"))
+    return table(spark, sf_dir, "supplier").selectExpr(
+        "s_suppkey as bike_id",
+        "cast(40.6 as double) + cast((s_suppkey * 37) % 1000 as double) / 4000 as latitude",
+        "cast(-74.05 as double) + cast((s_suppkey * 91) % 1000 as double) / 4000 as longitude",
+        "s_suppkey % 9 = 0 as is_reserved",
+        "s_suppkey % 10 = 0 as is_disabled",
+        "case when s_suppkey % 3 = 0 then 'electric_bike' else 'classic' end as vehicle_type_id",
+        f"timestamp_ntz'{FIXTURE_RUN}' as ingested_at")
+
+
+_KIND = ("case c_custkey % 3 when 0 then 'rebalancing' when 1 then 'maintenance' "
+         "else 'capacity_increase' end")
 
 
 def interventions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Intervention records: every 25th customer, dated inside the event month."""
-    c = table(spark, sf_dir, "customer")
-    key = F.col("c_custkey")
-    kind = (F.when(key % 3 == 0, "rebalancing").when(key % 3 == 1, "maintenance")
-            .otherwise("capacity_increase"))
-    return c.filter(key % 25 == 0).select(
-        key.alias("station_id"),
-        F.date_add(F.lit("2024-01-08").cast("date"), (F.floor(key / 25).cast("int") % 15)).alias("intervention_date"),
-        kind.alias("intervention_type"),
-        F.concat(F.lit("planned "), kind, F.lit(" for "), F.col("c_name")).alias("notes"))
+    return table(spark, sf_dir, "customer").where("c_custkey % 25 = 0").selectExpr(
+        "c_custkey as station_id",
+        "date_add(date'2024-01-08', cast(floor(c_custkey / 25) as int) % 15) as intervention_date",
+        f"{_KIND} as intervention_type",
+        f"concat('planned ', {_KIND}, ' for ', c_name) as notes")
 
 
 def pricing_plans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Staged-shape pricing plan rows: one per order (plan = customer)."""
-    o = table(spark, sf_dir, "orders")
-    return o.select(
-        F.col("o_custkey").alias("plan_id"),
-        F.col("o_orderpriority").alias("plan_name"),
-        F.lit("USD").alias("currency"),
-        F.col("o_totalprice").alias("price"),
-        (F.col("o_orderstatus") == "F").alias("is_taxable"),
-        F.col("o_orderkey").cast("string").alias("description"),
-        F.col("o_orderdate").alias("ingested_at"),
-        F.col("o_orderkey").alias("_tiebreak"))
+    return table(spark, sf_dir, "orders").selectExpr(
+        "o_custkey as plan_id", "o_orderpriority as plan_name", "'USD' as currency",
+        "o_totalprice as price", "o_orderstatus = 'F' as is_taxable",
+        "cast(o_orderkey as string) as description", "o_orderdate as ingested_at",
+        "o_orderkey as _tiebreak")
 
 
 # -- raw-shaped (string) feeds, as landed by the ingest step ---------------------

@@ -32,7 +32,7 @@ def table_watermark(spark: SparkSession, path: str, watermark: str, partition_co
 
 def incremental_merge(target_path: str, source: DataFrame, keys: Sequence[str] = ("station_id", "ingested_at"),
                       watermark: str = "ingested_at", partition_col: str | None = "snapshot_date",
-                      partition_expr: Column | None = None) -> DataFrame:
+                      partition_expr: Column | None = None, return_touched: bool = False):
     """Merge ``source`` into the parquet table at ``target_path`` and return the table.
 
     First run (no table): everything is written.  Later runs take only rows
@@ -47,6 +47,11 @@ def incremental_merge(target_path: str, source: DataFrame, keys: Sequence[str] =
     overwrite.  Re-running after a failure recomputes the same partitions,
     so a retry never duplicates rows; a second run with the same source adds
     nothing.
+
+    With ``return_touched`` the result is ``(table, touched)`` where
+    ``touched`` lists the partition values that received rows (``None`` for
+    a first, full load), so dependent marts can be refreshed for just those
+    partitions.
     """
     spark = source.sparkSession
     keys = list(keys)
@@ -55,15 +60,19 @@ def incremental_merge(target_path: str, source: DataFrame, keys: Sequence[str] =
         source = source.withColumn(partition_col, pexpr)
     source = source.dropDuplicates(keys)
 
+    def done(touched):
+        t = spark.read.parquet(target_path)
+        return (t, touched) if return_touched else t
+
     if not _exists(spark, target_path):
         w = source.write.mode("overwrite")
         (w.partitionBy(partition_col) if partition_col else w).parquet(target_path)
-        return spark.read.parquet(target_path)
+        return done(None)
 
     wm = table_watermark(spark, target_path, watermark, partition_col)
     new = source if wm is None else source.filter(F.col(watermark) > F.lit(wm))
     if new.isEmpty():
-        return spark.read.parquet(target_path)
+        return done([])
 
     target = spark.read.parquet(target_path)
     if partition_col:
@@ -73,11 +82,11 @@ def incremental_merge(target_path: str, source: DataFrame, keys: Sequence[str] =
         touched = [r[0] for r in new.select(partition_col).distinct().collect()]
         current = target.filter(F.col(partition_col).isin(touched))
     else:
-        current = target
+        touched, current = None, target
     kept = current.join(new.select(*keys), keys, "left_anti")
     staged_path = work_path(spark, "merge-stage")
     kept.unionByName(new.select(*target.columns)).write.mode("overwrite").parquet(staged_path)
     staged = spark.read.parquet(staged_path)
     w = staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     (w.partitionBy(partition_col) if partition_col else w).parquet(target_path)
-    return spark.read.parquet(target_path)
+    return done(touched)

@@ -18,8 +18,8 @@ from dockstat.operators.windows import availability_windows, rolling_mean_rate,
 from dockstat.plans import oracle as O
 from dockstat.plans.context import Models
 from dockstat.plans.marts_core import dim_pricing_plans
-from dockstat.plans.marts_ops import (fleet_availability, region_hourly_availability,
-                                      top_priority_stations)
+from dockstat.plans.marts_ops import (fleet_availability, region_hour_stations, region_hourly_availability,
+                                      region_hourly_parts, region_hourly_rollup, top_priority_stations)
 from dockstat.plans import fixtures as fx
 from dockstat.operators.dedup import latest_per_key
 from dockstat.operators.incremental import incremental_merge
@@ -196,6 +196,23 @@ def q_hourly(spark, sf_dir):
     return region_hourly_availability(Models(spark, sf_dir).fact)
 
 
+@register("region_hourly_from_parts", O.q("fact", f"""
+select region_id, region_name, cast(hour(ingested_at) as int) as hour_of_day,
+  cast(dayofweek(ingested_at) + 1 as int) as day_of_week,
+  count(*) as snapshot_count, count(distinct station_id) as stations_observed,
+  {O.avg4_sql('bike_availability_rate')} as avg_bike_availability,
+  {O.avg4_sql('dock_availability_rate')} as avg_dock_availability,
+  min(bike_availability_rate) as min_bike_availability,
+  max(bike_availability_rate) as max_bike_availability,
+  cast(count_if(num_bikes_available = 0) as bigint) as empty_station_snapshots,
+  {O.ratio4_sql('count_if(num_bikes_available = 0)', 'count(*)')} as empty_station_rate
+from fact group by 1, 2, 3, 4"""))
+def q_hourly_parts(spark, sf_dir):
+    """The incremental form: per-day parts and station presence, rolled up."""
+    fact = Models(spark, sf_dir).fact
+    return region_hourly_rollup(region_hourly_parts(fact), region_hour_stations(fact))
+
+
 @register("fleet_availability", O.q("fact", f"""
 select date_trunc('hour', ingested_at) as ingested_at,
   count(distinct station_id) as total_stations,

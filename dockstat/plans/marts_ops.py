@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dockstat.functions.columns import avg_rate_4dp, half_up_div, rate_to_bp
+from dockstat.functions.columns import avg_rate_4dp, half_up_div, mean_rounded, rate_to_bp
 
 
 def _ratio_4dp(num: Column, den: Column) -> Column:
@@ -94,6 +94,48 @@ def region_hourly_availability(fact: DataFrame) -> DataFrame:
         _ratio_4dp(empty, n).alias("empty_station_rate"))
 
 
+def region_hourly_parts(fact: DataFrame) -> DataFrame:
+    """Mergeable per-day pieces of :func:`region_hourly_availability`.
+
+    One row per (region, UTC date, hour, day of week) with integer sums,
+    counts, min and max.  A daily job rewrites only the dates that received
+    snapshots and rolls all days up with :func:`region_hourly_rollup`.
+    """
+    bike, dock = rate_to_bp("bike_availability_rate"), rate_to_bp("dock_availability_rate")
+    return fact.groupBy(
+        "region_id", "region_name", F.to_date("ingested_at").alias("snapshot_date"),
+        F.hour("ingested_at").alias("hour_of_day"), F.dayofweek("ingested_at").alias("day_of_week")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(bike).alias("bike_bp_sum"), F.count(bike).alias("bike_bp_n"),
+        F.sum(dock).alias("dock_bp_sum"), F.count(dock).alias("dock_bp_n"),
+        F.min("bike_availability_rate").alias("bike_min"), F.max("bike_availability_rate").alias("bike_max"),
+        F.count_if(F.col("num_bikes_available") == 0).alias("empty"))
+
+
+def region_hour_stations(fact: DataFrame) -> DataFrame:
+    """Distinct (region, hour, day of week, station) seen -- for exact distinct counts."""
+    return fact.select("region_id", "region_name", F.hour("ingested_at").alias("hour_of_day"),
+                       F.dayofweek("ingested_at").alias("day_of_week"), "station_id").distinct()
+
+
+def region_hourly_rollup(parts: DataFrame, stations_seen: DataFrame) -> DataFrame:
+    """:func:`region_hourly_availability` from per-day parts and station presence."""
+    keys = ["region_id", "region_name", "hour_of_day", "day_of_week"]
+    n, empty = F.sum("n"), F.sum("empty")
+    agg = parts.groupBy(*keys).agg(
+        n.alias("snapshot_count"),
+        mean_rounded(F.sum("bike_bp_sum"), F.sum("bike_bp_n")).alias("avg_bike_availability"),
+        mean_rounded(F.sum("dock_bp_sum"), F.sum("dock_bp_n")).alias("avg_dock_availability"),
+        F.min("bike_min").alias("min_bike_availability"),
+        F.max("bike_max").alias("max_bike_availability"),
+        empty.alias("empty_station_snapshots"),
+        _ratio_4dp(empty, n).alias("empty_station_rate"))
+    seen = stations_seen.groupBy(*keys).agg(F.count(F.lit(1)).alias("stations_observed"))
+    return agg.join(seen, [agg[k].eqNullSafe(seen[k]) for k in keys]).select(
+        *[agg[k] for k in keys], "snapshot_count", "stations_observed", "avg_bike_availability",
+        "avg_dock_availability", "min_bike_availability", "max_bike_availability",
+        "empty_station_snapshots", "empty_station_rate")
+
+
 def top_priority_stations(daily: DataFrame, n: int = 20) -> DataFrame:
     """The ``n`` station-days most in need of rebalancing (a top-k report).
 

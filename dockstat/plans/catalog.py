@@ -30,6 +30,7 @@ from dockstat.operators.scd2 import scd2_check, scd2_from_history, snapshot_capa
 from dockstat.operators.staging import (stage_bikes, stage_pricing_plans, stage_regions, stage_station_status,
                                         stage_stations)
 from dockstat.session import work_path
+from dockstat.sources.seeds import bike_types, with_bike_type
 from dockstat.plans.experiments import intervention_periods, intervention_results, station_interventions
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -586,3 +587,15 @@ def q_dq_summary(spark, sf_dir):
         "rate_valid": check_rate_valid(m.fact),
         "score_bounded": check_score_bounded(m.health),
         "no_future": check_no_future(m.fact, NO_FUTURE_AS_OF)})
+
+
+@register("bikes_with_type", O.q("bk", """
+select b.vehicle_type_id, b.bike_id, b.latitude, b.longitude, b.is_reserved, b.is_disabled, b.ingested_at,
+  t.bike_type, t.is_electric, t.typical_range_miles
+from bk b left join (values
+  ('classic', 'Classic Bike', false, cast(null as integer)),
+  ('electric_bike', 'Electric Bike', true, 30),
+  ('cargo_bike', 'Cargo Bike', false, cast(null as integer)))
+  as t(vehicle_type_id, bike_type, is_electric, typical_range_miles) using (vehicle_type_id)"""))
+def q_bikes_with_type(spark, sf_dir):
+    return with_bike_type(fx.bikes(spark, sf_dir), bike_types(spark))

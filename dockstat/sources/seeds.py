@@ -57,3 +57,19 @@ def read_seed(spark: SparkSession, path: str, schema: str) -> DataFrame:
 def read_interventions(spark: SparkSession, path: str) -> DataFrame:
     """Intervention seed; station ids stay strings (UUIDs and digits mix)."""
     return read_seed(spark, path, INTERVENTIONS_SCHEMA)
+
+
+def region_population(boroughs_df: DataFrame) -> DataFrame:
+    """Boroughs rolled up to the region they belong to."""
+    from pyspark.sql import functions as F
+    return boroughs_df.groupBy("region_name").agg(
+        F.count(F.lit(1)).alias("boroughs"),
+        F.sum("population_2020").alias("population_2020"),
+        F.sum("area_sq_miles").alias("area_sq_miles"))
+
+
+def with_bike_type(bikes_df: DataFrame, types_df: DataFrame) -> DataFrame:
+    """Bike attributes from the bike-type seed (a few rows, broadcast); unknown types keep NULLs."""
+    from pyspark.sql import functions as F
+    t = types_df.select("vehicle_type_id", "bike_type", "is_electric", "typical_range_miles")
+    return bikes_df.join(F.broadcast(t), "vehicle_type_id", "left")

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from dockstat.operators.enrich import stations_enriched
 from dockstat.operators.staging import stage_pricing_plans, stage_station_status
 from dockstat.sources.gbfs import read_gbfs
-from dockstat.sources.seeds import bike_types, boroughs, capacity_tiers, read_interventions
+from dockstat.sources.seeds import (bike_types, boroughs, capacity_tiers, read_interventions,
+                                    region_population)
 from dockstat.sources.sinks import append_raw, publish_table
 from dockstat.streaming.ingest import stream_status_to_fact
 
@@ -57,6 +58,8 @@ def test_seeds_and_sinks(spark, tmp):
     assert capacity_tiers(spark).count() == 5
     assert bike_types(spark).filter(F.col("typical_range_miles").isNull()).count() == 2
     assert boroughs(spark).count() == 7
+    pop = region_population(boroughs(spark)).first()
+    assert (pop.region_name, pop.boroughs, pop.population_2020) == ("NYC District", 7, 9156639)
     p = os.path.join(tmp, "iv.csv")
     with open(p, "w") as f:
         f.write("station_id,intervention_date,intervention_type,notes\n"

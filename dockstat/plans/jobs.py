@@ -115,7 +115,7 @@ def run_daily(spark: SparkSession, p: Paths, as_of: str | None = None) -> DataFr
     enriched = stations_enriched(st["stage_stations"], st["stage_regions"])
     history = status_history(st["stage_station_status"], enriched)
 
-    fact, touched = incremental_merge(p.mart("fct_station_status_snapshots"), fct_status_snapshots(history),
+    fact, touched = incremental_merge(p.mart("status_snapshots"), fct_status_snapshots(history),
                                       return_touched=True)
     health = health_from_history(history)
     stations_dim = dim_stations(enriched, health, capacity_tiers(spark))
@@ -128,11 +128,11 @@ def run_daily(spark: SparkSession, p: Paths, as_of: str | None = None) -> DataFr
     # (all dates on the first run), so the job's cost follows the new data.
     if touched is None or touched:
         new = fact if touched is None else fact.filter(F.col("snapshot_date").isin(touched))
-        publish_table(station_daily_performance(new), p.mart("agg_station_daily_performance"),
+        publish_table(station_daily_performance(new), p.mart("station_daily"),
                       partition_by="snapshot_date")
         publish_table(fleet_availability(new).withColumn("run_date", F.to_date("ingested_at")),
-                      p.mart("fct_bike_availability"), partition_by="run_date")
-        publish_table(region_hourly_parts(new), p.mart("agg_region_hourly_parts"), partition_by="snapshot_date")
+                      p.mart("fleet_runs"), partition_by="run_date")
+        publish_table(region_hourly_parts(new), p.mart("region_hourly_parts"), partition_by="snapshot_date")
         seen, version = read_latest_version(spark, p.mart("region_hour_stations"))
         if version is None or version < run_stamp(as_of):  # a retried run adds nothing
             seen_now = region_hour_stations(new)
@@ -140,21 +140,21 @@ def run_daily(spark: SparkSession, p: Paths, as_of: str | None = None) -> DataFr
                 seen_now = seen_now.unionByName(seen).distinct()
             append_version(seen_now, p.mart("region_hour_stations"), run_stamp(as_of))
             seen, _ = read_latest_version(spark, p.mart("region_hour_stations"))
-        publish_table(region_hourly_rollup(spark.read.parquet(p.mart("agg_region_hourly_parts")), seen),
-                      p.mart("agg_region_hourly_availability"))
+        publish_table(region_hourly_rollup(spark.read.parquet(p.mart("region_hourly_parts")), seen),
+                      p.mart("region_hourly"))
         # Nearest station for bike snapshots not matched yet (same watermark rule).
-        incremental_merge(p.mart("int_bikes_with_station"), nearest_station(
-            _after(st["stage_bikes"], spark, p.mart("int_bikes_with_station")), enriched),
+        incremental_merge(p.mart("bike_nearest_station"), nearest_station(
+            _after(st["stage_bikes"], spark, p.mart("bike_nearest_station")), enriched),
             keys=("bike_id", "ingested_at"))
     if p.seeds:
         iv = station_interventions(read_interventions(spark, f"{p.seeds}/station_interventions.csv"),
                                    stations_dim)
-        publish_table(iv, p.mart("fct_station_interventions"))
-        publish_table(intervention_results(iv, fact), p.mart("agg_intervention_results"))
+        publish_table(iv, p.mart("station_interventions"))
+        publish_table(intervention_results(iv, fact), p.mart("intervention_results"))
 
     run = run_stamp(as_of)
-    for name, fn, src in (("snap_station_capacity_changes", snapshot_capacity, enriched),
-                          ("snap_station_operational_status", snapshot_operational, history)):
+    for name, fn, src in (("station_capacity_history", snapshot_capacity, enriched),
+                          ("station_operational_history", snapshot_operational, history)):
         prev, version = read_latest_version(spark, p.snapshot(name))
         if version is not None and version >= run:
             continue  # this run is already published; a retry changes nothing

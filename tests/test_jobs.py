@@ -50,15 +50,15 @@ def test_refresh_then_daily(spark, tmp):
     run_daily(spark, p, as_of="2026-04-11 06:00:00")
     run_daily(spark, p, as_of="2026-04-11 06:00:00")  # retry of the same run changes nothing
 
-    fact = spark.read.parquet(p.mart("fct_station_status_snapshots"))
+    fact = spark.read.parquet(p.mart("status_snapshots"))
     assert fact.count() == 4
-    daily = {r.station_id: r for r in spark.read.parquet(p.mart("agg_station_daily_performance")).collect()}
+    daily = {r.station_id: r for r in spark.read.parquet(p.mart("station_daily")).collect()}
     assert daily["A"].snapshots_that_day == 2 and daily["A"].empty_snapshots == 1
-    ops = spark.read.parquet(p.snapshot("snap_station_operational_status"))
+    ops = spark.read.parquet(p.snapshot("station_operational_history"))
     latest = ops.filter("snapshot_run = '20260411T060000'")
     rows = sorted((r.station_id, r.is_renting, str(r.dbt_valid_to)) for r in latest.collect())
     assert rows == [("A", True, "None"), ("B", False, "None"), ("B", True, "2026-04-11 06:00:00")]
-    near = spark.read.parquet(p.mart("int_bikes_with_station")).collect()
+    near = spark.read.parquet(p.mart("bike_nearest_station")).collect()
     assert {(r.bike_id, r.nearest_station_id) for r in near} == {("x1", "A")}
 
 
@@ -73,11 +73,11 @@ def test_daily_marts_equal_full_rebuild(spark, tmp):
         feed_run(landing, stamp, k * 2)
         run_refresh(spark, p)
         run_daily(spark, p, as_of=as_of)
-    fact = spark.read.parquet(p.mart("fct_station_status_snapshots"))
+    fact = spark.read.parquet(p.mart("status_snapshots"))
     rows = lambda df: sorted(tuple(r) for r in df.collect())
-    assert rows(spark.read.parquet(p.mart("agg_region_hourly_availability"))) == \
+    assert rows(spark.read.parquet(p.mart("region_hourly"))) == \
         rows(region_hourly_availability(fact))
-    daily = spark.read.parquet(p.mart("agg_station_daily_performance"))
+    daily = spark.read.parquet(p.mart("station_daily"))
     assert rows(daily.select(*station_daily_performance(fact).columns)) == rows(station_daily_performance(fact))
-    fleet = spark.read.parquet(p.mart("fct_bike_availability")).drop("run_date")
+    fleet = spark.read.parquet(p.mart("fleet_runs")).drop("run_date")
     assert rows(fleet.select(*fleet_availability(fact).columns)) == rows(fleet_availability(fact))

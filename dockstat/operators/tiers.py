@@ -1,21 +1,29 @@
-"""Capacity tier lookup: a range join against the small tier seed."""
+"""Capacity tier lookup: dock count -> tier, as an equi-join."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dockstat.operators.joins import bounded_broadcast
+
+# Expanded tier table rows (one per dock count) kept in a broadcast.
+MAX_TIER_ROWS = 1_000_000
+
 
 def with_capacity_tier(df: DataFrame, tiers: DataFrame, docks_col: str = "total_docks") -> DataFrame:
     """Left join on ``docks between min_docks and max_docks``.
 
-    The tier table is a seed of a handful of rows (its size is fixed by the
-    seed file), so it is broadcast and the range predicate is evaluated
-    against it in a broadcast nested-loop join without shuffling ``df``.
-    Docks 0, NULL or above the last tier match nothing.
+    Dock counts are integers, so each tier is expanded to the dock counts it
+    covers (the seed's ranges add up to about a thousand values) and the
+    range predicate becomes an equality: a broadcast hash join, no nested
+    loop over ``df``.  The expanded table is broadcast only when its
+    measured size is within ``MAX_TIER_ROWS``.  Docks 0, NULL or above the
+    last tier match nothing.
     """
-    t = tiers.select(F.col("tier_name").alias("capacity_tier"),
-                     F.col("description").alias("capacity_tier_description"),
-                     F.col("min_docks").alias("_lo"), F.col("max_docks").alias("_hi"))
-    cond = F.col(docks_col).between(F.col("_lo"), F.col("_hi"))
-    return df.join(F.broadcast(t), cond, "left").drop("_lo", "_hi")
+    expanded = tiers.select(
+        F.explode(F.sequence(F.col("min_docks").cast("long"), F.col("max_docks").cast("long"))).alias("_docks"),
+        F.col("tier_name").alias("capacity_tier"),
+        F.col("description").alias("capacity_tier_description"))
+    t = bounded_broadcast(expanded, MAX_TIER_ROWS)
+    return df.join(t, F.col(docks_col).cast("long") == F.col("_docks"), "left").drop("_docks")

@@ -1,4 +1,4 @@
-"""Incremental snapshot fact: append what is newer than the table's watermark."""
+"""Incremental snapshot fact: load what is newer than the table's watermark."""
 
 from __future__ import annotations
 
@@ -23,13 +23,27 @@ def table_watermark(spark: SparkSession, path: str, watermark: str, partition_co
     partition is scanned (partition pruning)."""
     t = spark.read.parquet(path)
     if partition_col:
-        last = t.agg(F.max(partition_col)).first()[0]
+        last = t.select(partition_col).distinct().agg(F.max(partition_col)).first()[0]
         if last is None:
             return None
         t = t.filter(F.col(partition_col) == F.lit(last))
     return t.agg(F.max(watermark)).first()[0]
 
 
+def _prepare(rows: DataFrame, keys: list[str], partition_col: str | None) -> DataFrame:
+    """One row per key, laid out for a partitioned write.
+
+    Range partitioning on (partition, keys) puts equal keys in one task --
+    so the de-duplication needs no second shuffle -- and gives every task a
+    narrow slice of partitions, so each task writes a few files instead of
+    one per partition value.  A hot station is cut by date and time.
+    """
+    if partition_col:
+        rows = rows.repartitionByRange(partition_col, *keys)
+        return rows.dropDuplicates([partition_col, *keys])
+    return rows.dropDuplicates(keys)
+
+
 def incremental_merge(target_path: str, source: DataFrame, keys: Sequence[str] = ("station_id", "ingested_at"),
                       watermark: str = "ingested_at", partition_col: str | None = "snapshot_date",
                       partition_expr: Column | None = None, return_touched: bool = False):
@@ -39,14 +53,19 @@ def incremental_merge(target_path: str, source: DataFrame, keys: Sequence[str] =
     with ``watermark`` strictly greater than the table's current maximum --
     late or equal-time rows are not loaded -- and upsert them on ``keys``.
     An existing but empty table has no maximum; it loads everything (the
-    warehouse version would load nothing, forever).
-
-    Only the partitions that receive rows are rewritten: their current rows
-    (minus the keys being replaced) plus the new rows are staged in the
-    shared checkpoint folder, then swapped in with a dynamic partition
-    overwrite.  Re-running after a failure recomputes the same partitions,
-    so a retry never duplicates rows; a second run with the same source adds
-    nothing.
+    warehouse version would load nothing, forever).  Duplicate keys within
+    a batch are reduced to one row.
+
+    When ``watermark`` is one of ``keys`` (the snapshot fact: station_id,
+    ingested_at) a row past the watermark cannot match a stored key, so the
+    upsert is an append of the new rows: the work follows the batch, not the
+    table.  A retry re-reads the watermark, so rows committed by a failed
+    attempt are not loaded twice.  Otherwise the partitions that receive
+    rows are rewritten: their current rows (minus the keys being replaced)
+    plus the new rows are staged in the shared checkpoint folder, then
+    swapped in with a dynamic partition overwrite.  That path needs the
+    partition to follow from the key (a key never moves between
+    partitions); with ``partition_col=None`` the whole table is rewritten.
 
     With ``return_touched`` the result is ``(table, touched)`` where
     ``touched`` lists the partition values that received rows (``None`` for
@@ -58,35 +77,43 @@ def incremental_merge(target_path: str, source: DataFrame, keys: Sequence[str] =
     if partition_col:
         pexpr = partition_expr if partition_expr is not None else F.to_date(watermark)
         source = source.withColumn(partition_col, pexpr)
-    source = source.dropDuplicates(keys)
 
     def done(touched):
         t = spark.read.parquet(target_path)
         return (t, touched) if return_touched else t
 
+    def write(df: DataFrame, mode: str) -> None:
+        w = df.write.mode(mode)
+        if partition_col:
+            w = w.partitionBy(partition_col)
+            if mode == "overwrite":
+                w = w.option("partitionOverwriteMode", "dynamic")
+        w.parquet(target_path)
+
     if not _exists(spark, target_path):
-        w = source.write.mode("overwrite")
-        (w.partitionBy(partition_col) if partition_col else w).parquet(target_path)
+        write(_prepare(source, keys, partition_col), "overwrite")
         return done(None)
 
     wm = table_watermark(spark, target_path, watermark, partition_col)
     new = source if wm is None else source.filter(F.col(watermark) > F.lit(wm))
     if new.isEmpty():
         return done([])
+    new = _prepare(new, keys, partition_col).persist()  # batch-sized; read twice below
+    touched = ([r[0] for r in new.select(partition_col).distinct().collect()]
+               if partition_col else None)
+
+    if wm is not None and watermark in keys:
+        write(new, "append")
+        new.unpersist()
+        return done(touched)
 
     target = spark.read.parquet(target_path)
-    if partition_col:
-        # The dates a batch touches are few (one or two per half-hourly run,
-        # one per day of a backfill); as a literal list they prune the scan
-        # of the existing table to exactly those partitions.
-        touched = [r[0] for r in new.select(partition_col).distinct().collect()]
-        current = target.filter(F.col(partition_col).isin(touched))
-    else:
-        touched, current = None, target
+    # The dates a batch touches are few; as a literal list they prune the
+    # scan of the existing table to exactly those partitions.
+    current = target.filter(F.col(partition_col).isin(touched)) if partition_col else target
     kept = current.join(new.select(*keys), keys, "left_anti")
     staged_path = work_path(spark, "merge-stage")
     kept.unionByName(new.select(*target.columns)).write.mode("overwrite").parquet(staged_path)
-    staged = spark.read.parquet(staged_path)
-    w = staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    (w.partitionBy(partition_col) if partition_col else w).parquet(target_path)
+    write(spark.read.parquet(staged_path), "overwrite")
+    new.unpersist()
     return done(touched)

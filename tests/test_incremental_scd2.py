@@ -29,6 +29,17 @@ def test_merge_watermark_and_idempotence(spark, tmp):
     assert {r.snapshot_date for r in again.collect()} == {T0.date(), (T0 + dt.timedelta(hours=30)).date()}
 
 
+def test_merge_upsert_on_other_keys(spark, tmp):
+    path = os.path.join(tmp, "latest")
+    h = lambda k: T0 + dt.timedelta(hours=k)
+    incremental_merge(path, rows(spark, [("A", h(0), 1), ("B", h(0), 2)]), keys=("station_id",),
+                      partition_col=None)
+    out = incremental_merge(path, rows(spark, [("A", h(5), 7), ("C", h(5), 3), ("B", h(0), 9)]),
+                            keys=("station_id",), partition_col=None)
+    got = sorted((r.station_id, r.ingested_at, r.num_bikes_available) for r in out.collect())
+    assert got == [("A", h(5), 7), ("B", h(0), 2), ("C", h(5), 3)]
+
+
 CUR = "station_id string, total_docks long, has_kiosk boolean"
 
 

@@ -15,6 +15,18 @@ HEALTH_INPUT = ["station_id", "station_name", "region_id", "region_name", "total
                 "rolling_3_bike_availability_rate", "last_reported_at", "ingested_at"]
 
 
+def top_snapshots(history: DataFrame, n: int = 3) -> DataFrame:
+    """The newest ``n`` snapshots of every station (rank filter, limited map-side).
+
+    Top-n of a union is the top-n of the parts' top-n, so a daily job can
+    keep this small table and fold each day's new snapshots into it instead
+    of rescanning the history: ``top_snapshots(previous.unionByName(new), n)``.
+    """
+    w = Window.partitionBy("station_id").orderBy(F.col("ingested_at").desc_nulls_last(),
+                                                 F.col("last_reported_at").desc_nulls_last())
+    return history.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= n).drop("_r")
+
+
 def latest_snapshots(history: DataFrame, n: int = 3) -> DataFrame:
     """Each station's newest snapshot with the rolling mean of its last ``n``.
 

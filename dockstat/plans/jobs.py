@@ -27,8 +27,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dockstat.operators.enrich import stations_enriched, status_history
-from dockstat.operators.health import health_from_history
-from dockstat.operators.incremental import incremental_merge
+from dockstat.operators.health import health_from_history, top_snapshots
+from dockstat.operators.incremental import incremental_merge, table_watermark
 from dockstat.operators.nearest import nearest_station
 from dockstat.operators.quality import (check_no_future, check_not_null, check_rate_valid,
                                         check_score_bounded, run_checks)
@@ -36,7 +36,8 @@ from dockstat.operators.scd2 import snapshot_capacity, snapshot_operational
 from dockstat.operators.staging import (stage_bikes, stage_pricing_plans, stage_regions,
                                         stage_station_status, stage_stations)
 from dockstat.plans.experiments import intervention_results, station_interventions
-from dockstat.plans.marts_core import dim_pricing_plans, dim_regions, dim_stations, fct_status_snapshots
+from dockstat.plans.marts_core import (FACT_COLUMNS, dim_pricing_plans, dim_regions, dim_stations,
+                                       fct_status_snapshots)
 from dockstat.plans.marts_ops import (fleet_availability, region_hour_stations, region_hourly_parts,
                                       region_hourly_rollup, station_daily_performance)
 from dockstat.session import build_session
@@ -72,15 +73,11 @@ def run_stamp(as_of: str) -> str:
     return as_of.replace("-", "").replace(":", "").replace(" ", "T")
 
 
-def _after(rows: DataFrame, spark: SparkSession, table_path: str, col: str = "ingested_at") -> DataFrame:
-    """Rows newer than the newest ``col`` already in the table at ``table_path``."""
-    t = _read(spark, table_path)
-    last = None if t is None else t.agg(F.max(col)).first()[0]
-    return rows if last is None else rows.filter(F.col(col) > F.lit(last))
-
-
-def staged(spark: SparkSession, p: Paths) -> dict[str, DataFrame]:
+def staged(spark: SparkSession, p: Paths, since: dict | None = None) -> dict[str, DataFrame]:
+    """Staged views of the raw tables; with ``since`` only rows loaded after it."""
     raw = {f: spark.read.parquet(p.raw(f)) for f in FEEDS}
+    if since:
+        raw = {f: _since(df, since.get(f)) for f, df in raw.items()}
     return {
         "stage_stations": stage_stations(raw["station_information"]),
         "stage_station_status": stage_station_status(raw["station_status"]),
@@ -90,34 +87,92 @@ def staged(spark: SparkSession, p: Paths) -> dict[str, DataFrame]:
     }
 
 
+def _raw_watermark(spark: SparkSession, path: str):
+    """Newest ``ingested_at`` of a raw table (newest ``ingest_date`` partition only)."""
+    t = _read(spark, path)
+    if t is None:
+        return None
+    last_day = t.select("ingest_date").distinct().agg(F.max("ingest_date")).first()[0]
+    if last_day is None:
+        return None
+    return t.filter(F.col("ingest_date") == F.lit(last_day)).agg(F.max("ingested_at")).first()[0]
+
+
+def _since(df: DataFrame, last) -> DataFrame:
+    if last is None:
+        return df
+    return df.filter((F.col("ingest_date") >= F.lit(last).cast("date")) & (F.col("ingested_at") > F.lit(last)))
+
+
 def run_refresh(spark: SparkSession, p: Paths) -> DataFrame:
-    """Ingest every landed file not yet loaded, then check staging and history."""
+    """Ingest every landed file not yet loaded, then check what was loaded.
+
+    The checks read only the rows this run appended (pruned to their
+    ``ingest_date`` partitions), so a half-hourly run costs what it loads.
+    """
+    before = {}
     for feed in FEEDS:
         rows = read_gbfs(spark, f"{p.landing}/{feed}", feed)
-        table = _read(spark, p.raw(feed))
-        if table is not None:  # load only fetches newer than the table
-            last = table.agg(F.max("ingested_at")).first()[0]
-            if last is not None:
-                rows = rows.filter(F.col("ingested_at") > F.lit(last))
+        before[feed] = last = _raw_watermark(spark, p.raw(feed))
+        if last is not None:  # load only fetches newer than the table
+            rows = rows.filter(F.col("ingested_at") > F.lit(last))
         append_raw(rows, p.raw(feed))
     st = staged(spark, p)
+    new = staged(spark, p, since=before)
     enriched = stations_enriched(st["stage_stations"], st["stage_regions"])
-    history = status_history(st["stage_station_status"], enriched)
-    return run_checks(check_not_null(st), {"rate_valid": check_rate_valid(history),
-                                           "no_future": check_no_future(history)},
+    history = status_history(new["stage_station_status"], enriched)
+    return run_checks(check_not_null(new), {"rate_valid": check_rate_valid(history),
+                                            "no_future": check_no_future(history)},
                       raise_on_failure=True)
 
 
+def _table_watermark(spark: SparkSession, path: str):
+    return table_watermark(spark, path, "ingested_at", "snapshot_date") if _read(spark, path) is not None else None
+
+
+def _after(df: DataFrame, last) -> DataFrame:
+    if last is None:
+        return df
+    return df.filter((F.col("snapshot_date") >= F.lit(last).cast("date")) & (F.col("ingested_at") > F.lit(last)))
+
+
 def run_daily(spark: SparkSession, p: Paths, as_of: str | None = None) -> DataFrame:
-    """Rebuild the marts and take the day's SCD-2 snapshots."""
+    """Rebuild the marts and take the day's SCD-2 snapshots.
+
+    Large inputs are read only past their watermarks: raw status and bike
+    rows newer than what the fact and the bike match already hold (pruned
+    to their ``ingest_date`` partitions).  The small feeds (stations,
+    regions, plans) are read whole to rebuild the dimensions.
+    """
     as_of = as_of or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
+    run = run_stamp(as_of)
+    fact_path, bikes_path = p.mart("status_snapshots"), p.mart("bike_nearest_station")
+    last, last_bike = _table_watermark(spark, fact_path), _table_watermark(spark, bikes_path)
+
     st = staged(spark, p)
+    new = staged(spark, p, since={"station_status": last, "free_bike_status": last_bike})
     enriched = stations_enriched(st["stage_stations"], st["stage_regions"])
-    history = status_history(st["stage_station_status"], enriched)
+    fact = incremental_merge(fact_path, fct_status_snapshots(status_history(new["stage_station_status"], enriched)))
+
+    # Everything below reads the fact rows past the watermark of the last
+    # *completed* daily run (a job-state table written last), so a retry
+    # after a failure part-way redoes the same work instead of skipping it.
+    state, _ = read_latest_version(spark, p.mart("daily_state"))
+    done_wm = None if state is None else state.first()["fact_watermark"]
+    fresh = _after(fact, done_wm)
+    touched = None if done_wm is None else [r[0] for r in fresh.select("snapshot_date").distinct().collect()]
+
+    # Newest 3 snapshots per station, folded forward from the previous run:
+    # top-3 of (previous top-3 + snapshots merged since) -- no history rescan.
+    top, version = read_latest_version(spark, p.mart("station_top_snapshots"))
+    if version is None or version < run:
+        merged = fresh.select(*FACT_COLUMNS)
+        if top is not None:
+            merged = top.select(*FACT_COLUMNS).unionByName(merged)
+        append_version(top_snapshots(merged, 3), p.mart("station_top_snapshots"), run)
+        top, _ = read_latest_version(spark, p.mart("station_top_snapshots"))
+    health = health_from_history(top)
 
-    fact, touched = incremental_merge(p.mart("status_snapshots"), fct_status_snapshots(history),
-                                      return_touched=True)
-    health = health_from_history(history)
     stations_dim = dim_stations(enriched, health, capacity_tiers(spark))
     publish_table(stations_dim, p.mart("dim_stations"))
     stations_dim = spark.read.parquet(p.mart("dim_stations"))
@@ -127,43 +182,43 @@ def run_daily(spark: SparkSession, p: Paths, as_of: str | None = None) -> DataFr
     # Date-grained marts: only the dates that received snapshots are rebuilt
     # (all dates on the first run), so the job's cost follows the new data.
     if touched is None or touched:
-        new = fact if touched is None else fact.filter(F.col("snapshot_date").isin(touched))
-        publish_table(station_daily_performance(new), p.mart("station_daily"),
-                      partition_by="snapshot_date")
-        publish_table(fleet_availability(new).withColumn("run_date", F.to_date("ingested_at")),
+        days = fact if touched is None else fact.filter(F.col("snapshot_date").isin(touched))
+        publish_table(station_daily_performance(days), p.mart("station_daily"), partition_by="snapshot_date")
+        publish_table(fleet_availability(days).withColumn("run_date", F.to_date("ingested_at")),
                       p.mart("fleet_runs"), partition_by="run_date")
-        publish_table(region_hourly_parts(new), p.mart("region_hourly_parts"), partition_by="snapshot_date")
+        publish_table(region_hourly_parts(days), p.mart("region_hourly_parts"), partition_by="snapshot_date")
         seen, version = read_latest_version(spark, p.mart("region_hour_stations"))
-        if version is None or version < run_stamp(as_of):  # a retried run adds nothing
-            seen_now = region_hour_stations(new)
+        if version is None or version < run:  # a retried run adds nothing
+            seen_now = region_hour_stations(days)
             if seen is not None:
                 seen_now = seen_now.unionByName(seen).distinct()
-            append_version(seen_now, p.mart("region_hour_stations"), run_stamp(as_of))
+            append_version(seen_now, p.mart("region_hour_stations"), run)
             seen, _ = read_latest_version(spark, p.mart("region_hour_stations"))
         publish_table(region_hourly_rollup(spark.read.parquet(p.mart("region_hourly_parts")), seen),
                       p.mart("region_hourly"))
-        # Nearest station for bike snapshots not matched yet (same watermark rule).
-        incremental_merge(p.mart("bike_nearest_station"), nearest_station(
-            _after(st["stage_bikes"], spark, p.mart("bike_nearest_station")), enriched),
-            keys=("bike_id", "ingested_at"))
+
+    # Nearest station for bike snapshots not matched yet (same watermark rule).
+    incremental_merge(bikes_path, nearest_station(new["stage_bikes"], enriched), keys=("bike_id", "ingested_at"))
+
     if p.seeds:
         iv = station_interventions(read_interventions(spark, f"{p.seeds}/station_interventions.csv"),
                                    stations_dim)
         publish_table(iv, p.mart("station_interventions"))
         publish_table(intervention_results(iv, fact), p.mart("intervention_results"))
 
-    run = run_stamp(as_of)
     for name, fn, src in (("station_capacity_history", snapshot_capacity, enriched),
-                          ("station_operational_history", snapshot_operational, history)):
+                          ("station_operational_history", snapshot_operational, top)):
         prev, version = read_latest_version(spark, p.snapshot(name))
         if version is not None and version >= run:
             continue  # this run is already published; a retry changes nothing
         append_version(fn(prev, src, as_of), p.snapshot(name), run)
 
-    return run_checks(check_not_null(st), {
-        "rate_valid": check_rate_valid(fact),
+    checks = run_checks(check_not_null(new), {
+        "rate_valid": check_rate_valid(fresh),
         "score_bounded": check_score_bounded(health),
-        "no_future": check_no_future(fact)}, raise_on_failure=True)
+        "no_future": check_no_future(fresh)}, raise_on_failure=True)
+    append_version(fact.agg(F.max("ingested_at").alias("fact_watermark")), p.mart("daily_state"), run)
+    return checks
 
 
 def main(argv=None) -> None:

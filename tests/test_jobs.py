@@ -81,3 +81,8 @@ def test_daily_marts_equal_full_rebuild(spark, tmp):
     assert rows(daily.select(*station_daily_performance(fact).columns)) == rows(station_daily_performance(fact))
     fleet = spark.read.parquet(p.mart("fleet_runs")).drop("run_date")
     assert rows(fleet.select(*fleet_availability(fact).columns)) == rows(fleet_availability(fact))
+    # the folded top-3 table gives the same health as a scan of the whole fact
+    from dockstat.operators.health import health_from_history
+    from dockstat.sources.sinks import read_latest_version
+    top, _ = read_latest_version(spark, p.mart("station_top_snapshots"))
+    assert rows(health_from_history(top)) == rows(health_from_history(fact.drop("snapshot_date")))

@@ -182,7 +182,7 @@ def q_daily(spark, sf_dir):
     return Models(spark, sf_dir).daily
 
 
-@register("region_hourly_availability", O.q("fact", f"""
+_HOURLY_SQL = O.q("fact", f"""
 select region_id, region_name, cast(hour(ingested_at) as int) as hour_of_day,
   cast(dayofweek(ingested_at) + 1 as int) as day_of_week,
   count(*) as snapshot_count, count(distinct station_id) as stations_observed,
@@ -192,22 +192,15 @@ select region_id, region_name, cast(hour(ingested_at) as int) as hour_of_day,
   max(bike_availability_rate) as max_bike_availability,
   cast(count_if(num_bikes_available = 0) as bigint) as empty_station_snapshots,
   {O.ratio4_sql('count_if(num_bikes_available = 0)', 'count(*)')} as empty_station_rate
-from fact group by 1, 2, 3, 4"""))
+from fact group by 1, 2, 3, 4""")
+
+
+@register("region_hourly_availability", _HOURLY_SQL)
 def q_hourly(spark, sf_dir):
     return region_hourly_availability(Models(spark, sf_dir).fact)
 
 
-@register("region_hourly_from_parts", O.q("fact", f"""
-select region_id, region_name, cast(hour(ingested_at) as int) as hour_of_day,
-  cast(dayofweek(ingested_at) + 1 as int) as day_of_week,
-  count(*) as snapshot_count, count(distinct station_id) as stations_observed,
-  {O.avg4_sql('bike_availability_rate')} as avg_bike_availability,
-  {O.avg4_sql('dock_availability_rate')} as avg_dock_availability,
-  min(bike_availability_rate) as min_bike_availability,
-  max(bike_availability_rate) as max_bike_availability,
-  cast(count_if(num_bikes_available = 0) as bigint) as empty_station_snapshots,
-  {O.ratio4_sql('count_if(num_bikes_available = 0)', 'count(*)')} as empty_station_rate
-from fact group by 1, 2, 3, 4"""))
+@register("region_hourly_from_parts", _HOURLY_SQL)
 def q_hourly_parts(spark, sf_dir):
     """The incremental form: per-day parts and station presence, rolled up."""
     fact = Models(spark, sf_dir).fact
@@ -454,7 +447,7 @@ def q_snap_operational(spark, sf_dir):
     return snapshot_operational(snap, h, OPS_RUNS[1])
 
 
-@register("scd2_from_history", O.q("history", """
+_INTERVALS_SQL = O.q("history", """
 select station_id, version, is_installed, is_renting, is_returning, valid_from, valid_to, last_seen, snapshots,
   floor((epoch_us(valid_to) - epoch_us(valid_from)) / 1000000) as duration_seconds
 from (
@@ -472,31 +465,16 @@ from (
               or (lag(is_renting) over w) is distinct from is_renting
               or (lag(is_returning) over w) is distinct from is_returning as ch
           from history window w as (partition by station_id order by ingested_at asc nulls first)))
-  group by station_id, version)"""))
+  group by station_id, version)""")
+
+
+@register("scd2_from_history", _INTERVALS_SQL)
 def q_scd2_from_history(spark, sf_dir):
     return scd2_from_history(Models(spark, sf_dir).history, "station_id", "ingested_at",
                              ["is_installed", "is_renting", "is_returning"])
 
 
-@register("scd2_from_history_bucketed", O.q("history", """
-select station_id, version, is_installed, is_renting, is_returning, valid_from, valid_to, last_seen, snapshots,
-  floor((epoch_us(valid_to) - epoch_us(valid_from)) / 1000000) as duration_seconds
-from (
-  select station_id, version, min(ingested_at) as valid_from, max(ingested_at) as last_seen,
-    count(*) as snapshots, any_value(is_installed) as is_installed, any_value(is_renting) as is_renting,
-    any_value(is_returning) as is_returning,
-    lead(min(ingested_at)) over (partition by station_id order by version) as valid_to
-  from (
-    select *, cast(sum(case when rn = 1 or ch then 1 else 0 end)
-                over (partition by station_id order by ingested_at rows between unbounded preceding and current row)
-              as bigint) as version
-    from (select station_id, ingested_at, is_installed, is_renting, is_returning,
-            row_number() over w as rn,
-            (lag(is_installed) over w) is distinct from is_installed
-              or (lag(is_renting) over w) is distinct from is_renting
-              or (lag(is_returning) over w) is distinct from is_returning as ch
-          from history window w as (partition by station_id order by ingested_at asc nulls first)))
-  group by station_id, version)"""))
+@register("scd2_from_history_bucketed", _INTERVALS_SQL)
 def q_scd2_from_history_bucketed(spark, sf_dir):
     """The hot-station plan, forced: versions found per (station, day)."""
     return scd2_from_history(Models(spark, sf_dir).history, "station_id", "ingested_at",

@@ -165,11 +165,15 @@ def scd2_from_history(history: DataFrame, key: str, time: str, check_cols: Seque
     ``method="station"`` partitions one window by key; ``"bucketed"`` works
     on (key, day) slices so no task holds a whole hot station; ``"auto"``
     picks the station plan only when no key exceeds ``station_rows_limit``
-    snapshots.
+    snapshots, else the coarsest of day / hour / minute buckets that keeps
+    every (key, bucket) within the limit.
     """
     if method == "auto":
-        largest = history.groupBy(key).count().agg(F.max("count")).first()[0] or 0
-        method = "station" if largest <= station_rows_limit else "bucketed"
+        from dockstat.operators.windows import bucket_ladder, choose_bucket
+        bucket, counts = choose_bucket(history, key, bucket_ladder(time), station_rows_limit)
+        method = "station" if bucket is None else "bucketed"
+        if counts is not None:
+            counts.unpersist()
     if method == "station":
         out = _intervals_by_station(history, key, time, check_cols, keep)
     elif method == "bucketed":

@@ -125,33 +125,63 @@ def _windows_bucketed(b: DataFrame, n: int, counts: DataFrame) -> DataFrame:
     return out.filter(F.col("_kind") == 2).select(*OUT_COLUMNS)
 
 
-# Above this many snapshots for one station, "auto" picks the bucketed plan.
+# Above this many snapshots for one station (or one station-bucket), "auto"
+# moves to the bucketed plan (or to a finer bucket).
 STATION_ROWS_LIMIT = 2_000_000
 
 
+def bucket_ladder(time_col: str = "ingested_at") -> list[Column]:
+    """Time buckets from coarse to fine: UTC day, hour, minute."""
+    t = F.col(time_col)
+    return [F.to_date(t), F.date_trunc("hour", t), F.date_trunc("minute", t)]
+
+
+def choose_bucket(df: DataFrame, key: str, ladder: list[Column], limit: int):
+    """Pick a plan from per-(key, bucket) row counts.
+
+    Returns ``(None, None)`` when no key exceeds ``limit`` rows (one window
+    per key is fine), else the first bucket of the ladder whose largest
+    (key, bucket) holds at most ``limit`` rows -- the finest one if none
+    does -- with its persisted counts.  Each probe is one aggregate job with
+    map-side partial aggregation; only two numbers reach the driver.
+    """
+    counts = None
+    for i, bucket in enumerate(ladder):
+        if counts is not None:
+            counts.unpersist()
+        counts = (df.withColumn("_bk", bucket).groupBy(key, "_bk")
+                  .agg(F.count(F.lit(1)).alias("_cnt")).persist())
+        if i == 0:
+            largest_key = counts.groupBy(key).agg(F.sum("_cnt").alias("_n")).agg(F.max("_n")).first()[0] or 0
+            if largest_key <= limit:
+                counts.unpersist()
+                return None, None
+        largest_bucket = counts.agg(F.max("_cnt")).first()[0] or 0
+        if largest_bucket <= limit or i == len(ladder) - 1:
+            return bucket, counts
+    raise AssertionError("unreachable")
+
+
 def availability_windows(history: DataFrame, n: int = 3, method: str = "auto",
                          bucket: Column | None = None,
                          station_rows_limit: int = STATION_ROWS_LIMIT) -> DataFrame:
     """Rolling ``n``-snapshot mean, previous counts and recency rank per station.
 
-    ``method="auto"`` counts snapshots per (station, bucket) once -- a small
-    aggregate kept for the bucketed plan -- and uses the single
-    station-partitioned window only when no station exceeds
-    ``station_rows_limit`` snapshots.  ``bucket`` (default: the UTC day of
-    ``ingested_at``) sets the slice of a station's history one task sees in
-    the bucketed plan; use an hour when a single station-day is too large.
+    ``method="auto"`` uses the single station-partitioned window when no
+    station exceeds ``station_rows_limit`` snapshots, and otherwise the
+    bucketed plan with the coarsest bucket (day, hour, minute) whose largest
+    station-bucket stays within the limit.  ``bucket`` forces a bucket for
+    ``method="bucketed"`` (default: the UTC day of ``ingested_at``).
     """
     base = history.select(*WINDOW_COLUMNS)
     if method == "station":
         return _windows_by_station(base, n).select(*OUT_COLUMNS)
-    if method not in ("bucketed", "auto"):
-        raise ValueError(f"method must be 'auto', 'bucketed' or 'station', got {method!r}")
-    b = base.withColumn("_bk", F.to_date("ingested_at") if bucket is None else bucket)
-    counts = _bucket_counts(b, "station_id")
     if method == "auto":
-        counts = counts.persist()
-        largest = counts.groupBy("station_id").agg(F.sum("_cnt").alias("_n")).agg(F.max("_n")).first()[0]
-        if (largest or 0) <= station_rows_limit:
-            counts.unpersist()
+        bucket, counts = choose_bucket(base, "station_id", bucket_ladder(), station_rows_limit)
+        if bucket is None:
             return _windows_by_station(base, n).select(*OUT_COLUMNS)
-    return _windows_bucketed(b, n, counts)
+        return _windows_bucketed(base.withColumn("_bk", bucket), n, counts)
+    if method != "bucketed":
+        raise ValueError(f"method must be 'auto', 'bucketed' or 'station', got {method!r}")
+    b = base.withColumn("_bk", F.to_date("ingested_at") if bucket is None else bucket)
+    return _windows_bucketed(b, n, _bucket_counts(b, "station_id"))

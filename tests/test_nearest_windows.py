@@ -90,3 +90,27 @@ def test_bucketed_windows_hot_station_and_sparse_days(spark):
         for bucket in (None, F.date_trunc("hour", "ingested_at")):
             b = availability_windows(df, n=n, method="bucketed", bucket=bucket)
             assert _rows(a) == _rows(b)
+
+
+def test_auto_plan_picks_finer_buckets_for_a_hot_station_day(spark):
+    from dockstat.operators.windows import bucket_ladder, choose_bucket
+    from dockstat.operators.scd2 import scd2_from_history
+    t = [T0 + dt.timedelta(minutes=k) for k in range(0, 180)]   # one station, one day, 3 hours
+    rows = [("H", "Hot", "R", "Reg", 20, ts, ts, k % 21, 0, 20 - k % 21, 0, True, k % 17 != 0, True,
+             round(min(1.0, (k % 21) / 20), 4), None) for k, ts in enumerate(t)]
+    df = spark.createDataFrame(rows, "station_id string, station_name string, region_id string, "
+                                     "region_name string, total_docks long, last_reported_at timestamp, "
+                                     "ingested_at timestamp, num_bikes_available long, num_bikes_disabled long, "
+                                     "num_docks_available long, num_docks_disabled long, is_installed boolean, "
+                                     "is_renting boolean, is_returning boolean, bike_availability_rate double, "
+                                     "dock_availability_rate double")
+    bucket, counts = choose_bucket(df, "station_id", bucket_ladder(), 100)
+    assert counts.agg(F.max("_cnt")).first()[0] == 60   # hour buckets: 60 rows each
+    counts.unpersist()
+    a = availability_windows(df, method="station")
+    b = availability_windows(df, method="auto", station_rows_limit=100)
+    assert _rows(a) == _rows(b)
+    cols = ["is_installed", "is_renting", "is_returning"]
+    x = scd2_from_history(df, "station_id", "ingested_at", cols, method="station")
+    y = scd2_from_history(df, "station_id", "ingested_at", cols, method="auto", station_rows_limit=100)
+    assert _rows(x) == _rows(y)

@@ -7,6 +7,7 @@ for DuckDB.  Column names match one to one.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,7 +30,7 @@ from dockstat.operators.quality import (NOT_NULL, check_no_future, check_not_nul
 from dockstat.operators.scd2 import scd2_check, scd2_from_history, snapshot_capacity, snapshot_operational
 from dockstat.operators.staging import (stage_bikes, stage_pricing_plans, stage_regions, stage_station_status,
                                         stage_stations)
-from dockstat.session import work_path
+from dockstat.session import use_utc, work_path
 from dockstat.sources.seeds import bike_types, with_bike_type
 from dockstat.plans.experiments import intervention_periods, intervention_results, station_interventions
 
@@ -39,8 +40,13 @@ ORACLE: dict[str, str] = {}
 
 
 def register(name: str, sql: str | None = None):
+    """Add a query; every query runs with the session pinned to UTC."""
     def deco(fn: Query) -> Query:
-        QUERIES[name] = fn
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            use_utc(spark)
+            return fn(spark, sf_dir)
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql
         return fn

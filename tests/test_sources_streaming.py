@@ -94,3 +94,29 @@ def test_stream_ingest_available_now(spark, tmp):
     got = sorted((r.ingested_at, r.num_bikes_available, r.bike_availability_rate)
                  for r in spark.read.parquet(fact).collect())
     assert got == [(dt.datetime(2026, 4, 10, 12, 0), 3, 0.3), (dt.datetime(2026, 4, 10, 12, 30), 5, 0.5)]
+    # a restart with the same checkpoint reads only the file that landed since
+    land(landing, "station_status", "2026-04-10T13:00:00Z", "stations",
+         [dict(STATUS[0], num_bikes_available=8)])
+    q = stream_status_to_fact(spark, os.path.join(landing, "station_status"), stations_enriched(st, rg),
+                              fact, os.path.join(tmp, "ckpt"))
+    q.awaitTermination(120)
+    got = sorted((r.ingested_at, r.num_bikes_available) for r in spark.read.parquet(fact).collect())
+    assert got[-1] == (dt.datetime(2026, 4, 10, 13, 0), 8) and len(got) == 3
+
+
+def test_reader_stamps_file_time_without_run_folder(spark, tmp):
+    d = os.path.join(tmp, "flat")
+    os.makedirs(d)
+    with open(os.path.join(d, "regions.json"), "w") as f:
+        json.dump({"data": {"regions": [{"region_id": "R1", "name": "North"}]}}, f)
+    r = read_gbfs(spark, d, "system_regions").first()
+    assert r.region_id == "R1" and r.ingested_at is not None
+
+
+def test_failing_check_raises(spark):
+    from dockstat.operators.quality import DataQualityError, check_rate_valid, run_checks
+    bad = spark.createDataFrame([("A", dt.datetime(2026, 4, 10), 1.5, 0.2)],
+                                "station_id string, ingested_at timestamp, bike_availability_rate double, "
+                                "dock_availability_rate double")
+    with pytest.raises(DataQualityError, match="rate_valid=1"):
+        run_checks(failing={"rate_valid": check_rate_valid(bad)}, raise_on_failure=True)

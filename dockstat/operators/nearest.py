@@ -99,7 +99,10 @@ def nearest_station(bikes: DataFrame, stations: DataFrame, cell_deg: float = 0.0
     ``bikes``: bike_id, latitude, longitude, is_reserved, is_disabled,
     vehicle_type_id, ingested_at.  ``stations``: station_id, station_name,
     region_id, region_name, latitude, longitude.  Rows without coordinates
-    take no part.  ``cell_deg`` should be near the typical station spacing.
+    take no part.  ``cell_deg`` should be near the typical station spacing:
+    a bike's candidates are the stations in its 3 x 3 block of cells, so
+    the work per bike follows the local station density, never the number
+    of bikes or stations overall.
 
     Each level's result is checkpointed (to the shared checkpoint folder) so
     the next level and the final union read it instead of recomputing it.
@@ -113,11 +116,15 @@ def nearest_station(bikes: DataFrame, stations: DataFrame, cell_deg: float = 0.0
                             F.col("longitude").alias("bike_longitude"), "is_reserved", "is_disabled",
                             "vehicle_type_id", "ingested_at")
                .filter(F.col("bike_latitude").isNotNull() & F.col("bike_longitude").isNotNull()))
-    st = (stations.select(F.col("station_id").alias("nearest_station_id"),
-                          F.col("station_name").alias("nearest_station_name"),
-                          "region_id", "region_name",
-                          F.col("latitude").alias("_slat"), F.col("longitude").alias("_slon"))
-          .filter(F.col("_slat").isNotNull() & F.col("_slon").isNotNull()))
+    st = (stations.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
+          .groupBy(F.col("latitude").alias("_slat"), F.col("longitude").alias("_slon"))
+          # Of stations sharing a position only the smallest id can win (ties
+          # rank by station_id), so co-located stations -- e.g. many feeds'
+          # placeholder (0, 0) -- never pile up in one cell.
+          .agg(F.min(F.struct(F.col("station_id").alias("nearest_station_id"),
+                              F.col("station_name").alias("nearest_station_name"),
+                              "region_id", "region_name")).alias("_s"))
+          .select("_s.*", "_slat", "_slon"))
     st = bounded_broadcast(st, broadcast_rows)
     found = []
     for level in range(p):

@@ -43,14 +43,16 @@ def test_grid_equals_brute_force(spark, cell):
           enumerate(zip(rng.uniform(40.6, 40.9, 300), rng.uniform(-74.1, -73.8, 300)))]
     # a sparse outlier and a station across the antimeridian
     st += [("far", 10.0, 20.0), ("east", 0.0, 179.999)]
+    st += [(f"zero{i}", 0.0, 0.0) for i in range(50)]   # co-located placeholder positions
     bk = [(f"b{i}", float(lat), float(lon)) for i, (lat, lon) in
           enumerate(zip(rng.uniform(40.5, 41.0, 150), rng.uniform(-74.2, -73.7, 150)))]
-    bk += [("lonely", -45.0, 100.0), ("west", 0.0, -179.999), ("pole", 89.99, 0.0)]
+    bk += [("lonely", -45.0, 100.0), ("west", 0.0, -179.999), ("pole", 89.99, 0.0), ("origin", 0.001, 0.0)]
     bikes = spark.createDataFrame([(i, a, o, False, False, "classic", T0) for i, a, o in bk], BIKES)
     stations = spark.createDataFrame([(i, i, "R", "Reg", a, o) for i, a, o in st], STATIONS)
     got = {r.bike_id: r.nearest_station_id for r in nearest_station(bikes, stations, cell_deg=cell).collect()}
     assert got == brute(bk, st)
     assert got["west"] == "east"
+    assert got["origin"] == "zero0"
 
 
 def test_nearest_empty_inputs(spark):

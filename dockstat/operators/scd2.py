@@ -169,11 +169,9 @@ def scd2_from_history(history: DataFrame, key: str, time: str, check_cols: Seque
     every (key, bucket) within the limit.
     """
     if method == "auto":
-        from dockstat.operators.windows import bucket_ladder, choose_bucket
-        bucket, counts = choose_bucket(history, key, bucket_ladder(time), station_rows_limit)
+        from dockstat.operators.windows import choose_bucket
+        bucket, _ = choose_bucket(history, key, station_rows_limit, time)
         method = "station" if bucket is None else "bucketed"
-        if counts is not None:
-            counts.unpersist()
     if method == "station":
         out = _intervals_by_station(history, key, time, check_cols, keep)
     elif method == "bucketed":

@@ -136,28 +136,27 @@ def bucket_ladder(time_col: str = "ingested_at") -> list[Column]:
     return [F.to_date(t), F.date_trunc("hour", t), F.date_trunc("minute", t)]
 
 
-def choose_bucket(df: DataFrame, key: str, ladder: list[Column], limit: int):
-    """Pick a plan from per-(key, bucket) row counts.
-
-    Returns ``(None, None)`` when no key exceeds ``limit`` rows (one window
-    per key is fine), else the first bucket of the ladder whose largest
-    (key, bucket) holds at most ``limit`` rows -- the finest one if none
-    does -- with its persisted counts.  Each probe is one aggregate job with
-    map-side partial aggregation; only two numbers reach the driver.
+def choose_bucket(df: DataFrame, key: str, limit: int, time_col: str = "ingested_at"):
+    """Pick a plan from per-(key, bucket) row counts, in one scan of ``df``.
+
+    Rows are counted per (key, minute) -- a partial aggregate far smaller
+    than the rows -- and rolled up to hours, days and keys.  Returns
+    ``(None, None)`` when no key exceeds ``limit`` rows (one window per key
+    is fine), else the coarsest bucket (day, hour, minute) whose largest
+    (key, bucket) holds at most ``limit`` rows -- minute if none does --
+    with the per-(key, bucket) counts.  Only a few numbers reach the driver.
     """
-    counts = None
-    for i, bucket in enumerate(ladder):
-        if counts is not None:
-            counts.unpersist()
-        counts = (df.withColumn("_bk", bucket).groupBy(key, "_bk")
-                  .agg(F.count(F.lit(1)).alias("_cnt")).persist())
-        if i == 0:
-            largest_key = counts.groupBy(key).agg(F.sum("_cnt").alias("_n")).agg(F.max("_n")).first()[0] or 0
-            if largest_key <= limit:
-                counts.unpersist()
-                return None, None
-        largest_bucket = counts.agg(F.max("_cnt")).first()[0] or 0
-        if largest_bucket <= limit or i == len(ladder) - 1:
+    fine = (df.groupBy(key, F.date_trunc("minute", F.col(time_col)).alias("_m"))
+            .agg(F.count(F.lit(1)).alias("_cnt")).persist())
+    largest_key = fine.groupBy(key).agg(F.sum("_cnt").alias("_n")).agg(F.max("_n")).first()[0] or 0
+    if largest_key <= limit:
+        fine.unpersist()
+        return None, None
+    rollups = list(zip(bucket_ladder(time_col),
+                       [F.to_date("_m"), F.date_trunc("hour", F.col("_m")), F.col("_m")]))
+    for i, (bucket, from_minutes) in enumerate(rollups):
+        counts = fine.groupBy(key, from_minutes.alias("_bk")).agg(F.sum("_cnt").alias("_cnt"))
+        if i == len(rollups) - 1 or (counts.agg(F.max("_cnt")).first()[0] or 0) <= limit:
             return bucket, counts
     raise AssertionError("unreachable")
 
@@ -177,7 +176,7 @@ def availability_windows(history: DataFrame, n: int = 3, method: str = "auto",
     if method == "station":
         return _windows_by_station(base, n).select(*OUT_COLUMNS)
     if method == "auto":
-        bucket, counts = choose_bucket(base, "station_id", bucket_ladder(), station_rows_limit)
+        bucket, counts = choose_bucket(base, "station_id", station_rows_limit)
         if bucket is None:
             return _windows_by_station(base, n).select(*OUT_COLUMNS)
         return _windows_bucketed(base.withColumn("_bk", bucket), n, counts)

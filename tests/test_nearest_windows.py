@@ -95,7 +95,7 @@ def test_bucketed_windows_hot_station_and_sparse_days(spark):
 
 
 def test_auto_plan_picks_finer_buckets_for_a_hot_station_day(spark):
-    from dockstat.operators.windows import bucket_ladder, choose_bucket
+    from dockstat.operators.windows import choose_bucket
     from dockstat.operators.scd2 import scd2_from_history
     t = [T0 + dt.timedelta(minutes=k) for k in range(0, 180)]   # one station, one day, 3 hours
     rows = [("H", "Hot", "R", "Reg", 20, ts, ts, k % 21, 0, 20 - k % 21, 0, True, k % 17 != 0, True,
@@ -106,9 +106,8 @@ def test_auto_plan_picks_finer_buckets_for_a_hot_station_day(spark):
                                      "num_docks_available long, num_docks_disabled long, is_installed boolean, "
                                      "is_renting boolean, is_returning boolean, bike_availability_rate double, "
                                      "dock_availability_rate double")
-    bucket, counts = choose_bucket(df, "station_id", bucket_ladder(), 100)
+    bucket, counts = choose_bucket(df, "station_id", 100)
     assert counts.agg(F.max("_cnt")).first()[0] == 60   # hour buckets: 60 rows each
-    counts.unpersist()
     a = availability_windows(df, method="station")
     b = availability_windows(df, method="auto", station_rows_limit=100)
     assert _rows(a) == _rows(b)

@@ -32,7 +32,8 @@ from dockstat.operators.staging import (stage_bikes, stage_pricing_plans, stage_
                                         stage_stations)
 from dockstat.session import use_utc, work_path
 from dockstat.sources.seeds import bike_types, with_bike_type
-from dockstat.plans.experiments import intervention_periods, intervention_results, station_interventions
+from dockstat.plans.experiments import (intervention_periods, intervention_results, station_interventions,
+                                        with_station_names)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -290,13 +291,13 @@ def q_station_interventions(spark, sf_dir):
 @register("intervention_periods", O.q("ivperiods", "select * from ivperiods"))
 def q_intervention_periods(spark, sf_dir):
     m = Models(spark, sf_dir)
-    return intervention_periods(station_interventions(fx.interventions(spark, sf_dir), m.dim_stations), m.fact)
+    return intervention_periods(with_station_names(fx.interventions(spark, sf_dir), m.enriched), m.fact)
 
 
 @register("intervention_results", O.q("ivresults", "select * from ivresults"))
 def q_intervention_results(spark, sf_dir):
     m = Models(spark, sf_dir)
-    return intervention_results(station_interventions(fx.interventions(spark, sf_dir), m.dim_stations), m.fact)
+    return intervention_results(with_station_names(fx.interventions(spark, sf_dir), m.enriched), m.fact)
 
 
 @register("intervention_significance", O.q("ivresults", """
@@ -307,7 +308,7 @@ select *, z_score > 1.96 as is_significant from (
   from ivresults)"""))
 def q_intervention_significance(spark, sf_dir):
     m = Models(spark, sf_dir)
-    return intervention_results(station_interventions(fx.interventions(spark, sf_dir), m.dim_stations), m.fact,
+    return intervention_results(with_station_names(fx.interventions(spark, sf_dir), m.enriched), m.fact,
                                 significance=True)
 
 

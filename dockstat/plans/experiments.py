@@ -23,6 +23,18 @@ def station_interventions(seed: DataFrame, stations_dim: DataFrame) -> DataFrame
                     "intervention_type", "notes"))
 
 
+def with_station_names(seed: DataFrame, stations: DataFrame) -> DataFrame:
+    """Intervention seed with the station and region names the pre/post analysis groups by.
+
+    Same names as :func:`station_interventions` gives (they come from the
+    enriched stations either way), without computing health and tiers.
+    """
+    names = stations.select("station_id", "station_name", "region_name")
+    return seed.join(names, "station_id", "left").select(
+        *INTERVENTION_KEYS[:3], F.col("intervention_date").cast("date").alias("intervention_date"),
+        "intervention_type")
+
+
 def _windowed(interventions: DataFrame, fact: DataFrame, days: int,
               broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Snapshots within ``days`` days either side of each intervention.

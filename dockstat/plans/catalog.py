@@ -58,12 +58,12 @@ def register(name: str, sql: str | None = None):
 
 @register("stations_enriched", O.q("enriched", "select * from enriched"))
 def q_stations_enriched(spark, sf_dir):
-    return Models(spark, sf_dir).enriched
+    return Models.of(spark, sf_dir).enriched
 
 
 @register("status_history", O.q("history", "select * from history"))
 def q_status_history(spark, sf_dir):
-    return Models(spark, sf_dir).history
+    return Models.of(spark, sf_dir).history
 
 
 @register("capacity_tiers", O.q(["enriched", "tiers"], """
@@ -71,7 +71,7 @@ select s.station_id, s.total_docks, ct.tier_name as capacity_tier,
        ct.description as capacity_tier_description
 from enriched s left join tiers ct on s.total_docks between ct.min_docks and ct.max_docks"""))
 def q_capacity_tiers(spark, sf_dir):
-    m = Models(spark, sf_dir)
+    m = Models.of(spark, sf_dir)
     return with_capacity_tier(m.enriched.select("station_id", "total_docks"), m.tiers)
 
 
@@ -80,7 +80,7 @@ def q_capacity_tiers(spark, sf_dir):
 @register("rolling_availability", O.q("windows", """
 select station_id, ingested_at, bike_availability_rate, rolling_3_bike_availability_rate from windows"""))
 def q_rolling(spark, sf_dir):
-    h = Models(spark, sf_dir).history.select(*WINDOW_COLUMNS)
+    h = Models.of(spark, sf_dir).history.select(*WINDOW_COLUMNS)
     return rolling_mean_rate(h).select("station_id", "ingested_at", "bike_availability_rate",
                                        "rolling_3_bike_availability_rate")
 
@@ -89,26 +89,26 @@ def q_rolling(spark, sf_dir):
 select station_id, ingested_at, num_bikes_available, num_docks_available,
        prev_bikes_available, prev_docks_available from windows"""))
 def q_lag(spark, sf_dir):
-    h = Models(spark, sf_dir).history.select(*WINDOW_COLUMNS)
+    h = Models.of(spark, sf_dir).history.select(*WINDOW_COLUMNS)
     return with_lag(h).select("station_id", "ingested_at", "num_bikes_available", "num_docks_available",
                               "prev_bikes_available", "prev_docks_available")
 
 
 @register("recency_rank", O.q("windows", "select station_id, ingested_at, snapshot_recency_rank from windows"))
 def q_recency(spark, sf_dir):
-    h = Models(spark, sf_dir).history.select(*WINDOW_COLUMNS)
+    h = Models.of(spark, sf_dir).history.select(*WINDOW_COLUMNS)
     return with_recency_rank(h).select("station_id", "ingested_at", "snapshot_recency_rank")
 
 
 @register("availability_windows", O.q("windows", "select * from windows"))
 def q_windows(spark, sf_dir):
-    return Models(spark, sf_dir).windows
+    return Models.of(spark, sf_dir).windows
 
 
 @register("availability_windows_bucketed", O.q("windows", "select * from windows"))
 def q_windows_bucketed(spark, sf_dir):
     """The hot-station plan, forced: windows by (station, day) with halo rows."""
-    return availability_windows(Models(spark, sf_dir).history, method="bucketed")
+    return availability_windows(Models.of(spark, sf_dir).history, method="bucketed")
 
 
 # -- column functions ------------------------------------------------------------
@@ -123,7 +123,7 @@ select station_id, ingested_at, bike_availability_rate,
   {_BUCKET_SQL.format(r='dock_availability_rate')} as dock_availability_bucket
 from history"""))
 def q_bucket(spark, sf_dir):
-    return Models(spark, sf_dir).history.select(
+    return Models.of(spark, sf_dir).history.select(
         "station_id", "ingested_at", "bike_availability_rate",
         C.availability_bucket("bike_availability_rate").alias("bike_availability_bucket"),
         C.availability_bucket("dock_availability_rate").alias("dock_availability_bucket"))
@@ -143,7 +143,7 @@ from (select station_id, ingested_at,
              else greatest(total_docks - num_bikes_disabled - num_docks_disabled, 0) * 30000 end as low
       from history)"""))
 def q_composite(spark, sf_dir):
-    return Models(spark, sf_dir).history.select(
+    return Models.of(spark, sf_dir).history.select(
         "station_id", "ingested_at",
         C.composite_health_score("bike_availability_rate", "dock_availability_rate", "is_installed",
                                  "is_renting", "is_returning", "num_bikes_disabled",
@@ -154,12 +154,12 @@ def q_composite(spark, sf_dir):
 
 @register("health_scores", O.q("health", "select * from health"))
 def q_health(spark, sf_dir):
-    return Models(spark, sf_dir).health
+    return Models.of(spark, sf_dir).health
 
 
 @register("dim_stations", O.q("dim_st", "select * from dim_st"))
 def q_dim_stations(spark, sf_dir):
-    return Models(spark, sf_dir).dim_stations
+    return Models.of(spark, sf_dir).dim_stations
 
 
 @register("dim_regions", O.q(["dim_st", "rg"], """
@@ -174,19 +174,19 @@ from rg r left join (
     cast(count_if(health_status = 'critical') as bigint) as critical_stations
   from dim_st group by region_id) s using (region_id)"""))
 def q_dim_regions(spark, sf_dir):
-    return Models(spark, sf_dir).dim_regions
+    return Models.of(spark, sf_dir).dim_regions
 
 
 @register("fct_status_snapshots", O.q("fact", "select * from fact"))
 def q_fact(spark, sf_dir):
-    return Models(spark, sf_dir).fact
+    return Models.of(spark, sf_dir).fact
 
 
 # -- operations marts --------------------------------------------------------------
 
 @register("station_daily_performance", O.q("daily", "select * from daily"))
 def q_daily(spark, sf_dir):
-    return Models(spark, sf_dir).daily
+    return Models.of(spark, sf_dir).daily
 
 
 _HOURLY_SQL = O.q("fact", f"""
@@ -204,13 +204,13 @@ from fact group by 1, 2, 3, 4""")
 
 @register("region_hourly_availability", _HOURLY_SQL)
 def q_hourly(spark, sf_dir):
-    return region_hourly_availability(Models(spark, sf_dir).fact)
+    return region_hourly_availability(Models.of(spark, sf_dir).fact)
 
 
 @register("region_hourly_from_parts", _HOURLY_SQL)
 def q_hourly_parts(spark, sf_dir):
     """The incremental form: per-day parts and station presence, rolled up."""
-    fact = Models(spark, sf_dir).fact
+    fact = Models.of(spark, sf_dir).fact
     return region_hourly_rollup(region_hourly_parts(fact), region_hour_stations(fact))
 
 
@@ -231,7 +231,7 @@ select date_trunc('hour', ingested_at) as ingested_at,
   cast(count_if(not is_installed or not is_renting) as bigint) as inactive_stations
 from fact group by 1"""))
 def q_fleet(spark, sf_dir):
-    m = Models(spark, sf_dir)
+    m = Models.of(spark, sf_dir)
     return fleet_availability(m.fact, m.hour_run_key())
 
 
@@ -240,7 +240,7 @@ select * from daily
 order by rebalancing_priority_score desc nulls last, snapshot_date desc, station_id asc, total_docks asc
 limit 20"""))
 def q_top_priority(spark, sf_dir):
-    return top_priority_stations(Models(spark, sf_dir).daily, 20)
+    return top_priority_stations(Models.of(spark, sf_dir).daily, 20)
 
 
 @register("dim_pricing_plans", """
@@ -259,7 +259,7 @@ def q_dim_pricing_plans(spark, sf_dir):
 select station_id, {O.km_sql(O.hav_term_sql('latitude', 'longitude', '40.6', '-74.05'))} as km_from_origin
 from enriched"""))
 def q_haversine(spark, sf_dir):
-    return Models(spark, sf_dir).enriched.select(
+    return Models.of(spark, sf_dir).enriched.select(
         "station_id", C.haversine_km("latitude", "longitude", F.lit(40.6), F.lit(-74.05)).alias("km_from_origin"))
 
 
@@ -276,7 +276,7 @@ from (select b.bike_id, b.latitude as bike_latitude, b.longitude as bike_longitu
       where s.latitude is not null and s.longitude is not null)
 where rn = 1"""))
 def q_nearest(spark, sf_dir):
-    m = Models(spark, sf_dir)
+    m = Models.of(spark, sf_dir)
     return nearest_station(fx.bikes(spark, sf_dir), m.enriched)
 
 
@@ -284,19 +284,19 @@ def q_nearest(spark, sf_dir):
 
 @register("station_interventions", O.q("si", "select * from si"))
 def q_station_interventions(spark, sf_dir):
-    m = Models(spark, sf_dir)
+    m = Models.of(spark, sf_dir)
     return station_interventions(fx.interventions(spark, sf_dir), m.dim_stations)
 
 
 @register("intervention_periods", O.q("ivperiods", "select * from ivperiods"))
 def q_intervention_periods(spark, sf_dir):
-    m = Models(spark, sf_dir)
+    m = Models.of(spark, sf_dir)
     return intervention_periods(with_station_names(fx.interventions(spark, sf_dir), m.enriched), m.fact)
 
 
 @register("intervention_results", O.q("ivresults", "select * from ivresults"))
 def q_intervention_results(spark, sf_dir):
-    m = Models(spark, sf_dir)
+    m = Models.of(spark, sf_dir)
     return intervention_results(with_station_names(fx.interventions(spark, sf_dir), m.enriched), m.fact)
 
 
@@ -307,7 +307,7 @@ select *, z_score > 1.96 as is_significant from (
                / (0.25 * sqrt(1.0 / pre_snapshot_count + 1.0 / post_snapshot_count)), 4) end as z_score
   from ivresults)"""))
 def q_intervention_significance(spark, sf_dir):
-    m = Models(spark, sf_dir)
+    m = Models.of(spark, sf_dir)
     return intervention_results(with_station_names(fx.interventions(spark, sf_dir), m.enriched), m.fact,
                                 significance=True)
 
@@ -381,7 +381,7 @@ SPLIT_AT = "2024-01-15 00:00:00"
 @register("incremental_merge", O.q("fact", "select *, cast(ingested_at as date) as snapshot_date from fact"))
 def q_incremental_merge(spark, sf_dir):
     """First run loads snapshots before the split, the second run the whole feed."""
-    fact = Models(spark, sf_dir).fact
+    fact = Models.of(spark, sf_dir).fact
     path = work_path(spark, "fct_status_snapshots")
     incremental_merge(path, fact.filter(F.col("ingested_at") < F.lit(SPLIT_AT).cast("timestamp_ntz")))
     return incremental_merge(path, fact)
@@ -424,7 +424,7 @@ def _scd_oracle(runs, key, cols, check_cols, base):
 def q_scd2_merge(spark, sf_dir):
     """Three runs: unchanged, changed, new, absent and returning stations."""
     snap = None
-    for as_of, batch in zip(RUNS3, _cap_batches(Models(spark, sf_dir))):
+    for as_of, batch in zip(RUNS3, _cap_batches(Models.of(spark, sf_dir))):
         snap = scd2_check(snap, batch, "station_id", ["total_docks", "has_kiosk"], as_of)
     return snap
 
@@ -432,7 +432,7 @@ def q_scd2_merge(spark, sf_dir):
 @register("snap_capacity", _scd_oracle(list(zip(RUNS3[:2], [_CAP_CUR, _CAP_SQL[1]])), "station_id", CAP_COLS,
                                        ["total_docks", "has_kiosk"], ["enriched"]))
 def q_snap_capacity(spark, sf_dir):
-    m = Models(spark, sf_dir)
+    m = Models.of(spark, sf_dir)
     b = _cap_batches(m)
     snap = snapshot_capacity(None, m.enriched, RUNS3[0])
     return scd2_check(snap, b[1], "station_id", ["total_docks", "has_kiosk"], RUNS3[1])
@@ -448,7 +448,7 @@ _OPS_CUR = ("select " + ", ".join(OPS_COLS) + " from (select *, row_number() ove
     list(zip(OPS_RUNS, [_OPS_CUR.format(w=f"where ingested_at < timestamp '{SPLIT_AT}'"), _OPS_CUR.format(w="")])),
     "station_id", OPS_COLS, ["is_installed", "is_renting", "is_returning"], ["history"]))
 def q_snap_operational(spark, sf_dir):
-    h = Models(spark, sf_dir).history
+    h = Models.of(spark, sf_dir).history
     early = h.filter(F.col("ingested_at") < F.lit(SPLIT_AT).cast("timestamp_ntz"))
     snap = snapshot_operational(None, early, OPS_RUNS[0])
     return snapshot_operational(snap, h, OPS_RUNS[1])
@@ -477,14 +477,14 @@ from (
 
 @register("scd2_from_history", _INTERVALS_SQL)
 def q_scd2_from_history(spark, sf_dir):
-    return scd2_from_history(Models(spark, sf_dir).history, "station_id", "ingested_at",
+    return scd2_from_history(Models.of(spark, sf_dir).history, "station_id", "ingested_at",
                              ["is_installed", "is_renting", "is_returning"])
 
 
 @register("scd2_from_history_bucketed", _INTERVALS_SQL)
 def q_scd2_from_history_bucketed(spark, sf_dir):
     """The hot-station plan, forced: versions found per (station, day)."""
-    return scd2_from_history(Models(spark, sf_dir).history, "station_id", "ingested_at",
+    return scd2_from_history(Models.of(spark, sf_dir).history, "station_id", "ingested_at",
                              ["is_installed", "is_renting", "is_returning"], method="bucketed")
 
 
@@ -540,19 +540,19 @@ select station_id, ingested_at, bike_availability_rate, dock_availability_rate f
 where (bike_availability_rate is not null and (bike_availability_rate < 0 or bike_availability_rate > 1))
    or (dock_availability_rate is not null and (dock_availability_rate < 0 or dock_availability_rate > 1))"""))
 def q_dq_rate_valid(spark, sf_dir):
-    return check_rate_valid(Models(spark, sf_dir).fact)
+    return check_rate_valid(Models.of(spark, sf_dir).fact)
 
 
 @register("dq_score_bounded", O.q("health", """
 select station_id, station_name, health_score from health where health_score < 0 or health_score > 100"""))
 def q_dq_score_bounded(spark, sf_dir):
-    return check_score_bounded(Models(spark, sf_dir).health)
+    return check_score_bounded(Models.of(spark, sf_dir).health)
 
 
 @register("dq_no_future", O.q("fact", f"""
 select station_id, ingested_at from fact where ingested_at > timestamp '{NO_FUTURE_AS_OF}'"""))
 def q_dq_no_future(spark, sf_dir):
-    return check_no_future(Models(spark, sf_dir).fact, NO_FUTURE_AS_OF)
+    return check_no_future(Models.of(spark, sf_dir).fact, NO_FUTURE_AS_OF)
 
 
 @register("dq_summary", O.with_ctes("st", "rg", "status", "bk", "fact", "health") + f"""
@@ -567,7 +567,7 @@ select check_name, failures, failures = 0 as passed from (
   union all
   select 'no_future', count(*) from fact where ingested_at > timestamp '{NO_FUTURE_AS_OF}')""")
 def q_dq_summary(spark, sf_dir):
-    m = Models(spark, sf_dir)
+    m = Models.of(spark, sf_dir)
     return run_checks(check_not_null(_staged(spark, sf_dir)), {
         "rate_valid": check_rate_valid(m.fact),
         "score_bounded": check_score_bounded(m.health),

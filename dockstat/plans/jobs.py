@@ -69,6 +69,14 @@ def _read(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
+def publish_version(spark: SparkSession, df: DataFrame, path: str, run: str) -> DataFrame:
+    """Publish ``df`` as version ``run`` unless it is already there; return the newest version."""
+    _, version = read_latest_version(spark, path)
+    if version is None or version < run:
+        append_version(df, path, run)
+    return read_latest_version(spark, path)[0]
+
+
 def run_stamp(as_of: str) -> str:
     return as_of.replace("-", "").replace(":", "").replace(" ", "T")
 
@@ -173,11 +181,12 @@ def run_daily(spark: SparkSession, p: Paths, as_of: str | None = None) -> DataFr
         top, _ = read_latest_version(spark, p.mart("station_top_snapshots"))
     health = health_from_history(top)
 
-    stations_dim = dim_stations(enriched, health, capacity_tiers(spark))
-    publish_table(stations_dim, p.mart("dim_stations"))
-    stations_dim = spark.read.parquet(p.mart("dim_stations"))
-    publish_table(dim_regions(st["stage_regions"], stations_dim), p.mart("dim_regions"))
-    publish_table(dim_pricing_plans(st["stage_pricing_plans"]), p.mart("dim_pricing_plans"))
+    # Whole-table marts are published as versions: readers keep the previous
+    # one until the new one is committed, and a crash never leaves them empty.
+    stations_dim = publish_version(spark, dim_stations(enriched, health, capacity_tiers(spark)),
+                                   p.mart("dim_stations"), run)
+    publish_version(spark, dim_regions(st["stage_regions"], stations_dim), p.mart("dim_regions"), run)
+    publish_version(spark, dim_pricing_plans(st["stage_pricing_plans"]), p.mart("dim_pricing_plans"), run)
 
     # Date-grained marts: only the dates that received snapshots are rebuilt
     # (all dates on the first run), so the job's cost follows the new data.
@@ -194,8 +203,8 @@ def run_daily(spark: SparkSession, p: Paths, as_of: str | None = None) -> DataFr
                 seen_now = seen_now.unionByName(seen).distinct()
             append_version(seen_now, p.mart("region_hour_stations"), run)
             seen, _ = read_latest_version(spark, p.mart("region_hour_stations"))
-        publish_table(region_hourly_rollup(spark.read.parquet(p.mart("region_hourly_parts")), seen),
-                      p.mart("region_hourly"))
+        publish_version(spark, region_hourly_rollup(spark.read.parquet(p.mart("region_hourly_parts")), seen),
+                        p.mart("region_hourly"), run)
 
     # Nearest station for bike snapshots not matched yet (same watermark rule).
     incremental_merge(bikes_path, nearest_station(new["stage_bikes"], enriched), keys=("bike_id", "ingested_at"))
@@ -203,8 +212,8 @@ def run_daily(spark: SparkSession, p: Paths, as_of: str | None = None) -> DataFr
     if p.seeds:
         iv = station_interventions(read_interventions(spark, f"{p.seeds}/station_interventions.csv"),
                                    stations_dim)
-        publish_table(iv, p.mart("station_interventions"))
-        publish_table(intervention_results(iv, fact), p.mart("intervention_results"))
+        iv = publish_version(spark, iv, p.mart("station_interventions"), run)
+        publish_version(spark, intervention_results(iv, fact), p.mart("intervention_results"), run)
 
     for name, fn, src in (("station_capacity_history", snapshot_capacity, enriched),
                           ("station_operational_history", snapshot_operational, top)):

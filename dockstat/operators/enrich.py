@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from dockstat.functions.columns import capped_rate
 from dockstat.operators.dedup import latest_per_key

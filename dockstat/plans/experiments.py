@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dockstat.operators.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast
-from dockstat.functions.columns import half_up_div, rate_to_bp, z_score, Z_SIGNIFICANT
+from dockstat.functions.columns import Z_SIGNIFICANT, rate_to_bp, z_score
 
 INTERVENTION_KEYS = ["station_id", "station_name", "region_name", "intervention_date", "intervention_type"]
 

@@ -1,6 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from dockstat.operators.enrich import stations_enriched, status_history
 from dockstat.operators.health import health_from_history, health_scores

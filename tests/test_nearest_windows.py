@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from dockstat.operators.nearest import nearest_station
 from dockstat.operators.windows import availability_windows
 from dockstat.plans.context import Models
-from dockstat.plans import fixtures as fx
 
 SF = "/root/testdata/sf0.01"
 

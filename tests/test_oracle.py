@@ -1,7 +1,5 @@
 """Every registered query against its DuckDB statement, plus the entry smoke check."""
 
-import pytest
-
 from oracle_compare import compare
 
 SF = "/root/testdata/sf0.001"

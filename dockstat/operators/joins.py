@@ -11,6 +11,15 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
+_PERSISTED: list[DataFrame] = []
+
+
+def release_broadcasts() -> None:
+    """Unpersist the dimensions measured by :func:`bounded_broadcast` (end of a job)."""
+    while _PERSISTED:
+        _PERSISTED.pop().unpersist()
+
+
 def bounded_broadcast(dim: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Broadcast ``dim`` only when its row count is measured to be at most ``max_rows``.
 
@@ -24,5 +33,6 @@ def bounded_broadcast(dim: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_R
     if max_rows is None:
         return dim
     dim = dim.persist(StorageLevel.MEMORY_AND_DISK)
+    _PERSISTED.append(dim)
     n = dim.limit(max_rows + 1).count()
     return F.broadcast(dim) if n <= max_rows else dim

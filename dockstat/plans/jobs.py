@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from dockstat.operators.enrich import stations_enriched, status_history
 from dockstat.operators.health import health_from_history, top_snapshots
 from dockstat.operators.incremental import incremental_merge, table_watermark
+from dockstat.operators.joins import release_broadcasts
 from dockstat.operators.nearest import nearest_station
 from dockstat.operators.quality import (check_no_future, check_not_null, check_rate_valid,
                                         check_score_bounded, run_checks)
@@ -43,7 +44,8 @@ from dockstat.plans.marts_ops import (fleet_availability, region_hour_stations,
 from dockstat.session import build_session
 from dockstat.sources.gbfs import FEEDS, read_gbfs
 from dockstat.sources.seeds import capacity_tiers, read_interventions
-from dockstat.sources.sinks import append_raw, append_version, publish_table, read_latest_version
+from dockstat.sources.sinks import (append_raw, append_version, prune_versions, publish_table,
+                                   read_latest_version)
 
 
 @dataclass
@@ -129,9 +131,12 @@ def run_refresh(spark: SparkSession, p: Paths) -> DataFrame:
     new = staged(spark, p, since=before)
     enriched = stations_enriched(st["stage_stations"], st["stage_regions"])
     history = status_history(new["stage_station_status"], enriched)
-    return run_checks(check_not_null(new), {"rate_valid": check_rate_valid(history),
-                                            "no_future": check_no_future(history)},
-                      raise_on_failure=True)
+    try:
+        return run_checks(check_not_null(new), {"rate_valid": check_rate_valid(history),
+                                                "no_future": check_no_future(history)},
+                          raise_on_failure=True).cache()
+    finally:
+        release_broadcasts()
 
 
 def _table_watermark(spark: SparkSession, path: str):
@@ -144,7 +149,7 @@ def _after(df: DataFrame, last) -> DataFrame:
     return df.filter((F.col("snapshot_date") >= F.lit(last).cast("date")) & (F.col("ingested_at") > F.lit(last)))
 
 
-def run_daily(spark: SparkSession, p: Paths, as_of: str | None = None) -> DataFrame:
+def run_daily(spark: SparkSession, p: Paths, as_of: str | None = None, keep_versions: int = 7) -> DataFrame:
     """Rebuild the marts and take the day's SCD-2 snapshots.
 
     Large inputs are read only past their watermarks: raw status and bike
@@ -222,12 +227,19 @@ def run_daily(spark: SparkSession, p: Paths, as_of: str | None = None) -> DataFr
             continue  # this run is already published; a retry changes nothing
         append_version(fn(prev, src, as_of), p.snapshot(name), run)
 
-    checks = run_checks(check_not_null(new), {
-        "rate_valid": check_rate_valid(fresh),
-        "score_bounded": check_score_bounded(health),
-        "no_future": check_no_future(fresh)}, raise_on_failure=True)
-    append_version(fact.agg(F.max("ingested_at").alias("fact_watermark")), p.mart("daily_state"), run)
-    return checks
+    try:
+        checks = run_checks(check_not_null(new), {
+            "rate_valid": check_rate_valid(fresh),
+            "score_bounded": check_score_bounded(health),
+            "no_future": check_no_future(fresh)}, raise_on_failure=True).cache()
+        checks.count()
+        append_version(fact.agg(F.max("ingested_at").alias("fact_watermark")), p.mart("daily_state"), run)
+        for table in ("dim_stations", "dim_regions", "dim_pricing_plans", "region_hourly", "region_hour_stations",
+                      "station_top_snapshots", "station_interventions", "intervention_results", "daily_state"):
+            prune_versions(spark, p.mart(table), keep=keep_versions)
+        return checks
+    finally:
+        release_broadcasts()
 
 
 def main(argv=None) -> None:

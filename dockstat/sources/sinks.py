@@ -51,3 +51,23 @@ def read_latest_version(spark, path: str, version_col: str = "snapshot_run"):
     if last is None:
         return None, None
     return t.filter(F.col(version_col) == F.lit(last)).drop(version_col), str(last)
+
+
+def prune_versions(spark, path: str, keep: int = 7, version_col: str = "snapshot_run") -> list[str]:
+    """Delete all but the newest ``keep`` published versions; returns the removed ones.
+
+    Works on any Hadoop-compatible file system (the cluster's shared store
+    or a local folder) through the session's Hadoop configuration.
+    """
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return []
+    prefix = f"{version_col}="
+    versions = sorted(st.getPath().getName() for st in fs.listStatus(root)
+                      if st.isDirectory() and st.getPath().getName().startswith(prefix))
+    old = versions[:-keep] if keep > 0 else versions
+    for name in old:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(root, name), True)
+    return [n[len(prefix):] for n in old]

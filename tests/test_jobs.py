@@ -86,3 +86,16 @@ def test_daily_marts_equal_full_rebuild(spark, tmp):
     from dockstat.sources.sinks import read_latest_version
     top, _ = read_latest_version(spark, p.mart("station_top_snapshots"))
     assert rows(health_from_history(top)) == rows(health_from_history(fact.drop("snapshot_date")))
+
+
+def test_prune_versions(spark, tmp):
+    from pyspark.sql import functions as F
+    from dockstat.sources.sinks import append_version, prune_versions, read_latest_version
+    path = os.path.join(tmp, "versions")
+    df = spark.range(3).withColumn("x", F.lit(1))
+    for v in ["20260401T060000", "20260402T060000", "20260403T060000"]:
+        append_version(df, path, v)
+    assert prune_versions(spark, path, keep=2) == ["20260401T060000"]
+    latest, version = read_latest_version(spark, path)
+    assert version == "20260403T060000" and latest.count() == 3
+    assert spark.read.parquet(path).select("snapshot_run").distinct().count() == 2

@@ -60,13 +60,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
     On a cluster this is whatever the deployment names in
-    ``spark.checkpoint.dir`` (or set on the context).  Only when neither is
-    set -- local tests -- a private folder is created.
+    ``spark.checkpoint.dir`` (or set on the context); without it the call
+    fails rather than fall back to a machine-local folder.  Only a local
+    master (tests) gets a private temporary folder when neither is set.
     """
     sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
-        path = tempfile.mkdtemp(prefix="dockstat-ckpt-")
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors "
+                               "(checkpoints and staged tables are written there)")
+        path = tempfile.mkdtemp(prefix="dockstat-ckpt-")  # single-machine runs and tests only
         sc.setCheckpointDir(path)
         path = sc.getCheckpointDir() or path
     elif not sc.getCheckpointDir():

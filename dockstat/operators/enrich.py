@@ -49,6 +49,6 @@ def status_history(status: DataFrame, enriched: DataFrame,
                          "total_docks", "latitude", "longitude")
     j = status.join(bounded_broadcast(st, broadcast_rows), "station_id", "left")
     return j.select(
-        *[c for c in HISTORY_COLUMNS[:-2]],
+        *HISTORY_COLUMNS[:-2],
         capped_rate("num_bikes_available", "total_docks").alias("bike_availability_rate"),
         capped_rate("num_docks_available", "total_docks").alias("dock_availability_rate"))

@@ -14,7 +14,8 @@ rolled up from mergeable per-day parts plus a station-presence set, and
 bikes are matched to stations only for runs not matched before.  The
 station-grained dimensions are small and rebuilt whole.
 
-Usage: ``spark-submit -m dockstat.plans.jobs refresh|daily --root R --landing L [--seeds S]``
+Usage: ``spark-submit --py-files dockstat.zip dockstat/plans/jobs.py refresh|daily --root R
+--landing L [--seeds S] [--as-of 'YYYY-MM-DD HH:MM:SS']``
 """
 
 from __future__ import annotations

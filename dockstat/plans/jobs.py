@@ -238,6 +238,8 @@ def run_daily(spark: SparkSession, p: Paths, as_of: str | None = None, keep_vers
         for table in ("dim_stations", "dim_regions", "dim_pricing_plans", "region_hourly", "region_hour_stations",
                       "station_top_snapshots", "station_interventions", "intervention_results", "daily_state"):
             prune_versions(spark, p.mart(table), keep=keep_versions)
+        for table in ("station_capacity_history", "station_operational_history"):
+            prune_versions(spark, p.snapshot(table), keep=keep_versions)  # each version holds the full history
         return checks
     finally:
         release_broadcasts()

@@ -1,5 +1,6 @@
 import datetime as dt
 
+from pyspark.sql import functions as F
 
 from dockstat.operators.enrich import stations_enriched, status_history
 from dockstat.operators.health import health_from_history, health_scores
@@ -120,3 +121,14 @@ def test_only_post_data(spark):
     assert r.availability_delta is None and r.intervention_outcome == "no_change"
     assert r.pre_snapshot_count is None and r.post_empty_snapshots == 1
     assert r.z_score is None
+
+
+def test_approx_distinct_option(spark):
+    from dockstat.plans.context import Models
+    from dockstat.plans.marts_ops import fleet_availability
+    fact = Models.of(spark, "/root/testdata/sf0.01").fact
+    exact = {r.ingested_at: r.total_stations for r in fleet_availability(fact, F.to_date("ingested_at")).collect()}
+    approx = {r.ingested_at: r.total_stations
+              for r in fleet_availability(fact, F.to_date("ingested_at"), approx=True).collect()}
+    assert exact.keys() == approx.keys()
+    assert all(abs(approx[k] - exact[k]) <= max(2, 0.15 * exact[k]) for k in exact)

@@ -95,3 +95,21 @@ def test_interval_plans_agree(spark):
     rows = lambda df: sorted(tuple(r) for r in df.collect())
     assert rows(a) == rows(b)
     assert rows(a.drop("num_bikes_available")) == rows(c)
+
+
+def test_capacity_roster_latest_batch_closes_dropped_stations(spark):
+    from dockstat.operators.scd2 import snapshot_capacity
+    cols = ("station_id string, station_name string, region_id string, region_name string, total_docks long, "
+            "has_kiosk boolean, latitude double, longitude double, ingested_at timestamp")
+    t1, t2 = T0, T0 + dt.timedelta(days=1)
+    run1 = spark.createDataFrame([("A", "a", "R", "r", 10, True, 40.7, -74.0, t1),
+                                  ("B", "b", "R", "r", 20, True, 40.8, -74.0, t1)], cols)
+    both = run1.unionByName(spark.createDataFrame([("A", "a", "R", "r", 10, True, 40.7, -74.0, t2)], cols))
+    snap = snapshot_capacity(None, run1, "2026-04-10 13:00:00")
+    # append-only history: B keeps its last row and stays open
+    kept = snapshot_capacity(snap, both, "2026-04-11 13:00:00")
+    assert kept.filter("station_id = 'B' and dbt_valid_to is null").count() == 1
+    # roster of the newest load: B left the feed and is closed
+    closed = snapshot_capacity(snap, both, "2026-04-11 13:00:00", roster="latest_batch")
+    b = closed.filter("station_id = 'B'").first()
+    assert b.dbt_valid_to == dt.datetime(2026, 4, 11, 13, 0)

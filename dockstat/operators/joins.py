@@ -15,7 +15,8 @@ _PERSISTED: list[DataFrame] = []
 
 
 def release_broadcasts() -> None:
-    """Unpersist the dimensions measured by :func:`bounded_broadcast` (end of a job)."""
+    """Unpersist what the operators persisted for a job: dimensions measured by
+    :func:`bounded_broadcast` and per-bucket counts of the window plans."""
     while _PERSISTED:
         _PERSISTED.pop().unpersist()
 

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dockstat.functions.columns import rate_to_bp
+from dockstat.operators.joins import _PERSISTED
 
 WINDOW_COLUMNS = ["station_id", "station_name", "region_id", "region_name", "total_docks",
                   "last_reported_at", "ingested_at", "num_bikes_available", "num_bikes_disabled",
@@ -148,6 +149,7 @@ def choose_bucket(df: DataFrame, key: str, limit: int, time_col: str = "ingested
     """
     fine = (df.groupBy(key, F.date_trunc("minute", F.col(time_col)).alias("_m"))
             .agg(F.count(F.lit(1)).alias("_cnt")).persist())
+    _PERSISTED.append(fine)  # released with the measured dimensions at the end of a job
     largest_key = fine.groupBy(key).agg(F.sum("_cnt").alias("_n")).agg(F.max("_n")).first()[0] or 0
     if largest_key <= limit:
         fine.unpersist()

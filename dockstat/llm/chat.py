@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dockstat.llm.common import staged
+from dockstat.llm.common import importable, staged
 
 ERROR = "error"
 
@@ -146,6 +146,7 @@ def format_conversations(turns: DataFrame, template: Template = INSTRUCT) -> Dat
     Rows in (conv_id, part, seq) order are the output; `segments` carries the text
     and its loss flag, `ends` is the run's state map on its last row.
     """
+    importable(turns.sparkSession)
     turns = turns.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
                          F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"))
     keys = ["conv_id", "turn", "role", "text"]

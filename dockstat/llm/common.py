@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -18,7 +19,19 @@ from dockstat.session import checkpoint_root
 SLICE_BYTES = 8 << 20  # text that one vectorised step holds at a time
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers of a local master import this package wherever the driver started.
+
+    On a cluster the package comes with --py-files.
+    """
+    sc = spark.sparkContext
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    if sc.master.startswith("local") and root not in sc.environment.get("PYTHONPATH", "").split(os.pathsep):
+        sc.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, sc.environment.get("PYTHONPATH")]))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -34,8 +47,9 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def unique_text_input(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def id_and_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The two columns an operator reads, under fixed names, whatever else the table holds."""
+    importable(df.sparkSession)
     return df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
                      F.col(f"`{text_col}`").cast("string").alias("text"))
 
@@ -108,10 +122,11 @@ def shingle_hashes(words: np.ndarray, k: int) -> np.ndarray:
 
 
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """Concatenated ranges starts[i] .. starts[i]+lengths[i]."""
-    total = int(lengths.sum())
+    """Concatenated ranges starts[i] .. starts[i]+lengths[i], in the type of `starts`."""
     ends = np.cumsum(lengths)
-    return np.repeat(starts - (ends - lengths), lengths) + np.arange(total)
+    out = np.repeat((starts - (ends - lengths)).astype(starts.dtype), lengths)
+    out += np.arange(len(out), dtype=starts.dtype)
+    return out
 
 
 def signed(x: np.ndarray) -> np.ndarray:

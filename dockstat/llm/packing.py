@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dockstat.llm.common import slices, staged, unique_text_input
+from dockstat.llm.common import slices, staged, id_and_text
 from dockstat.llm.tokens import crc, default_tokenizer, encoder, with_end
 
 CAPACITY = 4096
@@ -41,7 +41,7 @@ def _pieces(path: str, end_id: int, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, block = encoder(path), TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
-        for b in slices(batches, cap=16 << 20):
+        for b in slices(batches, cap=4 << 20):
             ids, at = with_end(*enc.encode(b["text"]), end_id)
             size = np.diff(at)
             count = -(-size // capacity)
@@ -160,7 +160,7 @@ def _places(plan: np.ndarray):
 def pack_documents(docs: DataFrame, tokenizer: str | None = None, end_id: int = 1,
                    capacity: int = CAPACITY) -> DataFrame:
     """Pieces with their sequence and offset; gapless from 0 within each sequence."""
-    docs = unique_text_input(docs)
+    docs = id_and_text(docs)
     pieces = staged(docs.mapInArrow(_pieces(tokenizer or default_tokenizer(), end_id, capacity),
                                     PIECE_SCHEMA), "pieces")
     # ranks within a length: local ranks shifted by what earlier blocks hold of that length

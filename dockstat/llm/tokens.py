@@ -40,7 +40,7 @@ class Encoder:
     Other tokenizers encode each text as a whole.
     """
 
-    def __init__(self, path: str, cache_words: int = 1_000_000):
+    def __init__(self, path: str, cache_words: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
@@ -86,11 +86,11 @@ class Encoder:
             # learning may have emptied the cache, so words found before are taken from there
             found = [self.cache[w] if f is None else f for w, f in zip(words.vocab, found)]
         ids = np.frombuffer(b"".join(found), np.uint32)
-        length = np.fromiter(map(len, found), np.int64, len(found)) // 4
-        start = np.cumsum(length) - length
+        length = np.fromiter(map(len, found), np.int32, len(found)) // 4
+        start = np.cumsum(length, dtype=np.int32) - length
         per_word = length[words.codes]
         ids = ids[ragged(start[words.codes], per_word)]
-        ends = np.concatenate([[0], np.cumsum(per_word)])
+        ends = np.concatenate([[0], np.cumsum(per_word, dtype=np.int64)])
         return ids, ends[words.bounds]
 
 

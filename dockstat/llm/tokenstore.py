@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dockstat.llm.common import slices, staged, unique_text_input
+from dockstat.llm.common import slices, staged, id_and_text
 from dockstat.llm.tokens import crc, default_tokenizer, encoder, with_end
 
 MAGIC = b"DACB0001"
@@ -124,7 +124,7 @@ def _encode(path: str, end_id: int, bounds: list[int]):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
-        for b in slices(batches, cap=16 << 20):
+        for b in slices(batches, cap=4 << 20):
             ids, at = with_end(*enc.encode(b["text"]), end_id)
             doc = b["doc_id"].to_pylist()
             shard = [0 if d is None else int(s) for d, s in
@@ -198,7 +198,7 @@ def write_token_blocks(docs: DataFrame, tokenizer: str | None = None, end_id: in
     Shards are doc_id ranges between approximate quantiles of the ids alone, so
     texts are read and encoded once and only packed ids are shuffled.
     """
-    docs = unique_text_input(docs)
+    docs = id_and_text(docs)
     n_rows = docs.count()
     n = max(1, -(-n_rows // rows_per_shard))
     cuts = docs.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 100 * n)

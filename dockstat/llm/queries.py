@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dockstat.llm import chat, packing, tokenstore
+from dockstat.llm import chat, minhash, packing, tokenstore
 from dockstat.llm.common import table
 
 
+def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=4, percent=80)
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -26,12 +30,37 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op9_token_files": op9_token_files,
     "op10_chat_format": op10_chat_format,
 }
 
 ORACLE: dict[str, str] = {
+    # every pair of documents that share a shingle, counted exactly, then reachability
+    "op1_minhash_near_dedup": r"""
+with recursive words as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
+shingles as (
+  select distinct doc_id, case when len(w) < 4 then array_to_string(w, ' ')
+    else array_to_string(w[i : i + 3], ' ') end as s
+  from words, unnest(range(1, greatest(len(w) - 2, 2))) t(i) where len(w) > 0),
+sized as (select doc_id, count(*) as n from shingles group by doc_id),
+pairs as (
+  select a.doc_id as x, b.doc_id as y, count(*) as common
+  from shingles a join shingles b on a.s = b.s and a.doc_id <> b.doc_id group by 1, 2),
+links as (
+  select x, y from pairs join sized p on p.doc_id = x join sized q on q.doc_id = y
+  where 100 * common >= 80 * (p.n + q.n - common)),
+reach(x, y) as (
+  select doc_id, doc_id from words
+  union
+  select r.x, l.y from reach r join links l on l.x = r.y)
+select d.doc_id, coalesce(any_value(s.n), 0) as n_shingles, min(r.y) as component_id,
+  d.doc_id = min(r.y) as kept
+from words d join reach r on r.x = d.doc_id left join sized s on s.doc_id = d.doc_id
+group by d.doc_id""",
     # lengths of the marks: <s>[SYS] .. [/SYS]</s> 9+11, [INST] 10+12, [ANS] 9+11, other roles 10+8+12
     "op10_chat_format": r"""
 with turns as (

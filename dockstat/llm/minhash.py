@@ -12,11 +12,14 @@ band meet in a bucket.  At similarity 0.8 a pair stays apart with probability
 (1 - 0.8^ROWS)^BANDS, about 1e-5.
 
 Links without all pairs.  Documents with equal sets are one class from the start.
-Round one verifies each class against one leader of its buckets and merges what is
-linked.  Round two verifies what is left: in buckets that still hold more than one
-component, members outside the largest one against all members of other
-components.  Pairs inside a component need no test, as they can't change it, so a
-large group of mutual near copies costs its size and not its square.
+Each class is verified against the most central leader of its buckets, and what is
+linked merges; a few rounds follow in which every component that still shares a bucket
+with another tries TRIES pairs.  What is left is verified in full: in buckets that
+still hold more than one component, members outside the largest one against all
+members of other components.  That goes in blocks of bounded size, each pair of blocks
+one step inside a task, which reports only links that join components.  Pairs inside a
+component need no test, as they can't change it.  So no group is expanded into pairs of
+rows, and none is collected whole.
 
 Defined cases: a null or word-less text has an empty set and is linked with nothing
 (component_id is its doc_id); rows that repeat a doc_id stay, each with its own
@@ -40,6 +43,8 @@ from dockstat.llm.common import (hash_words, mix, ragged, shingle_hashes, signed
 from dockstat.llm.graph import components
 
 ROWS, BANDS = 7, 48
+ROUNDS, TRIES = 1, 3
+MEMBER_BLOCK, OUTSIDE_BLOCK = 400_000, 100_000  # shingles
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -127,13 +132,104 @@ def _sets(k: int):
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b, na, nb) whose full sets reach the similarity, with their intersection."""
+    """Pairs (a, b, na, nb, ...) whose full sets reach the similarity; other columns stay."""
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
     return pairs.join(left, "a").join(right, "b") \
         .withColumn("common", F.size(F.array_intersect("sa", "sb"))) \
         .filter(100 * F.col("common") >= percent * (F.col("na") + F.col("nb") - F.col("common"))) \
-        .select("a", "b", "common")
+        .drop("sa", "sb", "common", "na", "nb")
+
+
+def _unsettled(named: DataFrame) -> DataFrame:
+    """(key, node, n, mates, component) of buckets that hold more than one component."""
+    named = named.select("key", "node", "n", "mates", "component")
+    open_ = named.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y")
+    return staged(named.join(open_, "key", "left_semi"), "unsettled")
+
+
+def _tries(named: DataFrame, attempt: int) -> DataFrame:
+    """TRIES pairs (a, b, na, nb, ca, cb) a component: one of its members in a bucket, and the
+    most central member there of the bucket's largest component."""
+    per = named.groupBy("key", "component").agg(
+        F.count("*").alias("size"),
+        F.min_by(F.struct("node", "n"), F.xxhash64("node", "key", F.lit(attempt))).alias("rep"),
+        F.max_by(F.struct("node", "n"), F.struct("mates", "node")).alias("centre"))
+    hubs = per.groupBy("key").agg(F.max_by(F.struct("component", "centre"), F.struct("size", "component")).alias("hub"))
+    pairs = per.join(hubs, "key").filter("component <> hub.component")
+    pick = [F.min_by(F.struct("rep", "hub"), F.xxhash64("rep.node", "hub.centre.node", F.lit(i))) for i in range(TRIES)]
+    return pairs.groupBy("component").agg(F.array(*pick).alias("picked")) \
+        .select(F.col("component").alias("ca"), F.explode(F.array_distinct("picked")).alias("p")) \
+        .select(F.col("p.rep.node").alias("a"), F.col("p.rep.n").alias("na"), F.col("p.hub.centre.node").alias("b"),
+                F.col("p.hub.centre.n").alias("nb"), "ca", F.col("p.hub.component").alias("cb"))
+
+
+def _block_links(outside: list[tuple], members: list[tuple], percent: int) -> list[tuple[int, int]]:
+    """Links between blocks of (node, component, shingles) that join components, a spanning few."""
+    sets = [x[2] for x in outside] + [x[2] for x in members]
+    _, number = np.unique(np.concatenate(sets), return_inverse=True)
+    size = np.array([len(s) for s in sets], np.int64)
+    ends = np.cumsum(size)
+    base, own = int(ends[len(outside) - 1]), size[len(outside):]
+    theirs, first = number[base:], (ends - size)[len(outside):] - base
+    component = np.array([x[1] for x in members])
+    parent: dict[int, int] = {}
+
+    def root(c: int) -> int:
+        while parent.get(c, c) != c:
+            c = parent[c]
+        return c
+
+    mark, links = np.zeros(int(number.max()) + 1, bool), []
+    for i, (node, comp, _) in enumerate(outside):
+        ids = number[ends[i] - size[i]:ends[i]]
+        mark[ids] = True
+        common = np.add.reduceat(mark[theirs], first, dtype=np.int64)
+        mark[ids] = False
+        for j in np.flatnonzero((100 * common >= percent * (size[i] + own - common)) & (component != comp)).tolist():
+            x, y = root(comp), root(int(component[j]))
+            if x != y:
+                parent[max(x, y)] = min(x, y)
+                links.append((node, members[j][0]))
+    return links
+
+
+def _left_over(named: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) found among all pairs that are left, block against block within buckets."""
+    largest = named.groupBy("key", "component").agg(F.count("*").alias("size"), F.sum("n").alias("sum_n")) \
+        .groupBy("key").agg(F.max_by("component", "size").alias("largest"), F.sum("sum_n").alias("all_n"),
+                            F.max_by("sum_n", "size").alias("largest_n"))
+    rows = named.join(largest, "key").withColumn("outside", F.col("component") != F.col("largest")) \
+        .withColumn("m", F.ceil(F.col("all_n") / MEMBER_BLOCK).cast("int")) \
+        .withColumn("o", F.ceil((F.col("all_n") - F.col("largest_n")) / OUTSIDE_BLOCK).cast("int")) \
+        .select("key", "node", "component", "outside", "m", "o").join(sets, "node")
+    member = rows.withColumn("i", F.pmod(F.hash("node"), "m")) \
+        .withColumn("j", F.explode(F.sequence(F.lit(0), F.col("o") - 1))).withColumn("outside", F.lit(False))
+    outside = rows.filter("outside").withColumn("j", F.pmod(F.hash("node"), "o")) \
+        .withColumn("i", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, sides = None, ([], [])
+
+        def found():
+            links = _block_links(sides[1], sides[0], percent) if sides[0] and sides[1] else []
+            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+        for b in batches:
+            shingles, at = b["shingles"].values.to_numpy(), b["shingles"].offsets.to_numpy()
+            for r, (key, i, j, out, node, comp) in enumerate(zip(*(b[c].to_pylist() for c in (
+                    "key", "i", "j", "outside", "node", "component")))):
+                if group != (key, i, j):
+                    if group is not None:
+                        yield found()
+                    group, sides = (key, i, j), ([], [])
+                sides[out].append((node, comp, shingles[at[r]:at[r + 1]]))
+        if group is not None:
+            yield found()
+
+    keep = ["key", "i", "j", "outside", "node", "component", "shingles"]
+    return member.select(keep).unionByName(outside.select(keep)) \
+        .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "outside").mapInArrow(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
@@ -148,9 +244,11 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
                    .withColumn("node", F.monotonically_increasing_id()), "nodes")
     one = marked.join(nodes.select("c1", "c2", "node", "n", F.col("rep").alias("doc_id")), ["c1", "c2", "doc_id"])
     bucketed = staged(one.select(F.explode("bands").alias("key"), "node", "n").distinct(), "bands")
-    shared = bucketed.groupBy("key").agg(F.count("*").alias("size"), F.min("node").alias("leader"),
-                                         F.min_by("n", "node").alias("leader_n")).filter("size > 1")
-    members = staged(bucketed.join(shared, "key").select("key", "node", "n", "leader", "leader_n"), "members")
+    shared = bucketed.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
+    members = bucketed.join(shared, "key")
+    # central nodes share buckets with many: they hold a group of near copies together
+    members = staged(members.join(members.groupBy("node").agg(F.sum("size").alias("mates")), "node")
+                     .select("key", "node", "n", "mates"), "members")
     similar = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
 
     wanted = members.select("node").distinct().join(nodes, "node") \
@@ -158,29 +256,25 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
     sets = staged(docs.join(wanted, "doc_id").select("node", "c1", "c2", "text")
                   .mapInArrow(_sets(shingle_words), "node long, shingles array<long>"), "sets")
 
-    first = members.filter("node <> leader").groupBy(F.col("node").alias("b")) \
-        .agg(F.min("leader").alias("a"), F.first("n").alias("nb"), F.min_by("leader_n", "leader").alias("na"))
-    links = staged(_verified(first.filter(similar), sets, percent), "links")
-    merged = components(links)
-
-    named = members.select("key", "node", "n").join(merged, "node", "left") \
-        .withColumn("component", F.coalesce("component", "node"))
-    per = named.groupBy("key", "component").agg(F.count("*").alias("size"))
-    open_ = per.groupBy("key").agg(F.count("*").alias("parts"), F.max_by("component", "size").alias("largest")) \
-        .filter("parts > 1").drop("parts")
-    unsettled = staged(named.join(open_, "key"), "unsettled")
-    outside = unsettled.filter("component <> largest") \
-        .select("key", F.col("node").alias("u"), F.col("n").alias("nu"), F.col("component").alias("cu"))
-    inside = unsettled.select("key", F.col("node").alias("v"), F.col("n").alias("nv"),
-                              F.col("component").alias("cv"), "largest")
-    # both outside: the pair would come twice, so only with the smaller node first
-    rest = outside.join(inside, "key").filter("cu <> cv and (cv = largest or u < v)") \
-        .select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b"),
-                F.when(F.col("u") < F.col("v"), F.col("nu")).otherwise(F.col("nv")).alias("na"),
-                F.when(F.col("u") < F.col("v"), F.col("nv")).otherwise(F.col("nu")).alias("nb")) \
-        .filter(similar).distinct()
-    more = _verified(rest, sets, percent)
-    final = components(links.select("a", "b").union(more.select("a", "b")))
+    rank = F.struct("mates", -F.col("node"))
+    leaders = members.groupBy("key").agg(F.max_by(F.struct("node", "n", "mates"), rank).alias("leader"))
+    first = members.join(leaders, "key").filter("node <> leader.node") \
+        .groupBy(F.col("node").alias("b")).agg(
+            F.max_by("leader", F.struct("leader.mates", -F.col("leader.node"))).alias("leader"), F.first("n").alias("nb")) \
+        .select(F.col("leader.node").alias("a"), "b", F.col("leader.n").alias("na"), "nb")
+    links = staged(_verified(first.filter(similar), sets, percent).select("a", "b"), "links")
+    named = _unsettled(members.join(components(links), "node", "left")
+                       .withColumn("component", F.coalesce("component", "node")))
+    for attempt in range(ROUNDS):
+        new = staged(_verified(_tries(named, attempt).filter(similar), sets, percent), "new-links")
+        if new.isEmpty():
+            break
+        links = links.union(new.select("a", "b"))
+        moved = components(new.select(F.col("ca").alias("a"), F.col("cb").alias("b"))) \
+            .select(F.col("node").alias("component"), F.col("component").alias("to"))
+        named = _unsettled(named.join(moved, "component", "left")
+                           .withColumn("component", F.coalesce("to", "component")).drop("to"))
+    final = components(links.union(_left_over(named, sets, percent)))
 
     # smallest doc_id of each component, told to every set in it
     whole = nodes.join(final, "node", "left").withColumn("component", F.coalesce("component", "node"))

@@ -84,16 +84,16 @@ def split_words(texts: pa.Array, lower_ascii: bool = True) -> Words:
 
 def coded(lists: pa.Array) -> Words:
     """Dictionary-code the words of string lists, leaving out empty ones."""
-    offsets = lists.offsets.to_numpy().astype(np.int64)
-    flat = lists.flatten()
-    offsets = offsets - offsets[0]
-    full = pc.not_equal(flat, "").to_numpy(zero_copy_only=False)
-    if not full.all():
-        before = np.concatenate([[0], np.cumsum(full)])
-        offsets = before[offsets]
-        flat = flat.filter(pa.array(full))
-    enc = flat.dictionary_encode()
-    return Words(enc.indices.to_numpy(zero_copy_only=False), offsets, enc.dictionary.to_pylist())
+    bounds = lists.offsets.to_numpy().astype(np.int64)
+    bounds -= bounds[0]
+    enc = lists.flatten().dictionary_encode()
+    codes = enc.indices.to_numpy(zero_copy_only=False)
+    empty = pc.index(enc.dictionary, "").as_py()
+    if empty >= 0:
+        full = codes != empty
+        bounds = np.concatenate([[0], np.cumsum(full)])[bounds]
+        codes = codes[full]
+    return Words(codes, bounds, enc.dictionary.to_pylist())
 
 
 def hash_words(vocab: list[str], seed: int = 0) -> np.ndarray:

@@ -41,7 +41,7 @@ def _pieces(path: str, end_id: int, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, block = encoder(path), TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
-        for b in slices(batches, cap=4 << 20):
+        for b in slices(batches, cap=6 << 20):
             ids, at = with_end(*enc.encode(b["text"]), end_id)
             size = np.diff(at)
             count = -(-size // capacity)

@@ -7,6 +7,7 @@ import os
 import re
 import zlib
 from array import array
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -14,10 +15,15 @@ import pyarrow.compute as pc
 
 from dockstat.llm.common import coded, ragged
 
-#: Latin-1 letters keep their form under NFC and have one lower-case letter each.
-LETTERS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
-#: A single mark after a letter and before white space is a token of its own there.
-MARK = r"(\pL)([.,;:!?])([ \n]|$)"
+#: Latin-1 letters keep their form under NFC and have one lower-case letter each.  A word of
+#: these, digits and ASCII marks (no apostrophe) falls into runs of letters, single digits and
+#: runs of marks, which the tokenizer encodes one by one.
+LETTER, MARKS = "A-Za-zÀ-ÖØ-öø-ÿ", r"!-&(-/:-@\[-`{-~"
+LETTERS = re.compile(f"[{LETTER}]+").fullmatch
+PLAIN = re.compile(f"[{LETTER}0-9{MARKS}]+").fullmatch
+PIECES = re.compile(f"[{LETTER}]+|[0-9]|[{MARKS}]+").findall
+#: Marks after a letter and before white space are a piece of their own.
+TAIL = r"(\pL)([.,;:!?]+)([ \n]|$)"
 
 
 def default_tokenizer() -> str:
@@ -54,21 +60,75 @@ class Encoder:
         self.lettered = self.by_word and forms == ["NFC", "Replace", "Lowercase"] \
             and [p["type"] for p in parts] == ["Split", "ByteLevel"] and not parts[1]["add_prefix_space"]
         self.table = byte_letters()
-        self.cache: dict[str, bytes] = {}
+        self.model, self.single = self.tok.model, {}
         self.cache_words = cache_words
+        self._start()
+
+    def _forget(self) -> None:
+        """Keep only words met in more than one slice; the many met once hardly come again."""
+        at = np.array(self.ends)
+        kept = [(w, i) for w, i in self.cache.items() if self.hits[i] > 1] \
+            if len(self.cache) <= self.cache_words else []
+        old = np.array([i for _, i in kept], np.int64)
+        length = at[old + 1] - at[old]
+        ids = np.array(self.pool, np.uint32)[ragged(at[old], length)]
+        self._start()
+        self.cache = {w: i for i, (w, _) in enumerate(kept)}
+        self.pool.frombytes(ids.tobytes())
+        self.ends.frombytes(np.cumsum(length, dtype=np.int32).tobytes())
+
+    def _start(self) -> None:
+        self.cache: dict[str, int] = {}   # word -> its number
+        self.pool = array("I")            # ids of all cached words
+        self.ends = array("i", [0])       # where each word's ids end
+        self.hits = np.zeros(self.cache_words, np.int32)  # slices that had the word
+
+    def _add(self, word: str, ids: list[int]) -> None:
+        self.cache[word] = len(self.ends) - 1
+        self.pool.extend(ids)
+        self.ends.append(len(self.pool))
+
+    def _piece(self, piece: str) -> list[int]:
+        letters = piece.lower().encode().decode("latin-1").translate(self.table)
+        return [t.id for t in self.model.tokenize(letters)]
 
     def _learn(self, words: list[str]) -> None:
-        if len(self.cache) + len(words) > self.cache_words:
-            self.cache.clear()
-        hard = []
+        hard, pool, ends, cache, table, tokenize = [], self.pool, self.ends, self.cache, self.table, self.model.tokenize
         for w in words:
-            if self.lettered and LETTERS(w):
-                letters = w.lower().encode().decode("latin-1").translate(self.table)
-                self.cache[w] = array("I", [t.id for t in self.tok.model.tokenize(letters)]).tobytes()
+            if not self.lettered:
+                hard.append(w)
+            elif LETTERS(w):
+                pool.extend([t.id for t in tokenize(w.lower().encode().decode("latin-1").translate(table))])
+                cache[w] = len(ends) - 1
+                ends.append(len(pool))
+            elif PLAIN(w) and "<|" not in w:
+                ids = []
+                for piece in PIECES(w):
+                    if len(piece) > 1:
+                        ids += self._piece(piece)
+                    else:
+                        if piece not in self.single:
+                            self.single[piece] = self._piece(piece)
+                        ids += self.single[piece]
+                self._add(w, ids)
             else:
                 hard.append(w)
         for w, e in zip(hard, self.tok.encode_batch_fast(hard, add_special_tokens=False)):
-            self.cache[w] = array("I", e.ids).tobytes()
+            self._add(w, e.ids)
+
+    def _numbers(self, vocab: list[str]) -> np.ndarray:
+        if len(self.cache) + len(vocab) > self.cache_words:
+            self._forget()
+        got = np.fromiter(map(self.cache.get, vocab, repeat(-1)), np.int64, len(vocab))
+        missing = np.flatnonzero(got < 0)
+        if len(missing):
+            words = [vocab[i] for i in missing]
+            self._learn(words)
+            got[missing] = np.fromiter(map(self.cache.__getitem__, words), np.int64, len(words))
+        if len(self.cache) > len(self.hits):  # a slice larger than the cache
+            self.hits = np.concatenate([self.hits, np.zeros(len(self.cache) - len(self.hits), np.int32)])
+        self.hits[got] += 1
+        return got
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids uint32, bounds): text d has ids[bounds[d]:bounds[d+1]]; a null text has none."""
@@ -77,21 +137,17 @@ class Encoder:
             got = [e.ids for e in self.tok.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)]
             bounds = np.concatenate([[0], np.cumsum([len(g) for g in got], dtype=np.int64)])
             return np.array([i for g in got for i in g], np.uint32), bounds
-        texts = pc.replace_substring_regex(texts, MARK, r"\1 \2\3")
+        if self.lettered:
+            texts = pc.replace_substring_regex(texts, TAIL, r"\1 \2\3")
+            if not pc.any(pc.match_substring(texts, "<|")).as_py():
+                texts = pc.ascii_lower(texts)  # never makes a special token's string here
         words = coded(pc.split_pattern(pc.replace_substring(texts, "\n", " "), " "))
-        found = list(map(self.cache.get, words.vocab))
-        missing = [w for w, f in zip(words.vocab, found) if f is None]
-        if missing:
-            self._learn(missing)
-            # learning may have emptied the cache, so words found before are taken from there
-            found = [self.cache[w] if f is None else f for w, f in zip(words.vocab, found)]
-        ids = np.frombuffer(b"".join(found), np.uint32)
-        length = np.fromiter(map(len, found), np.int32, len(found)) // 4
-        start = np.cumsum(length, dtype=np.int32) - length
-        per_word = length[words.codes]
-        ids = ids[ragged(start[words.codes], per_word)]
-        ends = np.concatenate([[0], np.cumsum(per_word, dtype=np.int64)])
-        return ids, ends[words.bounds]
+        number = self._numbers(words.vocab)
+        ends = np.array(self.ends)
+        start = ends[number][words.codes]
+        length = ends[number + 1][words.codes] - start
+        at = np.concatenate([[0], np.cumsum(length, dtype=np.int64)])
+        return np.frombuffer(self.pool, np.uint32)[ragged(start, length)], at[words.bounds]
 
 
 _ENCODERS: dict[str, Encoder] = {}

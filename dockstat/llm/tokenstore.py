@@ -124,7 +124,7 @@ def _encode(path: str, end_id: int, bounds: list[int]):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
-        for b in slices(batches, cap=4 << 20):
+        for b in slices(batches, cap=6 << 20):
             ids, at = with_end(*enc.encode(b["text"]), end_id)
             doc = b["doc_id"].to_pylist()
             shard = [0 if d is None else int(s) for d, s in

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 from typing import NamedTuple
 
 import numpy as np
@@ -35,6 +36,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 2000) -> Iterator[None]:
+    """Arrow batches of at most `rows` rows to Python workers while a job is run."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = int(spark.conf.get(key))
+    spark.conf.set(key, str(min(before, rows) if before > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, str(before))
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared checkpoint folder and read back.
 
@@ -43,7 +56,8 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{checkpoint_root(spark)}/llm/{name}-{uuid.uuid4().hex[:12]}"
-    df.write.option("compression", "zstd").parquet(path)
+    with small_batches(spark):
+        df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

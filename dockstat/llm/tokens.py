@@ -46,7 +46,7 @@ class Encoder:
     Other tokenizers encode each text as a whole.
     """
 
-    def __init__(self, path: str, cache_words: int = 600_000):
+    def __init__(self, path: str, cache_words: int = 350_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)

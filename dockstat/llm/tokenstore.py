@@ -119,42 +119,40 @@ BLOCK_SCHEMA = "shard int, block int, n_tokens long, payload binary"
 DOC_SCHEMA = "shard int, block int, doc_id long, local_start long, n_tokens long, ids_crc32 long"
 
 
+def packed(ids: np.ndarray) -> bytes:
+    """Ids for the shuffle: two bytes each where that is enough, else four; the width comes first."""
+    return b"\x02" + ids.astype("<u2").tobytes() if int(ids.max(initial=0)) < 1 << 16 else b"\x04" + ids.tobytes()
+
+
+def unpacked(row: bytes) -> np.ndarray:
+    return np.frombuffer(row, f"<u{row[0]}", offset=1).astype(np.uint32)
+
+
 def _encode(path: str, end_id: int, bounds: list[int]):
     limits = np.array(bounds, np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
-        for b in slices(batches, cap=6 << 20):
+        for b in slices(batches, cap=4 << 20):
             ids, at = with_end(*enc.encode(b["text"]), end_id)
             doc = b["doc_id"].to_pylist()
             shard = [0 if d is None else int(s) for d, s in
                      zip(doc, np.searchsorted(limits, [d or 0 for d in doc], side="left"))]
-            # three bytes an id are enough for any vocabulary below 2^24, and shuffle less
-            narrow = ids.view(np.uint8).reshape(-1, 4)
-            if (narrow[:, 3] > 0).any():
-                raise ValueError("token ids of 2^24 and more are not supported")
-            narrow = np.ascontiguousarray(narrow[:, :3]).tobytes()
-            rows = [narrow[3 * s:3 * e] for s, e in zip(at[:-1].tolist(), at[1:].tolist())]
+            rows = [packed(ids[s:e]) for s, e in zip(at[:-1].tolist(), at[1:].tolist())]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(shard, pa.int32()), b["doc_id"], pa.array(rows, pa.binary())],
                 ["shard", "doc_id", "ids"])
     return run
 
 
-def _widen(narrow: bytes) -> np.ndarray:
-    out = np.zeros((len(narrow) // 3, 4), np.uint8)
-    out[:, :3] = np.frombuffer(narrow, np.uint8).reshape(-1, 3)
-    return out.view("<u4").ravel()
-
-
 def _blocks(block_tokens: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, block, docs, parts, held = None, 0, [], [], 0
 
         def flush():
             nonlocal block, docs, parts, held
-            ids = np.concatenate([_widen(p) for p in parts])
-            starts = np.concatenate([[0], np.cumsum([len(p) // 3 for p in parts])])
+            ids = np.concatenate(parts)
+            starts = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
             row = pa.RecordBatch.from_arrays(
                 [pa.array([shard], pa.int32()), pa.array([block], pa.int32()),
                  pa.array([held], pa.int64()), pa.array([pack_block(docs, starts, ids)], pa.binary())],
@@ -169,8 +167,8 @@ def _blocks(block_tokens: int):
                 if s != shard:
                     shard, block = s, 0
                 docs.append(d)
-                parts.append(ids)
-                held += len(ids) // 3
+                parts.append(unpacked(ids))
+                held += len(parts[-1])
         if docs:
             yield flush()
     return run

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dockstat.llm import chat, minhash, packing, tokenstore
+from dockstat.llm import (chat, chunkdedup, decontam, langid, linededup, minhash, packing, tokenstore,
+                          toxicity)
 from dockstat.llm.common import table
 
 
@@ -14,10 +15,31 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=4, percent=80)
 
 
+def op2_template_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.recurring_lines(table(spark, sf_dir, "documents"))
+
+
+def op3_cnn_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"),
+                                    langid.split_rest("doc_id", 5) == 0)
+
+
+def op5_simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op6_cross_parsing_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"), langid.split_rest("doc_id", 4) == 2)
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op8_chunk_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunkdedup.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenstore.token_store(table(spark, sf_dir, "documents"))
 
@@ -31,7 +53,12 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
+    "op2_template_line_dedup": op2_template_line_dedup,
+    "op3_cnn_toxicity": op3_cnn_toxicity,
+    "op5_simhash_decontamination": op5_simhash_decontamination,
+    "op6_cross_parsing_language": op6_cross_parsing_language,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op8_chunk_substring_dedup": op8_chunk_substring_dedup,
     "op9_token_files": op9_token_files,
     "op10_chat_format": op10_chat_format,
 }

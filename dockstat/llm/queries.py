@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from dockstat.llm import (chat, chunkdedup, decontam, langid, linededup, minhash, packing, tokenstore,
+from dockstat.llm import (ann, chat, chunkdedup, decontam, langid, linededup, minhash, packing, tokenstore,
                           toxicity)
 from dockstat.llm.common import table
 
@@ -24,6 +25,10 @@ def op3_cnn_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     langid.split_rest("doc_id", 5) == 0)
 
 
+def op4_multiprobe_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, 10)
+
+
 def op5_simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -55,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_template_line_dedup": op2_template_line_dedup,
     "op3_cnn_toxicity": op3_cnn_toxicity,
+    "op4_multiprobe_ann": op4_multiprobe_ann,
     "op5_simhash_decontamination": op5_simhash_decontamination,
     "op6_cross_parsing_language": op6_cross_parsing_language,
     "op7_best_fit_packing": op7_best_fit_packing,

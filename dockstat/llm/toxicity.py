@@ -34,7 +34,7 @@ from dockstat.llm.common import Words, coded, importable, slices
 BUCKETS = 1 << 22
 PREFIXES = (4, 5, 6)
 DIM, FILTERS, WIDTHS = 12, 8, (1, 2, 3)
-PAD = max(WIDTHS) - 1
+PAD = max(WIDTHS)  # so that even a text without words has a window of every width
 POSITIVES, NEGATIVES, TRAIN_CHARS = 2500, 3500, 20_000
 MIN_DOCS, EPOCHS, BATCH, RATE, DECAY = 3, 8, 64, 0.1, 1e-5
 

@@ -292,5 +292,5 @@ def keep_one_of_each(docs: DataFrame, **options) -> DataFrame:
     A repeated doc_id is kept once; rows without a doc_id can't be told apart and all stay.
     """
     kept = near_duplicates(docs, **options).filter("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]) \
+    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns) \
         .unionByName(docs.filter("doc_id is null"))

@@ -38,9 +38,15 @@ def safe_divide(n, d) -> Column:
 
 
 def half_up_div(num, den) -> Column:
-    """Exact ``round(num / den)`` half up for non-negative integers; NULL if den = 0."""
+    """Exact ``round(num / den)`` half up for non-negative integers; NULL if den = 0.
+
+    Integer quotient and remainder, so nothing passes through a double and nothing is
+    doubled: exact up to the range of the operands' own type.
+    """
     num, den = _c(num), _c(den)
-    return F.floor(F.try_divide(num * 2 + den, den * 2))
+    den = F.when(den != 0, den)
+    rest = F.pmod(num, den)
+    return F.call_function("div", num, den) + F.when(rest >= den - rest, 1).otherwise(0)
 
 
 def capped_rate_bp(n, d) -> Column:

@@ -23,6 +23,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from dockstat.operators.windows import join_null_safe
+
 SCD_COLUMNS = ["dbt_scd_id", "dbt_updated_at", "dbt_valid_from", "dbt_valid_to"]
 
 
@@ -75,113 +77,59 @@ def scd2_check(snapshot: DataFrame | None, current: DataFrame, key: str, check_c
             .unionByName(_open_rows(news, key, as_of).select(*snapshot.columns)))
 
 
-def _intervals_by_station(history: DataFrame, key: str, time: str, check_cols: Sequence[str],
-                          keep: Sequence[str]) -> DataFrame:
-    w = Window.partitionBy(key).orderBy(F.col(time).asc_nulls_first())
-    changed = F.lit(False)
-    for cc in check_cols:
-        changed = changed | ~F.col(cc).eqNullSafe(F.lag(cc).over(w))
-    first = F.row_number().over(w) == 1
-    flagged = history.select(key, time, *check_cols, *keep).withColumn(
-        "_new", F.when(first | changed, 1).otherwise(0))
-    islands = flagged.withColumn("_version", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    versions = islands.groupBy(key, "_version").agg(
-        *[F.first(cc).alias(cc) for cc in check_cols],
-        *[F.min_by(k, time).alias(k) for k in keep],
-        F.min(time).alias("valid_from"),
-        F.max(time).alias("last_seen"),
-        F.count(F.lit(1)).alias("snapshots"))
-    wv = Window.partitionBy(key).orderBy("_version")
-    return (versions.withColumn("valid_to", F.lead("valid_from").over(wv))
-            .withColumnRenamed("_version", "version"))
-
-
-def _intervals_bucketed(history: DataFrame, key: str, time: str, check_cols: Sequence[str],
-                        keep: Sequence[str], bucket: Column) -> DataFrame:
-    """Versions found with windows over (station, bucket) instead of station.
-
-    1. per bucket (partial aggregate): the last row's check values and the
-       first snapshot time;
-    2. per station over its buckets (small): the previous bucket's last
-       values and the next bucket's first time, carried into each bucket by
-       a header row;
-    3. one shuffle of the snapshots by (station, bucket): a row starts a
-       version when its values differ from the row before; every row is
-       tagged with the latest start at or before it in its bucket, and
-       with the time of the row after it;
-    4. partial aggregates per (station, start) -- rows before the first
-       start of a bucket form a continuation group of that bucket -- are
-       tied to their version over the (small) per-station list of groups
-       and merged.
-    """
-    chk = F.struct(*check_cols)
-    b = history.select(key, time, *check_cols, *keep).withColumn("_bk", bucket)
-    per_bucket = b.groupBy(key, "_bk").agg(F.max_by(chk, F.col(time)).alias("_last"),
-                                           F.min(time).alias("_first_t"))
-    ws = Window.partitionBy(key).orderBy(F.col("_bk").asc_nulls_first())
-    header = per_bucket.select(key, "_bk", F.lag("_last").over(ws).alias("_prev"),
-                               F.lead("_first_t").over(ws).alias("_next_first"),
-                               F.lit(0).alias("_kind"))
-    u = b.withColumn("_kind", F.lit(1)).unionByName(header, allowMissingColumns=True)
-    w = Window.partitionBy(key, "_bk").orderBy("_kind", F.col(time).asc_nulls_first())
-    before = F.lag(F.when(F.col("_kind") == 0, F.col("_prev")).otherwise(chk)).over(w)
-    start = before.isNull() | ~chk.eqNullSafe(before)
-    rows = u.select(
-        key, "_bk", time, *check_cols, *keep, "_kind",
-        F.max(F.when(start, F.col(time))).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("_vs"),
-        F.coalesce(F.lead(time).over(w),
-                   F.max("_next_first").over(w.rowsBetween(Window.unboundedPreceding,
-                                                           Window.unboundedFollowing))).alias("_next"),
-    ).filter(F.col("_kind") == 1)
-    vals = F.struct(*check_cols, *keep)
-    groups = rows.groupBy(key, "_vs", F.when(F.col("_vs").isNull(), F.col("_bk")).alias("_cbk")).agg(
-        F.count(F.lit(1)).alias("_n"), F.min(time).alias("_from"), F.max(time).alias("_last"),
-        F.max_by("_next", F.col(time)).alias("_next"), F.min_by(vals, F.col(time)).alias("_vals"))
-    wg = Window.partitionBy(key).orderBy(F.col("_from").asc_nulls_first())
-    carried = F.last("_vs", ignorenulls=True).over(wg.rowsBetween(Window.unboundedPreceding, -1))
-    groups = groups.withColumn("_version_start", F.coalesce(F.col("_vs"), carried))
-    versions = groups.groupBy(key, "_version_start").agg(
-        F.sum("_n").alias("snapshots"), F.max("_last").alias("last_seen"),
-        F.max_by("_next", F.col("_last")).alias("valid_to"),
-        F.min_by("_vals", F.col("_from")).alias("_vals"))
-    wv = Window.partitionBy(key).orderBy(F.col("_version_start").asc_nulls_first())
-    return versions.select(
-        key, F.row_number().over(wv).cast("long").alias("version"),
-        *[F.col(f"_vals.{c}").alias(c) for c in list(check_cols) + list(keep)],
-        F.col("_version_start").alias("valid_from"), "valid_to", "last_seen", "snapshots")
-
-
 def scd2_from_history(history: DataFrame, key: str, time: str, check_cols: Sequence[str],
-                      keep: Sequence[str] = (), method: str = "auto", bucket: Column | None = None,
-                      station_rows_limit: int = 2_000_000) -> DataFrame:
+                      keep: Sequence[str] = (), bucket: Column | None = None) -> DataFrame:
     """Validity intervals of the check columns, derived from every snapshot.
 
-    A run of consecutive snapshots with the same check values is one
-    version: ``valid_from`` is its first snapshot, ``valid_to`` the first
-    snapshot of the next version (NULL for the current one).  Unlike
-    periodic snapshot runs this sees outages shorter than the run interval.
-    ``duration_seconds`` is NULL while the version is open.
-
-    ``method="station"`` partitions one window by key; ``"bucketed"`` works
-    on (key, day) slices so no task holds a whole hot station; ``"auto"``
-    picks the station plan only when no key exceeds ``station_rows_limit``
-    snapshots, else the coarsest of day / hour / minute buckets that keeps
-    every (key, bucket) within the limit.
+    A run of consecutive snapshots with the same check values is one version:
+    ``valid_from`` is its first snapshot, ``valid_to`` the first snapshot of the next
+    version (NULL for the current one).  Unlike periodic snapshot runs this sees outages
+    shorter than the run interval.  ``duration_seconds`` is NULL while the version is open.
+    Snapshots are ordered by ``time`` (NULL first), then by the check and kept columns, so
+    tied times have one order; a NULL key is one key.
+
+    One plan, whatever the size:
+
+    1. per (key, UTC day), a partial aggregate: the last row's check values, carried into
+       the next day by a header row;
+    2. one shuffle of the snapshots by (key, day): a row starts a version when its values
+       differ from the row before; within its day it belongs to the local version that the
+       running count of starts gives (0 continues the day before);
+    3. partial aggregates per (key, day, local version); a day's offset is the number of
+       starts in earlier days, and offset + local version numbers the versions of a key;
+    4. a second partial aggregate merges their parts, and each part closes the version
+       before its own -- no window ever runs over all versions of a key.
     """
-    if method == "auto":
-        from dockstat.operators.windows import choose_bucket
-        bucket, _ = choose_bucket(history, key, station_rows_limit, time)
-        method = "station" if bucket is None else "bucketed"
-    if method == "station":
-        out = _intervals_by_station(history, key, time, check_cols, keep)
-    elif method == "bucketed":
-        out = _intervals_bucketed(history, key, time, check_cols, keep,
-                                  F.to_date(time) if bucket is None else bucket)
-    else:
-        raise ValueError(f"method must be 'auto', 'station' or 'bucketed', got {method!r}")
-    return out.select(
-        key, F.col("version").cast("long").alias("version"), *check_cols, *keep, "valid_from", "valid_to",
-        "last_seen", "snapshots",
+    cols = [c for c in [*check_cols, *keep] if c != time]
+    chk = F.struct(*check_cols)
+    b = history.select(key, time, *cols).withColumn("_bk", F.to_date(time) if bucket is None else bucket)
+    place = F.struct(time, *cols)
+    by_day = Window.partitionBy(key).orderBy(F.col("_bk").asc_nulls_first())
+    header = b.groupBy(key, "_bk").agg(F.max_by(chk, place).alias("_last")) \
+        .select(key, "_bk", F.lag("_last").over(by_day).alias("_prev"), F.lit(0).alias("_kind"))
+    rows = b.withColumn("_kind", F.lit(1)).unionByName(header, allowMissingColumns=True)
+    w = Window.partitionBy(key, "_bk").orderBy("_kind", *(F.col(c).asc_nulls_first() for c in [time, *cols]))
+    before = F.lag(F.when(F.col("_kind") == 0, F.col("_prev")).otherwise(chk)).over(w)
+    rows = rows.withColumn("_start", F.when((F.col("_kind") == 1) & (before.isNull() | ~chk.eqNullSafe(before)), 1)
+                           .otherwise(0)) \
+        .withColumn("_local", F.sum("_start").over(w.rowsBetween(Window.unboundedPreceding, 0))) \
+        .filter(F.col("_kind") == 1)
+    parts = rows.groupBy(key, "_bk", "_local").agg(
+        F.count(F.lit(1)).alias("_n"), F.min(time).alias("_from"), F.max(time).alias("_to"),
+        F.min_by(F.struct(*check_cols, *keep), place).alias("_vals"), F.min(place).alias("_place"))
+    starts = parts.groupBy(key, "_bk").agg(F.max("_local").alias("_starts"))
+    offsets = starts.withColumn("_offset", F.sum("_starts").over(by_day) - F.col("_starts"))
+    parts = join_null_safe(parts, offsets.drop("_starts"), [key, "_bk"]) \
+        .select(key, (F.col("_local") + F.col("_offset")).alias("version"), "_local", "_n", "_from", "_to",
+                "_vals", "_place")
+    closes = parts.filter("version > 1") \
+        .select(key, (F.col("version") - 1).alias("version"), F.col("_from").alias("valid_to"))
+    versions = parts.unionByName(closes, allowMissingColumns=True).groupBy(key, "version").agg(
+        F.min("_from").alias("valid_from"), F.min("valid_to").alias("valid_to"), F.max("_to").alias("last_seen"),
+        F.sum("_n").alias("snapshots"), F.min_by("_vals", "_place").alias("_vals"))
+    return versions.select(
+        key, F.col("version").cast("long").alias("version"),
+        *[F.col(f"_vals.{c}").alias(c) for c in [*check_cols, *keep]], "valid_from", "valid_to", "last_seen", "snapshots",
         F.floor(F.timestamp_diff("MICROSECOND", F.col("valid_from"), F.col("valid_to")) / 1000000)
         .alias("duration_seconds"))
 

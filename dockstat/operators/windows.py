@@ -1,27 +1,27 @@
 """Per-station snapshot windows: rolling mean, lag and recency rank.
 
-Two plans compute the same result:
-
-* ``method="station"`` -- the textbook plan: one window partitioned by
-  station.  Every snapshot of a station meets in one task, so a station
-  holding a large share of all snapshots becomes one huge task.
-* ``method="bucketed"`` (default) -- windows partitioned by (station,
-  time bucket), a day by default.  The few rows a bucket needs from before
-  it (the last ``n - 1`` snapshots, for the rolling frame and the lag) are
-  found by a small top-k per bucket and added as "halo" rows; the recency
-  rank adds the number of snapshots in later buckets, from a per-bucket
-  count.  Both helper passes reduce map-side (partial aggregation and a
-  partial per-partition limit), so only one shuffle moves whole rows and
-  no task holds more than one station-bucket.
+One plan, whatever the size: windows are partitioned by (station, UTC day), so a
+station that holds a large share of all snapshots is spread over its days.  The few
+rows a day needs from before it (the last ``n - 1`` snapshots, for the rolling frame and
+the lag) come from a small top-k per station-day and are added as "halo" rows; the
+recency rank adds the number of snapshots of later days, a total minus a running sum
+over per-day counts.  Both helper passes reduce map-side (partial aggregation and a
+partial per-partition limit), so only one shuffle moves whole rows.
+
+Snapshots of a station are in one total order: ``ingested_at`` (NULL first), then
+``last_reported_at``, then the reported values (:data:`TIE_COLUMNS`).  Only rows equal in
+all of these are interchangeable.  NULL stations are one station, and NULL times a day
+of their own before all others.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dockstat.functions.columns import rate_to_bp
-from dockstat.operators.joins import _PERSISTED
 
 WINDOW_COLUMNS = ["station_id", "station_name", "region_id", "region_name", "total_docks",
                   "last_reported_at", "ingested_at", "num_bikes_available", "num_bikes_disabled",
@@ -29,160 +29,95 @@ WINDOW_COLUMNS = ["station_id", "station_name", "region_id", "region_name", "tot
                   "is_returning", "bike_availability_rate", "dock_availability_rate"]
 OUT_COLUMNS = WINDOW_COLUMNS + ["rolling_3_bike_availability_rate", "prev_bikes_available",
                                 "prev_docks_available", "snapshot_recency_rank"]
+TIE_COLUMNS = ["last_reported_at", "num_bikes_available", "num_docks_available", "num_bikes_disabled",
+               "num_docks_disabled", "is_installed", "is_renting", "is_returning"]
+
+
+def join_null_safe(left: DataFrame, right: DataFrame, cols: list[str]) -> DataFrame:
+    """Inner join on ``cols`` under which NULL equals NULL; they come once, from the left."""
+    right = right.withColumnsRenamed({c: f"_right_{c}" for c in cols})
+    on = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_right_{c}")) for c in cols])
+    return left.join(right, on).drop(*(f"_right_{c}" for c in cols))
+
+
+def _windowed(df: DataFrame, n: int, key: str, order: str, rate: str | None, lags: dict[str, str],
+              bucket: Column | None = None) -> DataFrame:
+    """``df`` with ``_rolling`` (mean of the last n rates), one lag column per entry of ``lags``
+    (source -> name) and ``_rank`` (1 = newest), per ``key`` in the total order."""
+    out_cols = df.columns
+    ties = [c for c in TIE_COLUMNS if c in out_cols and c != order]
+    carried = [order, *ties]
+    carried += [c for c in [*lags, *([rate] if rate else [])] if c not in carried]
+    b = df.withColumn("_bk", F.to_date(order) if bucket is None else bucket)
+    m = max(n - 1, 1)
 
+    def asc(*first):
+        return [*first, *(F.col(c).asc_nulls_first() for c in [order, *ties])]
+
+    # the last m snapshots of each bucket: a partial per-partition limit
+    newest = Window.partitionBy(key, "_bk").orderBy(*(F.col(c).desc_nulls_last() for c in [order, *ties]))
+    tails = (b.select(key, "_bk", *carried).withColumn("_r", F.row_number().over(newest))
+             .filter(F.col("_r") <= m).groupBy(key, "_bk")
+             .agg(F.sort_array(F.collect_list(F.struct(*carried))).alias("_tail")))
+    counts = b.groupBy(key, "_bk").agg(F.count(F.lit(1)).alias("_cnt"))
+    days = join_null_safe(tails, counts, [key, "_bk"])
+
+    # one row per station-day: snapshots in later days, and the m snapshots before the day
+    # (each earlier day holds at least one, so the previous m days have them)
+    by_day = Window.partitionBy(key).orderBy(F.col("_bk").asc_nulls_first())
+    so_far = F.sum("_cnt").over(by_day.rowsBetween(Window.unboundedPreceding, 0))
+    before = F.flatten(F.collect_list("_tail").over(by_day.rowsBetween(-m, -1)))
+    days = days.select(key, "_bk", "_cnt",
+                       (F.sum("_cnt").over(Window.partitionBy(key)) - so_far).alias("_later"),
+                       F.when(F.size(before) > m, F.slice(before, -m, m)).otherwise(before).alias("_halo"))
+    header = days.select(key, "_bk", "_cnt", "_later", F.lit(0).alias("_kind"))
+    halo = days.select(key, "_bk", F.explode("_halo").alias("_h")) \
+        .select(key, "_bk", F.col("_h.*"), F.lit(1).alias("_kind"))
+    rows = (b.withColumn("_kind", F.lit(2)).unionByName(halo, allowMissingColumns=True)
+            .unionByName(header, allowMissingColumns=True))
+
+    # one shuffle of the snapshots by (station, day)
+    w = Window.partitionBy(key, "_bk").orderBy(*asc(F.col("_kind")))
+    frame = w.rowsBetween(-(n - 1), 0)
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    seen = F.sum(F.when(F.col("_kind") == 2, 1).otherwise(0)).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    extra = [F.lag(c).over(w).alias(name) for c, name in lags.items()]
+    if rate:
+        bp = rate_to_bp(rate)
+        extra.append((F.try_divide(F.sum(bp).over(frame), F.count(bp).over(frame)) / 10000).alias("_rolling"))
+    rank = F.max("_cnt").over(whole) + F.max("_later").over(whole) - seen + 1
+    return rows.select(*out_cols, *extra, rank.cast("long").alias("_rank"), "_kind") \
+        .filter(F.col("_kind") == 2).drop("_kind")
 
-def _asc(key: str, order: str):
-    return Window.partitionBy(key).orderBy(F.col(order).asc_nulls_first(),
-                                           F.col("last_reported_at").asc_nulls_first())
+
+LAGS = {"num_bikes_available": "prev_bikes_available", "num_docks_available": "prev_docks_available"}
 
 
 def rolling_mean_rate(df: DataFrame, n: int = 3, key: str = "station_id", order: str = "ingested_at",
                       rate: str = "bike_availability_rate",
                       out: str = "rolling_3_bike_availability_rate") -> DataFrame:
     """Mean of the last ``n`` snapshots' rate (current included), NULLs skipped, unrounded."""
-    w = _asc(key, order).rowsBetween(-(n - 1), 0)
-    bp = rate_to_bp(rate)
-    return df.withColumn(out, F.try_divide(F.sum(bp).over(w), F.count(bp).over(w)) / 10000)
+    return _windowed(df, n, key, order, rate, {}).withColumnRenamed("_rolling", out).drop("_rank")
 
 
-def with_lag(df: DataFrame, cols=("num_bikes_available", "num_docks_available"),
-             key: str = "station_id", order: str = "ingested_at",
-             names=("prev_bikes_available", "prev_docks_available")) -> DataFrame:
+def with_lag(df: DataFrame, cols=tuple(LAGS), key: str = "station_id", order: str = "ingested_at",
+             names=tuple(LAGS.values())) -> DataFrame:
     """Previous snapshot's value per station; NULL for the first snapshot."""
-    w = _asc(key, order)
-    for c, name in zip(cols, names):
-        df = df.withColumn(name, F.lag(c).over(w))
-    return df
+    return _windowed(df, 2, key, order, None, dict(zip(cols, names))).drop("_rank")
 
 
 def with_recency_rank(df: DataFrame, key: str = "station_id", order: str = "ingested_at",
                       out: str = "snapshot_recency_rank") -> DataFrame:
     """1 for the newest snapshot of each station, counting up into the past."""
-    w = Window.partitionBy(key).orderBy(F.col(order).desc_nulls_last(),
-                                        F.col("last_reported_at").desc_nulls_last())
-    return df.withColumn(out, F.row_number().over(w).cast("long"))
-
-
-def _windows_by_station(base: DataFrame, n: int) -> DataFrame:
-    out = rolling_mean_rate(base, n=n)
-    out = with_lag(out)
-    return with_recency_rank(out)
+    return _windowed(df, 1, key, order, None, {}).withColumnRenamed("_rank", out)
 
 
-def _bucket_counts(b: DataFrame, key: str) -> DataFrame:
-    """Pass A1: snapshots per (station, bucket) -- partial aggregation."""
-    return b.groupBy(key, "_bk").agg(F.count(F.lit(1)).alias("_cnt"))
-
-
-def _windows_bucketed(b: DataFrame, n: int, counts: DataFrame) -> DataFrame:
-    key, t, tb = "station_id", "ingested_at", "last_reported_at"
-    m = max(n - 1, 1)
-
-    # Pass A2: the last m snapshots of each bucket -- partial per-partition limit.
-    wdesc = Window.partitionBy(key, "_bk").orderBy(F.col(t).desc_nulls_last(), F.col(tb).desc_nulls_last())
-    tails = (b.select(key, "_bk", t, tb, rate_to_bp("bike_availability_rate").alias("_bp"),
-                      "num_bikes_available", "num_docks_available")
-             .withColumn("_r", F.row_number().over(wdesc)).filter(F.col("_r") <= m)
-             .groupBy(key, "_bk")
-             .agg(F.sort_array(F.collect_list(F.struct(t, tb, "_bp", "num_bikes_available",
-                                                       "num_docks_available"))).alias("_tail")))
-
-    # Per station-bucket (small): rows in later buckets, and the halo = the
-    # last m snapshots before the bucket (each earlier bucket has >= 1 row,
-    # so the previous m buckets hold them).
-    sb = counts.join(tails, [key, "_bk"])
-    ws = Window.partitionBy(key).orderBy(F.col("_bk").asc_nulls_first())
-    prev = F.flatten(F.collect_list("_tail").over(ws.rowsBetween(-m, -1)))
-    sb = sb.select(
-        key, "_bk", "_cnt",
-        F.coalesce(F.sum("_cnt").over(ws.rowsBetween(1, Window.unboundedFollowing)), F.lit(0)).alias("_later"),
-        F.when(F.size(prev) > m, F.slice(prev, -m, m)).otherwise(prev).alias("_halo"))
-
-    header = sb.select(key, "_bk", "_cnt", "_later", F.lit(0).alias("_kind"))
-    halo = (sb.select(key, "_bk", F.explode("_halo").alias("_h"))
-            .select(key, "_bk", F.col("_h")[t].alias(t), F.col("_h")[tb].alias(tb),
-                    (F.col("_h._bp").cast("double") / 10000).alias("bike_availability_rate"),
-                    F.col("_h.num_bikes_available").alias("num_bikes_available"),
-                    F.col("_h.num_docks_available").alias("num_docks_available"),
-                    F.lit(1).alias("_kind")))
-    rows = b.withColumn("_kind", F.lit(2))
-    allrows = rows.unionByName(halo, allowMissingColumns=True).unionByName(header, allowMissingColumns=True)
-
-    # Pass B: one shuffle of the snapshots by (station, bucket).
-    w = Window.partitionBy(key, "_bk").orderBy(F.col("_kind"), F.col(t).asc_nulls_first(),
-                                               F.col(tb).asc_nulls_first())
-    bp = rate_to_bp("bike_availability_rate")
-    frame = w.rowsBetween(-(n - 1), 0)
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    is_row = F.when(F.col("_kind") == 2, 1).otherwise(0)
-    out = allrows.select(
-        *WINDOW_COLUMNS, "_kind",
-        (F.try_divide(F.sum(bp).over(frame), F.count(bp).over(frame)) / 10000)
-        .alias("rolling_3_bike_availability_rate"),
-        F.lag("num_bikes_available").over(w).alias("prev_bikes_available"),
-        F.lag("num_docks_available").over(w).alias("prev_docks_available"),
-        (F.max("_cnt").over(whole) - F.sum(is_row).over(w.rowsBetween(Window.unboundedPreceding, 0)) + 1
-         + F.max("_later").over(whole)).cast("long").alias("snapshot_recency_rank"))
-    return out.filter(F.col("_kind") == 2).select(*OUT_COLUMNS)
-
-
-# Above this many snapshots for one station (or one station-bucket), "auto"
-# moves to the bucketed plan (or to a finer bucket).
-STATION_ROWS_LIMIT = 2_000_000
-
-
-def bucket_ladder(time_col: str = "ingested_at") -> list[Column]:
-    """Time buckets from coarse to fine: UTC day, hour, minute."""
-    t = F.col(time_col)
-    return [F.to_date(t), F.date_trunc("hour", t), F.date_trunc("minute", t)]
-
-
-def choose_bucket(df: DataFrame, key: str, limit: int, time_col: str = "ingested_at"):
-    """Pick a plan from per-(key, bucket) row counts, in one scan of ``df``.
-
-    Rows are counted per (key, minute) -- a partial aggregate far smaller
-    than the rows -- and rolled up to hours, days and keys.  Returns
-    ``(None, None)`` when no key exceeds ``limit`` rows (one window per key
-    is fine), else the coarsest bucket (day, hour, minute) whose largest
-    (key, bucket) holds at most ``limit`` rows -- minute if none does --
-    with the per-(key, bucket) counts.  Only a few numbers reach the driver.
-    """
-    fine = (df.groupBy(key, F.date_trunc("minute", F.col(time_col)).alias("_m"))
-            .agg(F.count(F.lit(1)).alias("_cnt")).persist())
-    _PERSISTED.append(fine)  # released with the measured dimensions at the end of a job
-    largest_key = fine.groupBy(key).agg(F.sum("_cnt").alias("_n")).agg(F.max("_n")).first()[0] or 0
-    if largest_key <= limit:
-        fine.unpersist()
-        return None, None
-    rollups = list(zip(bucket_ladder(time_col),
-                       [F.to_date("_m"), F.date_trunc("hour", F.col("_m")), F.col("_m")]))
-    for i, (bucket, from_minutes) in enumerate(rollups):
-        counts = fine.groupBy(key, from_minutes.alias("_bk")).agg(F.sum("_cnt").alias("_cnt"))
-        if i == len(rollups) - 1 or (counts.agg(F.max("_cnt")).first()[0] or 0) <= limit:
-            return bucket, counts
-    raise AssertionError("unreachable")
-
-
-def availability_windows(history: DataFrame, n: int = 3, method: str = "auto",
-                         bucket: Column | None = None,
-                         station_rows_limit: int = STATION_ROWS_LIMIT) -> DataFrame:
+def availability_windows(history: DataFrame, n: int = 3, bucket: Column | None = None) -> DataFrame:
     """Rolling ``n``-snapshot mean, previous counts and recency rank per station.
 
-    ``method="auto"`` uses the single station-partitioned window when no
-    station exceeds ``station_rows_limit`` snapshots, and otherwise the
-    bucketed plan with the coarsest bucket (day, hour, minute) whose largest
-    station-bucket stays within the limit.  ``bucket`` forces a bucket for
-    ``method="bucketed"`` (default: the UTC day of ``ingested_at``).
+    ``bucket`` replaces the UTC day by another time bucket; the result is the same.
     """
-    base = history.select(*WINDOW_COLUMNS)
-    if method == "station":
-        return _windows_by_station(base, n).select(*OUT_COLUMNS)
-    if method == "auto":
-        bucket, counts = choose_bucket(base, "station_id", station_rows_limit)
-        if bucket is None:
-            return _windows_by_station(base, n).select(*OUT_COLUMNS)
-        return _windows_bucketed(base.withColumn("_bk", bucket), n, counts)
-    if method != "bucketed":
-        raise ValueError(f"method must be 'auto', 'bucketed' or 'station', got {method!r}")
-    b = base.withColumn("_bk", F.to_date("ingested_at") if bucket is None else bucket)
-    return _windows_bucketed(b, n, _bucket_counts(b, "station_id"))
+    out = _windowed(history.select(*WINDOW_COLUMNS), n, "station_id", "ingested_at",
+                    "bike_availability_rate", LAGS, bucket)
+    return out.withColumnsRenamed({"_rolling": "rolling_3_bike_availability_rate",
+                                   "_rank": "snapshot_recency_rank"}).select(*OUT_COLUMNS)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from dockstat.functions import columns as C
 from dockstat.operators.tiers import with_capacity_tier
-from dockstat.operators.windows import availability_windows, rolling_mean_rate, with_lag, with_recency_rank, WINDOW_COLUMNS
+from dockstat.operators.windows import rolling_mean_rate, with_lag, with_recency_rank, WINDOW_COLUMNS
 from dockstat.plans import oracle as O
 from dockstat.plans.context import Models
 from dockstat.plans.marts_core import dim_pricing_plans
@@ -105,12 +105,6 @@ def q_windows(spark, sf_dir):
     return Models.of(spark, sf_dir).windows
 
 
-@register("availability_windows_bucketed", O.q("windows", "select * from windows"))
-def q_windows_bucketed(spark, sf_dir):
-    """The hot-station plan, forced: windows by (station, day) with halo rows."""
-    return availability_windows(Models.of(spark, sf_dir).history, method="bucketed")
-
-
 # -- column functions ------------------------------------------------------------
 
 _BUCKET_SQL = """case when {r} is null then 'unknown' when {r} = 0 then 'empty' when {r} < 0.20 then 'critical'
@@ -319,8 +313,7 @@ _ST_FLAT = """select c_custkey as station_id, c_name as station_name, c_mktsegme
   cast(40.6 as double) + cast((c_custkey*53)%997 as double)/4000 as latitude,
   cast(-74.05 as double) + cast((c_custkey*71)%991 as double)/4000 as longitude,
   cast((c_custkey*7)%70 as bigint) as total_docks, c_nationkey%2=0 as has_kiosk
-from customer join nation on c_nationkey=n_nationkey join region on n_regionkey=r_regionkey
-where c_custkey%13<>5"""
+from customer join nation on c_nationkey=n_nationkey join region on n_regionkey=r_regionkey"""
 
 
 @register("stage_stations", f"""
@@ -481,13 +474,6 @@ def q_scd2_from_history(spark, sf_dir):
                              ["is_installed", "is_renting", "is_returning"])
 
 
-@register("scd2_from_history_bucketed", _INTERVALS_SQL)
-def q_scd2_from_history_bucketed(spark, sf_dir):
-    """The hot-station plan, forced: versions found per (station, day)."""
-    return scd2_from_history(Models.of(spark, sf_dir).history, "station_id", "ingested_at",
-                             ["is_installed", "is_renting", "is_returning"], method="bucketed")
-
-
 # -- data quality ------------------------------------------------------------------------
 
 NO_FUTURE_AS_OF = "2024-01-25 00:00:00"
@@ -503,17 +489,46 @@ def _staged(spark, sf_dir):
     }
 
 
+def _with_gaps(spark, sf_dir):
+    """The staged tables with NULLs in a name, a count and a price, for the checks to find."""
+    t = _staged(spark, sf_dir)
+    return t | {
+        "stage_stations": t["stage_stations"].withColumn(
+            "station_name", F.expr("case when cast(station_id as bigint) % 29 <> 0 then station_name end")),
+        "stage_station_status": t["stage_station_status"].withColumn(
+            "num_bikes_available", F.expr("nullif(num_bikes_available, 7)")),
+        "stage_pricing_plans": t["stage_pricing_plans"].withColumn(
+            "price", F.expr("case when cast(description as bigint) % 31 <> 0 then price end"))}
+
+
+def _with_bad_rates(fact):
+    """Snapshots with three disabled bikes report a rate that is too high, closed stations one below zero."""
+    return fact.withColumn("bike_availability_rate", F.expr(
+        "bike_availability_rate + if(num_bikes_disabled = 3, 0.75D, 0D)")) \
+        .withColumn("dock_availability_rate", F.expr("dock_availability_rate - if(is_installed, 0D, 0.5D)"))
+
+
+def _with_bad_scores(health):
+    return health.withColumn("health_score", F.expr("health_score * 2 - 70"))
+
+
+_BAD_FACT = """(select * replace (
+  bike_availability_rate + if(num_bikes_disabled = 3, 0.75, 0)::double as bike_availability_rate,
+  dock_availability_rate - if(is_installed, 0, 0.5)::double as dock_availability_rate) from fact)"""
+_BAD_HEALTH = "(select * replace (health_score * 2 - 70 as health_score) from health)"
+
 _NN_SOURCES = {
-    "stage_stations": ("st", {"station_id": "station_id", "station_name": "station_name",
+    "stage_stations": ("st", {"station_id": "station_id",
+                              "station_name": "case when station_id % 29 <> 0 then station_name end",
                               "latitude": "latitude", "longitude": "longitude",
                               "total_docks": "total_docks", "ingested_at": "ingested_at"}),
-    "stage_station_status": ("status", {"station_id": "station_id", "num_bikes_available": "num_bikes_available",
+    "stage_station_status": ("status", {"station_id": "station_id", "num_bikes_available": "nullif(num_bikes_available, 7)",
                                         "num_docks_available": "num_docks_available",
                                         "last_reported_at": "last_reported_at", "ingested_at": "ingested_at"}),
     "stage_regions": ("rg", {"region_id": "region_id", "region_name": "region_name", "ingested_at": "ingested_at"}),
     "stage_bikes": ("bk", {"bike_id": "bike_id", "ingested_at": "ingested_at"}),
     "stage_pricing_plans": ("orders", {"plan_id": "o_custkey", "plan_name": "o_orderpriority",
-                                       "price": "o_totalprice", "ingested_at": "o_orderdate"}),
+                                       "price": "case when o_orderkey % 31 <> 0 then o_totalprice end", "ingested_at": "o_orderdate"}),
 }
 
 
@@ -532,21 +547,21 @@ _DQ_NN = O.with_ctes("st", "rg", "status", "bk") + "select * from (" + _not_null
 
 @register("dq_not_null", _DQ_NN)
 def q_dq_not_null(spark, sf_dir):
-    return check_not_null(_staged(spark, sf_dir))
+    return check_not_null(_with_gaps(spark, sf_dir))
 
 
-@register("dq_rate_valid", O.q("fact", """
-select station_id, ingested_at, bike_availability_rate, dock_availability_rate from fact
+@register("dq_rate_valid", O.q("fact", f"""
+select station_id, ingested_at, bike_availability_rate, dock_availability_rate from {_BAD_FACT}
 where (bike_availability_rate is not null and (bike_availability_rate < 0 or bike_availability_rate > 1))
    or (dock_availability_rate is not null and (dock_availability_rate < 0 or dock_availability_rate > 1))"""))
 def q_dq_rate_valid(spark, sf_dir):
-    return check_rate_valid(Models.of(spark, sf_dir).fact)
+    return check_rate_valid(_with_bad_rates(Models.of(spark, sf_dir).fact))
 
 
-@register("dq_score_bounded", O.q("health", """
-select station_id, station_name, health_score from health where health_score < 0 or health_score > 100"""))
+@register("dq_score_bounded", O.q("health", f"""
+select station_id, station_name, health_score from {_BAD_HEALTH} where health_score < 0 or health_score > 100"""))
 def q_dq_score_bounded(spark, sf_dir):
-    return check_score_bounded(Models.of(spark, sf_dir).health)
+    return check_score_bounded(_with_bad_scores(Models.of(spark, sf_dir).health))
 
 
 @register("dq_no_future", O.q("fact", f"""
@@ -559,18 +574,18 @@ def q_dq_no_future(spark, sf_dir):
 select check_name, failures, failures = 0 as passed from (
   {_not_null_sql()}
   union all
-  select 'rate_valid', count(*) from fact
+  select 'rate_valid', count(*) from {_BAD_FACT}
    where (bike_availability_rate is not null and (bike_availability_rate < 0 or bike_availability_rate > 1))
       or (dock_availability_rate is not null and (dock_availability_rate < 0 or dock_availability_rate > 1))
   union all
-  select 'score_bounded', count(*) from health where health_score < 0 or health_score > 100
+  select 'score_bounded', count(*) from {_BAD_HEALTH} where health_score < 0 or health_score > 100
   union all
   select 'no_future', count(*) from fact where ingested_at > timestamp '{NO_FUTURE_AS_OF}')""")
 def q_dq_summary(spark, sf_dir):
     m = Models.of(spark, sf_dir)
-    return run_checks(check_not_null(_staged(spark, sf_dir)), {
-        "rate_valid": check_rate_valid(m.fact),
-        "score_bounded": check_score_bounded(m.health),
+    return run_checks(check_not_null(_with_gaps(spark, sf_dir)), {
+        "rate_valid": check_rate_valid(_with_bad_rates(m.fact)),
+        "score_bounded": check_score_bounded(_with_bad_scores(m.health)),
         "no_future": check_no_future(m.fact, NO_FUTURE_AS_OF)})
 
 

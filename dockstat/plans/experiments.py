@@ -55,11 +55,9 @@ def _windowed(interventions: DataFrame, fact: DataFrame, days: int,
           .withColumn("snapshot_date", F.explode(F.sequence(
               F.date_sub("intervention_date", days), F.date_add("intervention_date", days)))))
     snaps = fact.select("station_id", F.to_date("ingested_at").alias("snapshot_date"),
-                        "bike_availability_rate", "num_bikes_available", "num_docks_available")
+                        "bike_availability_rate", "num_bikes_available")
     j = bounded_broadcast(iv, broadcast_rows).join(snaps, ["station_id", "snapshot_date"])
-    return (j.withColumn("days_from_intervention", F.datediff("snapshot_date", "intervention_date"))
-            .withColumn("period", F.when(F.col("snapshot_date") < F.col("intervention_date"), "pre")
-                        .otherwise("post")))
+    return j.withColumn("period", F.when(F.col("snapshot_date") < F.col("intervention_date"), "pre").otherwise("post"))
 
 
 def intervention_periods(interventions: DataFrame, fact: DataFrame, days: int = 14) -> DataFrame:

@@ -2,15 +2,13 @@
 
 There are no bike-share tables in the benchmark data, so these views map
 the benchmark tables onto the feed's shape (stations from customers, status
-snapshots from events, bikes from suppliers, interventions from a fixed
-share of customers).  The same mapping is written in SQL for the DuckDB
+snapshots from events, bikes from suppliers, interventions from customers).  The same mapping is written in SQL for the DuckDB
 oracle (:mod:`dockstat.plans.oracle`).  Every view is a pure projection or
 join of whole tables, so the work grows with the data.
 
-The ``c_custkey % 13 <> 5`` rule leaves some customers without a station
-row while their events remain: it creates status snapshots of stations that
-are unknown to station_information ("orphans"), an edge case the reference
-handles with NULL metadata.  It is part of the fixture, not a sample.
+Every customer is a station and has an intervention.  One event in thirteen reports an
+id that no customer has (``-1 - user_id``): snapshots of stations unknown to
+station_information, which keep NULL metadata.
 """
 
 from __future__ import annotations
@@ -47,7 +45,7 @@ _STATION_EXPRS = [
 
 
 def _customer_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = table(spark, sf_dir, "customer").where("c_custkey % 13 <> 5")
+    c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation")
     return c.join(n, F.col("c_nationkey") == F.col("n_nationkey"))
 
@@ -75,7 +73,7 @@ def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Staged-shape station_status snapshots: one per event."""
     return table(spark, sf_dir, "events").selectExpr(
-        "user_id as station_id",
+        "case when event_id % 13 = 5 then -1 - user_id else user_id end as station_id",
         "floor(value) % 40 as num_bikes_available",
         "(floor(value) % 40) % 7 as num_ebikes_available",
         "event_id % 4 as num_bikes_disabled",
@@ -105,10 +103,10 @@ _KIND = ("case c_custkey % 3 when 0 then 'rebalancing' when 1 then 'maintenance'
 
 
 def interventions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Intervention records: every 25th customer, dated inside the event month."""
-    return table(spark, sf_dir, "customer").where("c_custkey % 25 = 0").selectExpr(
+    """Intervention records: one per customer, dated inside the event month."""
+    return table(spark, sf_dir, "customer").selectExpr(
         "c_custkey as station_id",
-        "date_add(date'2024-01-08', cast(floor(c_custkey / 25) as int) % 15) as intervention_date",
+        "date_add(date'2024-01-08', cast(c_custkey % 15 as int)) as intervention_date",
         f"{_KIND} as intervention_type",
         f"concat('planned ', {_KIND}, ' for ', c_name) as notes")
 

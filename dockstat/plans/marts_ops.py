@@ -10,7 +10,7 @@ from dockstat.functions.columns import avg_rate_4dp, half_up_div, mean_rounded,
 
 def _ratio_4dp(num: Column, den: Column) -> Column:
     """``round(safe_divide(num, den), 4)`` exactly, for non-negative integers."""
-    return half_up_div(num * 10000, den) / 10000
+    return half_up_div(num.cast("decimal(38,0)") * 10000, den.cast("decimal(38,0)")) / 10000
 
 
 def _distinct_stations(approx: bool) -> Column:
@@ -48,8 +48,10 @@ def _priority_2dp(n: Column, empty: Column, bp_sum: Column, bp_count: Column) ->
     """``round(empty/n*60 + (1 - avg_rate)*40, 2)`` with ``avg_rate = bp_sum/bp_count/10000``.
 
     In hundredths: ``6000*e/n + 4000 - 2*S/(5*c)`` over the common
-    denominator ``5*c*n``; NULL when no rate was observed.
+    denominator ``5*c*n``; NULL when no rate was observed.  The products grow with the
+    square of the snapshots of a station-day, so they are wide decimals.
     """
+    n, empty, bp_sum, bp_count = (c.cast("decimal(38,0)") for c in (n, empty, bp_sum, bp_count))
     num = empty * bp_count * 30000 + bp_count * n * 20000 - bp_sum * n * 2
     return half_up_div(num, bp_count * n * 5) / 100
 

@@ -71,9 +71,6 @@ def test_intervals_from_history(spark):
          ("B", t(0), None), ("B", t(5), None)],
         "station_id string, ingested_at timestamp, is_renting boolean")
     out = scd2_from_history(h, "station_id", "ingested_at", ["is_renting"])
-    for method in ("station", "bucketed"):
-        other = scd2_from_history(h, "station_id", "ingested_at", ["is_renting"], method=method)
-        assert sorted(map(tuple, other.collect())) == sorted(map(tuple, out.collect()))
     got = sorted((r.station_id, r.version, r.is_renting, r.valid_from, r.valid_to, r.snapshots,
                   r.duration_seconds) for r in out.collect())
     assert got == [("A", 1, True, t(0), t(20), 2, 1200), ("A", 2, False, t(20), t(40), 2, 1200),
@@ -84,19 +81,6 @@ def test_intervals_from_history(spark):
         assert all(a[1] == b[0] for a, b in zip(vs, vs[1:]))
 
 
-def test_interval_plans_agree(spark):
-    from dockstat.plans.context import Models
-    h = Models(spark, "/root/testdata/sf0.01").history
-    cols = ["is_installed", "is_renting", "is_returning"]
-    a = scd2_from_history(h, "station_id", "ingested_at", cols, keep=["num_bikes_available"], method="station")
-    b = scd2_from_history(h, "station_id", "ingested_at", cols, keep=["num_bikes_available"], method="bucketed")
-    c = scd2_from_history(h, "station_id", "ingested_at", cols, method="bucketed",
-                          bucket=F.date_trunc("hour", "ingested_at"))
-    rows = lambda df: sorted(tuple(r) for r in df.collect())
-    assert rows(a) == rows(b)
-    assert rows(a.drop("num_bikes_available")) == rows(c)
-
-
 def test_capacity_roster_latest_batch_closes_dropped_stations(spark):
     from dockstat.operators.scd2 import snapshot_capacity
     cols = ("station_id string, station_name string, region_id string, region_name string, total_docks long, "

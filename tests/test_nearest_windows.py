@@ -1,12 +1,15 @@
 import datetime as dt
+import time
 import math
 
 import numpy as np
 import pytest
+import plain
 from pyspark.sql import functions as F
 
 from dockstat.operators.nearest import nearest_station
-from dockstat.operators.windows import availability_windows
+from dockstat.operators.scd2 import scd2_from_history
+from dockstat.operators.windows import availability_windows, rolling_mean_rate, with_lag, with_recency_rank
 from dockstat.plans.context import Models
 
 SF = "/root/testdata/sf0.01"
@@ -63,54 +66,52 @@ def test_nearest_empty_inputs(spark):
 
 
 def _rows(df):
-    return sorted(tuple(r) for r in df.collect())
+    return sorted((tuple(r) for r in df.collect()), key=str)
 
 
-def test_bucketed_windows_equal_station_windows(spark):
-    h = Models(spark, SF).history
-    a = availability_windows(h, method="station")
-    b = availability_windows(h, method="bucketed")
-    assert _rows(a) == _rows(b)
+def odd_snapshots(spark):
+    """A hot station, sparse days, tied times, NULL stations, NULL times and NULL values."""
+    t = [T0 + dt.timedelta(minutes=7 * k) for k in range(400)]
+    t += [T0 + dt.timedelta(days=5), T0 + dt.timedelta(days=7), T0 + dt.timedelta(days=7, minutes=1)]
+    rows = [("H", "Hot", "R", "Reg", 20, ts, ts, k % 21, 0, 20 - k % 21, 0, True, k % 17 != 0, True,
+             round(min(1.0, (k % 21) / 20), 4), None) for k, ts in enumerate(t)]
+    for k in range(60):
+        when = None if k % 7 == 0 else T0 + dt.timedelta(hours=k // 3)      # ties of three
+        rows.append((None if k % 2 else "S", None, "R", "Reg", 20, T0 if k % 5 else None, when, k % 4 or None, k % 2,
+                     k % 3, 0, k % 6 != 0, True, None if k % 11 == 0 else True, k % 4 / 4 if k % 4 else None, 0.25))
+    return spark.createDataFrame(rows, plain.SCHEMA).repartition(3)
 
 
-def test_bucketed_windows_hot_station_and_sparse_days(spark):
-    # one station with many snapshots on some days and single snapshots on others
-    t = [T0 + dt.timedelta(hours=k) for k in range(0, 24 * 3, 1)] + \
-        [T0 + dt.timedelta(days=5), T0 + dt.timedelta(days=7), T0 + dt.timedelta(days=7, minutes=1)]
-    rows = [("H", "Hot", "R", "Reg", 20, ts, ts, k % 21, 0, 20 - k % 21, 0, True, True, True,
-             round(min(1.0, (k % 21) / 20), 4), None) for k, ts in enumerate(t)]
-    rows += [("S", "Solo", "R", "Reg", 20, T0, T0, None, 0, 5, 0, True, True, True, None, 0.25)]
-    df = spark.createDataFrame(rows, "station_id string, station_name string, region_id string, "
-                                     "region_name string, total_docks long, last_reported_at timestamp, "
-                                     "ingested_at timestamp, num_bikes_available long, num_bikes_disabled long, "
-                                     "num_docks_available long, num_docks_disabled long, is_installed boolean, "
-                                     "is_renting boolean, is_returning boolean, bike_availability_rate double, "
-                                     "dock_availability_rate double")
+def test_windows_equal_plain_python(spark):
+    df = odd_snapshots(spark)
     for n in (2, 3, 5):
-        a = availability_windows(df, n=n, method="station")
+        want = plain.windows(df, n)
         for bucket in (None, F.date_trunc("hour", "ingested_at")):
-            b = availability_windows(df, n=n, method="bucketed", bucket=bucket)
-            assert _rows(a) == _rows(b)
-
-
-def test_auto_plan_picks_finer_buckets_for_a_hot_station_day(spark):
-    from dockstat.operators.windows import choose_bucket
-    from dockstat.operators.scd2 import scd2_from_history
-    t = [T0 + dt.timedelta(minutes=k) for k in range(0, 180)]   # one station, one day, 3 hours
-    rows = [("H", "Hot", "R", "Reg", 20, ts, ts, k % 21, 0, 20 - k % 21, 0, True, k % 17 != 0, True,
-             round(min(1.0, (k % 21) / 20), 4), None) for k, ts in enumerate(t)]
-    df = spark.createDataFrame(rows, "station_id string, station_name string, region_id string, "
-                                     "region_name string, total_docks long, last_reported_at timestamp, "
-                                     "ingested_at timestamp, num_bikes_available long, num_bikes_disabled long, "
-                                     "num_docks_available long, num_docks_disabled long, is_installed boolean, "
-                                     "is_renting boolean, is_returning boolean, bike_availability_rate double, "
-                                     "dock_availability_rate double")
-    bucket, counts = choose_bucket(df, "station_id", 100)
-    assert counts.agg(F.max("_cnt")).first()[0] == 60   # hour buckets: 60 rows each
-    a = availability_windows(df, method="station")
-    b = availability_windows(df, method="auto", station_rows_limit=100)
-    assert _rows(a) == _rows(b)
+            assert _rows(availability_windows(df, n=n, bucket=bucket)) == want
+    want = {(str(r[0]), str(r[6]), r[-1]) for r in plain.windows(df)}
+    got = with_recency_rank(df)
+    assert {(str(r.station_id), str(r.ingested_at), r.snapshot_recency_rank) for r in got.collect()} == want
+    assert _rows(rolling_mean_rate(df).select("rolling_3_bike_availability_rate")) == \
+        sorted(((r[-4],) for r in plain.windows(df)), key=str)
+    assert _rows(with_lag(df).select("prev_bikes_available", "prev_docks_available")) == \
+        sorted(((r[-3], r[-2]) for r in plain.windows(df)), key=str)
+
+
+def test_intervals_equal_plain_python(spark):
+    df = odd_snapshots(spark)
     cols = ["is_installed", "is_renting", "is_returning"]
-    x = scd2_from_history(df, "station_id", "ingested_at", cols, method="station")
-    y = scd2_from_history(df, "station_id", "ingested_at", cols, method="auto", station_rows_limit=100)
-    assert _rows(x) == _rows(y)
+    for bucket in (None, F.date_trunc("hour", "ingested_at")):
+        got = scd2_from_history(df, "station_id", "ingested_at", cols, ["num_bikes_available"], bucket)
+        assert _rows(got) == plain.intervals(df, "station_id", "ingested_at", cols, ["num_bikes_available"])
+
+
+def test_a_station_of_many_minutes_is_quick(spark):
+    """The frame over a station's buckets is a running sum: half a million of them take seconds."""
+    n = 500_000
+    df = spark.range(n).selectExpr("'H' as station_id", *[f"cast(null as {t}) as {c}" for c, t in (
+        p.split() for p in plain.SCHEMA.split(", ")) if c not in ("station_id", "ingested_at")],
+        "timestamp_seconds(id * 60) as ingested_at")
+    t = time.time()
+    ranks = availability_windows(df, bucket=F.date_trunc("minute", "ingested_at")) \
+        .agg(F.min("snapshot_recency_rank"), F.max("snapshot_recency_rank"), F.sum("snapshot_recency_rank")).first()
+    assert tuple(ranks) == (1, n, n * (n + 1) // 2) and time.time() - t < 120

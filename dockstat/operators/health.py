@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from dockstat.functions.columns import (health_status, rate_to_bp, hundredths, score_low_disabled_h,
                                         score_operational_h, score_rate_h)
+from dockstat.operators.windows import TIE_COLUMNS
 
 HEALTH_INPUT = ["station_id", "station_name", "region_id", "region_name", "total_docks",
                 "num_bikes_available", "num_docks_available", "num_bikes_disabled",
@@ -22,8 +23,7 @@ def top_snapshots(history: DataFrame, n: int = 3) -> DataFrame:
     keep this small table and fold each day's new snapshots into it instead
     of rescanning the history: ``top_snapshots(previous.unionByName(new), n)``.
     """
-    w = Window.partitionBy("station_id").orderBy(F.col("ingested_at").desc_nulls_last(),
-                                                 F.col("last_reported_at").desc_nulls_last())
+    w = Window.partitionBy("station_id").orderBy(*(F.col(c).desc_nulls_last() for c in ["ingested_at", *TIE_COLUMNS]))
     return history.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= n).drop("_r")
 
 
@@ -35,8 +35,7 @@ def latest_snapshots(history: DataFrame, n: int = 3) -> DataFrame:
     that Spark applies per partition before the shuffle -- a station with
     millions of snapshots sends at most ``n`` per map task.
     """
-    w = Window.partitionBy("station_id").orderBy(F.col("ingested_at").desc_nulls_last(),
-                                                 F.col("last_reported_at").desc_nulls_last())
+    w = Window.partitionBy("station_id").orderBy(*(F.col(c).desc_nulls_last() for c in ["ingested_at", *TIE_COLUMNS]))
     top = history.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= n)
     bp = rate_to_bp("bike_availability_rate")
     per = Window.partitionBy("station_id")

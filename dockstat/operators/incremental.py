@@ -4,26 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dockstat.session import work_path
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema
-        return True
-    except Exception:  # noqa: BLE001 -- missing or empty folder
-        return False
+from dockstat.sources.sinks import newest_partition, remove, table_exists
 
 
 def table_watermark(spark: SparkSession, path: str, watermark: str, partition_col: str | None):
     """``max(watermark)`` of the table; with a partition column only the newest
-    partition is scanned (partition pruning)."""
+    partition, found by listing folders, is scanned."""
     t = spark.read.parquet(path)
     if partition_col:
-        last = t.select(partition_col).distinct().agg(F.max(partition_col)).first()[0]
+        last = newest_partition(spark, path, partition_col)
         if last is None:
             return None
         t = t.filter(F.col(partition_col) == F.lit(last))
@@ -38,10 +31,13 @@ def _prepare(rows: DataFrame, keys: list[str], partition_col: str | None) -> Dat
     narrow slice of partitions, so each task writes a few files instead of
     one per partition value.  A hot station is cut by date and time.
     """
+    first = [partition_col, *keys] if partition_col else list(keys)
     if partition_col:
-        rows = rows.repartitionByRange(partition_col, *keys)
-        return rows.dropDuplicates([partition_col, *keys])
-    return rows.dropDuplicates(keys)
+        rows = rows.repartitionByRange(*first)
+    # of rows with equal keys the one with the greatest other values stays, on every run
+    order = [F.col(c).desc_nulls_last() for c in rows.columns if c not in first] or [F.lit(1)]
+    return rows.withColumn("_rn", F.row_number().over(Window.partitionBy(*first).orderBy(*order))) \
+        .filter(F.col("_rn") == 1).drop("_rn")
 
 
 def incremental_merge(target_path: str, source: DataFrame, keys: Sequence[str] = ("station_id", "ingested_at"),
@@ -54,7 +50,8 @@ def incremental_merge(target_path: str, source: DataFrame, keys: Sequence[str] =
     late or equal-time rows are not loaded -- and upsert them on ``keys``.
     An existing but empty table has no maximum; it loads everything (the
     warehouse version would load nothing, forever).  Duplicate keys within
-    a batch are reduced to one row.
+    a batch are reduced to one row.  A table that can't be read raises; only a missing
+    one counts as absent.
 
     When ``watermark`` is one of ``keys`` (the snapshot fact: station_id,
     ingested_at) a row past the watermark cannot match a stored key, so the
@@ -79,7 +76,9 @@ def incremental_merge(target_path: str, source: DataFrame, keys: Sequence[str] =
         source = source.withColumn(partition_col, pexpr)
 
     def done(touched):
-        t = spark.read.parquet(target_path)
+        # an empty first batch leaves no file: the table is still missing, and empty
+        t = spark.read.parquet(target_path) if table_exists(spark, target_path) else \
+            spark.createDataFrame([], source.schema)
         return (t, touched) if return_touched else t
 
     def write(df: DataFrame, mode: str) -> None:
@@ -90,7 +89,7 @@ def incremental_merge(target_path: str, source: DataFrame, keys: Sequence[str] =
                 w = w.option("partitionOverwriteMode", "dynamic")
         w.parquet(target_path)
 
-    if not _exists(spark, target_path):
+    if not table_exists(spark, target_path):
         write(_prepare(source, keys, partition_col), "overwrite")
         return done(None)
 
@@ -115,5 +114,6 @@ def incremental_merge(target_path: str, source: DataFrame, keys: Sequence[str] =
     staged_path = work_path(spark, "merge-stage")
     kept.unionByName(new.select(*target.columns)).write.mode("overwrite").parquet(staged_path)
     write(spark.read.parquet(staged_path), "overwrite")
+    remove(spark, staged_path)
     new.unpersist()
     return done(touched)

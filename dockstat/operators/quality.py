@@ -66,9 +66,9 @@ def run_checks(not_null: DataFrame | None = None, failing: Mapping[str, DataFram
     """Combine check results into (check_name, failures, passed).
 
     ``failing`` maps a check name to its failing-rows DataFrame; each is
-    reduced to a count inside the job, nothing is collected.  With
-    ``raise_on_failure`` the totals (a handful of rows) are fetched and a
-    failure raises :class:`DataQualityError`.
+    reduced to a count inside the job.  With ``raise_on_failure`` the checks run here, once:
+    the totals (a handful of rows) are fetched and returned as a local table, and a failure
+    raises :class:`DataQualityError`.
     """
     parts = [] if not_null is None else [not_null]
     for name, df in (failing or {}).items():
@@ -76,7 +76,9 @@ def run_checks(not_null: DataFrame | None = None, failing: Mapping[str, DataFram
                      .select(F.lit(name).alias("check_name"), "failures"))
     out = reduce(DataFrame.unionByName, parts).withColumn("passed", F.col("failures") == 0)
     if raise_on_failure:
-        bad = [r for r in out.filter(~F.col("passed")).collect()]
+        rows = out.collect()
+        bad = [r for r in rows if not r.passed]
         if bad:
             raise DataQualityError(", ".join(f"{r.check_name}={r.failures}" for r in bad))
+        out = out.sparkSession.createDataFrame(rows, out.schema)
     return out

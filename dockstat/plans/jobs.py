@@ -43,10 +43,10 @@ from dockstat.plans.marts_core import (FACT_COLUMNS, dim_pricing_plans, dim_regi
 from dockstat.plans.marts_ops import (fleet_availability, region_hour_stations, region_hourly_parts,
                                       region_hourly_rollup, station_daily_performance)
 from dockstat.session import build_session
-from dockstat.sources.gbfs import FEEDS, read_gbfs
+from dockstat.sources.gbfs import FEEDS, raw_schema, read_gbfs_stream
 from dockstat.sources.seeds import capacity_tiers, read_interventions
-from dockstat.sources.sinks import (append_raw, append_version, prune_versions, publish_table,
-                                   read_latest_version)
+from dockstat.sources.sinks import (append_version, children, load_new_files, prune_versions, publish_table,
+                                   read_latest_version, read_table, table_exists)
 
 
 @dataclass
@@ -65,13 +65,6 @@ class Paths:
         return f"{self.root}/snapshots/{name}"
 
 
-def _read(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 -- table not created yet
-        return None
-
-
 def publish_version(spark: SparkSession, df: DataFrame, path: str, run: str) -> DataFrame:
     """Publish ``df`` as version ``run`` unless it is already there; return the newest version."""
     _, version = read_latest_version(spark, path)
@@ -84,9 +77,13 @@ def run_stamp(as_of: str) -> str:
     return as_of.replace("-", "").replace(":", "").replace(" ", "T")
 
 
-def staged(spark: SparkSession, p: Paths, since: dict | None = None) -> dict[str, DataFrame]:
-    """Staged views of the raw tables; with ``since`` only rows loaded after it."""
-    raw = {f: spark.read.parquet(p.raw(f)) for f in FEEDS}
+def staged(spark: SparkSession, p: Paths, since: dict | None = None,
+           loads: dict | None = None) -> dict[str, DataFrame]:
+    """Staged views of the raw tables; with ``since`` only rows stamped after it, with
+    ``loads`` only those of the named loads."""
+    raw = {f: read_table(spark, p.raw(f), raw_schema(f)) for f in FEEDS}
+    if loads is not None:
+        raw = {f: df.filter(F.col("load").isin(loads.get(f, []))) for f, df in raw.items()}
     if since:
         raw = {f: _since(df, since.get(f)) for f, df in raw.items()}
     return {
@@ -98,17 +95,6 @@ def staged(spark: SparkSession, p: Paths, since: dict | None = None) -> dict[str
     }
 
 
-def _raw_watermark(spark: SparkSession, path: str):
-    """Newest ``ingested_at`` of a raw table (newest ``ingest_date`` partition only)."""
-    t = _read(spark, path)
-    if t is None:
-        return None
-    last_day = t.select("ingest_date").distinct().agg(F.max("ingest_date")).first()[0]
-    if last_day is None:
-        return None
-    return t.filter(F.col("ingest_date") == F.lit(last_day)).agg(F.max("ingested_at")).first()[0]
-
-
 def _since(df: DataFrame, last) -> DataFrame:
     if last is None:
         return df
@@ -116,32 +102,29 @@ def _since(df: DataFrame, last) -> DataFrame:
 
 
 def run_refresh(spark: SparkSession, p: Paths) -> DataFrame:
-    """Ingest every landed file not yet loaded, then check what was loaded.
+    """Load every landed file not loaded yet, once, then check what was loaded.
 
-    The checks read only the rows this run appended (pruned to their
-    ``ingest_date`` partitions), so a half-hourly run costs what it loads.
+    The checks read only the rows of this run's loads (``load=`` partitions).  A feed
+    that has not landed yet, or landed without items, is an empty table; a truncated
+    file fails the run and is loaded once it is mended.
     """
-    before = {}
+    loads = {}
     for feed in FEEDS:
-        rows = read_gbfs(spark, f"{p.landing}/{feed}", feed)
-        before[feed] = last = _raw_watermark(spark, p.raw(feed))
-        if last is not None:  # load only fetches newer than the table
-            rows = rows.filter(F.col("ingested_at") > F.lit(last))
-        append_raw(rows, p.raw(feed))
-    st = staged(spark, p)
-    new = staged(spark, p, since=before)
+        landed = f"{p.landing}/{feed}"
+        loads[feed] = load_new_files(read_gbfs_stream(spark, landed, feed), p.raw(feed),
+                                     f"{p.root}/raw/_loaded/{feed}") if children(spark, landed) else []
+    st, new = staged(spark, p), staged(spark, p, loads=loads)
     enriched = stations_enriched(st["stage_stations"], st["stage_regions"])
     history = status_history(new["stage_station_status"], enriched)
     try:
         return run_checks(check_not_null(new), {"rate_valid": check_rate_valid(history),
-                                                "no_future": check_no_future(history)},
-                          raise_on_failure=True).cache()
+                                                "no_future": check_no_future(history)}, raise_on_failure=True)
     finally:
         release_broadcasts()
 
 
 def _table_watermark(spark: SparkSession, path: str):
-    return table_watermark(spark, path, "ingested_at", "snapshot_date") if _read(spark, path) is not None else None
+    return table_watermark(spark, path, "ingested_at", "snapshot_date") if table_exists(spark, path) else None
 
 
 def _after(df: DataFrame, last) -> DataFrame:
@@ -163,8 +146,18 @@ def run_daily(spark: SparkSession, p: Paths, as_of: str | None = None, keep_vers
     fact_path, bikes_path = p.mart("status_snapshots"), p.mart("bike_nearest_station")
     last, last_bike = _table_watermark(spark, fact_path), _table_watermark(spark, bikes_path)
 
+    # The run's upper bound is fixed before anything else is written, so a retry of the run
+    # covers the same snapshots even if more have landed since.
+    bounds, version = read_latest_version(spark, p.mart("daily_bounds"))
+    if version is None or version < run:
+        append_version(read_table(spark, p.raw("station_status"), raw_schema("station_status"))
+                       .agg(F.max("ingested_at").alias("upper")), p.mart("daily_bounds"), run)
+        bounds, _ = read_latest_version(spark, p.mart("daily_bounds"))
+    upper = bounds.first()["upper"]
+
     st = staged(spark, p)
     new = staged(spark, p, since={"station_status": last, "free_bike_status": last_bike})
+    new["stage_station_status"] = new["stage_station_status"].filter(F.col("ingested_at") <= F.lit(upper))
     enriched = stations_enriched(st["stage_stations"], st["stage_regions"])
     fact = incremental_merge(fact_path, fct_status_snapshots(status_history(new["stage_station_status"], enriched)))
 
@@ -173,7 +166,7 @@ def run_daily(spark: SparkSession, p: Paths, as_of: str | None = None, keep_vers
     # after a failure part-way redoes the same work instead of skipping it.
     state, _ = read_latest_version(spark, p.mart("daily_state"))
     done_wm = None if state is None else state.first()["fact_watermark"]
-    fresh = _after(fact, done_wm)
+    fresh = _after(fact, done_wm).filter(F.col("ingested_at") <= F.lit(upper))
     touched = None if done_wm is None else [r[0] for r in fresh.select("snapshot_date").distinct().collect()]
 
     # Newest 3 snapshots per station, folded forward from the previous run:
@@ -182,7 +175,8 @@ def run_daily(spark: SparkSession, p: Paths, as_of: str | None = None, keep_vers
     if version is None or version < run:
         merged = fresh.select(*FACT_COLUMNS)
         if top is not None:
-            merged = top.select(*FACT_COLUMNS).unionByName(merged)
+            # a run that failed after this step may have folded some of these in already
+            merged = top.select(*FACT_COLUMNS).unionByName(merged).dropDuplicates(["station_id", "ingested_at"])
         append_version(top_snapshots(merged, 3), p.mart("station_top_snapshots"), run)
         top, _ = read_latest_version(spark, p.mart("station_top_snapshots"))
     health = health_from_history(top)
@@ -232,10 +226,9 @@ def run_daily(spark: SparkSession, p: Paths, as_of: str | None = None, keep_vers
         checks = run_checks(check_not_null(new), {
             "rate_valid": check_rate_valid(fresh),
             "score_bounded": check_score_bounded(health),
-            "no_future": check_no_future(fresh)}, raise_on_failure=True).cache()
-        checks.count()
-        append_version(fact.agg(F.max("ingested_at").alias("fact_watermark")), p.mart("daily_state"), run)
-        for table in ("dim_stations", "dim_regions", "dim_pricing_plans", "region_hourly", "region_hour_stations",
+            "no_future": check_no_future(fresh)}, raise_on_failure=True)
+        append_version(bounds.select(F.col("upper").alias("fact_watermark")), p.mart("daily_state"), run)
+        for table in ("daily_bounds", "dim_stations", "dim_regions", "dim_pricing_plans", "region_hourly", "region_hour_stations",
                       "station_top_snapshots", "station_interventions", "intervention_results", "daily_state"):
             prune_versions(spark, p.mart(table), keep=keep_versions)
         for table in ("station_capacity_history", "station_operational_history"):

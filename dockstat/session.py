@@ -8,7 +8,6 @@ runtime statistics instead of compile-time guesses.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -80,10 +79,4 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique table location under the shared checkpoint folder."""
-    root = checkpoint_root(spark)
-    if root.startswith("file:"):
-        root = root[len("file:"):]
-    sub = f"{root}/tables/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in sub:
-        os.makedirs(os.path.dirname(sub), exist_ok=True)
-    return sub
+    return f"{checkpoint_root(spark)}/tables/{name}-{uuid.uuid4().hex[:12]}"

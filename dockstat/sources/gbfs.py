@@ -10,7 +10,7 @@ else from the file's modification time.
 
 Boolean flags that feeds publish as ``0/1`` or ``true/false`` are read as
 text and typed by staging; ``price`` is read as text and is ``''`` when
-absent, as the ingest step stores it.
+absent, as the ingest step stores it.  A truncated or malformed file fails the read.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-S, D, L, B = T.StringType(), T.DoubleType(), T.LongType(), T.BooleanType()
+S, D, L = T.StringType(), T.DoubleType(), T.LongType()
 
 
 def _fields(*pairs) -> list[T.StructField]:
@@ -30,7 +30,7 @@ def _fields(*pairs) -> list[T.StructField]:
 FEEDS = {
     "station_information": ("stations", _fields(
         ("station_id", S), ("name", S), ("short_name", S), ("lat", D), ("lon", D), ("region_id", S),
-        ("capacity", L), ("has_kiosk", B))),
+        ("capacity", L), ("has_kiosk", S))),
     "station_status": ("stations", _fields(
         ("station_id", S), ("num_bikes_available", L), ("num_bikes_disabled", L),
         ("num_docks_available", L), ("num_docks_disabled", L), ("is_installed", S), ("is_renting", S),
@@ -55,6 +55,12 @@ def envelope_schema(feed: str) -> T.StructType:
     ])
 
 
+def raw_schema(feed: str) -> T.StructType:
+    """Columns of a feed's raw table."""
+    return T.StructType([*FEEDS[feed][1], T.StructField("ingested_at", T.TimestampType()),
+                         T.StructField("ingest_date", T.DateType()), T.StructField("load", T.LongType())])
+
+
 def _rows(env: DataFrame, feed: str) -> DataFrame:
     key, fields = FEEDS[feed]
     if "ingested_at" in env.columns:
@@ -72,14 +78,16 @@ def read_gbfs(spark: SparkSession, path: str, feed: str) -> DataFrame:
     if feed not in FEEDS:
         raise ValueError(f"unknown feed {feed!r}; known: {sorted(FEEDS)}")
     env = (spark.read.schema(envelope_schema(feed)).option("multiLine", True)
-           .option("mode", "PERMISSIVE").json(path))
+           .option("mode", "FAILFAST").json(path))
     return _rows(env, feed)
 
 
 def read_gbfs_stream(spark: SparkSession, path: str, feed: str,
                      max_files_per_trigger: int | None = None) -> DataFrame:
     """The same rows as a streaming DataFrame over a landing folder."""
-    r = spark.readStream.schema(envelope_schema(feed)).option("multiLine", True)
+    # files are taken in any order of their times, however old
+    r = (spark.readStream.schema(envelope_schema(feed)).option("multiLine", True)
+         .option("mode", "FAILFAST").option("maxFileAge", "36500d"))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     return _rows(r.json(path), feed)

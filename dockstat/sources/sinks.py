@@ -2,8 +2,67 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def _folder(spark: SparkSession, path: str):
+    """(file system, Hadoop path) of ``path``, on any Hadoop-compatible store."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), root
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, without Spark's own (``_``) and hidden ones; [] if it is missing."""
+    fs, root = _folder(spark, path)
+    names = [st.getPath().getName() for st in fs.listStatus(root)] if fs.exists(root) else []
+    return sorted(n for n in names if not n.startswith(("_", ".")))
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether the folder holds data; a table that is there but can't be read still exists."""
+    return bool(children(spark, path))
+
+
+def newest_partition(spark: SparkSession, path: str, column: str) -> str | None:
+    """Greatest value of the first-level partition ``column``, from the folder names alone."""
+    values = [n.split("=", 1)[1] for n in children(spark, path) if n.startswith(f"{column}=")]
+    return max((v for v in values if v != "__HIVE_DEFAULT_PARTITION__"), default=None)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, root = _folder(spark, path)
+    fs.delete(root, True)
+
+
+def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A raw table under its explicit schema; without any file yet it is empty."""
+    if not table_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
+
+
+def load_new_files(stream: DataFrame, path: str, checkpoint: str) -> list[int]:
+    """Append what a file stream has not delivered yet; returns the numbers of the loads made.
+
+    The stream's checkpoint knows every file taken, so each is loaded once whatever its
+    time stamp.  A load writes its own ``load=`` folders and replaces them when it is
+    repeated after a failure, so no row comes twice.
+    """
+    loads: list[int] = []
+
+    def write(batch: DataFrame, number: int) -> None:
+        (batch.withColumn("ingest_date", F.to_date(F.col("ingested_at").cast("timestamp")))
+         .withColumn("load", F.lit(number).cast("long"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("ingest_date", "load").parquet(path))
+        loads.append(number)
+
+    query = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint) \
+        .trigger(availableNow=True).start()
+    query.awaitTermination()
+    return loads
 
 
 def append_raw(df: DataFrame, path: str, partition_col: str = "ingest_date") -> None:
@@ -43,14 +102,11 @@ def append_version(df: DataFrame, path: str, version: str, version_col: str = "s
 
 def read_latest_version(spark, path: str, version_col: str = "snapshot_run"):
     """``(rows of the newest published version, its version)`` or ``(None, None)``."""
-    try:
-        t = spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 -- nothing published yet
-        return None, None
-    last = t.select(version_col).distinct().agg(F.max(version_col)).first()[0]
+    last = newest_partition(spark, path, version_col)
     if last is None:
         return None, None
-    return t.filter(F.col(version_col) == F.lit(last)).drop(version_col), str(last)
+    t = spark.read.parquet(path)
+    return t.filter(F.col(version_col) == F.lit(last)).drop(version_col), last
 
 
 def prune_versions(spark, path: str, keep: int = 7, version_col: str = "snapshot_run") -> list[str]:
@@ -59,15 +115,9 @@ def prune_versions(spark, path: str, keep: int = 7, version_col: str = "snapshot
     Works on any Hadoop-compatible file system (the cluster's shared store
     or a local folder) through the session's Hadoop configuration.
     """
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return []
     prefix = f"{version_col}="
-    versions = sorted(st.getPath().getName() for st in fs.listStatus(root)
-                      if st.isDirectory() and st.getPath().getName().startswith(prefix))
+    versions = [n for n in children(spark, path) if n.startswith(prefix)]
     old = versions[:-keep] if keep > 0 else versions
     for name in old:
-        fs.delete(jvm.org.apache.hadoop.fs.Path(root, name), True)
+        remove(spark, f"{path}/{name}")
     return [n[len(prefix):] for n in old]

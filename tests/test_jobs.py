@@ -88,6 +88,78 @@ def test_daily_marts_equal_full_rebuild(spark, tmp):
     assert rows(health_from_history(top)) == rows(health_from_history(fact.drop("snapshot_date")))
 
 
+def test_empty_feeds_late_files_and_truncated_files(spark, tmp):
+    import pytest
+    landing = os.path.join(tmp, "landing")
+    p = Paths(os.path.join(tmp, "warehouse"), landing)
+    feed_run(landing, "2026-04-10T12:00:00Z", 3)
+    land(landing, "free_bike_status", "2026-04-10T12:00:00Z", "bikes", [])   # no free bikes
+    run_refresh(spark, p)
+    run_daily(spark, p, as_of="2026-04-10 13:00:00")
+    feed_run(landing, "2026-04-10T11:00:00Z", 4)                             # stamped before, landed after
+    run_refresh(spark, p)
+    raw = spark.read.parquet(p.raw("station_status"))
+    assert raw.count() == 4 and raw.select("ingested_at").distinct().count() == 2
+    broken = os.path.join(landing, "station_status", "ingested_at=2026-04-10T14:00:00Z")
+    os.makedirs(broken)
+    with open(os.path.join(broken, "f.json"), "w") as f:
+        f.write('{"data": {"stations": [{"station_id": "A"')
+    with pytest.raises(Exception):
+        run_refresh(spark, p)
+    assert spark.read.parquet(p.raw("station_status")).count() == 4
+    kiosk = spark.read.parquet(p.raw("station_information")).filter("station_id = 'A'").first().has_kiosk
+    assert kiosk == "true"
+
+
+def test_retry_after_a_crash_covers_the_same_snapshots(spark, tmp, monkeypatch):
+    """Crash after the fact merge, more lands, retry with the same and then a new stamp: as a clean run."""
+    import pytest
+    from dockstat.operators.health import health_from_history
+    from dockstat.plans import jobs
+    from dockstat.plans.marts_ops import region_hourly_availability
+    from dockstat.sources.sinks import read_latest_version
+    landing = os.path.join(tmp, "landing")
+    p = Paths(os.path.join(tmp, "warehouse"), landing)
+    feed_run(landing, "2026-04-10T12:00:00Z", 3)
+    run_refresh(spark, p)
+
+    def crash(*a, **k):
+        raise RuntimeError("lost")
+
+    for step in ("top_snapshots", "region_hourly_rollup", "nearest_station"):
+        with monkeypatch.context() as m:
+            m.setattr(jobs, step, crash)
+            with pytest.raises(RuntimeError):
+                run_daily(spark, p, as_of="2026-04-10 13:00:00")
+        if step == "region_hourly_rollup":
+            feed_run(landing, "2026-04-10T13:30:00Z", 1)   # lands between the attempts
+            run_refresh(spark, p)
+    run_daily(spark, p, as_of="2026-04-10 13:00:00")
+    fact = spark.read.parquet(p.mart("status_snapshots"))
+    assert fact.count() == 2
+    run_daily(spark, p, as_of="2026-04-10 14:00:00")
+    fact = spark.read.parquet(p.mart("status_snapshots"))
+    rows = lambda df: sorted(tuple(r) for r in df.collect())
+    assert fact.count() == 4
+    top, _ = read_latest_version(spark, p.mart("station_top_snapshots"))
+    assert top.count() == 4
+    assert rows(health_from_history(top)) == rows(health_from_history(fact.drop("snapshot_date")))
+    assert rows(read_latest_version(spark, p.mart("region_hourly"))[0]) == rows(region_hourly_availability(fact))
+
+
+def test_merge_into_a_broken_table_raises(spark, tmp):
+    import pytest
+    from dockstat.operators.incremental import incremental_merge
+    path = os.path.join(tmp, "t")
+    df = spark.createDataFrame([("A", 1), ("B", 2)], "station_id string, ingested_at long")
+    incremental_merge(path, df, keys=["station_id"], partition_col=None)
+    with open(os.path.join(path, "part-broken.parquet"), "w") as f:
+        f.write("not parquet")
+    with pytest.raises(Exception):
+        incremental_merge(path, spark.createDataFrame([("C", 3)], df.schema), keys=["station_id"], partition_col=None)
+    assert len(os.listdir(path)) > 2
+
+
 def test_prune_versions(spark, tmp):
     from pyspark.sql import functions as F
     from dockstat.sources.sinks import append_version, prune_versions, read_latest_version

@@ -31,7 +31,13 @@ from dockstat.operators.scd2 import scd2_check, scd2_from_history, snapshot_capa
 from dockstat.operators.staging import (stage_bikes, stage_pricing_plans, stage_regions, stage_station_status,
                                         stage_stations)
 from dockstat.session import use_utc, work_path
-from dockstat.sources.seeds import bike_types, with_bike_type
+from dockstat.operators.enrich import stations_enriched
+from dockstat.plans import jobs
+from dockstat.plans.landed import land
+from dockstat.sources.gbfs import FEEDS, read_gbfs
+from dockstat.sources.seeds import bike_types, read_interventions, with_bike_type
+from dockstat.sources.sinks import append_raw, publish_table
+from dockstat.streaming.ingest import stream_status_to_fact
 from dockstat.plans.experiments import (intervention_periods, intervention_results, station_interventions,
                                         with_station_names)
 
@@ -599,3 +605,124 @@ from bk b left join (values
   as t(vehicle_type_id, bike_type, is_electric, typical_range_miles) using (vehicle_type_id)"""))
 def q_bikes_with_type(spark, sf_dir):
     return with_bike_type(fx.bikes(spark, sf_dir), bike_types(spark))
+
+
+# -- readers, sinks, stream and jobs, over files landed from the tables ----------------
+
+# the status view's columns, of each station's newest event of an hour
+_STATUS_SELECT = O.CTE["status"][:O.CTE["status"].rindex("from events")]
+O._cte("hourly", f"""select * exclude (ingested_at), date_trunc('hour', ingested_at) as ingested_at from (
+  {_STATUS_SELECT} from events qualify row_number() over (
+    partition by user_id, date_trunc('hour', ts) order by ts desc, event_id desc) = 1)""")
+
+_GBFS_SQL = {
+    "station_information": O.q("st", """
+select cast(station_id as varchar) as station_id, station_name as name, short_name, latitude as lat, longitude as lon,
+  cast(region_id as varchar) as region_id, total_docks as capacity, cast(has_kiosk as varchar) as has_kiosk, ingested_at
+from st"""),
+    "station_status": O.q("hourly", """
+select cast(station_id as varchar) as station_id, num_bikes_available, num_bikes_disabled, num_docks_available,
+  num_docks_disabled, cast(is_installed as varchar) as is_installed, cast(is_renting as varchar) as is_renting,
+  cast(is_returning as varchar) as is_returning, epoch_us(last_reported_at) // 1000000 as last_reported,
+  num_ebikes_available, ingested_at
+from hourly"""),
+    "system_regions": O.q("rg", "select cast(region_id as varchar) as region_id, region_name as name, ingested_at from rg"),
+    "free_bike_status": O.q("bk", """
+select cast(bike_id as varchar) as bike_id, latitude as lat, longitude as lon, cast(is_reserved as varchar) as is_reserved,
+  cast(is_disabled as varchar) as is_disabled, vehicle_type_id, ingested_at from bk"""),
+    "system_pricing_plans": f"""
+select cast(o_custkey as varchar) as plan_id, o_orderpriority as name, 'USD' as currency,
+  cast(cast(o_totalprice as double) as varchar) as price, cast(o_orderstatus = 'F' as varchar) as is_taxable,
+  cast(o_orderkey as varchar) as description, {O.RUN_TS} as ingested_at
+from orders""",
+}
+
+
+def _gbfs_query(feed: str):
+    def run(spark, sf_dir):
+        return read_gbfs(spark, land(spark, sf_dir, feed, work_path(spark, "landed")), feed)
+    run.__doc__ = f"Land the {feed} feed as JSON files and read it back."
+    return run
+
+
+for _feed, _sql in _GBFS_SQL.items():
+    register(f"gbfs_{_feed}", _sql)(_gbfs_query(_feed))
+
+
+@register("raw_append", O.q("status", "select *, cast(ingested_at as date) as ingest_date from status"))
+def q_raw_append(spark, sf_dir):
+    """Two batches of snapshots appended to one raw table."""
+    path, rows = work_path(spark, "raw"), fx.status(spark, sf_dir)
+    early = F.col("ingested_at") < F.lit(SPLIT_AT).cast("timestamp_ntz")
+    append_raw(rows.filter(early), path)
+    append_raw(rows.filter(~early), path)
+    return spark.read.parquet(path)
+
+
+@register("mart_publish", O.q("daily", "select * from daily"))
+def q_mart_publish(spark, sf_dir):
+    """A mart published whole, then half of its days again."""
+    path, daily = work_path(spark, "mart"), Models.of(spark, sf_dir).daily
+    publish_table(daily, path, partition_by="snapshot_date")
+    publish_table(daily.filter(F.col("snapshot_date") < F.lit(SPLIT_AT[:10]).cast("date")), path, partition_by="snapshot_date")
+    return spark.read.parquet(path)
+
+
+@register("seed_interventions", O.q("iv", """
+select cast(station_id as varchar) as station_id, cast(intervention_date as date) as intervention_date, intervention_type, notes
+from iv"""))
+def q_seed_interventions(spark, sf_dir):
+    """Interventions written as a seed file and read with its schema."""
+    path = work_path(spark, "seed")
+    fx.interventions(spark, sf_dir).write.option("header", True).csv(path)
+    return read_interventions(spark, path).select("station_id", "intervention_date", "intervention_type", "notes")
+
+
+@register("general_upsert", O.q("history", """
+select * exclude (rn) from (select station_id, station_name, num_bikes_available, last_reported_at, ingested_at,
+    row_number() over (partition by station_id order by ingested_at desc, last_reported_at desc) as rn from history)
+where rn = 1"""))
+def q_general_upsert(spark, sf_dir):
+    """A table of each station's newest snapshot, upserted on the station alone."""
+    path = work_path(spark, "upsert")
+    rows = Models.of(spark, sf_dir).history.select("station_id", "station_name", "num_bikes_available",
+                                                   "last_reported_at", "ingested_at")
+    early = rows.filter(F.col("ingested_at") < F.lit(SPLIT_AT).cast("timestamp_ntz"))
+    for batch in (early, rows):
+        merged = incremental_merge(path, latest_per_key(batch, "station_id", "ingested_at", "last_reported_at"),
+                                   keys=["station_id"], partition_col=None)
+    return merged
+
+
+_HOURLY_FACT = O.with_ctes("hourly", "enriched") + f""", fact as (
+  select cast(h.station_id as varchar) as station_id, e.station_name, cast(e.region_id as varchar) as region_id, e.region_name,
+    e.total_docks, h.num_bikes_available, h.num_ebikes_available, h.num_bikes_disabled, h.num_docks_available, h.ingested_at,
+    {O.rate_sql('h.num_bikes_available', 'e.total_docks')} as bike_availability_rate,
+    {O.rate_sql('h.num_docks_available', 'e.total_docks')} as dock_availability_rate
+  from hourly h left join enriched e using (station_id))
+"""
+
+
+@register("stream_ingest", _HOURLY_FACT + """select station_id, station_name, num_bikes_available,
+  bike_availability_rate, ingested_at, cast(ingested_at as date) as snapshot_date from fact""")
+def q_stream_ingest(spark, sf_dir):
+    """Landed status files drained by the file stream into the fact."""
+    root = work_path(spark, "stream")
+    stations = stations_enriched(stage_stations(fx.raw_station_information(spark, sf_dir)),
+                                 stage_regions(fx.raw_system_regions(spark, sf_dir)))
+    stream_status_to_fact(spark, land(spark, sf_dir, "station_status", root), stations, f"{root}/fact",
+                          f"{root}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{root}/fact").select(
+        "station_id", "station_name", "num_bikes_available", "bike_availability_rate", "ingested_at", "snapshot_date")
+
+
+@register("refresh_then_daily", _HOURLY_FACT + O.CTE["daily"])
+def q_refresh_then_daily(spark, sf_dir):
+    """All five feeds landed, refreshed into raw tables and run through the daily job."""
+    root = work_path(spark, "jobs")
+    p = jobs.Paths(f"{root}/warehouse", f"{root}/landing")
+    for feed in FEEDS:
+        land(spark, sf_dir, feed, p.landing)
+    jobs.run_refresh(spark, p)
+    jobs.run_daily(spark, p, as_of="2024-03-01 00:00:00")
+    return spark.read.parquet(p.mart("station_daily"))

@@ -70,20 +70,24 @@ def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
         "r_regionkey as region_id", "r_name as region_name", f"timestamp_ntz'{FIXTURE_RUN}' as ingested_at")
 
 
+STATUS_EXPRS = [
+    "case when event_id % 13 = 5 then -1 - user_id else user_id end as station_id",
+    "floor(value) % 40 as num_bikes_available",
+    "(floor(value) % 40) % 7 as num_ebikes_available",
+    "event_id % 4 as num_bikes_disabled",
+    "(event_id * 13) % 45 as num_docks_available",
+    "event_id % 3 as num_docks_disabled",
+    "event_type <> 'error' as is_installed",
+    "event_id % 7 <> 0 as is_renting",
+    "event_id % 11 <> 0 as is_returning",
+    "ts as last_reported_at",
+    "ts as ingested_at",
+]
+
+
 def status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Staged-shape station_status snapshots: one per event."""
-    return table(spark, sf_dir, "events").selectExpr(
-        "case when event_id % 13 = 5 then -1 - user_id else user_id end as station_id",
-        "floor(value) % 40 as num_bikes_available",
-        "(floor(value) % 40) % 7 as num_ebikes_available",
-        "event_id % 4 as num_bikes_disabled",
-        "(event_id * 13) % 45 as num_docks_available",
-        "event_id % 3 as num_docks_disabled",
-        "event_type <> 'error' as is_installed",
-        "event_id % 7 <> 0 as is_renting",
-        "event_id % 11 <> 0 as is_returning",
-        "ts as last_reported_at",
-        "ts as ingested_at")
+    return table(spark, sf_dir, "events").selectExpr(*STATUS_EXPRS)
 
 
 def bikes(spark: SparkSession, sf_dir: str) -> DataFrame:

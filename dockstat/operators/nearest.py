@@ -1,16 +1,20 @@
 """Nearest station for every free bike, without a cross join.
 
-The reference ranks every (bike, station) pair.  Here stations and bikes are
-put on a latitude/longitude grid and a bike only meets the stations in the
-3 x 3 block of cells around it (an equi-join on the cell key).  The best
-candidate is *certified* when it is closer than any point outside the block
-could be; bikes that are not certified (sparse areas, empty blocks) move to
-the next level, where cells are twice as large.  At the top level a block
-spans the whole globe, so every bike ends certified and the result is exact:
-it equals the brute-force ranking, ties broken by station_id.
-
-Distances are ranked on the haversine inner term (monotone in distance);
-kilometres are computed only for the winners.
+The reference ranks every (bike, station) pair.  Here distinct positions are searched
+on a latitude/longitude grid:
+
+1. A position first meets the stations in the 3 x 3 block of cells around it (an
+   equi-join on the cell key), at the finest grid and the next ``LOCAL_LEVELS - 1``
+   coarser ones.  The best candidate is *certified* when it is closer than any point
+   outside the block could be.
+2. Positions far from any station go down a cell pyramid instead: from the coarsest
+   cells to the finest, a cell stays only while its least possible distance is not above
+   the distance of the best cell's representative station.  So a far position meets the
+   cells along the near edge of the network, never all its stations.
+
+The result is exact: it equals the brute-force ranking, ties broken by station_id.
+Distances are ranked on the haversine inner term (monotone in distance); kilometres are
+computed only for the winners.
 """
 
 from __future__ import annotations
@@ -18,21 +22,23 @@ from __future__ import annotations
 import math
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dockstat.functions.columns import haversine_term, term_to_km
+from dockstat.operators.dedup import latest_per_key
 from dockstat.operators.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast
 from dockstat.session import checkpoint_root
 
 NEAREST_COLUMNS = ["bike_id", "bike_latitude", "bike_longitude", "is_reserved", "is_disabled",
                    "vehicle_type_id", "nearest_station_id", "nearest_station_name", "region_id",
                    "region_name", "distance_km", "ingested_at"]
-BIKE_COLUMNS = ["bike_id", "bike_latitude", "bike_longitude", "is_reserved", "is_disabled",
-                "vehicle_type_id", "ingested_at"]
+POSITION = ["bike_latitude", "bike_longitude"]
+LOCAL_LEVELS = 3
 
 _RAD = math.pi / 180.0
 _MARGIN = 1e-9
+_TERM_MARGIN = 1e-12
 
 
 def _levels(cell_deg: float) -> int:
@@ -46,8 +52,8 @@ def _cells(lat, lon, n: int, size: float):
     return cx, cy
 
 
-def _search(pending: DataFrame, stations: DataFrame, n: int, top: bool) -> DataFrame:
-    """Best station in the 3 x 3 block of each pending bike at a grid of ``n`` columns."""
+def _search(pending: DataFrame, stations: DataFrame, n: int) -> DataFrame:
+    """Best station in the 3 x 3 block of each pending position at a grid of ``n`` columns."""
     size = 360.0 / n
     blat, blon = F.col("bike_latitude"), F.col("bike_longitude")
     bcx, bcy = _cells(blat, blon, n, size)
@@ -58,64 +64,110 @@ def _search(pending: DataFrame, stations: DataFrame, n: int, top: bool) -> DataF
              .withColumn("_cx", F.pmod(F.col("_bcx") + F.col("_o.dx"), F.lit(n)))
              .withColumn("_cy", F.col("_bcy") + F.col("_o.dy"))
              .drop("_o"))
-    if n <= 2:  # one row of cells; the wrapped neighbours repeat cells
-        probe = probe.dropDuplicates(BIKE_COLUMNS + ["_cx", "_cy"])
+    if n <= 2:  # the wrapped neighbours repeat cells
+        probe = probe.dropDuplicates(POSITION + ["_cx", "_cy"])
     scx, scy = _cells(F.col("_slat"), F.col("_slon"), n, size)
     cells = stations.withColumn("_cx", scx).withColumn("_cy", scy)
     cand = probe.join(cells, ["_cx", "_cy"], "left")
     a = haversine_term(blat, blon, F.col("_slat"), F.col("_slon"))
     best = (cand.withColumn("_a", a)
-            .groupBy(*BIKE_COLUMNS, "_bcx", "_bcy")
+            .groupBy(*POSITION, "_bcx", "_bcy")
             .agg(F.min(F.when(F.col("_a").isNotNull(),
                               F.struct(F.col("_a").alias("a"),
                                        F.col("nearest_station_id"),
                                        F.col("nearest_station_name"),
                                        F.col("region_id"),
                                        F.col("region_name")))).alias("_best")))
-    if top:
-        ok = F.col("_best").isNotNull()
-    else:
-        # Angular distance from the bike to the edges of its 3 x 3 block.
-        south = (F.col("_bcy") - 1) * size - 90.0
-        north = (F.col("_bcy") + 2) * size - 90.0
-        west = (F.col("_bcx") - 1) * size - 180.0
-        east = (F.col("_bcx") + 2) * size - 180.0
-        lon_pos = F.pmod(blon + 180.0, F.lit(360.0)) - 180.0
-        dlon = F.least(lon_pos - west, east - lon_pos) * _RAD
-        dlat = F.least(blat - south, north - blat) * _RAD
-        lon_gap = F.when(dlon >= math.pi / 2, F.asin(F.cos(blat * _RAD))) \
-            .otherwise(F.asin(F.cos(blat * _RAD) * F.sin(dlon)))
-        safe = F.least(dlat, lon_gap)
-        theta = 2 * F.asin(F.sqrt(F.least(F.col("_best.a"), F.lit(1.0))))
-        inside = (south >= -90.0) & (north <= 90.0)
-        ok = F.col("_best").isNotNull() & inside & (theta * (1 + _MARGIN) + _MARGIN < safe)
+    # Angular distance from the position to the edges of its 3 x 3 block.
+    south = (F.col("_bcy") - 1) * size - 90.0
+    north = (F.col("_bcy") + 2) * size - 90.0
+    west = (F.col("_bcx") - 1) * size - 180.0
+    east = (F.col("_bcx") + 2) * size - 180.0
+    lon_pos = F.pmod(blon + 180.0, F.lit(360.0)) - 180.0
+    dlon = F.least(lon_pos - west, east - lon_pos) * _RAD
+    dlat = F.least(blat - south, north - blat) * _RAD
+    lon_gap = F.when(dlon >= math.pi / 2, F.asin(F.cos(blat * _RAD))) \
+        .otherwise(F.asin(F.cos(blat * _RAD) * F.sin(dlon)))
+    theta = 2 * F.asin(F.sqrt(F.least(F.col("_best.a"), F.lit(1.0))))
+    ok = (F.col("_best").isNotNull() & (south >= -90.0) & (north <= 90.0)
+          & (theta * (1 + _MARGIN) + _MARGIN < F.least(dlat, lon_gap)))
     return best.withColumn("_ok", ok).drop("_bcx", "_bcy")
 
 
+def _least_term(blat, blon, cx, cy, size: float):
+    """Least haversine term between a position and any point of a cell."""
+    phi, south = blat * _RAD, (cy * size - 90.0) * _RAD
+    north = south + size * _RAD
+    west = cx * size - 180.0
+    inside = F.pmod(blon - west, F.lit(360.0)) <= size
+
+    def along(dlon):
+        """Greatest cosine of the distance to the meridian ``dlon`` away, within the cell's latitudes."""
+        s, c = F.sin(phi), F.cos(phi) * F.cos(dlon)
+        at = F.atan2(s, c)
+        ends = F.greatest(s * F.sin(south) + c * F.cos(south), s * F.sin(north) + c * F.cos(north))
+        return F.when((at >= south) & (at <= north), F.sqrt(s * s + c * c)).otherwise(ends)
+
+    cosine = F.when(inside, along(F.lit(0.0))) \
+        .otherwise(F.greatest(along((blon - west) * _RAD), along((blon - west - size) * _RAD)))
+    return (1 - cosine) / 2
+
+
+def _descend(pending: DataFrame, stations: DataFrame, p: int) -> DataFrame:
+    """Best station of each position by the cell pyramid, from 4 columns down to 2 ** p."""
+    best = Window.partitionBy(*POSITION)
+    blat, blon = F.col("bike_latitude"), F.col("bike_longitude")
+    start = F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x in range(4) for y in range(2)])
+    held = pending.select(*POSITION, F.explode(start).alias("_o")) \
+        .select(*POSITION, F.col("_o.x").cast("long").alias("_cx"), F.col("_o.y").cast("long").alias("_cy"))
+    for level in range(2, p + 1):
+        n, size = 2 ** level, 360.0 / 2 ** level
+        scx, scy = _cells(F.col("_slat"), F.col("_slon"), n, size)
+        # a station on the pole belongs to the last row of cells
+        cells = stations.groupBy(scx.alias("_cx"), F.least(scy, F.lit(n // 2 - 1)).alias("_cy")) \
+            .agg(F.min(F.struct("_slat", "_slon")).alias("_rep"))
+        near = held.join(cells, ["_cx", "_cy"]) \
+            .withColumn("_low", _least_term(blat, blon, F.col("_cx"), F.col("_cy"), size)) \
+            .withColumn("_up", F.min(haversine_term(blat, blon, F.col("_rep._slat"), F.col("_rep._slon"))).over(best)) \
+            .filter(F.col("_low") <= F.col("_up") + _TERM_MARGIN)
+        if level < p:
+            halves = F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x in (0, 1) for y in (0, 1)])
+            held = near.select(*POSITION, "_cx", "_cy", F.explode(halves).alias("_o")) \
+                .select(*POSITION, (F.col("_cx") * 2 + F.col("_o.x")).alias("_cx"), (F.col("_cy") * 2 + F.col("_o.y")).alias("_cy"))
+        else:
+            held = near.select(*POSITION, "_cx", "_cy")
+        held = held.checkpoint(eager=True)
+    cells = stations.withColumn("_cx", scx).withColumn("_cy", F.least(scy, F.lit(n // 2 - 1)))
+    a = haversine_term(blat, blon, F.col("_slat"), F.col("_slon"))
+    return held.join(cells, ["_cx", "_cy"]).groupBy(*POSITION) \
+        .agg(F.min(F.struct(a.alias("a"), "nearest_station_id", "nearest_station_name", "region_id", "region_name")).alias("_best"))
+
+
 def nearest_station(bikes: DataFrame, stations: DataFrame, cell_deg: float = 0.01,
                     broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """One row per bike snapshot with its nearest station and distance in km.
+    """One row per (bike_id, ingested_at) with its nearest station and distance in km.
 
     ``bikes``: bike_id, latitude, longitude, is_reserved, is_disabled,
     vehicle_type_id, ingested_at.  ``stations``: station_id, station_name,
-    region_id, region_name, latitude, longitude.  Rows without coordinates
-    take no part.  ``cell_deg`` should be near the typical station spacing:
-    a bike's candidates are the stations in its 3 x 3 block of cells, so
-    the work per bike follows the local station density, never the number
-    of bikes or stations overall.
-
-    Each level's result is checkpointed (to the shared checkpoint folder) so
-    the next level and the final union read it instead of recomputing it.
-    The station side is broadcast when its measured row count is within
-    ``broadcast_rows`` (bikes then never move for the candidate join);
-    otherwise both sides are shuffled on the cell key.
+    region_id, region_name, latitude, longitude.  Of several rows of a bike and time the
+    greatest by position, then the other columns, stays.  Bikes without coordinates, and
+    all bikes if no station has any, keep a NULL station and distance; stations without
+    coordinates take no part.  ``cell_deg`` should be near the typical station spacing:
+    a position's candidates are the stations in its 3 x 3 block of cells.
+
+    Each level's result is checkpointed (to the shared checkpoint folder).  The station
+    side is broadcast when its measured row count is within ``broadcast_rows`` (positions
+    then never move for the candidate join); otherwise both sides are shuffled on the
+    cell key.
     """
     checkpoint_root(bikes.sparkSession)
-    p = _levels(cell_deg)
-    pending = (bikes.select("bike_id", F.col("latitude").alias("bike_latitude"),
-                            F.col("longitude").alias("bike_longitude"), "is_reserved", "is_disabled",
-                            "vehicle_type_id", "ingested_at")
-               .filter(F.col("bike_latitude").isNotNull() & F.col("bike_longitude").isNotNull()))
+    p = max(2, _levels(cell_deg))
+    bikes = bikes.select("bike_id", F.col("latitude").alias("bike_latitude"),
+                         F.col("longitude").alias("bike_longitude"), "is_reserved", "is_disabled",
+                         "vehicle_type_id", "ingested_at")
+    bikes = latest_per_key(bikes, ["bike_id", "ingested_at"], "bike_latitude",
+                           ["bike_longitude", "is_reserved", "is_disabled", "vehicle_type_id"])
+    pending = bikes.select(*POSITION).dropna().distinct()
     st = (stations.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
           .groupBy(F.col("latitude").alias("_slat"), F.col("longitude").alias("_slon"))
           # Of stations sharing a position only the smallest id can win (ties
@@ -126,25 +178,22 @@ def nearest_station(bikes: DataFrame, stations: DataFrame, cell_deg: float = 0.0
                               "region_id", "region_name")).alias("_s"))
           .select("_s.*", "_slat", "_slon"))
     st = bounded_broadcast(st, broadcast_rows)
-    found = []
-    for level in range(p):
-        n = 2 ** (p - level)
-        top = n <= 2
-        best = _search(pending, st, n, top)
-        if not top:
-            best = best.checkpoint(eager=True)
-        found.append(best.filter(F.col("_ok")))
-        if top:
-            break
-        pending = best.filter(~F.col("_ok")).select(*BIKE_COLUMNS)
-        if pending.isEmpty():
+    found, left = [], True
+    for level in range(p, max(1, p - LOCAL_LEVELS), -1):
+        best = _search(pending, st, 2 ** level).checkpoint(eager=True)
+        found.append(best.filter(F.col("_ok")).drop("_ok"))
+        pending = best.filter(~F.col("_ok")).select(*POSITION)
+        left = not pending.isEmpty()
+        if not left:
             break
-    out = reduce(DataFrame.unionByName, found)
+    if left:
+        found.append(_descend(pending, st, p))
+    out = bikes.join(reduce(DataFrame.unionByName, found), POSITION, "left")
     return out.select(
-        "bike_id", "bike_latitude", "bike_longitude", "is_reserved", "is_disabled", "vehicle_type_id",
+        "bike_id", *POSITION, "is_reserved", "is_disabled", "vehicle_type_id",
         F.col("_best.nearest_station_id").alias("nearest_station_id"),
         F.col("_best.nearest_station_name").alias("nearest_station_name"),
         F.col("_best.region_id").alias("region_id"),
         F.col("_best.region_name").alias("region_name"),
-        term_to_km(F.col("_best.a")).alias("distance_km"),
+        F.when(F.col("_best.a").isNotNull(), term_to_km(F.col("_best.a"))).alias("distance_km"),
         "ingested_at")

@@ -280,6 +280,29 @@ def q_nearest(spark, sf_dir):
     return nearest_station(fx.bikes(spark, sf_dir), m.enriched)
 
 
+_FAR_SQL = """(select bike_id, case when bike_id % 5 = 0 then 0.0 when bike_id % 7 <> 0 then latitude end as latitude,
+  case when bike_id % 5 = 0 then 0.0 else longitude end as longitude, is_reserved, is_disabled, vehicle_type_id, ingested_at from bk)"""
+
+
+@register("nearest_station_far", O.q(["bk", "enriched"], f"""
+select b.bike_id, b.latitude as bike_latitude, b.longitude as bike_longitude, s.nearest_station_id, s.distance_km
+from {_FAR_SQL} b left join (
+  select bike_id, station_id as nearest_station_id, {O.km_sql('a')} as distance_km from (
+    select b.bike_id, s.station_id, {O.hav_term_sql('b.latitude', 'b.longitude', 's.latitude', 's.longitude')} as a,
+      row_number() over (partition by b.bike_id
+        order by {O.hav_term_sql('b.latitude', 'b.longitude', 's.latitude', 's.longitude')}, s.station_id) as rn
+    from {_FAR_SQL} b cross join enriched s where b.latitude is not null)
+  where rn = 1) s using (bike_id)"""))
+def q_nearest_far(spark, sf_dir):
+    """Bikes at (0, 0), far from every station, bikes without a latitude, and every row given twice."""
+    far = F.col("bike_id") % 5 == 0
+    bikes = fx.bikes(spark, sf_dir).withColumns({
+        "latitude": F.when(far, F.lit(0.0)).when(F.col("bike_id") % 7 != 0, F.col("latitude")),
+        "longitude": F.when(far, F.lit(0.0)).otherwise(F.col("longitude"))})
+    return nearest_station(bikes.unionByName(bikes), Models.of(spark, sf_dir).enriched) \
+        .select("bike_id", "bike_latitude", "bike_longitude", "nearest_station_id", "distance_km")
+
+
 # -- experiments -----------------------------------------------------------------
 
 @register("station_interventions", O.q("si", "select * from si"))

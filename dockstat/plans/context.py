@@ -24,21 +24,13 @@ from dockstat.sources.seeds import capacity_tiers
 class Models:
     """The model graph over the benchmark tables in ``sf_dir``.
 
-    ``Models.of(spark, sf_dir)`` returns one graph per session and folder, so
-    repeated queries reuse the (lazy) DataFrames instead of re-analysing the
-    same plans; every action still executes them in full.
+    ``Models.of(spark, sf_dir)`` is a fresh graph: a query sees the tables as they are
+    when it is called.
     """
 
-    _graphs: dict[tuple[int, str, str], "Models"] = {}
-
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str, grain: str = "declared") -> "Models":
-        key = (id(spark._jsparkSession), sf_dir, grain)
-        m = cls._graphs.get(key)
-        if m is None:
-            m = cls._graphs[key] = cls(spark, sf_dir, grain)
-        use_utc(spark)
-        return m
+        return cls(spark, sf_dir, grain)
 
     def __init__(self, spark: SparkSession, sf_dir: str, grain: str = "declared"):
         use_utc(spark)

@@ -21,18 +21,9 @@ from pyspark.sql import functions as F
 FIXTURE_RUN = "2024-01-01 00:00:00"
 
 
-_TABLES: dict[tuple[int, str], DataFrame] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A benchmark table; the relation (file listing and footer schema) is
-    resolved once per session and reused, like a catalog table."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark._jsparkSession), path)
-    df = _TABLES.get(key)
-    if df is None:
-        df = _TABLES[key] = spark.read.parquet(path)
-    return df
+    """A benchmark table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 _STATION_EXPRS = [

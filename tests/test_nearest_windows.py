@@ -62,7 +62,28 @@ def test_nearest_empty_inputs(spark):
     stations = spark.createDataFrame([("s", "s", "R", "Reg", 40.7, -74.0)], STATIONS)
     assert nearest_station(bikes, stations).count() == 0
     some = spark.createDataFrame([("b", 40.7, -74.0, False, False, "classic", T0)], BIKES)
-    assert nearest_station(some, spark.createDataFrame([], STATIONS)).count() == 0
+    alone = nearest_station(some, spark.createDataFrame([], STATIONS)).collect()
+    assert [(r.bike_id, r.nearest_station_id, r.distance_km) for r in alone] == [("b", None, None)]
+
+
+def test_far_bikes_meet_few_stations_and_every_bike_keeps_a_row(spark, monkeypatch):
+    from dockstat.operators import nearest
+    rng = np.random.default_rng(11)
+    st = [(f"s{i}", float(a), float(o)) for i, (a, o) in enumerate(zip(rng.uniform(40.5, 41.0, 800), rng.uniform(-74.2, -73.7, 800)))]
+    st += [("pole", 90.0, 0.0), ("south", -89.0, 10.0), ("date", -5.0, 179.9)]
+    bk = [(f"far{i}", float(a), float(o)) for i, (a, o) in enumerate(zip(rng.uniform(-90, 90, 60), rng.uniform(-180, 180, 60)))]
+    bk += [(f"null_island{i}", 0.0, 0.0) for i in range(100)] + [("edge", -5.0, -179.9), ("top", 89.9, 170.0)]
+    stations = spark.createDataFrame([(i, i, "R", "Reg", a, o) for i, a, o in st], STATIONS)
+    rows = [(i, a, o, False, False, "classic", T0) for i, a, o in bk]
+    rows += [("lost", None, None, False, False, "classic", T0), ("far0", None, 1.0, True, False, "classic", T0),
+             ("far1", -89.9, bk[1][2], False, False, "classic", T0)]
+    scored, held = [], nearest._descend
+    monkeypatch.setattr(nearest, "_descend", lambda pending, *a: scored.append(pending.count()) or held(pending, *a))
+    got = nearest_station(spark.createDataFrame(rows, BIKES), stations).collect()
+    assert len(got) == len(bk) + 1 and scored[0] <= 63  # distinct positions only
+    found = {r.bike_id: r.nearest_station_id for r in got}
+    assert found.pop("lost") is None
+    assert found == brute(bk, st)
 
 
 def _rows(df):

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from dockstat.session import checkpoint_root
 
-SLICE_BYTES = 8 << 20  # text that one vectorised step holds at a time
+SLICE_BYTES = 4 << 20  # text that one vectorised step holds at a time
 
 
 def importable(spark: SparkSession) -> None:

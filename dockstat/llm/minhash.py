@@ -243,7 +243,8 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
                    .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"))
                    .withColumn("node", F.monotonically_increasing_id()), "nodes")
     one = marked.join(nodes.select("c1", "c2", "node", "n", F.col("rep").alias("doc_id")), ["c1", "c2", "doc_id"])
-    bucketed = staged(one.select(F.explode("bands").alias("key"), "node", "n").distinct(), "bands")
+    # a repeated row only repeats its set's entries, which changes no link
+    bucketed = staged(one.select(F.explode("bands").alias("key"), "node", "n"), "bands")
     shared = bucketed.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
     members = bucketed.join(shared, "key")
     # central nodes share buckets with many: they hold a group of near copies together

@@ -49,7 +49,7 @@ def test_nearest_candidates_are_an_equi_join(spark):
     st = m.enriched.select(F.col("station_id").alias("nearest_station_id"),
                            F.col("station_name").alias("nearest_station_name"), "region_id", "region_name",
                            F.col("latitude").alias("_slat"), F.col("longitude").alias("_slon"))
-    p = plan(_search(bikes, F.broadcast(st), 2 ** 15, False))
+    p = plan(_search(bikes, F.broadcast(st), 2 ** 15))
     assert "CartesianProduct" not in p and "NestedLoopJoin" not in p
     assert "BroadcastHashJoin" in p
 

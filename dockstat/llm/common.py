@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dockstat.session import checkpoint_root
@@ -61,6 +61,23 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def hash_sample(df: DataFrame, group: str, wanted: dict, id_col: str = "doc_id") -> DataFrame:
+    """`wanted[g]` rows of each group, those whose id hashes lowest; fewer where a group has fewer.
+
+    Group sizes are counted first, and only rows below about four times the share wanted
+    go on to be ranked, so no task ranks more than a few times the sample.
+    """
+    sizes = {r[0]: r[1] for r in df.groupBy(group).agg(F.count("*")).collect() if r[0] in wanted}
+    if not sizes:
+        return df.filter(F.lit(False))
+    share = F.create_map(*[F.lit(x) for g, n in sizes.items() for x in (g, min(1.0, 4 * wanted[g] / n))])
+    low = F.pmod(F.xxhash64(id_col), F.lit(1 << 32)) / float(1 << 32)
+    ranked = Window.partitionBy(group).orderBy(low, id_col)
+    return df.filter(low < share[F.col(group)]).withColumn("__rank", F.row_number().over(ranked)) \
+        .filter(F.col("__rank") <= F.create_map(*[F.lit(x) for g in sizes for x in (g, wanted[g])])[F.col(group)]) \
+        .drop("__rank")
+
+
 def id_and_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The two columns an operator reads, under fixed names, whatever else the table holds."""
     importable(df.sparkSession)

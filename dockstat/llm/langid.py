@@ -25,10 +25,10 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dockstat.llm.common import importable, ragged, slices
+from dockstat.llm.common import hash_sample, importable, ragged, slices
 
 UND = "und"
 REFERENCE_SYMBOLS = 30_000  # of each language
@@ -190,9 +190,8 @@ def fit(docs: DataFrame, teach: Column, rows: int = REFERENCE_ROWS,
     importable(docs.sparkSession)
     share = -(-reference_symbols // rows)
     labelled = docs.filter(teach & F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
-    ranked = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = labelled.select("doc_id", "lang").withColumn("r", F.row_number().over(ranked)) \
-        .filter(F.col("r") <= rows).select("doc_id", "lang").distinct()
+    names = [r.lang for r in labelled.select("lang").distinct().collect()]  # the languages
+    chosen = hash_sample(labelled.select("doc_id", "lang").distinct(), "lang", dict.fromkeys(names, rows))
     # at most rows x languages ids
     texts = labelled.join(F.broadcast(chosen), ["doc_id", "lang"]) \
         .select("lang", F.xxhash64("doc_id").alias("h"), "doc_id",

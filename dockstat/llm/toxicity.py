@@ -25,11 +25,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dockstat.llm import langid
-from dockstat.llm.common import Words, coded, importable, slices
+from dockstat.llm.common import Words, coded, hash_sample, importable, slices
 
 BUCKETS = 1 << 22
 PREFIXES = (4, 5, 6)
@@ -207,9 +207,7 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: Column, positives: int = P
         .groupBy("doc_id").agg(F.max("toxic").alias("y"))
     sizes = {r.y: r.n for r in teach.groupBy("y").agg(F.count("*").alias("n")).collect()}
     languages = langid.fit(docs, ~held_out)
-    ranked = teach.withColumn("h", F.xxhash64("doc_id")) \
-        .withColumn("r", F.row_number().over(Window.partitionBy("y").orderBy("h", "doc_id")))
-    chosen = ranked.filter(F.col("r") <= F.when(F.col("y") == 1, positives).otherwise(negatives))
+    chosen = hash_sample(teach, "y", {1: positives, 0: negatives}).withColumn("h", F.xxhash64("doc_id"))
     # at most positives + negatives ids
     sample = docs.select("doc_id", F.substring("text", 1, TRAIN_CHARS).alias("text")) \
         .join(F.broadcast(chosen.select("doc_id", "y", "h")), "doc_id").select("doc_id", "h", "y", "text").collect()

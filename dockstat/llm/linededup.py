@@ -5,7 +5,9 @@ a digit are variable from the start.  In a leaf that many documents reach, a tok
 a position is fixed if MIN_DOCS or more documents have it there; all others are
 variable fields.  The fixed tokens form the line's template.  A template of enough
 fixed tokens that MIN_DOCS or more documents share is recurring, and its lines are
-dropped, except in the document of the smallest doc_id that has one.
+dropped, except in the document of the smallest doc_id that has one.  A whole line of
+WHOLE_WORDS or more tokens without a digit is no chance match: it is recurring from
+WHOLE_DOCS documents on, with all that differ from it in digit tokens only.
 
 Everything is counted with partial aggregation over distinct lines, so a line or a
 leaf that a third of all documents share is one row per task before any shuffle; and
@@ -33,9 +35,10 @@ from pyspark.sql import functions as F
 from dockstat.llm.common import coded, hash_words, id_and_text, importable, mix, signed, slices, staged
 
 LEADING, MIN_DOCS, MIN_TOKENS = 3, 10, 3
+WHOLE_DOCS, WHOLE_WORDS = 2, 6
 FIXED_PERCENT, FIXED_LEAST = 75, 4
 VARIABLE = "<*>"
-LINE_SCHEMA = "doc_id long, line_no int, n_tokens int, leaf long, skeleton long"
+LINE_SCHEMA = "doc_id long, line_no int, n_tokens int, n_words int, leaf long, skeleton long"
 
 
 class Lines:
@@ -65,6 +68,8 @@ class Lines:
             nth = (np.arange(len(token)) - np.repeat(bounds[:-1], n)).astype(np.uint64)
             total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(token ^ mix(nth + np.uint64(1))))])
             skeleton = mix(total[self.start + self.n] - total[self.start] + leaf)
+        plain = np.concatenate([[0], np.cumsum(~self.variable[self.words.codes])])
+        self.n_words = plain[self.start + self.n] - plain[self.start]
         self.leaf, self.skeleton = signed(leaf), signed(skeleton)
 
     def tokens(self, i: int) -> list[str]:
@@ -78,7 +83,8 @@ def _lines(leading: int, least: int):
             x = Lines(b["text"], leading, least)
             yield pa.RecordBatch.from_arrays(
                 [b["doc_id"].take(pa.array(x.doc)), pa.array(x.line_no, pa.int32()), pa.array(x.n, pa.int32()),
-                 pa.array(x.leaf), pa.array(x.skeleton)], ["doc_id", "line_no", "n_tokens", "leaf", "skeleton"])
+                 pa.array(x.n_words, pa.int32()), pa.array(x.leaf), pa.array(x.skeleton)],
+                ["doc_id", "line_no", "n_tokens", "n_words", "leaf", "skeleton"])
     return run
 
 
@@ -101,12 +107,14 @@ def recurring_lines(docs: DataFrame, leading: int = LEADING, min_docs: int = MIN
     lines = staged(docs.mapInArrow(_lines(leading, min_tokens), LINE_SCHEMA), "lines")
     busy = lines.select("leaf", "doc_id").distinct().groupBy("leaf").agg(F.count("*").alias("n")) \
         .filter(F.col("n") >= min_docs).select("leaf")
-    # distinct lines of busy leaves, with the documents that have them and one place to read them
-    skeletons = staged(
-        lines.join(busy, "leaf", "left_semi")
-        .groupBy("leaf", "skeleton", "doc_id").agg(F.first("n_tokens").alias("n_tokens"))
+    # distinct lines, with the documents that have them and one place to read them
+    whole = (F.col("n_docs") >= WHOLE_DOCS) & (F.col("n_words") >= WHOLE_WORDS)
+    counted = staged(
+        lines.groupBy("leaf", "skeleton", "doc_id").agg(F.first("n_tokens").alias("n_tokens"), F.first("n_words").alias("n_words"))
         .groupBy("leaf", "skeleton").agg(F.count("*").alias("n_docs"), F.first("n_tokens").alias("n_tokens"),
-                                         F.min("doc_id").alias("doc_id")), "skeletons")
+                                         F.first("n_words").alias("n_words"), F.min("doc_id").alias("doc_id"))
+        .join(busy.withColumn("busy", F.lit(True)), "leaf", "left").filter(whole | F.col("busy")), "skeletons")
+    skeletons = counted.filter("busy")
     wanted = skeletons.groupBy("doc_id").agg(F.collect_list("skeleton").alias("wanted"))  # lines of one document
     read = staged(docs.join(wanted, "doc_id").select("text", "wanted")
                   .mapInArrow(_tokens(leading, min_tokens), "skeleton long, tokens array<string>")
@@ -122,10 +130,16 @@ def recurring_lines(docs: DataFrame, leading: int = LEADING, min_docs: int = MIN
         F.lit(FIXED_LEAST), F.ceil(F.col("n_tokens") * FIXED_PERCENT / 100)))
     template = staged(template.filter(F.col("n_fixed") >= enough)
                       .select("leaf", "skeleton", F.xxhash64("leaf", "h", "n_fixed").alias("template_id")).distinct(), "templates")
-    matched = staged(lines.join(template, ["leaf", "skeleton"]).select("doc_id", "line_no", "template_id"), "matched")
-    recurring = matched.select("template_id", "doc_id").distinct().groupBy("template_id") \
-        .agg(F.count("*").alias("n_docs"), F.min("doc_id").alias("first_doc")).filter(F.col("n_docs") >= min_docs)
-    return matched.distinct().join(recurring, "template_id") \
+    documents = lines.join(template, ["leaf", "skeleton"]).select("template_id", "doc_id").distinct() \
+        .groupBy("template_id").agg(F.count("*").alias("n_docs"), F.min("doc_id").alias("first_doc")) \
+        .filter(F.col("n_docs") >= min_docs)
+    recurring = staged(template.join(documents, "template_id")
+                       .select("leaf", "skeleton", "template_id", "n_docs", "first_doc"), "recurring")
+    alone = counted.filter(whole).join(recurring, ["leaf", "skeleton"], "left_anti") \
+        .select("leaf", "skeleton", F.xxhash64("leaf", "skeleton").alias("template_id"), "n_docs",
+                F.col("doc_id").alias("first_doc"))
+    return lines.select("doc_id", "line_no", "leaf", "skeleton").distinct() \
+        .join(recurring.unionByName(alone), ["leaf", "skeleton"]) \
         .select("doc_id", "line_no", "template_id", "n_docs", (F.col("doc_id") != F.col("first_doc")).alias("dropped"))
 
 

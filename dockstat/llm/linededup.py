@@ -1,10 +1,13 @@
 """Line dedup by a fixed-depth tree of line templates.
 
 A line's path in the tree is its token count and its LEADING first tokens; tokens with
-a digit are variable from the start.  In a leaf that many documents reach, a token at
-a position is fixed if MIN_DOCS or more documents have it there; all others are
-variable fields.  The fixed tokens form the line's template.  A template of enough
-fixed tokens that MIN_DOCS or more documents share is recurring, and its lines are
+a digit are variable from the start.  In a leaf that many documents reach, a line's
+tokens are ranked by their support, the documents that have them at their position;
+the best-supported FIXED_PERCENT of them, and any that tie with the last of these, are
+fixed and form the line's template; all others are variable fields.  A field's value
+never has more support than the words around it, so ranks, unlike a bar of so many
+documents, choose the same tokens however large the leaf is.  A template that
+MIN_DOCS or more documents share is recurring, and its lines are
 dropped, except in the document of the smallest doc_id that has one.  A whole line of
 WHOLE_WORDS or more tokens without a digit is no chance match: it is recurring from
 WHOLE_DOCS documents on, with all that differ from it in digit tokens only.
@@ -122,14 +125,18 @@ def recurring_lines(docs: DataFrame, leading: int = LEADING, min_docs: int = MIN
                   .join(skeletons.select("skeleton", "leaf", "n_tokens", "n_docs"), "skeleton"), "line-tokens")
     placed = read.select("leaf", "skeleton", "n_tokens", "n_docs", F.posexplode("tokens").alias("pos", "token")) \
         .filter(F.col("token") != VARIABLE)
-    fixed = placed.groupBy("leaf", "pos", "token").agg(F.sum("n_docs").alias("support")) \
-        .filter(F.col("support") >= min_docs).drop("support")
-    template = placed.join(fixed, ["leaf", "pos", "token"]).groupBy("leaf", "skeleton", "n_tokens") \
-        .agg(F.bit_xor(F.xxhash64("pos", "token")).alias("h"), F.count("*").alias("n_fixed"))
+    # a document's variants of a line count each; all the tokens that they share gain alike, and only ranks matter
+    support = placed.groupBy("leaf", "pos", "token").agg(F.sum("n_docs").alias("support")) \
+        .filter(F.col("support") >= min_docs)
     enough = F.least(F.col("n_tokens"), F.greatest(
-        F.lit(FIXED_LEAST), F.ceil(F.col("n_tokens") * FIXED_PERCENT / 100)))
-    template = staged(template.filter(F.col("n_fixed") >= enough)
-                      .select("leaf", "skeleton", F.xxhash64("leaf", "h", "n_fixed").alias("template_id")).distinct(), "templates")
+        F.lit(FIXED_LEAST), F.ceil(F.col("n_tokens") * FIXED_PERCENT / 100))).cast("int")
+    ranked = placed.join(support, ["leaf", "pos", "token"]).groupBy("leaf", "skeleton", "n_tokens") \
+        .agg(F.sort_array(F.collect_list(F.struct("support", "pos", "token")), asc=False).alias("ranked")) \
+        .withColumn("enough", enough).filter(F.size("ranked") >= F.col("enough")) \
+        .withColumn("least", F.expr("ranked[enough - 1].support"))
+    template = staged(ranked.select("leaf", "skeleton", F.xxhash64("leaf", F.expr(
+        "array_sort(transform(filter(ranked, x -> x.support >= least), x -> struct(x.pos, x.token)))")).alias("template_id")),
+        "templates")
     documents = lines.join(template, ["leaf", "skeleton"]).select("template_id", "doc_id").distinct() \
         .groupBy("template_id").agg(F.count("*").alias("n_docs"), F.min("doc_id").alias("first_doc")) \
         .filter(F.col("n_docs") >= min_docs)

@@ -29,3 +29,24 @@ def test_whole_lines_recur_from_two_documents_on(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     left = {r.doc_id: r.text for r in linededup.drop_recurring_lines(docs).collect()}
     assert left[20] == rows[0][1] and left[5268] == rows[1][1].split("\n")[1] and left[33] == rows[4][1].split("\n")[0]
+
+
+def test_fields_stay_variable_however_many_documents_have_a_value(spark):
+    rnd = random.Random(5)
+    for per_value in (2, 30):                    # 24 names: below and above the bar of ten documents each
+        rows = [(i, f"Report filed by {WORDS[i % 24]} for the {WORDS[40 + i // 24 % 24]} office today again")
+                for i in range(24 * per_value)]
+        rows += [(5000 + i, "Report filed by " + own(rnd)) for i in range(20)]
+        rows += [(6000, "\n".join(f"Report filed by {WORDS[0]} for the {w} office today again" for w in WORDS))]
+        got = found(spark, rows)
+        assert len(got) == 24 * per_value + len(WORDS)
+        assert set(got.values()) == {(24 * per_value + 1, False), (24 * per_value + 1, True)}
+        assert not got[0, 0][1] and sum(not dropped for _, dropped in got.values()) == 1
+
+
+def test_a_small_template_beside_a_large_one(spark):
+    rows = [(i, f"This page was last changed on some day by {WORDS[i % 90]}") for i in range(900)]
+    rows += [(2000 + i, f"This page was never seen by anyone but our {WORDS[i]}") for i in range(12)]
+    got = found(spark, rows)
+    assert {n for (d, _), (n, _) in got.items() if d < 2000} == {900}
+    assert {n for (d, _), (n, _) in got.items() if d >= 2000} == {12} and len(got) == 912

@@ -6,9 +6,12 @@ tokens are ranked by their support, the documents that have them at their positi
 the best-supported FIXED_PERCENT of them, and any that tie with the last of these, are
 fixed and form the line's template; all others are variable fields.  A field's value
 never has more support than the words around it, so ranks, unlike a bar of so many
-documents, choose the same tokens however large the leaf is.  A template that
-MIN_DOCS or more documents share is recurring, and its lines are
-dropped, except in the document of the smallest doc_id that has one.  A whole line of
+documents, choose the same tokens however large the leaf is.  A template that MIN_DOCS or more
+documents share is recurring.  From MANY_DOCS documents on digit tokens don't count
+against it: the share is taken of the line's other tokens, LEAST_CORE at least.  Lines
+of a recurring template are dropped, except in the document of the smallest doc_id
+that has one.  Up to FIXED_LEAST other tokens have no variable field among them, as
+nothing tells such a template from prose that begins alike.  A whole line of
 WHOLE_WORDS or more tokens without a digit is no chance match: it is recurring from
 WHOLE_DOCS documents on, with all that differ from it in digit tokens only.
 
@@ -32,13 +35,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dockstat.llm.common import coded, hash_words, id_and_text, importable, mix, signed, slices, staged
 
 LEADING, MIN_DOCS, MIN_TOKENS = 3, 10, 3
 WHOLE_DOCS, WHOLE_WORDS = 2, 6
+MANY_DOCS, LEAST_CORE = 30, 2
 FIXED_PERCENT, FIXED_LEAST = 75, 4
 VARIABLE = "<*>"
 LINE_SCHEMA = "doc_id long, line_no int, n_tokens int, n_words int, leaf long, skeleton long"
@@ -122,26 +126,34 @@ def recurring_lines(docs: DataFrame, leading: int = LEADING, min_docs: int = MIN
     read = staged(docs.join(wanted, "doc_id").select("text", "wanted")
                   .mapInArrow(_tokens(leading, min_tokens), "skeleton long, tokens array<string>")
                   .dropDuplicates(["skeleton"])  # a doc_id may have come twice
-                  .join(skeletons.select("skeleton", "leaf", "n_tokens", "n_docs"), "skeleton"), "line-tokens")
-    placed = read.select("leaf", "skeleton", "n_tokens", "n_docs", F.posexplode("tokens").alias("pos", "token")) \
+                  .join(skeletons.select("skeleton", "leaf", "n_tokens", "n_words", "n_docs"), "skeleton"), "line-tokens")
+    placed = read.select("leaf", "skeleton", "n_tokens", "n_words", "n_docs", F.posexplode("tokens").alias("pos", "token")) \
         .filter(F.col("token") != VARIABLE)
     # a document's variants of a line count each; all the tokens that they share gain alike, and only ranks matter
     support = placed.groupBy("leaf", "pos", "token").agg(F.sum("n_docs").alias("support")) \
         .filter(F.col("support") >= min_docs)
-    enough = F.least(F.col("n_tokens"), F.greatest(
-        F.lit(FIXED_LEAST), F.ceil(F.col("n_tokens") * FIXED_PERCENT / 100))).cast("int")
-    ranked = placed.join(support, ["leaf", "pos", "token"]).groupBy("leaf", "skeleton", "n_tokens") \
+
+    def share(n: str) -> Column:
+        part = F.least(F.col(n), F.greatest(F.lit(FIXED_LEAST), F.ceil(F.col(n) * FIXED_PERCENT / 100)))
+        return F.greatest(part, F.lit(LEAST_CORE)).cast("int")
+
+    strict = F.struct(share("n_tokens").alias("enough"), F.lit(min_docs).alias("bar"))
+    wide = F.struct(share("n_words").alias("enough"), F.lit(max(MANY_DOCS, min_docs)).alias("bar"))
+    ranked = placed.join(support, ["leaf", "pos", "token"]).groupBy("leaf", "skeleton", "n_tokens", "n_words") \
         .agg(F.sort_array(F.collect_list(F.struct("support", "pos", "token")), asc=False).alias("ranked")) \
-        .withColumn("enough", enough).filter(F.size("ranked") >= F.col("enough")) \
+        .withColumn("try", F.explode(F.when(F.col("n_words") < F.col("n_tokens"), F.array(strict, wide)).otherwise(F.array(strict)))) \
+        .select("*", "try.*").filter(F.size("ranked") >= F.col("enough")) \
         .withColumn("least", F.expr("ranked[enough - 1].support"))
-    template = staged(ranked.select("leaf", "skeleton", F.xxhash64("leaf", F.expr(
+    template = staged(ranked.select("leaf", "skeleton", "bar", F.xxhash64("leaf", "bar", F.expr(
         "array_sort(transform(filter(ranked, x -> x.support >= least), x -> struct(x.pos, x.token)))")).alias("template_id")),
         "templates")
-    documents = lines.join(template, ["leaf", "skeleton"]).select("template_id", "doc_id").distinct() \
-        .groupBy("template_id").agg(F.count("*").alias("n_docs"), F.min("doc_id").alias("first_doc")) \
-        .filter(F.col("n_docs") >= min_docs)
-    recurring = staged(template.join(documents, "template_id")
-                       .select("leaf", "skeleton", "template_id", "n_docs", "first_doc"), "recurring")
+    documents = lines.join(template, ["leaf", "skeleton"]).select("template_id", "bar", "doc_id").distinct() \
+        .groupBy("template_id", "bar").agg(F.count("*").alias("n_docs"), F.min("doc_id").alias("first_doc")) \
+        .filter(F.col("n_docs") >= F.col("bar"))
+    # the wider template of a line holds all lines of its strict one
+    recurring = staged(template.join(documents, ["template_id", "bar"]).groupBy("leaf", "skeleton")
+                       .agg(F.max_by(F.struct("template_id", "n_docs", "first_doc"), "bar").alias("best"))
+                       .select("leaf", "skeleton", "best.*"), "recurring")
     alone = counted.filter(whole).join(recurring, ["leaf", "skeleton"], "left_anti") \
         .select("leaf", "skeleton", F.xxhash64("leaf", "skeleton").alias("template_id"), "n_docs",
                 F.col("doc_id").alias("first_doc"))

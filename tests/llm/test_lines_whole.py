@@ -50,3 +50,13 @@ def test_a_small_template_beside_a_large_one(spark):
     got = found(spark, rows)
     assert {n for (d, _), (n, _) in got.items() if d < 2000} == {900}
     assert {n for (d, _), (n, _) in got.items() if d >= 2000} == {12} and len(got) == 912
+
+
+def test_digit_fields_do_not_count_against_a_template(spark):
+    rnd = random.Random(7)
+    rows = [(i, f"Page {i} of 12\n2024-01-{i:02} 12:00:{i:02} INFO user {i} logged in from 10.0.0.{i}\n"
+                f"Order {i} of {i} items for {WORDS[i]} was sent at {i}:30") for i in range(60)]
+    rows += [(100 + i, f"Height {i} cm") for i in range(9)]                          # too few for two tokens
+    rows += [(200 + i, f"{i} {i} total") for i in range(60)]                         # one token is no template
+    rows += [(300 + i, "Order 7 of 9 " + " ".join(rnd.choice(WORDS) for _ in range(6))) for i in range(40)]
+    assert found(spark, rows) == {(d, i): (60, d > 0) for d in range(60) for i in range(3)}

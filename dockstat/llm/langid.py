@@ -9,7 +9,9 @@ normalised phrases wins.  Whole texts are parsed, in blocks of BLOCK symbols tha
 run side by side as numpy lanes.
 
 Symbols are lower-case letters; everything else is one blank, runs of it collapsed.
-Letters outside the reference texts share a symbol that matches nowhere.
+Every letter of the sampled texts has its own symbol; all others share one that
+matches nowhere.  A language with few letters has a dense table of its automaton's
+transitions, one with many a sorted list of them.
 
 Defined cases: a null text, or one without a letter, is `und` with score 0; ties go
 to the alphabetically first language; rows without lang teach nothing; with nothing
@@ -19,7 +21,7 @@ teaches and counts as not held out; other columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -33,7 +35,7 @@ from dockstat.llm.common import hash_sample, importable, ragged, slices
 UND = "und"
 REFERENCE_SYMBOLS = 30_000  # of each language
 REFERENCE_ROWS = 60         # labelled rows they are cut from
-MAX_LETTERS = 60
+DENSE_LETTERS = 62          # a language with more has its transitions listed
 BLOCK = 1024
 BLANK, OTHER, FIRST = 0, 1, 2
 
@@ -48,12 +50,16 @@ class LanguageModel:
     """Letters with a symbol of their own, and each language's reference text in symbols."""
     letters: str
     languages: tuple[str, ...]
-    references: tuple[bytes, ...]
+    references: tuple[bytes, ...]  # of symbol_type(letters)
+
+
+def symbol_type(letters: str) -> type:
+    return next(t for t in (np.uint8, np.uint16, np.uint32) if FIRST + len(letters) <= np.iinfo(t).max)
 
 
 @lru_cache(maxsize=4)
 def _symbol_table(letters: str) -> np.ndarray:
-    table = np.zeros(0x110000, np.uint8)
+    table = np.zeros(0x110000, symbol_type(letters))
     table[[i for i in range(0x110000) if chr(i).isalpha()]] = OTHER
     for i, c in enumerate(letters):
         table[ord(c)] = FIRST + i
@@ -73,7 +79,7 @@ def symbols(texts: list[str], letters: str) -> tuple[np.ndarray, np.ndarray]:
     return sym[keep], before[at]
 
 
-def suffix_automaton(text: bytes) -> list[dict[int, int]]:
+def suffix_automaton(text: Sequence[int]) -> list[dict[int, int]]:
     """Transitions of the suffix automaton of `text`; state 0 is the root."""
     goto: list[dict[int, int]] = [{}]
     link, length, last = [-1], [0], 0
@@ -103,24 +109,60 @@ def suffix_automaton(text: bytes) -> list[dict[int, int]]:
     return goto
 
 
-def _steps(text: bytes, width: int) -> np.ndarray:
+class DenseSteps:
     """Flat table over (state, symbol): phrases ended by the step in the top two bits, next row below.
 
     Without a transition the phrase ends before the symbol, which then starts the next
     one from the root; a symbol that the root lacks is a phrase by itself.
     """
-    goto = suffix_automaton(text)
-    root = np.zeros(width, np.uint32)
-    known = np.zeros(width, bool)
-    for c, to in goto[0].items():
-        root[c], known[c] = to * width, True
-    fail = np.where(known, root | np.uint32(1 << 30), np.uint32(2 << 30)).astype(np.uint32)
-    table = np.tile(fail, (len(goto), 1))
-    table[0] = np.where(known, root, np.uint32(1 << 30))
-    at = np.repeat(np.arange(len(goto)), [len(g) for g in goto])
-    on = np.fromiter((c for g in goto for c in g), np.int64, len(at))
-    table[at, on] = np.fromiter((t for g in goto for t in g.values()), np.int64, len(at)) * width
-    return table.reshape(-1)
+
+    def __init__(self, text: Sequence[int], width: int):
+        goto = suffix_automaton(text)
+        root = np.zeros(width, np.uint32)
+        known = np.zeros(width, bool)
+        for c, to in goto[0].items():
+            root[c], known[c] = to * width, True
+        fail = np.where(known, root | np.uint32(1 << 30), np.uint32(2 << 30)).astype(np.uint32)
+        table = np.tile(fail, (len(goto), 1))
+        table[0] = np.where(known, root, np.uint32(1 << 30))
+        at = np.repeat(np.arange(len(goto)), [len(g) for g in goto])
+        on = np.fromiter((c for g in goto for c in g), np.int64, len(at))
+        table[at, on] = np.fromiter((t for g in goto for t in g.values()), np.int64, len(at)) * width
+        self.table = table.reshape(-1)
+
+    def step(self, state: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(next states, phrases ended)."""
+        got = self.table[state + symbol]
+        return got & np.uint32(0x3FFFFFFF), got >> np.uint32(30)
+
+
+class ListedSteps:
+    """The same steps over a sorted list of (state, symbol) transitions."""
+
+    def __init__(self, text: Sequence[int], width: int):
+        goto = suffix_automaton(text)
+        self.width = width
+        self.root = np.zeros(width, np.uint32)
+        for c, to in goto[0].items():
+            self.root[c] = to
+        size = [len(g) for g in goto]
+        key = np.repeat(np.arange(len(goto)), size) * width + np.fromiter((c for g in goto for c in g), np.int64, sum(size))
+        to = np.fromiter((t for g in goto for t in g.values()), np.uint32, sum(size))
+        order = np.argsort(key)
+        self.key, self.to = key[order], to[order]
+
+    def step(self, state: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        into = self.root[symbol]
+        ended = (into == 0).astype(np.uint32)  # a symbol the root lacks
+        inside = np.flatnonzero(state)
+        ended[inside] += np.uint32(1)
+        inside = inside[into[inside] > 0]  # what the root lacks no state has
+        key = state[inside] * np.int64(self.width) + symbol[inside]
+        at = np.searchsorted(self.key, key).clip(max=len(self.key) - 1)
+        hit = self.key[at] == key
+        into[inside[hit]] = self.to[at[hit]]
+        ended[inside[hit]] = 0
+        return into, ended
 
 
 @lru_cache(maxsize=2)
@@ -132,9 +174,23 @@ def parser(model: LanguageModel) -> CrossParser:
 class CrossParser:
     def __init__(self, model: LanguageModel):
         self.model = model
-        width = FIRST + len(model.letters)
-        self.tables = [_steps(r, width) for r in model.references]
-        self.weight = np.array([np.log2(max(2, len(r))) for r in model.references])
+        width, kind = FIRST + len(model.letters), symbol_type(model.letters)
+        references = [np.frombuffer(r, kind) for r in model.references]
+        self.weight = np.array([np.log2(max(2, len(r))) for r in references])
+        self.tables: list[DenseSteps | ListedSteps] = []
+        self.own: list[np.ndarray | None] = []  # each language's numbers of the symbols, if not the joint ones
+        for r in references:
+            letters = np.setdiff1d(r, [BLANK, OTHER])
+            if width > FIRST + DENSE_LETTERS:
+                own = np.full(width, OTHER, symbol_type(model.letters))
+                own[BLANK] = BLANK
+                own[letters] = FIRST + np.arange(len(letters))
+                self.own.append(own)
+                steps = DenseSteps if len(letters) <= DENSE_LETTERS else ListedSteps
+                self.tables.append(steps(own[r].tolist(), FIRST + len(letters)))
+            else:
+                self.own.append(None)
+                self.tables.append(DenseSteps(r.tolist(), width))
 
     def bits(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(bits per symbol by text and language, whether the text has a letter)."""
@@ -148,22 +204,21 @@ class CrossParser:
         length = np.minimum(size[of] - nth * BLOCK, BLOCK)
         order = np.argsort(-length, kind="stable")
         of, start, length = of[order], (at[:-1][of] + nth * BLOCK)[order], length[order]
-        lanes = np.zeros(len(of) * BLOCK, np.uint8)
+        lanes = np.zeros(len(of) * BLOCK, sym.dtype)
         lanes[ragged((np.arange(len(of)) * BLOCK).astype(np.int32), length)] = \
             sym[ragged(start.astype(np.int32), length)]
         lanes = np.ascontiguousarray(lanes.reshape(len(of), BLOCK).T)
         live = np.searchsorted(-length, -np.arange(BLOCK), side="left")  # lanes longer than t
         phrases = np.empty((len(texts), len(self.tables)))
-        for k, table in enumerate(self.tables):
+        for k, (steps, own) in enumerate(zip(self.tables, self.own)):
             state = np.zeros(len(of), np.uint32)
             ended = np.zeros(len(of), np.uint32)
             for t in range(BLOCK):
                 n = live[t]
                 if n == 0:
                     break
-                got = table[state[:n] + lanes[t, :n]]
-                ended[:n] += got >> np.uint32(30)
-                state[:n] = got & np.uint32(0x3FFFFFFF)
+                state[:n], more = steps.step(state[:n], lanes[t, :n] if own is None else own[lanes[t, :n]])
+                ended[:n] += more
             phrases[:, k] = np.bincount(of, ended + (state > 0), len(texts))
         return phrases * self.weight / np.maximum(size, 1)[:, None], has
 
@@ -197,16 +252,11 @@ def fit(docs: DataFrame, teach: Column, rows: int = REFERENCE_ROWS,
         .select("lang", F.xxhash64("doc_id").alias("h"), "doc_id",
                 F.substring("text", 1, 4 * share).alias("text")).dropna().collect()
     texts.sort(key=lambda r: (r.lang, r.h, r.doc_id, r.text))
-    counts: dict[str, int] = {}
-    for r in texts:
-        for c in r.text.lower():
-            if c.isalpha():
-                counts[c] = counts.get(c, 0) + 1
-    letters = "".join(sorted(sorted(counts, key=lambda c: (-counts[c], c))[:MAX_LETTERS]))
+    letters = "".join(sorted({c for r in texts for c in r.text.lower() if c.isalpha()}))
     refs: dict[str, bytes] = {}
     for r in texts:
         sym, _ = symbols([r.text], letters)
-        refs[r.lang] = refs.get(r.lang, b"") + sym[:share].tobytes() + bytes([BLANK])
+        refs[r.lang] = refs.get(r.lang, b"") + sym[:share].tobytes() + np.array([BLANK], sym.dtype).tobytes()
     refs = {k: v for k, v in refs.items() if any(v)}
     return LanguageModel(letters, tuple(sorted(refs)), tuple(refs[k] for k in sorted(refs)))
 

@@ -280,13 +280,13 @@ def identify(docs: DataFrame, held_out: Column, model: LanguageModel | None = No
 
 
 def keep_identified(docs: DataFrame, held_out: Column) -> DataFrame:
-    """Rows of `docs` whose text has a language; null and letterless texts go."""
+    """Rows of `docs` whose text has a letter; null and letterless texts go, also where nothing was learned."""
     importable(docs.sparkSession)
     model, schema = fit(docs, ~held_out), docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cross = parser(model)
         for b in slices(batches, cap=4 << 20):
-            lang, _ = cross.predict([t or "" for t in b["text"].to_pylist()])
-            yield b.filter(pa.array([x != UND for x in lang], pa.bool_()))
+            _, has = cross.bits([t or "" for t in b["text"].to_pylist()])
+            yield b.filter(pa.array(has, pa.bool_()))
     return docs.mapInArrow(run, schema)

@@ -52,3 +52,8 @@ def test_listed_and_dense_steps_equal_plain_search():
             n = sum(phrases(sym[s:s + langid.BLOCK], spelled(r)) for s in range(0, len(sym), langid.BLOCK))
             assert np.isclose(b, n * weight / max(1, len(sym)))
     assert has.tolist() == [True, True, True, False, False]
+
+
+def test_lettered_texts_stay_where_no_row_has_a_language(spark):
+    docs = spark.createDataFrame([(1, "some words", None), (2, "12 !", None), (3, None, None)], "doc_id long, text string, lang string")
+    assert [r.doc_id for r in langid.keep_identified(docs, langid.split_rest("doc_id", 4) == 2).collect()] == [1]

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dockstat.llm import (ann, chat, chunkdedup, decontam, langid, linededup, minhash, packing, tokenstore,
-                          toxicity)
+from dockstat.llm import (ann, chat, chunkdedup, decontam, langid, linededup, minhash, packing, pagetext,
+                          partcodes, tokenstore, toxicity, whitening)
 from dockstat.llm.common import table
 
 
@@ -56,6 +56,18 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.conversation_digests(chat.format_conversations(turns.unionByName(probe)))
 
 
+def op11_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pagetext.extract(table(spark, sf_dir, "pages"))
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings")).withColumn("deviation", F.col("deviation").cast("long"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return partcodes.compress(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_template_line_dedup": op2_template_line_dedup,
@@ -67,6 +79,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chunk_substring_dedup": op8_chunk_substring_dedup,
     "op9_token_files": op9_token_files,
     "op10_chat_format": op10_chat_format,
+    "op11_page_text": op11_page_text,
+    "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_vector_codes": op13_vector_codes,
 }
 
 ORACLE: dict[str, str] = {
@@ -115,4 +130,41 @@ select conv_id, count(*) as n_turns,
   regexp_full_match(string_agg(role || ',', '' order by turn, role, text),
     '(system,)?user,assistant,(user,assistant,)*') as valid
 from sized group by conv_id""",
+    # every part against every entry; integer arithmetic throughout, // truncates, hence the remainders
+    "op13_vector_codes": r"""
+with kept as (
+  select vec_id, label, row_number() over (order by vec_id nulls last, embedding) as r,
+    list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v
+  from embeddings where embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0 and len(embedding) > 0),
+part as (
+  select r, p, v[p * (len(v) // 16) + 1 : (p + 1) * (len(v) // 16)] as x from kept, range(16) t(p)),
+b0 as (select p, r - 1 as e, x as c from part where r <= 64),
+a0 as (
+  select r, p, any_value(x) as x,
+    min({'d': list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), 'e': e}) as m
+  from part join b0 using (p) group by r, p),
+s1 as (select p, m.e as e, j, sum(x[j]) as s, count(*) as n from a0, unnest(range(1, len(x) + 1)) t(j) group by all),
+c1 as (
+  select p, e, list(cast((s - ((s % n) + n) % n) // n as bigint) order by j) as c from s1 group by p, e),
+b1 as (select p, e, coalesce(c1.c, b0.c) as c from b0 left join c1 using (p, e)),
+a1 as (
+  select r, p, any_value(x) as x,
+    min({'d': list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), 'e': e}) as m
+  from part join b1 using (p) group by r, p),
+s2 as (select p, m.e as e, j, sum(x[j]) as s, count(*) as n from a1, unnest(range(1, len(x) + 1)) t(j) group by all),
+c2 as (
+  select p, e, list(cast((s - ((s % n) + n) % n) // n as bigint) order by j) as c from s2 group by p, e),
+b2 as (select p, e, coalesce(c2.c, b1.c) as c from b1 left join c2 using (p, e)),
+a2 as (
+  select r, p,
+    min({'d': list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), 'e': e}) as m
+  from part join b2 using (p) group by r, p),
+coded as (
+  select r, string_agg(lpad(lower(to_hex(m.e)), 2, '0'), '' order by p) as code, cast(sum(m.d) as bigint) as error
+  from a2 group by r),
+book as (
+  select sha256(string_agg(array_to_string(c, ','), ',' order by p, e)) as codebooks_sha256 from b2)
+select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error, codebooks_sha256
+from kept join coded using (r), book""",
 }

@@ -176,7 +176,13 @@ def fit_codebooks(kept: DataFrame, dim: int, parts: int = PARTS, entries: int =
     """(parts, entries, dim / parts) integers after `rounds` passes over all kept vectors."""
     if dim % parts:
         raise ValueError(f"{dim} entries can't be cut into {parts} equal parts")
-    first = kept.orderBy(F.col("vec_id").asc_nulls_last(), "v").limit(entries).select("v").collect()
+    order = F.col("vec_id").asc_nulls_last()
+    ids = [r.vec_id for r in kept.select("vec_id").orderBy(order).limit(entries).collect()]
+    if ids[-1] is not None:  # so that only tasks with such ids send vectors
+        kept_first = kept.filter(F.col("vec_id") <= ids[-1])
+    else:
+        kept_first = kept
+    first = kept_first.orderBy(order, "v").limit(entries).select("v").collect()
     books = integers(np.array([r.v for r in first], np.float64), scale).reshape(len(first), parts, -1).transpose(1, 0, 2).copy()
     width = dim // parts
     for _ in range(rounds):

@@ -12,8 +12,10 @@ incoming rows on the key:
 * key absent from the input (with ``hard_deletes``) -> the open version closes;
 * a key that comes back after being closed simply opens a new version.
 
-Closed history is carried over untouched; only open versions meet the
-input, in one full outer join on a key that is unique on both sides.
+One full outer join meets the open versions with the input; versions closed before pass
+through it unmatched, so a run reads the snapshot once and a chain of runs has a plan that
+grows by one join a run.  :mod:`dockstat.operators.scd2_store` keeps the history on disk and
+writes only what a run changes.
 """
 
 from __future__ import annotations
@@ -32,7 +34,8 @@ def _as_of(as_of: str):
     return F.lit(as_of).cast("timestamp_ntz")
 
 
-def _open_rows(current: DataFrame, key: str, as_of: str) -> DataFrame:
+def open_versions(current: DataFrame, key: str, as_of: str) -> DataFrame:
+    """``current`` as versions that open at ``as_of``."""
     return current.select(
         *current.columns,
         F.md5(F.concat_ws("|", F.col(key).cast("string"), F.lit(as_of))).alias("dbt_scd_id"),
@@ -41,6 +44,32 @@ def _open_rows(current: DataFrame, key: str, as_of: str) -> DataFrame:
         F.lit(None).cast("timestamp_ntz").alias("dbt_valid_to"))
 
 
+def compare(versions: DataFrame, current: DataFrame, key: str, check_cols: Sequence[str], as_of: str,
+            hard_deletes: bool = True) -> DataFrame:
+    """``_old`` (a stored version) beside ``_new`` (the incoming row as a version), and what to do.
+
+    ``_close``: the version ends now; ``_open``: the incoming row starts one.  Versions closed
+    before meet nothing.  A NULL key is a key.
+    """
+    columns = versions.columns
+    old = versions.select(F.struct(*columns).alias("_old"), F.col(key).alias("_old_key"),
+                          F.col("dbt_valid_to").isNull().alias("_is_open"))
+    new = open_versions(current, key, as_of).select(F.struct(*columns).alias("_new"), F.col(key).alias("_new_key"))
+    both = old.join(new, F.col("_old_key").eqNullSafe(F.col("_new_key")) & F.col("_is_open"), "full_outer")
+    met = F.col("_old").isNotNull() & F.col("_new").isNotNull()
+    same = met
+    for c in check_cols:
+        same &= F.col(f"_old.{c}").eqNullSafe(F.col(f"_new.{c}"))
+    ends = (F.lit(True) if hard_deletes else met) & ~same
+    return both.select("_old", "_new", (F.coalesce(F.col("_is_open"), F.lit(False)) & ends).alias("_close"),
+                       (F.col("_new").isNotNull() & ~same).alias("_open"))
+
+
+def ended(as_of: str) -> Column:
+    """``_old`` closed at ``as_of``."""
+    return F.col("_old").withField("dbt_valid_to", _as_of(as_of))
+
+
 def scd2_check(snapshot: DataFrame | None, current: DataFrame, key: str, check_cols: Sequence[str],
                as_of: str, hard_deletes: bool = True) -> DataFrame:
     """Apply one snapshot run; returns the full snapshot table after the run.
@@ -50,31 +79,11 @@ def scd2_check(snapshot: DataFrame | None, current: DataFrame, key: str, check_c
     time as ``'YYYY-MM-DD HH:MM:SS'``.
     """
     if snapshot is None:
-        return _open_rows(current, key, as_of)
-    cols = current.columns
-    closed = snapshot.filter(F.col("dbt_valid_to").isNotNull())
-    open_ = snapshot.filter(F.col("dbt_valid_to").isNull())
-    o = open_.select(*[F.col(c).alias(f"_o_{c}") for c in open_.columns])
-    c = current.select(*[F.col(x).alias(f"_c_{x}") for x in cols])
-    j = o.join(c, F.col(f"_o_{key}") == F.col(f"_c_{key}"), "full_outer")
-    has_o, has_c = F.col(f"_o_{key}").isNotNull(), F.col(f"_c_{key}").isNotNull()
-    same = F.lit(True)
-    for cc in check_cols:
-        same = same & F.col(f"_o_{cc}").eqNullSafe(F.col(f"_c_{cc}"))
-    j = j.withColumn("_state", F.when(has_o & has_c & same, "keep")
-                     .when(has_o & has_c, "changed")
-                     .when(has_c, "new")
-                     .otherwise("gone"))
-    old_cols = [F.col(f"_o_{x}").alias(x) for x in open_.columns if x != "dbt_valid_to"]
-    close_at = F.when(F.col("_state") == "changed", _as_of(as_of))
-    if hard_deletes:
-        close_at = close_at.when(F.col("_state") == "gone", _as_of(as_of))
-    olds = (j.filter(has_o)
-            .select(*old_cols, close_at.cast("timestamp_ntz").alias("dbt_valid_to")))
-    news = (j.filter(F.col("_state").isin("changed", "new"))
-            .select(*[F.col(f"_c_{x}").alias(x) for x in cols]))
-    return (closed.unionByName(olds.select(*snapshot.columns))
-            .unionByName(_open_rows(news, key, as_of).select(*snapshot.columns)))
+        return open_versions(current, key, as_of)
+    both = compare(snapshot, current, key, check_cols, as_of, hard_deletes)
+    kept = F.when(F.col("_close"), ended(as_of)).otherwise(F.col("_old"))
+    return both.select(F.explode(F.array_compact(F.array(kept, F.when(F.col("_open"), F.col("_new"))))).alias("_v")) \
+        .select("_v.*").select(*snapshot.columns)
 
 
 def scd2_from_history(history: DataFrame, key: str, time: str, check_cols: Sequence[str],
@@ -150,24 +159,34 @@ def _latest(df: DataFrame, cols) -> DataFrame:
     return latest_per_key(df, "station_id", "ingested_at", tiebreak).select(*cols)
 
 
-def snapshot_capacity(snapshot: DataFrame | None, enriched: DataFrame, as_of: str,
-                      roster: str = "history") -> DataFrame:
-    """Capacity history (docks, kiosk) of each station's newest row.
+def _of_roster(rows: DataFrame, source: DataFrame, roster: str) -> DataFrame:
+    if roster != "latest_batch":
+        return rows
+    return rows.join(source.agg(F.max("ingested_at").alias("ingested_at")), "ingested_at", "left_semi").select(*rows.columns)
+
+
+def capacity_rows(enriched: DataFrame, roster: str = "history") -> DataFrame:
+    """Each station's newest row, as the capacity snapshot takes it.
 
     ``roster="latest_batch"`` keeps only stations of the newest load, so a
     station that leaves the feed is closed (otherwise an append-only input
     never loses a key).
     """
-    cur = _latest(enriched, CAPACITY_COLUMNS)
-    if roster == "latest_batch":
-        cur = cur.join(enriched.agg(F.max("ingested_at").alias("ingested_at")), "ingested_at", "left_semi")
-    return scd2_check(snapshot, cur, "station_id", CAPACITY_CHECK, as_of)
+    return _of_roster(_latest(enriched, CAPACITY_COLUMNS), enriched, roster)
+
+
+def operational_rows(history: DataFrame, roster: str = "history") -> DataFrame:
+    """Each station's newest snapshot, as the operational snapshot takes it."""
+    return _of_roster(_latest(history, OPERATIONAL_COLUMNS), history, roster)
+
+
+def snapshot_capacity(snapshot: DataFrame | None, enriched: DataFrame, as_of: str,
+                      roster: str = "history") -> DataFrame:
+    """Capacity history (docks, kiosk) of each station's newest row."""
+    return scd2_check(snapshot, capacity_rows(enriched, roster), "station_id", CAPACITY_CHECK, as_of)
 
 
 def snapshot_operational(snapshot: DataFrame | None, history: DataFrame, as_of: str,
                          roster: str = "history") -> DataFrame:
     """Operational-flag history of each station's newest snapshot."""
-    cur = _latest(history, OPERATIONAL_COLUMNS)
-    if roster == "latest_batch":
-        cur = cur.join(history.agg(F.max("ingested_at").alias("ingested_at")), "ingested_at", "left_semi")
-    return scd2_check(snapshot, cur, "station_id", OPERATIONAL_CHECK, as_of)
+    return scd2_check(snapshot, operational_rows(history, roster), "station_id", OPERATIONAL_CHECK, as_of)

@@ -1,32 +1,19 @@
-"""Capacity tier lookup: dock count -> tier, as an equi-join."""
+"""Capacity tier lookup: dock count -> tier, as an equi-join on dyadic blocks."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-# Expanded tier table rows (one per dock count) kept in a broadcast.
-MAX_TIER_ROWS = 1_000_000
+from dockstat.operators.ranges import range_lookup
 
 
 def with_capacity_tier(df: DataFrame, tiers: DataFrame, docks_col: str = "total_docks") -> DataFrame:
     """Left join on ``docks between min_docks and max_docks``.
 
-    Dock counts are integers, so each tier is expanded to the dock counts it
-    covers (the seed's ranges add up to about a thousand values) and the
-    range predicate becomes an equality: a broadcast hash join, no nested
-    loop over ``df``.  The expanded size -- the sum of the tier widths, read
-    from the handful of seed rows -- must be within ``MAX_TIER_ROWS`` for
-    the broadcast; beyond it the lookup is a shuffled equi-join.  Docks 0,
-    NULL or above the last tier match nothing.
+    Tiers may be of any width, fractional or overlapping (a row for each tier met); see
+    :mod:`dockstat.operators.ranges`.  Docks 0, NULL or above the last tier match nothing.
     """
-    width = F.col("max_docks").cast("long") - F.col("min_docks").cast("long") + 1
-    size = tiers.select(F.sum(F.greatest(width, F.lit(0)))).first()[0] or 0  # seed rows only
-    lo, hi = F.col("min_docks").cast("long"), F.col("max_docks").cast("long")
-    expanded = tiers.select(
-        F.explode(F.when(lo <= hi, F.sequence(lo, hi))).alias("_docks"),  # empty range: no rows
-        F.col("tier_name").alias("capacity_tier"),
-        F.col("description").alias("capacity_tier_description"))
-    t = F.broadcast(expanded) if size <= MAX_TIER_ROWS else expanded
-    return df.join(t, F.col(docks_col).cast("long") == F.col("_docks"), "left").drop("_docks")
+    named = tiers.select("min_docks", "max_docks", F.col("tier_name").alias("capacity_tier"),
+                         F.col("description").alias("capacity_tier_description"))
+    return range_lookup(df, docks_col, named, "min_docks", "max_docks", ["capacity_tier", "capacity_tier_description"])

@@ -19,15 +19,17 @@ from dockstat.operators.windows import rolling_mean_rate, with_lag, with_recency
 from dockstat.plans import oracle as O
 from dockstat.plans.context import Models
 from dockstat.plans.marts_core import dim_pricing_plans
-from dockstat.plans.marts_ops import (fleet_availability, region_hour_stations, region_hourly_availability,
-                                      region_hourly_parts, region_hourly_rollup, top_priority_stations)
+from dockstat.plans.marts_ops import (fleet_availability, number_stations, region_hour_presence, region_hourly_availability,
+                                      region_hourly_parts, region_hourly_rollup, station_ids, top_priority_stations)
 from dockstat.plans import fixtures as fx
 from dockstat.operators.dedup import latest_per_key
 from dockstat.operators.incremental import incremental_merge
 from dockstat.operators.nearest import nearest_station
 from dockstat.operators.quality import (NOT_NULL, check_no_future, check_not_null, check_rate_valid,
                                         check_score_bounded, run_checks)
+from dockstat.operators.ranges import range_lookup
 from dockstat.operators.scd2 import scd2_check, scd2_from_history, snapshot_capacity, snapshot_operational
+from dockstat.operators.scd2_store import apply_run, read_history
 from dockstat.operators.staging import (stage_bikes, stage_pricing_plans, stage_regions, stage_station_status,
                                         stage_stations)
 from dockstat.session import use_utc, work_path
@@ -81,6 +83,21 @@ def q_capacity_tiers(spark, sf_dir):
     return with_capacity_tier(m.enriched.select("station_id", "total_docks"), m.tiers)
 
 
+_BANDS = """select n_name as band, cast(n_nationkey * 9876.5 as double) as low,
+  cast(case when n_nationkey % 5 = 0 then 1000000000000 else n_nationkey * 19876.25 + 1000 end as double) as high from nation"""
+
+
+@register("price_bands", f"""
+select o_orderkey, cast(o_totalprice as double) as price, band from orders
+left join ({_BANDS}) on cast(o_totalprice as double) between low and high""")
+def q_price_bands(spark, sf_dir):
+    """Orders in overlapping price bands, fractional and up to 10^12 wide."""
+    prices = fx.table(spark, sf_dir, "orders").selectExpr("o_orderkey", "cast(o_totalprice as double) as price")
+    bands = fx.table(spark, sf_dir, "nation").selectExpr("n_name as band", "cast(n_nationkey * 9876.5 as double) as low", """
+        cast(case when n_nationkey % 5 = 0 then 1000000000000 else n_nationkey * 19876.25 + 1000 end as double) as high""")
+    return range_lookup(prices, "price", bands, "low", "high", ["band"])
+
+
 # -- windows -----------------------------------------------------------------
 
 @register("rolling_availability", O.q("windows", """
@@ -211,7 +228,7 @@ def q_hourly(spark, sf_dir):
 def q_hourly_parts(spark, sf_dir):
     """The incremental form: per-day parts and station presence, rolled up."""
     fact = Models.of(spark, sf_dir).fact
-    return region_hourly_rollup(region_hourly_parts(fact), region_hour_stations(fact))
+    return region_hourly_rollup(region_hourly_parts(fact), region_hour_presence(fact, number_stations(station_ids(fact))))
 
 
 @register("fleet_availability", O.q("fact", f"""
@@ -451,6 +468,15 @@ def q_scd2_merge(spark, sf_dir):
     return snap
 
 
+@register("scd2_delta_store", ORACLE["scd2_merge"])
+def q_scd2_delta_store(spark, sf_dir):
+    """The same three runs against a stored history, each writing only what it closes and opens."""
+    path = work_path(spark, "scd2")
+    for as_of, batch in zip(RUNS3, _cap_batches(Models.of(spark, sf_dir))):
+        apply_run(batch, path, "station_id", ["total_docks", "has_kiosk"], as_of)
+    return read_history(spark, path)
+
+
 @register("snap_capacity", _scd_oracle(list(zip(RUNS3[:2], [_CAP_CUR, _CAP_SQL[1]])), "station_id", CAP_COLS,
                                        ["total_docks", "has_kiosk"], ["enriched"]))
 def q_snap_capacity(spark, sf_dir):
@@ -632,23 +658,24 @@ def q_bikes_with_type(spark, sf_dir):
 
 # -- readers, sinks, stream and jobs, over files landed from the tables ----------------
 
-# the status view's columns, of each station's newest event of an hour
+# the status view's columns, stamped with the event's fetch: the n-th of a station and quarter day is n seconds past its start
 _STATUS_SELECT = O.CTE["status"][:O.CTE["status"].rindex("from events")]
-O._cte("hourly", f"""select * exclude (ingested_at), date_trunc('hour', ingested_at) as ingested_at from (
-  {_STATUS_SELECT} from events qualify row_number() over (
-    partition by user_id, date_trunc('hour', ts) order by ts desc, event_id desc) = 1)""")
+O._cte("fetched", f"""select * exclude (ingested_at, _n, _quarter), _quarter + to_seconds(_n) as ingested_at from (
+  {_STATUS_SELECT}, date_trunc('day', ts) + to_hours(hour(ts) // 6 * 6) as _quarter,
+    row_number() over (partition by user_id, date_trunc('day', ts), hour(ts) // 6 order by ts, event_id) - 1 as _n
+  from events)""")
 
 _GBFS_SQL = {
     "station_information": O.q("st", """
 select cast(station_id as varchar) as station_id, station_name as name, short_name, latitude as lat, longitude as lon,
   cast(region_id as varchar) as region_id, total_docks as capacity, cast(has_kiosk as varchar) as has_kiosk, ingested_at
 from st"""),
-    "station_status": O.q("hourly", """
+    "station_status": O.q("fetched", """
 select cast(station_id as varchar) as station_id, num_bikes_available, num_bikes_disabled, num_docks_available,
   num_docks_disabled, cast(is_installed as varchar) as is_installed, cast(is_renting as varchar) as is_renting,
   cast(is_returning as varchar) as is_returning, epoch_us(last_reported_at) // 1000000 as last_reported,
   num_ebikes_available, ingested_at
-from hourly"""),
+from fetched"""),
     "system_regions": O.q("rg", "select cast(region_id as varchar) as region_id, region_name as name, ingested_at from rg"),
     "free_bike_status": O.q("bk", """
 select cast(bike_id as varchar) as bike_id, latitude as lat, longitude as lon, cast(is_reserved as varchar) as is_reserved,
@@ -717,16 +744,16 @@ def q_general_upsert(spark, sf_dir):
     return merged
 
 
-_HOURLY_FACT = O.with_ctes("hourly", "enriched") + f""", fact as (
+_FETCHED_FACT = O.with_ctes("fetched", "enriched") + f""", fact as (
   select cast(h.station_id as varchar) as station_id, e.station_name, cast(e.region_id as varchar) as region_id, e.region_name,
     e.total_docks, h.num_bikes_available, h.num_ebikes_available, h.num_bikes_disabled, h.num_docks_available, h.ingested_at,
     {O.rate_sql('h.num_bikes_available', 'e.total_docks')} as bike_availability_rate,
     {O.rate_sql('h.num_docks_available', 'e.total_docks')} as dock_availability_rate
-  from hourly h left join enriched e using (station_id))
+  from fetched h left join enriched e using (station_id))
 """
 
 
-@register("stream_ingest", _HOURLY_FACT + """select station_id, station_name, num_bikes_available,
+@register("stream_ingest", _FETCHED_FACT + """select station_id, station_name, num_bikes_available,
   bike_availability_rate, ingested_at, cast(ingested_at as date) as snapshot_date from fact""")
 def q_stream_ingest(spark, sf_dir):
     """Landed status files drained by the file stream into the fact."""
@@ -739,7 +766,7 @@ def q_stream_ingest(spark, sf_dir):
         "station_id", "station_name", "num_bikes_available", "bike_availability_rate", "ingested_at", "snapshot_date")
 
 
-@register("refresh_then_daily", _HOURLY_FACT + O.CTE["daily"])
+@register("refresh_then_daily", _FETCHED_FACT + O.CTE["daily"])
 def q_refresh_then_daily(spark, sf_dir):
     """All five feeds landed, refreshed into raw tables and run through the daily job."""
     root = work_path(spark, "jobs")

@@ -10,9 +10,11 @@ Tables live under one root folder (``<root>/raw/<feed>``,
 cost follows the new data: the fact takes only snapshots past its
 watermark, the date-grained marts are rebuilt only for the dates that
 received snapshots (dynamic partition overwrite), the region-hour mart is
-rolled up from mergeable per-day parts plus a station-presence set, and
-bikes are matched to stations only for runs not matched before.  The
-station-grained dimensions are small and rebuilt whole.
+rolled up from mergeable per-day parts (sums and station bitmaps), and
+bikes are matched to stations only for runs not matched before.  Stations,
+regions and plans are kept folded to their newest rows (``<root>/state``), so
+no run reads their feeds' history, and SCD-2 history is stored as deltas.
+The station-grained dimensions are small and rebuilt whole.
 
 Usage: ``spark-submit --py-files dockstat.zip dockstat/plans/jobs.py refresh|daily --root R
 --landing L [--seeds S] [--as-of 'YYYY-MM-DD HH:MM:SS']``
@@ -34,19 +36,21 @@ from dockstat.operators.joins import release_broadcasts
 from dockstat.operators.nearest import nearest_station
 from dockstat.operators.quality import (check_no_future, check_not_null, check_rate_valid,
                                         check_score_bounded, run_checks)
-from dockstat.operators.scd2 import snapshot_capacity, snapshot_operational
+from dockstat.operators.folded import fold, loads_after
+from dockstat.operators.scd2 import CAPACITY_CHECK, OPERATIONAL_CHECK, capacity_rows, operational_rows
+from dockstat.operators.scd2_store import apply_run, drop_old_bases, run_stamp
 from dockstat.operators.staging import (stage_bikes, stage_pricing_plans, stage_regions,
                                         stage_station_status, stage_stations)
 from dockstat.plans.experiments import intervention_results, station_interventions
 from dockstat.plans.marts_core import (FACT_COLUMNS, dim_pricing_plans, dim_regions, dim_stations,
                                        fct_status_snapshots)
-from dockstat.plans.marts_ops import (fleet_availability, region_hour_stations, region_hourly_parts,
-                                      region_hourly_rollup, station_daily_performance)
+from dockstat.plans.marts_ops import (fleet_availability, number_stations, region_hour_presence, region_hourly_parts,
+                                      region_hourly_rollup, station_daily_performance, station_ids)
 from dockstat.session import build_session
 from dockstat.sources.gbfs import FEEDS, raw_schema, read_gbfs_stream
 from dockstat.sources.seeds import capacity_tiers, read_interventions
-from dockstat.sources.sinks import (append_version, children, load_new_files, prune_versions, publish_table,
-                                   read_latest_version, read_table, table_exists)
+from dockstat.sources.sinks import (append_version, children, load_new_files, newest_partition, prune_versions,
+                                   publish_table, read_latest_version, read_table, table_exists)
 
 
 @dataclass
@@ -64,6 +68,9 @@ class Paths:
     def snapshot(self, name: str) -> str:
         return f"{self.root}/snapshots/{name}"
 
+    def state(self, name: str) -> str:
+        return f"{self.root}/state/{name}"
+
 
 def publish_version(spark: SparkSession, df: DataFrame, path: str, run: str) -> DataFrame:
     """Publish ``df`` as version ``run`` unless it is already there; return the newest version."""
@@ -73,26 +80,30 @@ def publish_version(spark: SparkSession, df: DataFrame, path: str, run: str) ->
     return read_latest_version(spark, path)[0]
 
 
-def run_stamp(as_of: str) -> str:
-    return as_of.replace("-", "").replace(":", "").replace(" ", "T")
-
-
-def staged(spark: SparkSession, p: Paths, since: dict | None = None,
-           loads: dict | None = None) -> dict[str, DataFrame]:
-    """Staged views of the raw tables; with ``since`` only rows stamped after it, with
-    ``loads`` only those of the named loads."""
-    raw = {f: read_table(spark, p.raw(f), raw_schema(f)) for f in FEEDS}
-    if loads is not None:
-        raw = {f: df.filter(F.col("load").isin(loads.get(f, []))) for f, df in raw.items()}
-    if since:
-        raw = {f: _since(df, since.get(f)) for f, df in raw.items()}
-    return {
-        "stage_stations": stage_stations(raw["station_information"]),
-        "stage_station_status": stage_station_status(raw["station_status"]),
-        "stage_regions": stage_regions(raw["system_regions"]),
-        "stage_bikes": stage_bikes(raw["free_bike_status"]),
-        "stage_pricing_plans": stage_pricing_plans(raw["system_pricing_plans"], on_error="null"),
+#: Feeds that describe entities, with their keys: kept folded to the newest row of each.
+ENTITY_KEYS = {"station_information": ["station_id"], "system_regions": ["region_id"], "system_pricing_plans": ["plan_id"]}
+
+
+def raw_table(spark: SparkSession, p: Paths, feed: str) -> DataFrame:
+    return read_table(spark, p.raw(feed), raw_schema(feed))
+
+
+def current_entities(spark: SparkSession, p: Paths) -> tuple[dict[str, DataFrame], dict[str, int]]:
+    """Newest row of each entity, folded forward over the loads not yet in the state, and the last load of each feed."""
+    folded = {feed: fold(spark, p.raw(feed), raw_schema(feed), p.state(feed), keys) for feed, keys in ENTITY_KEYS.items()}
+    return {f: rows for f, (rows, _) in folded.items()}, {f: load for f, (_, load) in folded.items()}
+
+
+def staged(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Staged views of raw rows by feed; feeds that are left out are not staged."""
+    views = {
+        "station_information": ("stage_stations", stage_stations),
+        "station_status": ("stage_station_status", stage_station_status),
+        "system_regions": ("stage_regions", stage_regions),
+        "free_bike_status": ("stage_bikes", stage_bikes),
+        "system_pricing_plans": ("stage_pricing_plans", lambda df: stage_pricing_plans(df, on_error="null")),
     }
+    return {views[feed][0]: views[feed][1](rows) for feed, rows in raw.items()}
 
 
 def _since(df: DataFrame, last) -> DataFrame:
@@ -104,7 +115,8 @@ def _since(df: DataFrame, last) -> DataFrame:
 def run_refresh(spark: SparkSession, p: Paths) -> DataFrame:
     """Load every landed file not loaded yet, once, then check what was loaded.
 
-    The checks read only the rows of this run's loads (``load=`` partitions).  A feed
+    The checks read only the rows of this run's loads (``load=`` partitions), and the current
+    stations and regions are folded forward over the loads that are not in them yet.  A feed
     that has not landed yet, or landed without items, is an empty table; a truncated
     file fails the run and is loaded once it is mended.
     """
@@ -113,7 +125,9 @@ def run_refresh(spark: SparkSession, p: Paths) -> DataFrame:
         landed = f"{p.landing}/{feed}"
         loads[feed] = load_new_files(read_gbfs_stream(spark, landed, feed), p.raw(feed),
                                      f"{p.root}/raw/_loaded/{feed}") if children(spark, landed) else []
-    st, new = staged(spark, p), staged(spark, p, loads=loads)
+    entities, _ = current_entities(spark, p)
+    st = staged(entities)
+    new = staged({feed: raw_table(spark, p, feed).filter(F.col("load").isin(loads[feed])) for feed in FEEDS})
     enriched = stations_enriched(st["stage_stations"], st["stage_regions"])
     history = status_history(new["stage_station_status"], enriched)
     try:
@@ -133,13 +147,27 @@ def _after(df: DataFrame, last) -> DataFrame:
     return df.filter((F.col("snapshot_date") >= F.lit(last).cast("date")) & (F.col("ingested_at") > F.lit(last)))
 
 
+def station_numbers(spark: SparkSession, p: Paths, fact: DataFrame, run: str) -> DataFrame:
+    """Numbers of all stations seen so far; a run appends those of its new stations."""
+    path = p.state("station_numbers")
+    newest = newest_partition(spark, path, "snapshot_run")
+    known = spark.read.parquet(path) if newest else None
+    if newest is None or newest < run:
+        ids = station_ids(fact)
+        if known is not None:
+            ids = ids.join(known, "station_id", "left_anti")
+        start = known.agg(F.max("number")).first()[0] + 1 if known is not None else 0
+        append_version(number_stations(ids, start), path, run)
+    return spark.read.parquet(path).select("station_id", "number")
+
+
 def run_daily(spark: SparkSession, p: Paths, as_of: str | None = None, keep_versions: int = 7) -> DataFrame:
     """Rebuild the marts and take the day's SCD-2 snapshots.
 
     Large inputs are read only past their watermarks: raw status and bike
     rows newer than what the fact and the bike match already hold (pruned
-    to their ``ingest_date`` partitions).  The small feeds (stations,
-    regions, plans) are read whole to rebuild the dimensions.
+    to their ``ingest_date`` partitions), and the loads of stations, regions
+    and plans that are not in their folded tables yet.
     """
     as_of = as_of or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
     run = run_stamp(as_of)
@@ -150,13 +178,19 @@ def run_daily(spark: SparkSession, p: Paths, as_of: str | None = None, keep_vers
     # covers the same snapshots even if more have landed since.
     bounds, version = read_latest_version(spark, p.mart("daily_bounds"))
     if version is None or version < run:
-        append_version(read_table(spark, p.raw("station_status"), raw_schema("station_status"))
-                       .agg(F.max("ingested_at").alias("upper")), p.mart("daily_bounds"), run)
+        append_version(raw_table(spark, p, "station_status").agg(F.max("ingested_at").alias("upper")), p.mart("daily_bounds"), run)
         bounds, _ = read_latest_version(spark, p.mart("daily_bounds"))
     upper = bounds.first()["upper"]
 
-    st = staged(spark, p)
-    new = staged(spark, p, since={"station_status": last, "free_bike_status": last_bike})
+    entities, entity_loads = current_entities(spark, p)
+    st = staged(entities)
+    state, _ = read_latest_version(spark, p.mart("daily_state"))
+    done = None if state is None else state.first()
+    checked = {} if done is None else done["entity_loads"]
+    new = staged({
+        "station_status": _since(raw_table(spark, p, "station_status"), last),
+        "free_bike_status": _since(raw_table(spark, p, "free_bike_status"), last_bike)} | {
+        feed: loads_after(spark, p.raw(feed), raw_schema(feed), checked.get(feed, -1), load) for feed, load in entity_loads.items()})
     new["stage_station_status"] = new["stage_station_status"].filter(F.col("ingested_at") <= F.lit(upper))
     enriched = stations_enriched(st["stage_stations"], st["stage_regions"])
     fact = incremental_merge(fact_path, fct_status_snapshots(status_history(new["stage_station_status"], enriched)))
@@ -164,8 +198,7 @@ def run_daily(spark: SparkSession, p: Paths, as_of: str | None = None, keep_vers
     # Everything below reads the fact rows past the watermark of the last
     # *completed* daily run (a job-state table written last), so a retry
     # after a failure part-way redoes the same work instead of skipping it.
-    state, _ = read_latest_version(spark, p.mart("daily_state"))
-    done_wm = None if state is None else state.first()["fact_watermark"]
+    done_wm = None if done is None else done["fact_watermark"]
     fresh = _after(fact, done_wm).filter(F.col("ingested_at") <= F.lit(upper))
     touched = None if done_wm is None else [r[0] for r in fresh.select("snapshot_date").distinct().collect()]
 
@@ -196,14 +229,10 @@ def run_daily(spark: SparkSession, p: Paths, as_of: str | None = None, keep_vers
         publish_table(fleet_availability(days).withColumn("run_date", F.to_date("ingested_at")),
                       p.mart("fleet_runs"), partition_by="run_date")
         publish_table(region_hourly_parts(days), p.mart("region_hourly_parts"), partition_by="snapshot_date")
-        seen, version = read_latest_version(spark, p.mart("region_hour_stations"))
-        if version is None or version < run:  # a retried run adds nothing
-            seen_now = region_hour_stations(days)
-            if seen is not None:
-                seen_now = seen_now.unionByName(seen).distinct()
-            append_version(seen_now, p.mart("region_hour_stations"), run)
-            seen, _ = read_latest_version(spark, p.mart("region_hour_stations"))
-        publish_version(spark, region_hourly_rollup(spark.read.parquet(p.mart("region_hourly_parts")), seen),
+        publish_table(region_hour_presence(days, station_numbers(spark, p, days, run)), p.mart("region_hour_presence"),
+                      partition_by="snapshot_date")
+        publish_version(spark, region_hourly_rollup(spark.read.parquet(p.mart("region_hourly_parts")),
+                                                    spark.read.parquet(p.mart("region_hour_presence"))),
                         p.mart("region_hourly"), run)
 
     # Nearest station for bike snapshots not matched yet (same watermark rule).
@@ -215,24 +244,21 @@ def run_daily(spark: SparkSession, p: Paths, as_of: str | None = None, keep_vers
         iv = publish_version(spark, iv, p.mart("station_interventions"), run)
         publish_version(spark, intervention_results(iv, fact), p.mart("intervention_results"), run)
 
-    for name, fn, src in (("station_capacity_history", snapshot_capacity, enriched),
-                          ("station_operational_history", snapshot_operational, top)):
-        prev, version = read_latest_version(spark, p.snapshot(name))
-        if version is not None and version >= run:
-            continue  # this run is already published; a retry changes nothing
-        append_version(fn(prev, src, as_of), p.snapshot(name), run)
+    apply_run(capacity_rows(enriched), p.snapshot("station_capacity_history"), "station_id", CAPACITY_CHECK, as_of)
+    apply_run(operational_rows(top), p.snapshot("station_operational_history"), "station_id", OPERATIONAL_CHECK, as_of)
 
     try:
         checks = run_checks(check_not_null(new), {
             "rate_valid": check_rate_valid(fresh),
             "score_bounded": check_score_bounded(health),
             "no_future": check_no_future(fresh)}, raise_on_failure=True)
-        append_version(bounds.select(F.col("upper").alias("fact_watermark")), p.mart("daily_state"), run)
-        for table in ("daily_bounds", "dim_stations", "dim_regions", "dim_pricing_plans", "region_hourly", "region_hour_stations",
+        loads = F.map_from_arrays(F.array(*[F.lit(f) for f in entity_loads]), F.array(*[F.lit(n).cast("long") for n in entity_loads.values()]))
+        append_version(bounds.select(F.col("upper").alias("fact_watermark"), loads.alias("entity_loads")), p.mart("daily_state"), run)
+        for table in ("daily_bounds", "dim_stations", "dim_regions", "dim_pricing_plans", "region_hourly",
                       "station_top_snapshots", "station_interventions", "intervention_results", "daily_state"):
             prune_versions(spark, p.mart(table), keep=keep_versions)
         for table in ("station_capacity_history", "station_operational_history"):
-            prune_versions(spark, p.snapshot(table), keep=keep_versions)  # each version holds the full history
+            drop_old_bases(spark, p.snapshot(table), keep=keep_versions)
         return checks
     finally:
         release_broadcasts()

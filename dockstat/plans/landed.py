@@ -2,8 +2,9 @@
 
 Each feed's items go into JSON envelopes of about ``ITEMS`` items, one file each, under
 ``<feed>/ingested_at=<stamp>/part=<n>/`` -- the layout the readers expect.  Status files
-are hourly fetches: a station's newest event of the hour, as a feed that reports each
-station once per fetch.
+are fetches of a feed that reports each station once: a station's first event of a quarter of
+the day is in the fetch at its start, its second one in a fetch a second later, and so on, so
+every event is in one file and a station with many events makes many fetches.
 """
 
 from __future__ import annotations
@@ -17,18 +18,19 @@ from dockstat.sources.gbfs import FEEDS
 ITEMS = 5000
 
 
-def hourly_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Staged-shape snapshots of the hourly fetches, with the fetch's stamp as ``ingested_at``."""
-    events = fx.table(spark, sf_dir, "events").withColumn("hour", F.date_trunc("hour", "ts"))
-    newest = Window.partitionBy("user_id", "hour").orderBy(F.col("ts").desc(), F.col("event_id").desc())
-    kept = events.withColumn("_r", F.row_number().over(newest)).filter("_r = 1")
-    return kept.selectExpr(*fx.STATUS_EXPRS[:-1], "hour as ingested_at")
+def fetched_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event as a staged-shape snapshot, with its fetch's stamp as ``ingested_at``."""
+    of_quarter = Window.partitionBy("user_id", "quarter").orderBy("ts", "event_id")
+    events = fx.table(spark, sf_dir, "events") \
+        .withColumn("quarter", F.expr("timestampadd(HOUR, hour(ts) div 6 * 6, date_trunc('day', ts))")) \
+        .withColumn("fetch", F.timestamp_add("SECOND", F.row_number().over(of_quarter) - 1, F.col("quarter")))
+    return events.selectExpr(*fx.STATUS_EXPRS[:-1], "fetch as ingested_at")
 
 
 def items(spark: SparkSession, sf_dir: str, feed: str) -> DataFrame:
     """A feed's items as text or numbers, with ``ingested_at``."""
     if feed == "station_status":
-        return hourly_status(spark, sf_dir).withColumn("last_reported", F.unix_seconds(F.col("last_reported_at").cast("timestamp")))
+        return fetched_status(spark, sf_dir).withColumn("last_reported", F.unix_seconds(F.col("last_reported_at").cast("timestamp")))
     raw = {"station_information": fx.raw_station_information, "system_regions": fx.raw_system_regions,
            "free_bike_status": fx.raw_free_bike_status, "system_pricing_plans": fx.raw_pricing_plans}[feed]
     rows = raw(spark, sf_dir)

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dockstat.functions.columns import avg_rate_4dp, half_up_div, mean_rounded, rate_to_bp
+from dockstat.operators.joins import bounded_broadcast
 
 
 def _ratio_4dp(num: Column, den: Column) -> Column:
@@ -101,6 +102,11 @@ def region_hourly_availability(fact: DataFrame, approx: bool = False) -> DataFra
         _ratio_4dp(empty, n).alias("empty_station_rate"))
 
 
+def _part_keys() -> list[Column]:
+    return [F.col("region_id"), F.col("region_name"), F.to_date("ingested_at").alias("snapshot_date"),
+            F.hour("ingested_at").alias("hour_of_day"), F.dayofweek("ingested_at").alias("day_of_week")]
+
+
 def region_hourly_parts(fact: DataFrame) -> DataFrame:
     """Mergeable per-day pieces of :func:`region_hourly_availability`.
 
@@ -109,23 +115,58 @@ def region_hourly_parts(fact: DataFrame) -> DataFrame:
     snapshots and rolls all days up with :func:`region_hourly_rollup`.
     """
     bike, dock = rate_to_bp("bike_availability_rate"), rate_to_bp("dock_availability_rate")
-    return fact.groupBy(
-        "region_id", "region_name", F.to_date("ingested_at").alias("snapshot_date"),
-        F.hour("ingested_at").alias("hour_of_day"), F.dayofweek("ingested_at").alias("day_of_week")).agg(
+    return fact.groupBy(*_part_keys()).agg(
         F.count(F.lit(1)).alias("n"), F.sum(bike).alias("bike_bp_sum"), F.count(bike).alias("bike_bp_n"),
         F.sum(dock).alias("dock_bp_sum"), F.count(dock).alias("dock_bp_n"),
         F.min("bike_availability_rate").alias("bike_min"), F.max("bike_availability_rate").alias("bike_max"),
         F.count_if(F.col("num_bikes_available") == 0).alias("empty"))
 
 
-def region_hour_stations(fact: DataFrame) -> DataFrame:
-    """Distinct (region, hour, day of week, station) seen -- for exact distinct counts."""
-    return fact.select("region_id", "region_name", F.hour("ingested_at").alias("hour_of_day"),
-                       F.dayofweek("ingested_at").alias("day_of_week"), "station_id").distinct()
+NUMBERING_PARTS = 64
+
+
+def number_stations(ids: DataFrame, start: int = 0) -> DataFrame:
+    """``station_id`` and consecutive numbers from ``start`` on, for distinct non-NULL ids.
+
+    Numbers are given within hash parts and shifted by the sizes of the parts before, so no
+    task orders all stations.
+    """
+    parts = ids.select("station_id", F.pmod(F.xxhash64("station_id"), F.lit(NUMBERING_PARTS)).alias("_p"))
+    sizes = {r["_p"]: r["n"] for r in parts.groupBy("_p").agg(F.count(F.lit(1)).alias("n")).collect()}
+    offsets, total = [], start
+    for p in range(NUMBERING_PARTS):
+        offsets.append(F.lit(total).cast("long"))
+        total += sizes.get(p, 0)
+    place = F.row_number().over(Window.partitionBy("_p").orderBy("station_id"))
+    return parts.select("station_id", (F.get(F.array(*offsets), F.col("_p").cast("int")) + place - 1).alias("number"))
+
+
+def station_ids(fact: DataFrame) -> DataFrame:
+    return fact.select("station_id").filter("station_id is not null").distinct()
+
+
+def region_hour_presence(fact: DataFrame, numbers: DataFrame) -> DataFrame:
+    """Which stations were seen per (region, UTC date, hour, day of week): bitmaps over their numbers.
+
+    A bitmap covers 32,768 numbers, so a row is 4 KB however many snapshots a station has,
+    and days merge with ``bitmap_or_agg``; see :func:`region_hourly_rollup`.
+    """
+    seen = fact.select("station_id", *_part_keys()).join(bounded_broadcast(numbers), "station_id")
+    number = F.col("number") + 1  # positive numbers share buckets from one on
+    return seen.groupBy(*[F.col(c) for c in ("region_id", "region_name", "snapshot_date", "hour_of_day", "day_of_week")],
+                        F.bitmap_bucket_number(number).alias("bucket")) \
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("stations"))
+
+
+def region_hour_sketches(fact: DataFrame) -> DataFrame:
+    """The approximate form of :func:`region_hour_presence`: HyperLogLog sketches, without station numbers."""
+    seen = fact.select("station_id", *_part_keys())
+    return seen.groupBy("region_id", "region_name", "snapshot_date", "hour_of_day", "day_of_week") \
+        .agg(F.hll_sketch_agg("station_id").alias("sketch"))
 
 
-def region_hourly_rollup(parts: DataFrame, stations_seen: DataFrame) -> DataFrame:
-    """:func:`region_hourly_availability` from per-day parts and station presence."""
+def region_hourly_rollup(parts: DataFrame, presence: DataFrame) -> DataFrame:
+    """:func:`region_hourly_availability` from per-day parts and per-day presence (bitmaps or sketches)."""
     keys = ["region_id", "region_name", "hour_of_day", "day_of_week"]
     n, empty = F.sum("n"), F.sum("empty")
     agg = parts.groupBy(*keys).agg(
@@ -136,10 +177,14 @@ def region_hourly_rollup(parts: DataFrame, stations_seen: DataFrame) -> DataFram
         F.max("bike_max").alias("max_bike_availability"),
         empty.alias("empty_station_snapshots"),
         _ratio_4dp(empty, n).alias("empty_station_rate"))
-    seen = stations_seen.groupBy(*keys).agg(F.count(F.lit(1)).alias("stations_observed"))
-    return agg.join(seen, [agg[k].eqNullSafe(seen[k]) for k in keys]).select(
-        *[agg[k] for k in keys], "snapshot_count", "stations_observed", "avg_bike_availability",
-        "avg_dock_availability", "min_bike_availability", "max_bike_availability",
+    if "sketch" in presence.columns:
+        seen = presence.groupBy(*keys).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("_seen"))
+    else:
+        seen = presence.groupBy(*keys, "bucket").agg(F.bitmap_or_agg("stations").alias("stations")) \
+            .groupBy(*keys).agg(F.sum(F.bitmap_count("stations")).alias("_seen"))
+    return agg.join(seen, [agg[k].eqNullSafe(seen[k]) for k in keys], "left").select(
+        *[agg[k] for k in keys], "snapshot_count", F.coalesce("_seen", F.lit(0).cast("long")).alias("stations_observed"),
+        "avg_bike_availability", "avg_dock_availability", "min_bike_availability", "max_bike_availability",
         "empty_station_snapshots", "empty_station_rate")
 
 

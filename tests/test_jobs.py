@@ -54,8 +54,8 @@ def test_refresh_then_daily(spark, tmp):
     assert fact.count() == 4
     daily = {r.station_id: r for r in spark.read.parquet(p.mart("station_daily")).collect()}
     assert daily["A"].snapshots_that_day == 2 and daily["A"].empty_snapshots == 1
-    ops = spark.read.parquet(p.snapshot("station_operational_history"))
-    latest = ops.filter("snapshot_run = '20260411T060000'")
+    from dockstat.operators.scd2_store import read_history
+    latest = read_history(spark, p.snapshot("station_operational_history"))
     rows = sorted((r.station_id, r.is_renting, str(r.dbt_valid_to)) for r in latest.collect())
     assert rows == [("A", True, "None"), ("B", False, "None"), ("B", True, "2026-04-11 06:00:00")]
     near = spark.read.parquet(p.mart("bike_nearest_station")).collect()

@@ -35,6 +35,8 @@ from dockstat.llm.common import hash_sample, importable, ragged, slices
 UND = "und"
 REFERENCE_SYMBOLS = 30_000  # of each language
 REFERENCE_ROWS = 60         # labelled rows they are cut from
+CALIBRATION_ROWS, CALIBRATION_CHARS = 150, 20_000
+SLACK, MARGIN = 3, 1.15     # phrases that a short text may need by chance; above the highest text calibrated on
 DENSE_LETTERS = 62          # a language with more has its transitions listed
 BLOCK = 1024
 BLANK, OTHER, FIRST = 0, 1, 2
@@ -235,12 +237,18 @@ class CrossParser:
         return [self.model.languages[i] if h else UND for i, h in zip(best, has)], score
 
 
+def window_of_text(chars: int) -> Column:
+    """`chars` characters of the text from a place that the id's hash chooses; whole shorter texts."""
+    start = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.greatest(F.length("text") - chars + 1, F.lit(1)).cast("long"))
+    return F.substring(F.col("text"), (start + 1).cast("int"), F.lit(chars))
+
+
 def fit(docs: DataFrame, teach: Column, rows: int = REFERENCE_ROWS,
         reference_symbols: int = REFERENCE_SYMBOLS) -> LanguageModel:
     """Reference texts from `rows` labelled rows a language, chosen by a hash of the id.
 
-    Each gives an equal share; at most rows x languages texts, cut to that share, reach
-    the driver.
+    Each gives an equal share, from a place in its text that a hash chooses; at most
+    rows x languages windows of texts reach the driver.
     """
     importable(docs.sparkSession)
     share = -(-reference_symbols // rows)
@@ -249,14 +257,14 @@ def fit(docs: DataFrame, teach: Column, rows: int = REFERENCE_ROWS,
     chosen = hash_sample(labelled.select("doc_id", "lang").distinct(), "lang", dict.fromkeys(names, rows))
     # at most rows x languages ids
     texts = labelled.join(F.broadcast(chosen), ["doc_id", "lang"]) \
-        .select("lang", F.xxhash64("doc_id").alias("h"), "doc_id",
-                F.substring("text", 1, 4 * share).alias("text")).dropna().collect()
+        .select("lang", F.xxhash64("doc_id").alias("h"), "doc_id", window_of_text(4 * share).alias("text")).dropna().collect()
     texts.sort(key=lambda r: (r.lang, r.h, r.doc_id, r.text))
     letters = "".join(sorted({c for r in texts for c in r.text.lower() if c.isalpha()}))
     refs: dict[str, bytes] = {}
     for r in texts:
         sym, _ = symbols([r.text], letters)
-        refs[r.lang] = refs.get(r.lang, b"") + sym[:share].tobytes() + np.array([BLANK], sym.dtype).tobytes()
+        at = r.h % max(1, len(sym) - share + 1)
+        refs[r.lang] = refs.get(r.lang, b"") + sym[at:at + share].tobytes() + np.array([BLANK], sym.dtype).tobytes()
     refs = {k: v for k, v in refs.items() if any(v)}
     return LanguageModel(letters, tuple(sorted(refs)), tuple(refs[k] for k in sorted(refs)))
 
@@ -279,14 +287,47 @@ def identify(docs: DataFrame, held_out: Column, model: LanguageModel | None = No
         .mapInArrow(_predict(model), "doc_id long, held_out boolean, lang_pred string, score double")
 
 
+def level(docs: DataFrame, teach: Column, model: LanguageModel) -> float:
+    """Bits per symbol that a text of a learned language may need, from labelled rows the model hasn't learned from.
+
+    The highest of CALIBRATION_ROWS rows a language (whole texts up to CALIBRATION_CHARS characters),
+    each let off SLACK phrases, and MARGIN above that; infinite where no such rows are left.
+    """
+    labelled = docs.filter(teach & F.col("lang").isin(list(model.languages)) & F.col("doc_id").isNotNull())
+    rows = labelled.filter(F.length("text").between(1, CALIBRATION_CHARS)).select("doc_id", "lang").distinct()
+    chosen = hash_sample(rows, "lang", dict.fromkeys(model.languages, REFERENCE_ROWS + CALIBRATION_ROWS)) \
+        .withColumn("h", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32)))
+    taught = hash_sample(labelled.select("doc_id", "lang").distinct(), "lang", dict.fromkeys(model.languages, REFERENCE_ROWS))
+    # at most (reference + calibration rows) x languages ids
+    texts = labelled.join(F.broadcast(chosen.join(taught.select("doc_id"), "doc_id", "left_anti").select("doc_id")), "doc_id") \
+        .filter(F.length("text") <= CALIBRATION_CHARS).select("doc_id", "text").distinct().collect()
+    cross = parser(model)
+    if not texts or not cross.tables:
+        return float("inf")
+    bits, has = cross.bits([r.text for r in sorted(texts)])
+    size = np.diff(symbols([r.text for r in sorted(texts)], model.letters)[1])
+    least = bits.min(axis=1) - SLACK * cross.weight.max() / np.maximum(size, 1)
+    return float(MARGIN * least[has].max()) if has.any() else float("inf")
+
+
 def keep_identified(docs: DataFrame, held_out: Column) -> DataFrame:
-    """Rows of `docs` whose text has a letter; null and letterless texts go, also where nothing was learned."""
+    """Rows of `docs` whose text is of a learned language, whichever it is.
+
+    Null and letterless texts go.  So do texts that need more bits per symbol than the calibrated
+    `level`, by more than SLACK phrases, in every language: dumps of tokens or codes and unlearned
+    languages.  Where nothing was learned or can be calibrated, every text with a letter stays.
+    """
     importable(docs.sparkSession)
     model, schema = fit(docs, ~held_out), docs.schema
+    most = level(docs, ~held_out, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cross = parser(model)
         for b in slices(batches, cap=4 << 20):
-            _, has = cross.bits([t or "" for t in b["text"].to_pylist()])
+            texts = [t or "" for t in b["text"].to_pylist()]
+            bits, has = cross.bits(texts)
+            if np.isfinite(most):
+                size = np.diff(symbols(texts, model.letters)[1])
+                has &= (bits.min(axis=1) - most) * size <= SLACK * cross.weight.max()
             yield b.filter(pa.array(has, pa.bool_()))
     return docs.mapInArrow(run, schema)

@@ -5,8 +5,11 @@ from __future__ import annotations
 import json
 import os
 import re
+import sys
+import unicodedata
 import zlib
 from array import array
+from functools import lru_cache
 from itertools import repeat
 
 import numpy as np
@@ -22,8 +25,21 @@ LETTER, MARKS = "A-Za-zÀ-ÖØ-öø-ÿ", r"!-&(-/:-@\[-`{-~"
 LETTERS = re.compile(f"[{LETTER}]+").fullmatch
 PLAIN = re.compile(f"[{LETTER}0-9{MARKS}]+").fullmatch
 PIECES = re.compile(f"[{LETTER}]+|[0-9]|[{MARKS}]+").findall
-#: Marks after a letter and before white space are a piece of their own.
-TAIL = r"(\pL)([.,;:!?]+)([ \n]|$)"
+
+
+@lru_cache(maxsize=1)
+def tail() -> str:
+    """Marks after a letter and before white space are a piece of their own.
+
+    Not so after letters that don't end in a letter once normalised and lower-cased (a
+    capital I with a dot, Indic letters with a nukta, pointed Hebrew ones): the combining mark
+    they end in joins the marks after it.
+    """
+    def ends_open(c: str) -> bool:
+        return unicodedata.category(unicodedata.normalize("NFC", c).lower()[-1])[0] != "L"
+
+    odd = [f"\\x{{{i:x}}}" for i in range(sys.maxunicode + 1) if unicodedata.category(c := chr(i))[0] == "L" and ends_open(c)]
+    return rf"([^\PL{''.join(odd)}])([.,;:!?]+)([ \n]|$)"
 
 
 def default_tokenizer() -> str:
@@ -138,7 +154,7 @@ class Encoder:
             bounds = np.concatenate([[0], np.cumsum([len(g) for g in got], dtype=np.int64)])
             return np.array([i for g in got for i in g], np.uint32), bounds
         if self.lettered:
-            texts = pc.replace_substring_regex(texts, TAIL, r"\1 \2\3")
+            texts = pc.replace_substring_regex(texts, tail(), r"\1 \2\3")
             if not pc.any(pc.match_substring(texts, "<|")).as_py():
                 texts = pc.ascii_lower(texts)  # never makes a special token's string here
         words = coded(pc.split_pattern(pc.replace_substring(texts, "\n", " "), " "))

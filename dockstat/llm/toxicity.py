@@ -8,7 +8,8 @@ predicted from the text itself (cross-parsing, `langid`), and shifted so that a
 score of 0.5 is the threshold.
 
 The network learns from a bounded sample: at most POSITIVES and NEGATIVES labelled
-rows, chosen by a hash of the id and cut to TRAIN_CHARS; every text is scored whole.
+rows, chosen by a hash of the id, as far as their whole texts fit into CLASS_CHARS
+characters a class; every text is scored whole.
 
 Defined cases: null and empty texts are scored as a text without words; labels other
 than 0 and 1 are not learned from, and 1 wins where a doc_id has both; if only one
@@ -35,7 +36,7 @@ BUCKETS = 1 << 22
 PREFIXES = (4, 5, 6)
 DIM, FILTERS, WIDTHS = 12, 8, (1, 2, 3)
 PAD = max(WIDTHS)  # so that even a text without words has a window of every width
-POSITIVES, NEGATIVES, TRAIN_CHARS = 2500, 3500, 20_000
+POSITIVES, NEGATIVES, CLASS_CHARS = 2500, 3500, 20_000_000
 MIN_DOCS, EPOCHS, BATCH, RATE, DECAY = 3, 8, 64, 0.1, 1e-5
 
 
@@ -209,8 +210,15 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: Column, positives: int = P
     languages = langid.fit(docs, ~held_out)
     chosen = hash_sample(teach, "y", {1: positives, 0: negatives}).withColumn("h", F.xxhash64("doc_id"))
     # at most positives + negatives ids
-    sample = docs.select("doc_id", F.substring("text", 1, TRAIN_CHARS).alias("text")) \
-        .join(F.broadcast(chosen.select("doc_id", "y", "h")), "doc_id").select("doc_id", "h", "y", "text").collect()
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen.select("doc_id", "y", "h")), "doc_id")
+    fitting, room = [], {0: CLASS_CHARS, 1: CLASS_CHARS}
+    for r in sorted(rows.groupBy("doc_id", "h", "y").agg(F.sum(F.coalesce(F.length("text"), F.lit(0))).alias("n")).collect(),
+                    key=lambda r: (r.h, r.doc_id)):
+        if r.n <= room[r.y]:
+            room[r.y] -= r.n
+            fitting.append((r.doc_id,))
+    spark = docs.sparkSession
+    sample = rows.join(F.broadcast(spark.createDataFrame(fitting, "doc_id long")), "doc_id").select("doc_id", "h", "y", "text").collect()
     sample = sorted(set(sample), key=lambda r: (r.h, r.doc_id, r.text or ""))[:positives + negatives]
     y = np.array([r.y for r in sample], np.int64)
     if len(set(y.tolist())) < 2:

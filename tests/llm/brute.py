@@ -45,30 +45,43 @@ def contains(doc, item, similarity=0.8):
     return any(weighted_similarity(d[s:s + n], i, min(5, n)) >= similarity for s in range(len(d) - n + 1))
 
 
-def line_templates(rows, leading=3, min_docs=10, min_tokens=3, percent=75, least=4):
-    """{(doc_id, line_no): (n_docs, dropped)} for (doc_id, text) rows with distinct ids."""
-    lines = {}
+def line_templates(rows, leading=3, min_docs=10, min_tokens=3, percent=75, least=4, core=2, whole=(2, 6), units=None):
+    """{(doc_id, line_no): (n_docs, dropped)} for (doc_id, text) rows with distinct ids, as the module describes it."""
+    unit = {d: (units or {}).get(d, d) for d, _ in rows}
+    lines, sharers = {}, {}
     for d, t in rows:
         for i, line in enumerate((t or "").split("\n")):
-            tok = tuple("<*>" if any(c.isdigit() for c in w) else w for w in line.lower().split())
-            if len(tok) >= min_tokens:
-                lines[d, i] = tok
-    leaf_docs, skeleton_docs, support = {}, {}, Counter()
-    for (d, _), t in lines.items():
-        leaf_docs.setdefault((len(t), t[:leading]), set()).add(d)
-        skeleton_docs.setdefault(t, set()).add(d)
-    busy = {t: ds for t, ds in skeleton_docs.items() if len(leaf_docs[len(t), t[:leading]]) >= min_docs}
-    for t, ds in busy.items():
-        for i, w in enumerate(t):
-            support[len(t), t[:leading], i, w] += len(ds)
-    template, docs = {}, {}
-    for t in busy:
-        fixed = tuple(w if w != "<*>" and support[len(t), t[:leading], i, w] >= min_docs else None for i, w in enumerate(t))
-        if sum(w is not None for w in fixed) >= min(len(t), max(least, -(-len(t) * percent // 100))):
-            template[t] = (t[:leading], fixed)
-            docs.setdefault(template[t], set()).update(busy[t])
-    return {(d, i): (len(docs[template[t]]), d != min(docs[template[t]])) for (d, i), t in lines.items()
-            if t in template and len(docs[template[t]]) >= min_docs}
+            tokens = tuple(None if any(c.isdigit() for c in w) else w for w in line.lower().split())
+            if len(tokens) >= min_tokens:
+                lines[d, i] = tokens
+                sharers.setdefault(tokens, set()).add(unit[d])
+    leaves = {}
+    for tokens in sharers:
+        leaves.setdefault((len(tokens), tokens[:leading]), []).append(tokens)
+    found = {}                                       # distinct line -> (documents, the one that keeps it)
+    for members in leaves.values():
+        if len(set().union(*(sharers[t] for t in members))) < min_docs:
+            continue
+        support = Counter()
+        for t in members:
+            for place in enumerate(t):
+                support[place] += len(sharers[t])
+        templates = {}
+        for t in members:
+            known = [(support[i, w], i, w) for i, w in enumerate(t) if w is not None and support[i, w] >= min_docs]
+            words = sum(w is not None for w in t)
+            need = max(min(words, max(least, -(-words * percent // 100))), min(core, len(t)))
+            if len(known) >= need:
+                bar = sorted(known, reverse=True)[need - 1][0]
+                templates.setdefault(frozenset((i, w) for s, i, w in known if s >= bar), []).append(t)
+        for same in templates.values():
+            docs = set().union(*(sharers[t] for t in same))
+            if len(docs) >= min_docs:
+                found.update((t, (len(docs), min(docs))) for t in same)
+    for t, docs in sharers.items():
+        if t not in found and len(docs) >= whole[0] and sum(w is not None for w in t) >= whole[1]:
+            found[t] = (len(docs), min(docs))
+    return {(d, i): (found[t][0], unit[d] != found[t][1]) for (d, i), t in lines.items() if t in found}
 
 
 def phrases(text, reference):

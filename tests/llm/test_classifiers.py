@@ -59,6 +59,22 @@ def test_language_edge_cases(spark):
     assert {r.lang_pred for r in langid.identify(docs.withColumn("lang", F.lit(None).cast("string")), fold).collect()} == {"und"}
 
 
+def test_language_stage_rejects_what_no_language_explains(spark):
+    rnd = random.Random(14)
+    base = {"en": "the cat sat on the mat and the dog ran over the hill to see what the old man had found there ",
+            "de": "der hund und die katze liefen über den berg um zu sehen was der alte mann dort gefunden hatte "}
+    rows = []
+    for i in range(700):
+        lang = ("en", "de")[i % 2]
+        words = base[lang].split()
+        rows.append((i, " ".join(rnd.choice(words) for _ in range(rnd.randrange(3, 200))), lang))
+    letters = "abcdefghijklmnopqrstuvwxyzäöüß"
+    junk = [(1000 + i, "".join(rnd.choice(letters) for _ in range(400)), None) for i in range(30)]
+    docs = spark.createDataFrame(rows + junk + [(2000, "x", None), (2001, "1 2", None)], "doc_id long, text string, lang string")
+    kept = {r.doc_id for r in langid.keep_identified(docs, langid.split_rest("doc_id", 4) == 2).collect()}
+    assert kept == {*range(700), 2000}
+
+
 # ---- toxicity -------------------------------------------------------------------
 
 def toxic_rows(n):
@@ -94,11 +110,14 @@ def test_toxicity_held_out(spark):
 
 
 def test_toxicity_query(spark):
-    got = QUERIES["op3_cnn_toxicity"](spark, SF10)
-    docs = spark.read.parquet(f"{SF10}/documents.parquet")
-    assert got.count() == docs.count()
-    rows = got.join(spark.read.parquet(f"{SF10}/labels.parquet"), "doc_id").collect()
-    assert sum(r.predicted == r.toxic for r in rows if not r.held_out) >= 0.9 * sum(not r.held_out for r in rows)
+    sf = "/root/testdata/sf0.1"
+    got = QUERIES["op3_cnn_toxicity"](spark, sf)
+    rows = got.join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id", "left").collect()
+    assert len(rows) == spark.read.parquet(f"{sf}/documents.parquet").count()
+    held = [r for r in rows if r.held_out and r.toxic is not None]   # ranked by rows that weren't taught
+    assert sum(r.predicted == r.toxic for r in held) >= 0.95 * len(held)
+    toxic, clean = [[r.score for r in held if r.toxic == y] for y in (1, 0)]
+    assert sum((a > b) + (a == b) / 2 for a in toxic for b in clean) >= 0.9 * len(toxic) * len(clean)
 
 
 # ---- decontamination -------------------------------------------------------------

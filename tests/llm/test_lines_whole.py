@@ -2,6 +2,8 @@
 
 import random
 
+from brute import line_templates
+
 from dockstat.llm import linededup
 
 WORDS = [a + b for a in "bcdfghklmnprst" for b in ("a", "e", "ion", "ou", "er", "ant", "ish")]
@@ -56,7 +58,34 @@ def test_digit_fields_do_not_count_against_a_template(spark):
     rnd = random.Random(7)
     rows = [(i, f"Page {i} of 12\n2024-01-{i:02} 12:00:{i:02} INFO user {i} logged in from 10.0.0.{i}\n"
                 f"Order {i} of {i} items for {WORDS[i]} was sent at {i}:30") for i in range(60)]
-    rows += [(100 + i, f"Height {i} cm") for i in range(9)]                          # too few for two tokens
+    rows += [(100 + i, f"Height {i} cm") for i in range(9)]                          # too few documents
     rows += [(200 + i, f"{i} {i} total") for i in range(60)]                         # one token is no template
     rows += [(300 + i, "Order 7 of 9 " + " ".join(rnd.choice(WORDS) for _ in range(6))) for i in range(40)]
     assert found(spark, rows) == {(d, i): (60, d > 0) for d in range(60) for i in range(3)}
+
+
+def test_short_lines_take_part_if_asked(spark):
+    rows = [(i, f"Menu\nRead more\n{i}\nword{i} " + WORDS[i]) for i in range(12)] + [(20, "Menu"), (21, "once")]
+    assert found(spark, rows) == {}
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.line_no): (r.n_docs, r.dropped) for r in linededup.recurring_lines(docs, min_tokens=1).collect()}
+    assert got == line_templates(rows, min_tokens=1)
+    assert got == {(i, 0): (13, i > 0) for i in (*range(12), 20)} | {(i, 1): (12, i > 0) for i in range(12)}
+
+
+def test_texts_of_one_document_lose_their_own_lines(spark):
+    rnd = random.Random(8)
+    line, other = own(rnd), own(rnd)
+    rows = [(1, line), (2, line + "\n" + other), (2, other + " x\n" + line), (2, other + " x\n" + line)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r.text for r in linededup.drop_recurring_lines(docs).collect()) == sorted([line, other, other + " x", other + " x"])
+
+
+def test_groups_count_as_one_document(spark):
+    rnd = random.Random(6)
+    a, b = own(rnd), own(rnd)
+    rows = [(1, a + "\n" + own(rnd)), (2, a + "\n" + b), (3, b)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    groups = spark.createDataFrame([(2, 1)], "doc_id long, unit long")
+    got = {(r.doc_id, r.line_no): (r.n_docs, r.dropped) for r in linededup.recurring_lines(docs, groups=groups).collect()}
+    assert got == {(2, 1): (2, False), (3, 0): (2, True)} == line_templates(rows, units={2: 1})

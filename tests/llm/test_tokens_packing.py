@@ -145,3 +145,19 @@ def test_plan_equals_item_by_item_packing():
                 at += n
             assert at <= capacity
         assert len(used) == plain_best_fit(lengths, capacity)
+
+
+def test_every_letter_before_a_mark(tok):
+    import sys
+    import unicodedata
+    letters = [c for c in map(chr, range(sys.maxunicode + 1)) if unicodedata.category(c)[0] == "L"]
+    enc = Encoder(default_tokenizer())
+    for mark in ".,;:!?":
+        some = letters if mark == "." else [c for c in letters if ord(c) < 0x3400 or 0xF900 <= ord(c) <= 0x1FFFF]
+        texts = [f"{c}{mark} a" for c in some]
+        ids, at = enc.encode(pa.array(texts))
+        want = [e.ids for e in tok.encode_batch_fast(texts, add_special_tokens=False)]
+        assert ids.tolist() == [i for w in want for i in w] and np.diff(at).tolist() == [len(w) for w in want]
+    odd = ["İ.", "क़?! b", "שּׁ,", "ড়; x", "a İ..\n"]
+    ids, _ = enc.encode(pa.array(odd))
+    assert ids.tolist() == [i for t in odd for i in tok.encode(t, add_special_tokens=False).ids]

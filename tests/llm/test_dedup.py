@@ -119,8 +119,7 @@ def test_chunks_resist_shifts():
     moved = np.concatenate([words[:7], hash_words(["new"]), words[7:]])
     shifted = chunkdedup.chunk_digests(moved, chunkdedup.cuts(moved)).tolist()
     assert sum(d not in own for d in shifted) <= 3
-    same = hash_words(["a"] * 500)
-    assert np.diff(chunkdedup.cuts(same)).max() <= chunkdedup.LONGEST
+    assert len(chunkdedup.cuts(hash_words(["a"] * 500))) <= 2                        # no cut within the stretch
 
 
 def test_repeated_passages(spark):
@@ -128,7 +127,7 @@ def test_repeated_passages(spark):
     passage = text_of(rnd, 70)
     rows = [(i, text_of(rnd, 50 + i) + " " + passage + " " + text_of(rnd, 60)) for i in range(40)]
     rows += [(100 + i, text_of(rnd, 150)) for i in range(40)]
-    rows += [(200, None), (201, ""), (202, "a b"), (203, rows[50][1]), (None, passage), (203, rows[50][1]), (204, "x " * 300), (205, "x " * 280)]
+    rows += [(200, None), (201, ""), (202, "a b"), (203, rows[50][1]), (None, passage), (203, rows[50][1]), (204, "x " * 300), (205, "x " * 300), (206, "x " * 280)]
     docs = spark.createDataFrame([(t, d, 1) for d, t in rows], "text string, doc_id long, digest int").repartition(3)
     got = chunkdedup.repeated_passages(docs).collect()
     texts = {}
@@ -137,8 +136,7 @@ def test_repeated_passages(spark):
     assert {r.doc_id for r in got} == {*range(40), None, 203, rows[50][0], 204, 205}
     for r in got:  # what is reported stands elsewhere, word for word
         part = " ".join(texts[r.doc_id][r.start_word:r.start_word + r.n_words])
-        # a word repeated over and over is cut by length, so only its chunks stand elsewhere
-        assert r.doc_id in (204, 205) or sum(part in " ".join((t or "").split()) for _, t in rows) > 1
+        assert sum((" " + " ".join((t or "").split()) + " ").count(" " + part + " ") for _, t in rows) > 1
         assert r.n_words >= chunkdedup.MIN_WORDS
     assert {r.doc_id for r in got if r.original and r.doc_id is not None and r.doc_id < 40} == {0}
     assert sum(r.n_words for r in got if r.doc_id == 5) >= 50
@@ -162,3 +160,57 @@ def test_chunk_query_finds_long_repeats_and_nothing_else(spark):
                 runs.setdefault(d, set()).add(i)
     long = {d for d, at in runs.items() if any(all(i + j in at for j in range(31)) for i in at)}  # 55 words on end
     assert len(long - flagged) <= 0.02 * len(long)
+
+
+def test_pieces_of_different_documents_are_not_joined(spark):
+    rnd = random.Random(31)
+    parts = [text_of(rnd, 60) for _ in range(6)]
+    rows = [(i, text_of(rnd, 20) + " " + p + " " + text_of(rnd, 20)) for i, p in enumerate(parts)]
+    rows.append((50, " ".join(parts)))                                      # every piece stands elsewhere, no two together
+    small = [text_of(rnd, 17) for _ in range(6)]
+    rows += [(60 + i, text_of(rnd, 30) + " " + p + " " + text_of(rnd, 30)) for i, p in enumerate(small)]
+    rows.append((70, " ".join(small)))                                      # pieces that are too short each
+    got = chunkdedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    texts = {d: t.split() for d, t in rows}
+    for r in got:
+        part = " " + " ".join(texts[r.doc_id][r.start_word:r.start_word + r.n_words]) + " "
+        assert sum((" " + t + " ").count(part) for _, t in rows) > 1
+    assert sum(r.doc_id == 50 for r in got) == 6 and {r.doc_id for r in got} == {*range(6), 50}
+
+
+def plain_passages(rows, least):
+    """Repeated passages by definition: along the least or the greatest other place of each window of chunks."""
+    spots = {}
+    whole = []
+    for n, (d, t) in enumerate(rows):
+        w = [x.decode() for x in (t or "").encode().lower().split()]
+        if not w:
+            continue
+        ends = [0, *chunkdedup.cuts(hash_words(w)).tolist()]
+        k = min(chunkdedup.WINDOW, len(ends) - 1)
+        windows = [tuple(w[ends[i]:ends[i + k]]) for i in range(len(ends) - k)]
+        whole.append((n, d, ends, k, windows))
+        for i, x in enumerate(windows):
+            spots.setdefault(x, []).append((n, d, i))
+    out = set()
+    for n, d, ends, k, windows in whole:
+        for lo in range(len(windows)):
+            for hi in range(lo + 1, len(windows) + 1):
+                if ends[hi - 1 + k] - ends[lo] < least:
+                    continue
+                # another place that holds all of the windows, one after another
+                if any((m, i) != (n, lo) and all((m, e, i + j) in spots[windows[lo + j]] for j in range(hi - lo))
+                       for m, e, i in spots[windows[lo]]):
+                    out.add((d, ends[lo], ends[hi - 1 + k] - ends[lo]))
+    return out
+
+
+def test_chunk_rows_equal_brute_force(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
+    got = {(r.doc_id, r.start_word, r.n_words) for r in QUERIES["op8_chunk_substring_dedup"](spark, SF).collect()}
+    want = plain_passages(rows, chunkdedup.MIN_WORDS)
+    assert got <= want                                                       # each stands elsewhere as a whole
+    longest = {p for p in want if not any(q != p and q[0] == p[0] and q[1] <= p[1] and q[1] + q[2] >= p[1] + p[2] for q in want)}
+    covered = {(d, w) for d, s, n in got for w in range(s, s + n)}
+    missed = sum((d, w) not in covered for d, s, n in longest for w in range(s, s + n))
+    assert missed <= 0.02 * sum(n for _, _, n in longest)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from dockstat.session import checkpoint_root
 
-SLICE_BYTES = 4 << 20  # text that one vectorised step holds at a time
+SLICE_BYTES = 2 << 20  # text that one vectorised step holds at a time
 
 
 def importable(spark: SparkSession) -> None:
@@ -96,6 +96,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text",
         cuts = np.flatnonzero(np.diff(part)) + 1
         for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
             yield batch.slice(lo, hi - lo)
+        pa.default_memory_pool().release_unused()  # two workers share what the JVM leaves of an executor
 
 
 class Words(NamedTuple):

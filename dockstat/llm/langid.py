@@ -196,6 +196,10 @@ class CrossParser:
 
     def bits(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(bits per symbol by text and language, whether the text has a letter)."""
+        return self.measure(texts)[:2]
+
+    def measure(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """`bits`, and the number of symbols of each text."""
         sym, at = symbols(texts, self.model.letters)
         size = np.diff(at)
         letters = np.concatenate([[0], np.cumsum(sym != BLANK)])
@@ -222,7 +226,7 @@ class CrossParser:
                 state[:n], more = steps.step(state[:n], lanes[t, :n] if own is None else own[lanes[t, :n]])
                 ended[:n] += more
             phrases[:, k] = np.bincount(of, ended + (state > 0), len(texts))
-        return phrases * self.weight / np.maximum(size, 1)[:, None], has
+        return phrases * self.weight / np.maximum(size, 1)[:, None], has, size
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
         """(language, score) of each text; the score compares the best with the next language."""
@@ -272,7 +276,7 @@ def fit(docs: DataFrame, teach: Column, rows: int = REFERENCE_ROWS,
 def _predict(model: LanguageModel):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cross = parser(model)
-        for b in slices(batches, cap=4 << 20):
+        for b in slices(batches):
             lang, score = cross.predict([t or "" for t in b["text"].to_pylist()])
             yield pa.RecordBatch.from_arrays([b["doc_id"], b["held_out"], pa.array(lang), pa.array(score)],
                                              ["doc_id", "held_out", "lang_pred", "score"])
@@ -304,8 +308,7 @@ def level(docs: DataFrame, teach: Column, model: LanguageModel) -> float:
     cross = parser(model)
     if not texts or not cross.tables:
         return float("inf")
-    bits, has = cross.bits([r.text for r in sorted(texts)])
-    size = np.diff(symbols([r.text for r in sorted(texts)], model.letters)[1])
+    bits, has, size = cross.measure([r.text for r in texts])
     least = bits.min(axis=1) - SLACK * cross.weight.max() / np.maximum(size, 1)
     return float(MARGIN * least[has].max()) if has.any() else float("inf")
 
@@ -323,11 +326,9 @@ def keep_identified(docs: DataFrame, held_out: Column) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cross = parser(model)
-        for b in slices(batches, cap=4 << 20):
-            texts = [t or "" for t in b["text"].to_pylist()]
-            bits, has = cross.bits(texts)
+        for b in slices(batches):
+            bits, has, size = cross.measure([t or "" for t in b["text"].to_pylist()])
             if np.isfinite(most):
-                size = np.diff(symbols(texts, model.letters)[1])
                 has &= (bits.min(axis=1) - most) * size <= SLACK * cross.weight.max()
             yield b.filter(pa.array(has, pa.bool_()))
     return docs.mapInArrow(run, schema)

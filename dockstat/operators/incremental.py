@@ -117,3 +117,31 @@ def incremental_merge(target_path: str, source: DataFrame, keys: Sequence[str] =
     remove(spark, staged_path)
     new.unpersist()
     return done(touched)
+
+
+def insert_new(target_path: str, source: DataFrame, keys: Sequence[str] = ("station_id", "ingested_at"),
+               partition_col: str = "snapshot_date", partition_expr: Column | None = None) -> DataFrame:
+    """Append the rows of ``source`` whose key the table does not hold yet, however old they are.
+
+    Unlike :func:`incremental_merge` there is no watermark: late rows come in, and rows that come
+    again -- in a repeated file or a retried batch -- don't.  Only the partitions that receive
+    rows are read (keys alone), so the partition has to follow from the key.  NULL keys
+    are equal to each other.
+    """
+    spark, keys = source.sparkSession, list(keys)
+    rows = source.withColumn(partition_col, partition_expr if partition_expr is not None else F.to_date(keys[-1]))
+    rows = _prepare(rows, keys, partition_col).persist()
+    try:
+        if table_exists(spark, target_path):
+            dates = [r[0] for r in rows.select(partition_col).distinct().collect()]
+            inside = F.col(partition_col).isin([d for d in dates if d is not None])
+            known = spark.read.parquet(target_path)
+            known = known.filter(inside | F.col(partition_col).isNull() if None in dates else inside).select(*keys)
+            same = [F.col(f"_new.{k}").eqNullSafe(F.col(f"_known.{k}")) for k in keys]
+            fresh = rows.alias("_new").join(known.alias("_known"), same, "left_anti")
+        else:
+            fresh = rows
+        fresh.write.mode("append").partitionBy(partition_col).parquet(target_path)
+    finally:
+        rows.unpersist()
+    return spark.read.parquet(target_path)

@@ -47,9 +47,10 @@ from dockstat.plans.marts_core import (FACT_COLUMNS, dim_pricing_plans, dim_regi
 from dockstat.plans.marts_ops import (fleet_availability, number_stations, region_hour_presence, region_hourly_parts,
                                       region_hourly_rollup, station_daily_performance, station_ids)
 from dockstat.session import build_session
-from dockstat.sources.gbfs import FEEDS, raw_schema, read_gbfs_stream
+from dockstat.sources.gbfs import FEEDS, raw_schema
+from dockstat.sources.quarantine import load_new_files, quarantined
 from dockstat.sources.seeds import capacity_tiers, read_interventions
-from dockstat.sources.sinks import (append_version, children, load_new_files, newest_partition, prune_versions,
+from dockstat.sources.sinks import (append_version, children, newest_partition, prune_versions,
                                    publish_table, read_latest_version, read_table, table_exists)
 
 
@@ -62,6 +63,9 @@ class Paths:
     def raw(self, feed: str) -> str:
         return f"{self.root}/raw/{feed}"
 
+    def quarantine(self, feed: str) -> str:
+        return f"{self.root}/quarantine/{feed}"
+
     def mart(self, name: str) -> str:
         return f"{self.root}/marts/{name}"
 
@@ -117,22 +121,26 @@ def run_refresh(spark: SparkSession, p: Paths) -> DataFrame:
 
     The checks read only the rows of this run's loads (``load=`` partitions), and the current
     stations and regions are folded forward over the loads that are not in them yet.  A feed
-    that has not landed yet, or landed without items, is an empty table; a truncated
-    file fails the run and is loaded once it is mended.
+    that has not landed yet, or landed without items, is an empty table.  A file that can't be
+    read and an item that doesn't fit are put aside without stopping their feed; the result
+    counts what is put aside (``quarantine_<feed>``), and a mended file comes in with the next load.
     """
     loads = {}
     for feed in FEEDS:
         landed = f"{p.landing}/{feed}"
-        loads[feed] = load_new_files(read_gbfs_stream(spark, landed, feed), p.raw(feed),
-                                     f"{p.root}/raw/_loaded/{feed}") if children(spark, landed) else []
+        made = load_new_files(spark, landed, feed, p.raw(feed), p.quarantine(feed),
+                              f"{p.root}/raw/_loaded/{feed}") if children(spark, landed) else []
+        loads[feed] = [load.number for load in made]
     entities, _ = current_entities(spark, p)
     st = staged(entities)
     new = staged({feed: raw_table(spark, p, feed).filter(F.col("load").isin(loads[feed])) for feed in FEEDS})
     enriched = stations_enriched(st["stage_stations"], st["stage_regions"])
     history = status_history(new["stage_station_status"], enriched)
     try:
-        return run_checks(check_not_null(new), {"rate_valid": check_rate_valid(history),
-                                                "no_future": check_no_future(history)}, raise_on_failure=True)
+        checks = run_checks(check_not_null(new), {"rate_valid": check_rate_valid(history),
+                                                  "no_future": check_no_future(history)}, raise_on_failure=True)
+        return checks.unionByName(run_checks(failing={
+            f"quarantine_{feed}": quarantined(spark, p.quarantine(feed)) for feed in FEEDS}))
     finally:
         release_broadcasts()
 

@@ -43,28 +43,6 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     return spark.read.schema(schema).parquet(path)
 
 
-def load_new_files(stream: DataFrame, path: str, checkpoint: str) -> list[int]:
-    """Append what a file stream has not delivered yet; returns the numbers of the loads made.
-
-    The stream's checkpoint knows every file taken, so each is loaded once whatever its
-    time stamp.  A load writes its own ``load=`` folders and replaces them when it is
-    repeated after a failure, so no row comes twice.
-    """
-    loads: list[int] = []
-
-    def write(batch: DataFrame, number: int) -> None:
-        (batch.withColumn("ingest_date", F.to_date(F.col("ingested_at").cast("timestamp")))
-         .withColumn("load", F.lit(number).cast("long"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("ingest_date", "load").parquet(path))
-        loads.append(number)
-
-    query = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint) \
-        .trigger(availableNow=True).start()
-    query.awaitTermination()
-    return loads
-
-
 def append_raw(df: DataFrame, path: str, partition_col: str = "ingest_date") -> None:
     """Append a batch of raw rows; the table is created by the first append.
 

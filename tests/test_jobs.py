@@ -89,7 +89,6 @@ def test_daily_marts_equal_full_rebuild(spark, tmp):
 
 
 def test_empty_feeds_late_files_and_truncated_files(spark, tmp):
-    import pytest
     landing = os.path.join(tmp, "landing")
     p = Paths(os.path.join(tmp, "warehouse"), landing)
     feed_run(landing, "2026-04-10T12:00:00Z", 3)
@@ -102,11 +101,32 @@ def test_empty_feeds_late_files_and_truncated_files(spark, tmp):
     assert raw.count() == 4 and raw.select("ingested_at").distinct().count() == 2
     broken = os.path.join(landing, "station_status", "ingested_at=2026-04-10T14:00:00Z")
     os.makedirs(broken)
+    whole = os.path.join(landing, "station_status", "ingested_at=2026-04-10T12:00:00Z", "station_status.json")
     with open(os.path.join(broken, "f.json"), "w") as f:
-        f.write('{"data": {"stations": [{"station_id": "A"')
-    with pytest.raises(Exception):
-        run_refresh(spark, p)
-    assert spark.read.parquet(p.raw("station_status")).count() == 4
+        f.write(open(whole).read()[:60])
+    os.makedirs(os.path.join(landing, "station_status", "ingested_at=2026-04-10T14:10:00Z"))
+    with open(os.path.join(landing, "station_status", "ingested_at=2026-04-10T14:10:00Z", "f.json"), "w") as f:
+        f.write("\n")                                          # a blank file
+    land(landing, "station_status", "2026-04-10T14:30:00Z", "stations", [
+        {"station_id": "A", "num_bikes_available": 4, "num_docks_available": 6, "last_reported": 1775822400},
+        {"station_id": "B", "num_bikes_available": "many", "num_docks_available": 6, "last_reported": 1775822400}, 7, None])
+
+    def state():
+        checks = {r.check_name: r.failures for r in run_refresh(spark, p).collect()}
+        return spark.read.parquet(p.raw("station_status")).count(), checks["quarantine_station_status"]
+
+    assert state() == (5, 5)                                   # two files and three items put aside
+    from dockstat.sources.quarantine import quarantined
+    assert {r.item for r in quarantined(spark, p.quarantine("station_status")).collect() if r.item and "many" in r.item}
+    assert state() == (5, 5)                                   # nothing new, nothing twice
+    with open(os.path.join(broken, "f.json"), "w") as f:
+        f.write(open(whole).read())                            # mended in place
+    feed_run(landing, "2026-04-10T15:00:00Z", 4)
+    assert state() == (9, 4)                                   # its two rows and two new ones
+    feed_run(landing, "2026-04-10T15:30:00Z", 5)
+    assert state() == (11, 4)
+    stamps = spark.read.parquet(p.raw("station_status")).filter("ingested_at = timestamp'2026-04-10 14:00:00'")
+    assert stamps.count() == 2
     kiosk = spark.read.parquet(p.raw("station_information")).filter("station_id = 'A'").first().has_kiosk
     assert kiosk == "true"
 

@@ -104,6 +104,47 @@ def test_stream_ingest_available_now(spark, tmp):
     assert got[-1] == (dt.datetime(2026, 4, 10, 13, 0), 8) and len(got) == 3
 
 
+def test_stream_of_shuffled_and_repeated_files_equals_batch(spark, tmp):
+    """One file a micro-batch, newest first, one twice, one broken; a station appears between two runs."""
+    landing, fact = os.path.join(tmp, "landing"), os.path.join(tmp, "fact")
+    feed, dim = os.path.join(landing, "station_status"), os.path.join(tmp, "stations")
+    schema = ("station_id string, station_name string, region_id string, region_name string, total_docks long, "
+              "latitude double, longitude double")
+    a, c = ("A", "Alpha", "R1", "North", 10, 40.7, -74.0), ("C", "Gamma", "R1", "North", 20, 40.8, -74.0)
+    spark.createDataFrame([a], schema).write.parquet(dim)
+
+    def land_at(hour, bikes, stations="A", at=None):
+        items = [dict(STATUS[0], station_id=s, num_bikes_available=bikes) for s in stations]
+        land(landing, "station_status", f"2026-04-{hour // 24 + 10}T{hour % 24:02d}:00:00Z", "stations", items)
+        os.utime(os.path.join(feed, f"ingested_at=2026-04-{hour // 24 + 10}T{hour % 24:02d}:00:00Z", "station_status.json"), at)
+
+    def run():
+        stream_status_to_fact(spark, feed, lambda s: s.read.parquet(dim), fact, os.path.join(tmp, "ckpt"),
+                              max_files_per_trigger=1, quarantine=os.path.join(tmp, "aside")).awaitTermination()
+
+    for hour in (30, 12, 1):                       # the newest stamp lands first
+        land_at(hour, hour % 10, at=(1e9 - hour, 1e9 - hour))
+    again = os.path.join(feed, "ingested_at=2026-04-10T12:00:00Z", "again.json")
+    with open(os.path.join(feed, "ingested_at=2026-04-10T12:00:00Z", "station_status.json")) as f, open(again, "w") as g:
+        g.write(f.read())
+    broken = os.path.join(feed, "ingested_at=2026-04-10T20:00:00Z")
+    os.makedirs(broken)
+    with open(os.path.join(broken, "f.json"), "w") as f:
+        f.write('{"data": {"stations": [{"station_id"')
+    run()
+    spark.createDataFrame([c], schema).write.mode("append").parquet(dim)
+    land_at(31, 4, "AC")
+    with open(os.path.join(broken, "f.json"), "w") as f:
+        json.dump({"data": {"stations": [dict(STATUS[0], num_bikes_available=9)]}}, f)
+    run()
+    got = sorted((r.ingested_at, r.station_id, r.station_name, r.bike_availability_rate)
+                 for r in spark.read.parquet(fact).collect())
+    from dockstat.operators.enrich import status_history
+    whole = status_history(stage_station_status(read_gbfs(spark, feed, "station_status")).dropDuplicates(), spark.read.parquet(dim))
+    assert got == sorted((r.ingested_at, r.station_id, r.station_name, r.bike_availability_rate) for r in whole.collect())
+    assert len(got) == 6
+
+
 def test_reader_stamps_file_time_without_run_folder(spark, tmp):
     d = os.path.join(tmp, "flat")
     os.makedirs(d)

@@ -12,6 +12,11 @@ A window can only reach 0.8 if at least 0.8 of its shingles occur in the item, s
 windows with fewer than half of their shingles anywhere in the benchmark are passed
 over before fingerprinting; that loses nothing.
 
+Windows are looked up in slices of neighbouring ones, each against those items that have a shingle
+in common with the slice -- no other item can reach a positive similarity -- and in steps
+of at most CELLS pairs, so memory follows neither the length of a document nor how many items
+it holds.
+
 The benchmark is sent to tasks in blocks of at most BLOCK_CHARS characters, each
 block over all documents, so memory stays bounded whatever its size.
 
@@ -33,12 +38,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dockstat.llm.common import hash_words, id_and_text, importable, shingle_hashes, slices
+from dockstat.llm.common import hash_words, id_and_text, importable, ragged, shingle_hashes, slices
 from dockstat.llm.toxicity import text_words
 
 SHINGLE, SIMILARITY = 5, 0.8
 RADIUS, BLOCKS = 20, 8
 BLOCK_CHARS = 4 << 20
+SPAN, CELLS = 4096, 1 << 20  # words that a slice of windows starts in; pairs looked up at once
 HIT_SCHEMA = "doc_id long, item_id long, start_word long, n_words long, hamming int, similarity double"
 
 
@@ -65,19 +71,24 @@ class BenchmarkIndex:
     def __init__(self, items: list[tuple[int | None, str]], radius: int = RADIUS):
         words = text_words(pa.array([t for _, t in items], pa.string()))
         hashed = hash_words(words.vocab)[words.codes]
+        shingles: dict[int, list[np.ndarray]] = {}
         self.radius, self.classes, known = radius, {}, [np.empty(0, np.uint64)]
         for i, (s, e) in enumerate(zip(words.bounds[:-1].tolist(), words.bounds[1:].tolist())):
             if e > s:
                 sh = shingle_hashes(hashed[s:e], SHINGLE)
                 known.append(sh)
+                shingles.setdefault(e - s, []).append(np.unique(sh))
                 self.classes.setdefault(e - s, []).append((items[i][0], Counter(sh.tolist()), simhash(sh)))
         self.known = np.unique(np.concatenate(known))
         self.sieve = np.zeros(1 << 20, bool)
         self.sieve[self.known >> np.uint64(44)] = True
         self.least = min((max(1, (n - SHINGLE + 1) // 2) for n in self.classes), default=1)
         value = np.arange(256, dtype=np.uint8)
-        self.near = {}
+        self.near, self.postings = {}, {}
         for n, group in self.classes.items():
+            key, item = np.concatenate(shingles[n]), np.repeat(np.arange(len(group)), [len(x) for x in shingles[n]])
+            order = np.argsort(key, kind="stable")
+            self.postings[n] = (key[order], item[order])
             prints = np.stack([g[2] for g in group])                             # (items, 8)
             apart = BYTE_BITS[prints.T[:, None, :] ^ value[None, :, None]]       # (8, 256, items)
             self.near[n] = (prints, apart <= radius // BLOCKS)
@@ -90,6 +101,25 @@ class BenchmarkIndex:
             out[at] = self.known[np.searchsorted(self.known, h[at]).clip(max=len(self.known) - 1)] == h[at]
         return out
 
+    def sharing(self, n: int, shingles: np.ndarray) -> np.ndarray:
+        """Items of n words that have one of the shingles."""
+        key, item = self.postings[n]
+        own = np.unique(shingles)
+        first = np.searchsorted(key, own, "left")
+        return np.unique(item[ragged(first, np.searchsorted(key, own, "right") - first)])
+
+    def within(self, n: int, prints: np.ndarray, mine: np.ndarray) -> list[tuple[int, int, int]]:
+        """(window, item, bits apart) of the windows and items of `mine` within the radius, by the multi-index."""
+        items, near = self.near[n]
+        near = near[:, :, mine]
+        candidate = near[0][prints[:, 0]]
+        for b in range(1, BLOCKS):
+            candidate |= near[b][prints[:, b]]
+        w, i = np.nonzero(candidate)
+        apart = BYTE_BITS[prints[w] ^ items[mine[i]]].sum(axis=1, dtype=np.int32)
+        close = np.flatnonzero(apart <= self.radius)
+        return list(zip(w[close].tolist(), mine[i[close]].tolist(), apart[close].tolist()))
+
     def search(self, words: np.ndarray, similarity: float) -> list[tuple]:
         """Best window of each contained item: (item_id, start, n, hamming, similarity)."""
         found: dict[tuple[int, int], tuple] = {}
@@ -107,26 +137,24 @@ class BenchmarkIndex:
             starts = np.flatnonzero(2 * shared >= run)
             if not len(starts):
                 continue
-            lo, hi = int(starts[0]), int(starts[-1]) + run
-            sums = np.concatenate([np.zeros((1, 64), np.int32),
-                                   np.cumsum(_signs(sh[lo:hi]), axis=0, dtype=np.int32)])
-            prints = _fingerprints(sums[starts - lo + run] - sums[starts - lo])
-            items, near = self.near[n]
-            candidate = near[0][prints[:, 0]].copy()
-            for b in range(1, BLOCKS):
-                candidate |= near[b][prints[:, b]]
-            w, i = np.nonzero(candidate)
-            apart = BYTE_BITS[prints[w] ^ items[i]].sum(axis=1, dtype=np.int32)
-            for w_, i_, d in zip(w[apart <= self.radius].tolist(), i[apart <= self.radius].tolist(),
-                                 apart[apart <= self.radius].tolist()):
-                s = int(starts[w_])
-                item, weights, _ = self.classes[n][i_]
-                own = Counter(sh[s:s + run].tolist())
-                common = sum((own & weights).values())
-                sim = common / (run + sum(weights.values()) - common)
-                best = found.get((n, i_))
-                if sim >= similarity and (best is None or sim > best[4]):
-                    found[n, i_] = (item, s, size, d, sim)
+            span = max(SPAN, run)
+            for part in np.split(starts, np.flatnonzero(np.diff(starts // span)) + 1):
+                lo, hi = int(part[0]), int(part[-1]) + run
+                mine = self.sharing(n, sh[lo:hi])
+                sums = np.concatenate([np.zeros((1, 64), np.int32),
+                                       np.cumsum(_signs(sh[lo:hi]), axis=0, dtype=np.int32)])
+                step = max(1, CELLS // max(1, len(mine)))
+                for at in (part[i:i + step] for i in range(0, len(part), step)):
+                    prints = _fingerprints(sums[at - lo + run] - sums[at - lo])
+                    for w, i, d in self.within(n, prints, mine):
+                        s = int(at[w])
+                        item, weights, _ = self.classes[n][i]
+                        own = Counter(sh[s:s + run].tolist())
+                        common = sum((own & weights).values())
+                        sim = common / (run + sum(weights.values()) - common)
+                        best = found.get((n, i))
+                        if sim >= similarity and (best is None or sim > best[4]):
+                            found[n, i] = (item, s, size, d, sim)
         return list(found.values())
 
 

@@ -138,6 +138,27 @@ def test_multi_index_finds_everything_within_the_radius():
     assert met[apart <= decontam.RADIUS].all() and (apart <= decontam.RADIUS).sum() > 100
 
 
+def test_a_long_text_of_many_items_is_searched_in_slices(monkeypatch):
+    """Every item of a text made of them is found, in bounded memory, as with slices of another size."""
+    import tracemalloc
+    rnd = random.Random(8)
+    words = [f"{a}{b}{c}" for a in "bcdfgh" for b in ("al", "en", "ist") for c in ("or", "ump", "ey")]
+    items = [(i, " ".join(rnd.choice(words) for _ in range(30 + i % 3))) for i in range(1500)]
+    index = decontam.BenchmarkIndex(items)
+    text = pa.array([" and ".join(t for _, t in items[:1000])])
+    tracemalloc.start()
+    got = dict(decontam._documents(index, 0.8, text))[0]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert {h[0] for h in got if h[4] == 1} == set(range(1000)) and {h[0] for h in got} == set(range(1000))
+    assert peak < 300 << 20
+    monkeypatch.setattr(decontam, "SPAN", 100)
+    monkeypatch.setattr(decontam, "CELLS", 500)
+    short = pa.array([" and ".join(t for _, t in items[:60])])
+    few = dict(decontam._documents(index, 0.8, short))[0]
+    assert sorted(few) == sorted(h for h in got if h[0] < 60)
+
+
 def test_decontamination_equals_brute_force(spark):
     rnd = random.Random(6)
     words = [f"{a}{b}" for a in "bcdfgh" for b in ("al", "en", "ist", "or", "ump")]

@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from dockstat.session import work_path
-from dockstat.sources.sinks import newest_partition, remove, table_exists
+from dockstat.sources.manifest import newest_part, publish_table, published, read_published
+from dockstat.sources.sinks import newest_partition, table_exists
 
 
 def table_watermark(spark: SparkSession, path: str, watermark: str, partition_col: str | None):
@@ -58,9 +58,10 @@ def incremental_merge(target_path: str, source: DataFrame, keys: Sequence[str] =
     upsert is an append of the new rows: the work follows the batch, not the
     table.  A retry re-reads the watermark, so rows committed by a failed
     attempt are not loaded twice.  Otherwise the partitions that receive
-    rows are rewritten: their current rows (minus the keys being replaced)
-    plus the new rows are staged in the shared checkpoint folder, then
-    swapped in with a dynamic partition overwrite.  That path needs the
+    rows are rebuilt: their current rows (minus the keys being replaced)
+    plus the new rows are published as a new version (``publish_table``), so
+    a crash at any step leaves the old table or the new one; read such a table with
+    ``read_published``.  That path needs the
     partition to follow from the key (a key never moves between
     partitions); with ``partition_col=None`` the whole table is rewritten.
 
@@ -75,6 +76,10 @@ def incremental_merge(target_path: str, source: DataFrame, keys: Sequence[str] =
         pexpr = partition_expr if partition_expr is not None else F.to_date(watermark)
         source = source.withColumn(partition_col, pexpr)
 
+    if watermark not in keys:
+        table, touched = _general_upsert(target_path, source, keys, watermark, partition_col)
+        return (table, touched) if return_touched else table
+
     def done(touched):
         # an empty first batch leaves no file: the table is still missing, and empty
         t = spark.read.parquet(target_path) if table_exists(spark, target_path) else \
@@ -101,24 +106,39 @@ def incremental_merge(target_path: str, source: DataFrame, keys: Sequence[str] =
     touched = ([r[0] for r in new.select(partition_col).distinct().collect()]
                if partition_col else None)
 
-    if wm is not None and watermark in keys:
-        write(new, "append")
-        new.unpersist()
-        return done(touched)
-
-    target = spark.read.parquet(target_path)
-    # The dates a batch touches are few; as a literal list they prune the
-    # scan of the existing table to exactly those partitions.
-    current = target.filter(F.col(partition_col).isin(touched)) if partition_col else target
-    kept = current.join(new.select(*keys), keys, "left_anti")
-    staged_path = work_path(spark, "merge-stage")
-    kept.unionByName(new.select(*target.columns)).write.mode("overwrite").parquet(staged_path)
-    write(spark.read.parquet(staged_path), "overwrite")
-    remove(spark, staged_path)
+    write(new, "append")
     new.unpersist()
     return done(touched)
 
 
+def _general_upsert(path: str, source: DataFrame, keys: list[str], watermark: str, partition_col: str | None):
+    """(table, partition values that received rows; None for a first load) of an upsert on keys without the watermark."""
+    spark = source.sparkSession
+    if not published(spark, path):
+        publish_table(_prepare(source, keys, partition_col), path, partition_col)
+        return read_published(spark, path), None
+    last = newest_part(spark, path, partition_col) if partition_col else None
+    if partition_col and last is None:
+        wm = None
+    else:
+        wm = read_published(spark, path, [last] if last else None).agg(F.max(watermark)).first()[0]
+    new = source if wm is None else source.filter(F.col(watermark) > F.lit(wm))
+    new = _prepare(new, keys, partition_col).persist()  # batch-sized; read several times below
+    try:
+        touched = [r[0] for r in new.select(partition_col).distinct().collect()] if partition_col else None
+        if touched == [] or new.isEmpty():
+            return read_published(spark, path), []
+        target = read_published(spark, path)
+        # The dates a batch touches are few; as a literal list they prune the
+        # scan of the existing table to exactly those partitions.
+        current = target.filter(F.col(partition_col).isin(touched)) if partition_col else target
+        kept = current.join(new.select(*keys), keys, "left_anti").select(*target.columns)
+        publish_table(kept.unionByName(new.select(*target.columns)), path, partition_col)
+    finally:
+        new.unpersist()
+    return read_published(spark, path), touched
+
+
 def insert_new(target_path: str, source: DataFrame, keys: Sequence[str] = ("station_id", "ingested_at"),
                partition_col: str = "snapshot_date", partition_expr: Column | None = None) -> DataFrame:
     """Append the rows of ``source`` whose key the table does not hold yet, however old they are.

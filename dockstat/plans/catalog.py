@@ -38,7 +38,8 @@ from dockstat.plans import jobs
 from dockstat.plans.landed import land
 from dockstat.sources.gbfs import FEEDS, read_gbfs
 from dockstat.sources.seeds import bike_types, read_interventions, with_bike_type
-from dockstat.sources.sinks import append_raw, publish_table
+from dockstat.sources.manifest import publish_table, read_published
+from dockstat.sources.sinks import append_raw
 from dockstat.streaming.ingest import stream_status_to_fact
 from dockstat.plans.experiments import (intervention_periods, intervention_results, station_interventions,
                                         with_station_names)
@@ -715,7 +716,7 @@ def q_mart_publish(spark, sf_dir):
     path, daily = work_path(spark, "mart"), Models.of(spark, sf_dir).daily
     publish_table(daily, path, partition_by="snapshot_date")
     publish_table(daily.filter(F.col("snapshot_date") < F.lit(SPLIT_AT[:10]).cast("date")), path, partition_by="snapshot_date")
-    return spark.read.parquet(path)
+    return read_published(spark, path)
 
 
 @register("seed_interventions", O.q("iv", """
@@ -775,4 +776,4 @@ def q_refresh_then_daily(spark, sf_dir):
         land(spark, sf_dir, feed, p.landing)
     jobs.run_refresh(spark, p)
     jobs.run_daily(spark, p, as_of="2024-03-01 00:00:00")
-    return spark.read.parquet(p.mart("station_daily"))
+    return read_published(spark, p.mart("station_daily"))

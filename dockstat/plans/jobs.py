@@ -48,10 +48,11 @@ from dockstat.plans.marts_ops import (fleet_availability, number_stations, regio
                                       region_hourly_rollup, station_daily_performance, station_ids)
 from dockstat.session import build_session
 from dockstat.sources.gbfs import FEEDS, raw_schema
+from dockstat.sources.manifest import publish_table, read_published
 from dockstat.sources.quarantine import load_new_files, quarantined
 from dockstat.sources.seeds import capacity_tiers, read_interventions
 from dockstat.sources.sinks import (append_version, children, newest_partition, prune_versions,
-                                   publish_table, read_latest_version, read_table, table_exists)
+                                   read_latest_version, read_table, table_exists)
 
 
 @dataclass
@@ -239,8 +240,8 @@ def run_daily(spark: SparkSession, p: Paths, as_of: str | None = None, keep_vers
         publish_table(region_hourly_parts(days), p.mart("region_hourly_parts"), partition_by="snapshot_date")
         publish_table(region_hour_presence(days, station_numbers(spark, p, days, run)), p.mart("region_hour_presence"),
                       partition_by="snapshot_date")
-        publish_version(spark, region_hourly_rollup(spark.read.parquet(p.mart("region_hourly_parts")),
-                                                    spark.read.parquet(p.mart("region_hour_presence"))),
+        publish_version(spark, region_hourly_rollup(read_published(spark, p.mart("region_hourly_parts")),
+                                                    read_published(spark, p.mart("region_hour_presence"))),
                         p.mart("region_hourly"), run)
 
     # Nearest station for bike snapshots not matched yet (same watermark rule).

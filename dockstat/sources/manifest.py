@@ -15,7 +15,8 @@ from __future__ import annotations
 import json
 from typing import Any
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from dockstat.sources.sinks import _folder, children, remove
 
@@ -71,3 +72,59 @@ def forget(spark: SparkSession, path: str, folders, keep: int = 7) -> list[str]:
     for n in old:
         remove(spark, f"{path}/{LOG}/{n}")
     return gone
+
+
+VERSION = "version"
+WHOLE = ""
+
+
+def _folders(state: dict[str, Any]) -> list[str]:
+    return [f"{VERSION}={v}/{part}".rstrip("/") for part, v in state["parts"].items()]
+
+
+def publish_table(df: DataFrame, path: str, partition_by: str | None = None, keep: int = 7) -> None:
+    """Rebuild a mart table, or those of its partitions that are present in ``df``.
+
+    The rows go into a fresh ``version=`` folder; then one manifest makes it current, which names the
+    version of every partition.  Without ``partition_by`` the new rows are the whole table; with it the other
+    partitions stay where they are, so re-running a day replaces that day.  A run that fails
+    before its commit changes nothing, and is simply repeated: its folder is written anew.  ``df``
+    may read the table itself.  The folders of the newest ``keep`` states stay for readers.
+    """
+    spark, old = df.sparkSession, manifest(df.sparkSession, path)
+    number = 0 if old is None else old["number"] + 1
+    folder = f"{path}/{VERSION}={number}"
+    w = df.write.mode("overwrite")
+    (w.partitionBy(partition_by) if partition_by else w).parquet(folder)
+    if partition_by:
+        kept = {} if old is None else {p: v for p, v in old["parts"].items() if p != WHOLE}
+        parts = kept | {p: number for p in children(spark, folder) if p.startswith(f"{partition_by}=")}
+    else:
+        parts = {WHOLE: number}
+    commit(spark, path, {"number": number, "parts": parts, "schema": df.schema.jsonValue()})
+    forget(spark, path, _folders, keep)
+
+
+def published(spark: SparkSession, path: str) -> bool:
+    return manifest(spark, path) is not None
+
+
+def read_published(spark: SparkSession, path: str, parts: list[str] | None = None) -> DataFrame:
+    """The current state of a published table; ``parts`` picks partition folders (``column=value``) of it."""
+    state = manifest(spark, path)
+    if state is None:
+        raise FileNotFoundError(f"nothing has been published to {path}")
+    if parts is not None:
+        state["parts"] = {p: v for p, v in state["parts"].items() if p in parts}
+    schema = T.StructType.fromJson(state["schema"])
+    if not state["parts"]:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path) \
+        .parquet(*[f"{path}/{f}" for f in _folders(state)]).select(*schema.names)
+
+
+def newest_part(spark: SparkSession, path: str, column: str) -> str | None:
+    """The published partition with the greatest value of ``column``, as ``column=value``."""
+    state = manifest(spark, path) or {"parts": {}}
+    return max((p for p in state["parts"] if p.startswith(f"{column}=") and not p.endswith("__HIVE_DEFAULT_PARTITION__")),
+               default=None)

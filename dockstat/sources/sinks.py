@@ -53,19 +53,6 @@ def append_raw(df: DataFrame, path: str, partition_col: str = "ingest_date") ->
      .write.mode("append").partitionBy(partition_col).parquet(path))
 
 
-def publish_table(df: DataFrame, path: str, partition_by: str | None = None) -> None:
-    """Rebuild a mart table.
-
-    Without ``partition_by`` the folder is overwritten; with it only the
-    partitions present in ``df`` are replaced (dynamic partition overwrite),
-    which makes re-running a day idempotent.
-    """
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.option("partitionOverwriteMode", "dynamic").partitionBy(partition_by)
-    w.parquet(path)
-
-
 def append_version(df: DataFrame, path: str, version: str, version_col: str = "snapshot_run") -> None:
     """Publish a full new version of a table next to the previous ones.
 

@@ -4,6 +4,7 @@ import json
 import os
 
 from dockstat.plans.jobs import Paths, run_daily, run_refresh
+from dockstat.sources.manifest import read_published
 
 
 def land(root, feed, stamp, key, items):
@@ -52,7 +53,7 @@ def test_refresh_then_daily(spark, tmp):
 
     fact = spark.read.parquet(p.mart("status_snapshots"))
     assert fact.count() == 4
-    daily = {r.station_id: r for r in spark.read.parquet(p.mart("station_daily")).collect()}
+    daily = {r.station_id: r for r in read_published(spark, p.mart("station_daily")).collect()}
     assert daily["A"].snapshots_that_day == 2 and daily["A"].empty_snapshots == 1
     from dockstat.operators.scd2_store import read_history
     latest = read_history(spark, p.snapshot("station_operational_history"))
@@ -77,9 +78,9 @@ def test_daily_marts_equal_full_rebuild(spark, tmp):
     rows = lambda df: sorted(tuple(r) for r in df.collect())
     from dockstat.sources.sinks import read_latest_version
     assert rows(read_latest_version(spark, p.mart("region_hourly"))[0]) == rows(region_hourly_availability(fact))
-    daily = spark.read.parquet(p.mart("station_daily"))
+    daily = read_published(spark, p.mart("station_daily"))
     assert rows(daily.select(*station_daily_performance(fact).columns)) == rows(station_daily_performance(fact))
-    fleet = spark.read.parquet(p.mart("fleet_runs")).drop("run_date")
+    fleet = read_published(spark, p.mart("fleet_runs")).drop("run_date")
     assert rows(fleet.select(*fleet_availability(fact).columns)) == rows(fleet_availability(fact))
     # the folded top-3 table gives the same health as a scan of the whole fact
     from dockstat.operators.health import health_from_history
@@ -173,7 +174,7 @@ def test_merge_into_a_broken_table_raises(spark, tmp):
     path = os.path.join(tmp, "t")
     df = spark.createDataFrame([("A", 1), ("B", 2)], "station_id string, ingested_at long")
     incremental_merge(path, df, keys=["station_id"], partition_col=None)
-    with open(os.path.join(path, "part-broken.parquet"), "w") as f:
+    with open(os.path.join(path, "version=0", "part-broken.parquet"), "w") as f:
         f.write("not parquet")
     with pytest.raises(Exception):
         incremental_merge(path, spark.createDataFrame([("C", 3)], df.schema), keys=["station_id"], partition_col=None)

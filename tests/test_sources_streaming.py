@@ -10,7 +10,8 @@ from dockstat.operators.staging import stage_pricing_plans, stage_station_status
 from dockstat.sources.gbfs import read_gbfs
 from dockstat.sources.seeds import (bike_types, boroughs, capacity_tiers, read_interventions,
                                     region_population)
-from dockstat.sources.sinks import append_raw, publish_table
+from dockstat.sources.manifest import publish_table, read_published
+from dockstat.sources.sinks import append_raw
 from dockstat.streaming.ingest import stream_status_to_fact
 
 
@@ -72,7 +73,7 @@ def test_seeds_and_sinks(spark, tmp):
     assert spark.read.parquet(os.path.join(tmp, "raw")).count() == 2
     publish_table(raw.withColumn("d", F.lit("x")), os.path.join(tmp, "mart"), partition_by="d")
     publish_table(raw.withColumn("d", F.lit("x")), os.path.join(tmp, "mart"), partition_by="d")
-    assert spark.read.parquet(os.path.join(tmp, "mart")).count() == 1
+    assert read_published(spark, os.path.join(tmp, "mart")).count() == 1
 
 
 def test_stream_ingest_available_now(spark, tmp):
@@ -154,6 +155,52 @@ def test_reader_stamps_file_time_without_run_folder(spark, tmp):
     assert r.region_id == "R1" and r.ingested_at is not None
 
 
+@pytest.mark.parametrize("step", ["children", "commit"])
+def test_publish_and_upsert_survive_a_crash(spark, tmp, monkeypatch, step):
+    """A crash before the rows are written or before the commit leaves the old table; the retry gives the new one."""
+    from dockstat.operators.incremental import incremental_merge
+    from dockstat.sources import manifest as M
+    table, upsert = os.path.join(tmp, "table"), os.path.join(tmp, "upsert")
+
+    def days(*rows):
+        return spark.createDataFrame([(d and dt.date(2026, 4, d), v) for d, v in rows], "day date, v int")
+
+    def stations(*rows):
+        return spark.createDataFrame([(k, dt.datetime(2026, 4, 1, h), v) for k, h, v in rows], "k string, at timestamp, v int")
+
+    def held(path):
+        return sorted(map(tuple, read_published(spark, path).collect()), key=str)
+
+    def merge(rows):
+        incremental_merge(upsert, rows, keys=["k"], watermark="at", partition_col=None)
+
+    publish_table(days((1, 1), (2, 2), (None, 0)), table, "day")
+    merge(stations(("A", 1, 1), ("B", 1, 1)))
+    before = held(table), held(upsert)
+    new_days, new_stations = days((2, 20), (3, 3)), stations(("B", 2, 5), ("C", 2, 6), ("A", 1, 9))
+
+    def crash(*a, **k):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(M, step, crash)
+        for work in (lambda: publish_table(new_days, table, "day"), lambda: merge(new_stations)):
+            with pytest.raises(RuntimeError):
+                work()
+    assert (held(table), held(upsert)) == before
+    publish_table(new_days, table, "day")
+    merge(new_stations)
+    assert held(table) == sorted([(dt.date(2026, 4, 1), 1), (dt.date(2026, 4, 2), 20), (dt.date(2026, 4, 3), 3), (None, 0)], key=str)
+    assert [(r[0], r[2]) for r in held(upsert)] == [("A", 1), ("B", 5), ("C", 6)]
+    publish_table(read_published(spark, table).filter("v > 2"), table)     # reads itself; the whole table
+    assert sorted(r.v for r in read_published(spark, table).collect()) == [3, 20]
+    publish_table(days().limit(0), table)
+    assert held(table) == []
+    for n in range(9):
+        publish_table(days((1, n)), table, "day", keep=2)
+    assert len([f for f in os.listdir(table) if f.startswith("version=") and os.listdir(os.path.join(table, f))]) <= 3
+
+
 def test_failing_check_raises(spark):
     from dockstat.operators.quality import DataQualityError, check_rate_valid, run_checks
     bad = spark.createDataFrame([("A", dt.datetime(2026, 4, 10), 1.5, 0.2)],

@@ -36,18 +36,19 @@ def stations_enriched(stations: DataFrame, regions: DataFrame, grain: str = "dec
 
 
 def status_history(status: DataFrame, enriched: DataFrame,
-                   broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                   broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS, read_again: bool = False) -> DataFrame:
     """Every status snapshot with station metadata and capped availability rates.
 
     Snapshots of unknown stations keep NULL metadata and NULL rates.  The
     station side is a dimension: when its measured row count is within
     ``broadcast_rows`` it is broadcast and the snapshots are joined where
     they lie, without a shuffle; otherwise both sides are shuffled on
-    station_id and AQE splits a hot station's partition.
+    station_id and AQE splits a hot station's partition.  ``read_again``: see
+    :func:`~dockstat.operators.joins.bounded_broadcast`.
     """
     st = enriched.select("station_id", "station_name", "region_id", "region_name",
                          "total_docks", "latitude", "longitude")
-    j = status.join(bounded_broadcast(st, broadcast_rows), "station_id", "left")
+    j = status.join(bounded_broadcast(st, broadcast_rows, read_again=read_again), "station_id", "left")
     return j.select(
         *HISTORY_COLUMNS[:-2],
         capped_rate("num_bikes_available", "total_docks").alias("bike_availability_rate"),

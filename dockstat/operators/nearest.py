@@ -35,6 +35,8 @@ NEAREST_COLUMNS = ["bike_id", "bike_latitude", "bike_longitude", "is_reserved",
                    "region_name", "distance_km", "ingested_at"]
 POSITION = ["bike_latitude", "bike_longitude"]
 LOCAL_LEVELS = 3
+#: Levels of the pyramid that one job goes down.
+LEVELS_A_JOB = 7
 
 _RAD = math.pi / 180.0
 _MARGIN = 1e-9
@@ -113,30 +115,40 @@ def _least_term(blat, blon, cx, cy, size: float):
     return (1 - cosine) / 2
 
 
-def _descend(pending: DataFrame, stations: DataFrame, p: int) -> DataFrame:
+def _pyramid(stations: DataFrame, p: int) -> DataFrame:
+    """One representative position for each cell that holds a station, at all levels from 4 columns to 2 ** p."""
+    n = F.expr("shiftleft(1L, _level)")
+    cx, cy = _cells(F.col("_slat"), F.col("_slon"), n, F.lit(360.0) / n)
+    # a station on the pole belongs to the last row of cells
+    return stations.select("_slat", "_slon", F.explode(F.sequence(F.lit(2), F.lit(p))).alias("_level")) \
+        .groupBy("_level", cx.alias("_cx"), F.least(cy, F.expr("shiftleft(1L, _level - 1)") - 1).alias("_cy")) \
+        .agg(F.min(F.struct("_slat", "_slon")).alias("_rep"))
+
+
+def _descend(pending: DataFrame, stations: DataFrame, p: int, broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Best station of each position by the cell pyramid, from 4 columns down to 2 ** p."""
+    pyramid = bounded_broadcast(_pyramid(stations, p), broadcast_rows)
     best = Window.partitionBy(*POSITION)
     blat, blon = F.col("bike_latitude"), F.col("bike_longitude")
     start = F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x in range(4) for y in range(2)])
+    halves = F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x in (0, 1) for y in (0, 1)])
     held = pending.select(*POSITION, F.explode(start).alias("_o")) \
         .select(*POSITION, F.col("_o.x").cast("long").alias("_cx"), F.col("_o.y").cast("long").alias("_cy"))
     for level in range(2, p + 1):
-        n, size = 2 ** level, 360.0 / 2 ** level
-        scx, scy = _cells(F.col("_slat"), F.col("_slon"), n, size)
-        # a station on the pole belongs to the last row of cells
-        cells = stations.groupBy(scx.alias("_cx"), F.least(scy, F.lit(n // 2 - 1)).alias("_cy")) \
-            .agg(F.min(F.struct("_slat", "_slon")).alias("_rep"))
+        size = 360.0 / 2 ** level
+        cells = pyramid.filter(F.col("_level") == level).drop("_level")
         near = held.join(cells, ["_cx", "_cy"]) \
             .withColumn("_low", _least_term(blat, blon, F.col("_cx"), F.col("_cy"), size)) \
             .withColumn("_up", F.min(haversine_term(blat, blon, F.col("_rep._slat"), F.col("_rep._slon"))).over(best)) \
-            .filter(F.col("_low") <= F.col("_up") + _TERM_MARGIN)
+            .filter(F.col("_low") <= F.col("_up") + _TERM_MARGIN).select(*POSITION, "_cx", "_cy")
         if level < p:
-            halves = F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x in (0, 1) for y in (0, 1)])
-            held = near.select(*POSITION, "_cx", "_cy", F.explode(halves).alias("_o")) \
+            near = near.withColumn("_o", F.explode(halves)) \
                 .select(*POSITION, (F.col("_cx") * 2 + F.col("_o.x")).alias("_cx"), (F.col("_cy") * 2 + F.col("_o.y")).alias("_cy"))
-        else:
-            held = near.select(*POSITION, "_cx", "_cy")
-        held = held.checkpoint(eager=True)
+            if (level - 1) % LEVELS_A_JOB == 0:
+                near = near.checkpoint(eager=True)
+        held = near
+    n = 2 ** p
+    scx, scy = _cells(F.col("_slat"), F.col("_slon"), n, 360.0 / n)
     cells = stations.withColumn("_cx", scx).withColumn("_cy", F.least(scy, F.lit(n // 2 - 1)))
     a = haversine_term(blat, blon, F.col("_slat"), F.col("_slon"))
     return held.join(cells, ["_cx", "_cy"]).groupBy(*POSITION) \
@@ -155,7 +167,8 @@ def nearest_station(bikes: DataFrame, stations: DataFrame, cell_deg: float = 0.0
     coordinates take no part.  ``cell_deg`` should be near the typical station spacing:
     a position's candidates are the stations in its 3 x 3 block of cells.
 
-    Each level's result is checkpointed (to the shared checkpoint folder).  The station
+    Each local level's result and every ``LEVELS_A_JOB``-th of the pyramid is checkpointed (to
+    the shared checkpoint folder).  The station
     side is broadcast when its measured row count is within ``broadcast_rows`` (positions
     then never move for the candidate join); otherwise both sides are shuffled on the
     cell key.
@@ -187,7 +200,7 @@ def nearest_station(bikes: DataFrame, stations: DataFrame, cell_deg: float = 0.0
         if not left:
             break
     if left:
-        found.append(_descend(pending, st, p))
+        found.append(_descend(pending, st, p, broadcast_rows))
     out = bikes.join(reduce(DataFrame.unionByName, found), POSITION, "left")
     return out.select(
         "bike_id", *POSITION, "is_reserved", "is_disabled", "vehicle_type_id",

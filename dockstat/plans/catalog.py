@@ -104,7 +104,7 @@ def q_price_bands(spark, sf_dir):
 @register("rolling_availability", O.q("windows", """
 select station_id, ingested_at, bike_availability_rate, rolling_3_bike_availability_rate from windows"""))
 def q_rolling(spark, sf_dir):
-    h = Models.of(spark, sf_dir).history.select(*WINDOW_COLUMNS)
+    h = Models.of(spark, sf_dir).history_read_again.select(*WINDOW_COLUMNS)
     return rolling_mean_rate(h).select("station_id", "ingested_at", "bike_availability_rate",
                                        "rolling_3_bike_availability_rate")
 
@@ -113,14 +113,14 @@ def q_rolling(spark, sf_dir):
 select station_id, ingested_at, num_bikes_available, num_docks_available,
        prev_bikes_available, prev_docks_available from windows"""))
 def q_lag(spark, sf_dir):
-    h = Models.of(spark, sf_dir).history.select(*WINDOW_COLUMNS)
+    h = Models.of(spark, sf_dir).history_read_again.select(*WINDOW_COLUMNS)
     return with_lag(h).select("station_id", "ingested_at", "num_bikes_available", "num_docks_available",
                               "prev_bikes_available", "prev_docks_available")
 
 
 @register("recency_rank", O.q("windows", "select station_id, ingested_at, snapshot_recency_rank from windows"))
 def q_recency(spark, sf_dir):
-    h = Models.of(spark, sf_dir).history.select(*WINDOW_COLUMNS)
+    h = Models.of(spark, sf_dir).history_read_again.select(*WINDOW_COLUMNS)
     return with_recency_rank(h).select("station_id", "ingested_at", "snapshot_recency_rank")
 
 

@@ -64,9 +64,14 @@ class Models:
     def history(self) -> DataFrame:
         return status_history(self.status, self.enriched)
 
+    @cached_property
+    def history_read_again(self) -> DataFrame:
+        """The history for plans that read it more than once, such as the windows."""
+        return status_history(self.status, self.enriched, read_again=True)
+
     @cached_property
     def windows(self) -> DataFrame:
-        return availability_windows(self.history)
+        return availability_windows(self.history_read_again)
 
     @cached_property
     def health(self) -> DataFrame:

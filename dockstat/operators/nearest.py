@@ -96,7 +96,7 @@ def _search(pending: DataFrame, stations: DataFrame, n: int) -> DataFrame:
     return best.withColumn("_ok", ok).drop("_bcx", "_bcy")
 
 
-def _least_term(blat, blon, cx, cy, size: float):
+def _least_term(blat, blon, cx, cy, size):
     """Least haversine term between a position and any point of a cell."""
     phi, south = blat * _RAD, (cy * size - 90.0) * _RAD
     north = south + size * _RAD
@@ -121,32 +121,31 @@ def _pyramid(stations: DataFrame, p: int) -> DataFrame:
     cx, cy = _cells(F.col("_slat"), F.col("_slon"), n, F.lit(360.0) / n)
     # a station on the pole belongs to the last row of cells
     return stations.select("_slat", "_slon", F.explode(F.sequence(F.lit(2), F.lit(p))).alias("_level")) \
-        .groupBy("_level", cx.alias("_cx"), F.least(cy, F.expr("shiftleft(1L, _level - 1)") - 1).alias("_cy")) \
+        .groupBy("_level", (F.lit(360.0) / n).alias("_size"), cx.alias("_cx"),
+                 F.least(cy, F.expr("shiftleft(1L, _level - 1)") - 1).alias("_cy")) \
         .agg(F.min(F.struct("_slat", "_slon")).alias("_rep"))
 
 
 def _descend(pending: DataFrame, stations: DataFrame, p: int, broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Best station of each position by the cell pyramid, from 4 columns down to 2 ** p."""
     pyramid = bounded_broadcast(_pyramid(stations, p), broadcast_rows)
-    best = Window.partitionBy(*POSITION)
     blat, blon = F.col("bike_latitude"), F.col("bike_longitude")
-    start = F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x in range(4) for y in range(2)])
-    halves = F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x in (0, 1) for y in (0, 1)])
-    held = pending.select(*POSITION, F.explode(start).alias("_o")) \
-        .select(*POSITION, F.col("_o.x").cast("long").alias("_cx"), F.col("_o.y").cast("long").alias("_cy"))
+    # the same expressions at every level, so Spark compiles them once
+    low = _least_term(blat, blon, F.col("_cx"), F.col("_cy"), F.col("_size"))
+    up = F.min(haversine_term(blat, blon, F.col("_rep._slat"), F.col("_rep._slon"))).over(Window.partitionBy(*POSITION))
+    halves = F.expr("explode(array(struct(0 as x, 0 as y), struct(0 as x, 1 as y), struct(1 as x, 0 as y), struct(1 as x, 1 as y))) as _o")
+    held = pending.select(*POSITION, F.expr("explode(sequence(0L, 3L)) as _cx")) \
+        .select(*POSITION, "_cx", F.expr("explode(sequence(0L, 1L)) as _cy"))
     for level in range(2, p + 1):
-        size = 360.0 / 2 ** level
-        cells = pyramid.filter(F.col("_level") == level).drop("_level")
-        near = held.join(cells, ["_cx", "_cy"]) \
-            .withColumn("_low", _least_term(blat, blon, F.col("_cx"), F.col("_cy"), size)) \
-            .withColumn("_up", F.min(haversine_term(blat, blon, F.col("_rep._slat"), F.col("_rep._slon"))).over(best)) \
-            .filter(F.col("_low") <= F.col("_up") + _TERM_MARGIN).select(*POSITION, "_cx", "_cy")
+        near = held.join(pyramid.filter(F.col("_level") == level), ["_cx", "_cy"]) \
+            .select(*POSITION, "_cx", "_cy", low.alias("_low"), up.alias("_up")) \
+            .filter(F.col("_low") <= F.col("_up") + _TERM_MARGIN)
         if level < p:
-            near = near.withColumn("_o", F.explode(halves)) \
-                .select(*POSITION, (F.col("_cx") * 2 + F.col("_o.x")).alias("_cx"), (F.col("_cy") * 2 + F.col("_o.y")).alias("_cy"))
+            near = near.select(*POSITION, "_cx", "_cy", halves) \
+                .selectExpr(*POSITION, "_cx * 2 + _o.x as _cx", "_cy * 2 + _o.y as _cy")
             if (level - 1) % LEVELS_A_JOB == 0:
                 near = near.checkpoint(eager=True)
-        held = near
+        held = near.select(*POSITION, "_cx", "_cy")
     n = 2 ** p
     scx, scy = _cells(F.col("_slat"), F.col("_slon"), n, 360.0 / n)
     cells = stations.withColumn("_cx", scx).withColumn("_cy", F.least(scy, F.lit(n // 2 - 1)))

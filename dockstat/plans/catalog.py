@@ -39,7 +39,7 @@ from dockstat.plans.landed import land
 from dockstat.sources.gbfs import FEEDS, read_gbfs
 from dockstat.sources.seeds import bike_types, read_interventions, with_bike_type
 from dockstat.sources.manifest import publish_table, read_published
-from dockstat.sources.sinks import append_raw
+from dockstat.sources.sinks import append_raw, read_latest_version
 from dockstat.streaming.ingest import stream_status_to_fact
 from dockstat.plans.experiments import (intervention_periods, intervention_results, station_interventions,
                                         with_station_names)
@@ -207,7 +207,7 @@ def q_daily(spark, sf_dir):
     return Models.of(spark, sf_dir).daily
 
 
-_HOURLY_SQL = O.q("fact", f"""
+_HOURLY_BODY = f"""
 select region_id, region_name, cast(hour(ingested_at) as int) as hour_of_day,
   cast(dayofweek(ingested_at) + 1 as int) as day_of_week,
   count(*) as snapshot_count, count(distinct station_id) as stations_observed,
@@ -217,7 +217,8 @@ select region_id, region_name, cast(hour(ingested_at) as int) as hour_of_day,
   max(bike_availability_rate) as max_bike_availability,
   cast(count_if(num_bikes_available = 0) as bigint) as empty_station_snapshots,
   {O.ratio4_sql('count_if(num_bikes_available = 0)', 'count(*)')} as empty_station_rate
-from fact group by 1, 2, 3, 4""")
+from fact group by 1, 2, 3, 4"""
+_HOURLY_SQL = O.q("fact", _HOURLY_BODY)
 
 
 @register("region_hourly_availability", _HOURLY_SQL)
@@ -232,8 +233,8 @@ def q_hourly_parts(spark, sf_dir):
     return region_hourly_rollup(region_hourly_parts(fact), region_hour_presence(fact, number_stations(station_ids(fact))))
 
 
-@register("fleet_availability", O.q("fact", f"""
-select date_trunc('hour', ingested_at) as ingested_at,
+_FLEET_BODY = f"""
+select {{run}} as ingested_at,
   count(distinct station_id) as total_stations,
   cast(sum(num_bikes_available) as bigint) as total_bikes_available,
   cast(sum(num_ebikes_available) as bigint) as total_ebikes_available,
@@ -247,7 +248,10 @@ select date_trunc('hour', ingested_at) as ingested_at,
   cast(count_if(num_bikes_available = 0) as bigint) as empty_stations,
   cast(count_if(num_docks_available = 0) as bigint) as full_stations,
   cast(count_if(not is_installed or not is_renting) as bigint) as inactive_stations
-from fact group by 1"""))
+from fact group by 1"""
+
+
+@register("fleet_availability", O.q("fact", _FLEET_BODY.format(run="date_trunc('hour', ingested_at)")))
 def q_fleet(spark, sf_dir):
     m = Models.of(spark, sf_dir)
     return fleet_availability(m.fact, m.hour_run_key())
@@ -745,15 +749,22 @@ def q_general_upsert(spark, sf_dir):
     return merged
 
 
-_FETCHED_FACT = O.with_ctes("fetched", "enriched") + f""", fact as (
+def _fetched_fact(docks: str) -> str:
+    """The fact over the landed files, which carry last_reported in whole seconds."""
+    return O.with_ctes("fetched", "enriched") + f""", fact as (
   select cast(h.station_id as varchar) as station_id, e.station_name, cast(e.region_id as varchar) as region_id, e.region_name,
-    e.total_docks, h.num_bikes_available, h.num_ebikes_available, h.num_bikes_disabled, h.num_docks_available, h.ingested_at,
-    {O.rate_sql('h.num_bikes_available', 'e.total_docks')} as bike_availability_rate,
-    {O.rate_sql('h.num_docks_available', 'e.total_docks')} as dock_availability_rate
+    {docks} as total_docks, h.num_bikes_available, h.num_ebikes_available, h.num_bikes_disabled, h.num_docks_available,
+    h.num_docks_disabled, h.is_installed, h.is_renting, h.is_returning,
+    date_trunc('second', h.last_reported_at) as last_reported_at, h.ingested_at,
+    {O.rate_sql('h.num_bikes_available', docks)} as bike_availability_rate,
+    {O.rate_sql('h.num_docks_available', docks)} as dock_availability_rate
   from fetched h left join enriched e using (station_id))
 """
 
 
+_FETCHED_FACT = _fetched_fact("e.total_docks")
+
+
 @register("stream_ingest", _FETCHED_FACT + """select station_id, station_name, num_bikes_available,
   bike_availability_rate, ingested_at, cast(ingested_at as date) as snapshot_date from fact""")
 def q_stream_ingest(spark, sf_dir):
@@ -777,3 +788,63 @@ def q_refresh_then_daily(spark, sf_dir):
     jobs.run_refresh(spark, p)
     jobs.run_daily(spark, p, as_of="2024-03-01 00:00:00")
     return read_published(spark, p.mart("station_daily"))
+
+
+# -- two daily runs, the first one repeated after more files have landed ------------------
+
+DAILY_RUNS = [SPLIT_AT, "2024-03-01 00:00:00"]
+_GROWN = "{docks} + case when {id} % 10 = 0{when} then 5 else 0 end"
+_TWO_RUNS_FACT = _fetched_fact("(" + _GROWN.format(docks="e.total_docks", id="e.station_id",
+                                                   when=f" and h.ingested_at >= timestamp '{SPLIT_AT}'") + ")")
+
+
+def _two_daily_runs(spark: SparkSession, sf_dir: str) -> jobs.Paths:
+    """Snapshots up to SPLIT_AT and a daily run; then the others, with more docks at every tenth
+    station, a retry of that run (which must not take them) and the next run."""
+    p = jobs.Paths((root := work_path(spark, "daily")) + "/warehouse", f"{root}/landing")
+    early = F.col("ingested_at").cast("timestamp") < F.lit(SPLIT_AT).cast("timestamp")
+    for feed in FEEDS:
+        land(spark, sf_dir, feed, p.landing, (lambda rows: rows.filter(early)) if feed == "station_status" else lambda rows: rows)
+    jobs.run_refresh(spark, p)
+    jobs.run_daily(spark, p, as_of=DAILY_RUNS[0])
+    land(spark, sf_dir, "station_status", p.landing, lambda rows: rows.filter(~early))
+    land(spark, sf_dir, "station_information", p.landing, lambda rows: rows.filter(F.col("station_id").cast("long") % 10 == 0)
+         .withColumns({"capacity": (F.col("capacity").cast("long") + 5).cast("string"), "ingested_at": F.lit(SPLIT_AT)}))
+    jobs.run_refresh(spark, p)
+    for as_of in DAILY_RUNS:
+        jobs.run_daily(spark, p, as_of=as_of)
+    return p
+
+
+@register("two_runs_fleet", _TWO_RUNS_FACT + _FLEET_BODY.format(run="ingested_at"))
+def q_two_runs_fleet(spark, sf_dir):
+    return read_published(spark, _two_daily_runs(spark, sf_dir).mart("fleet_runs")).drop("run_date")
+
+
+@register("two_runs_region_hourly", _TWO_RUNS_FACT + _HOURLY_BODY)
+def q_two_runs_hourly(spark, sf_dir):
+    return read_latest_version(spark, _two_daily_runs(spark, sf_dir).mart("region_hourly"))[0]
+
+
+def _two_runs_scd(rows: list[str], cols: list[str], check: list[str]) -> str:
+    return _TWO_RUNS_FACT.rstrip("\n") + ",\n" + O.scd2_sql(list(zip(DAILY_RUNS, rows)), "station_id", cols, check)[len("with "):]
+
+
+_CAP_TEXT = ("select cast(station_id as varchar) as station_id, station_name, cast(region_id as varchar) as region_id, region_name, "
+             "{docks} as total_docks, has_kiosk, latitude, longitude, {at} as ingested_at from enriched")
+
+
+@register("two_runs_capacity_history", _two_runs_scd([
+    _CAP_TEXT.format(docks="total_docks", at="ingested_at"),
+    _CAP_TEXT.format(docks=_GROWN.format(docks="total_docks", id="station_id", when=""),
+                     at=f"case when station_id % 10 = 0 then timestamp '{SPLIT_AT}' else ingested_at end")],
+    CAP_COLS, ["total_docks", "has_kiosk"]))
+def q_two_runs_capacity(spark, sf_dir):
+    return read_history(spark, _two_daily_runs(spark, sf_dir).snapshot("station_capacity_history"))
+
+
+@register("two_runs_operational_history", _two_runs_scd(
+    [_OPS_CUR.replace("from history", "from fact").format(w=w) for w in (f"where ingested_at < timestamp '{SPLIT_AT}'", "")],
+    OPS_COLS, ["is_installed", "is_renting", "is_returning"]))
+def q_two_runs_operational(spark, sf_dir):
+    return read_history(spark, _two_daily_runs(spark, sf_dir).snapshot("station_operational_history"))

@@ -9,6 +9,8 @@ every event is in one file and a station with many events makes many fetches.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -39,10 +41,13 @@ def items(spark: SparkSession, sf_dir: str, feed: str) -> DataFrame:
     return rows
 
 
-def land(spark: SparkSession, sf_dir: str, feed: str, root: str) -> str:
-    """Write one feed's files under ``root``; returns the feed's folder."""
+def land(spark: SparkSession, sf_dir: str, feed: str, root: str, part: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> str:
+    """Write one feed's files under ``root``; returns the feed's folder.
+
+    ``part`` picks or changes the items that land now; later calls add files beside them.
+    """
     key, fields = FEEDS[feed]
-    rows = items(spark, sf_dir, feed)
+    rows = part(items(spark, sf_dir, feed))
     item = F.struct(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields])
     stamp = F.date_format(F.col("ingested_at").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss'Z'")
     rows = rows.select(stamp.alias("ingested_at"), F.col(fields[0].name).alias("_id"), item.alias("_item"))
@@ -52,5 +57,5 @@ def land(spark: SparkSession, sf_dir: str, feed: str, root: str) -> str:
         .groupBy("ingested_at", "part").agg(F.collect_list("_item").alias("_items"))
     envelope = F.struct(F.lit(0).alias("last_updated"), F.lit(30).alias("ttl"), F.struct(F.col("_items").alias(key)).alias("data"))
     files.select(F.to_json(envelope).alias("value"), "ingested_at", "part") \
-        .write.partitionBy("ingested_at", "part").text(f"{root}/{feed}")
+        .write.mode("append").partitionBy("ingested_at", "part").text(f"{root}/{feed}")
     return f"{root}/{feed}"

@@ -57,8 +57,15 @@ def bounded_broadcast(dim: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_R
     ``read_again`` is for plans that read the joined rows more than once: the dimension is then
     checkpointed, because adaptive plans don't reuse a shuffle that stands above a persisted table.
     """
+    dim, _, small = measured(dim, max_rows, max_bytes, read_again)
+    return F.broadcast(dim) if small else dim
+
+
+def measured(dim: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_ROWS, max_bytes: int = DEFAULT_BROADCAST_BYTES,
+             read_again: bool = False) -> tuple[DataFrame, int | None, bool]:
+    """``dim`` as :func:`bounded_broadcast` keeps it, its rows if counted, and whether it is within the bounds."""
     if max_rows is None:
-        return dim
+        return dim, None, False
     if read_again:
         checkpoint_root(dim.sparkSession)
         dim = dim.checkpoint(eager=True)
@@ -66,4 +73,4 @@ def bounded_broadcast(dim: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_R
         dim = dim.persist(StorageLevel.MEMORY_AND_DISK)
         _PERSISTED.append(dim)
     rows, size = measured_size(dim)
-    return F.broadcast(dim) if rows <= max_rows and size <= max_bytes else dim
+    return dim, rows, rows <= max_rows and size <= max_bytes

@@ -6,7 +6,9 @@ on a latitude/longitude grid:
 1. A position first meets the stations in the 3 x 3 block of cells around it (an
    equi-join on the cell key), at the finest grid and the next ``LOCAL_LEVELS - 1``
    coarser ones.  The best candidate is *certified* when it is closer than any point
-   outside the block could be.
+   outside the block could be.  The finest grid follows the stations: where they stand closer
+   than ``cell_deg`` the cells get smaller, so a block holds a few dozen stations however many
+   there are, and candidates grow with the positions alone.
 2. Positions far from any station go down a cell pyramid instead: from the coarsest
    cells to the finest, a cell stays only while its least possible distance is not above
    the distance of the best cell's representative station.  So a far position meets the
@@ -27,16 +29,23 @@ from pyspark.sql import functions as F
 
 from dockstat.functions.columns import haversine_term, term_to_km
 from dockstat.operators.dedup import latest_per_key
-from dockstat.operators.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast
+from dockstat.operators.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast, measured
 from dockstat.session import checkpoint_root
 
 NEAREST_COLUMNS = ["bike_id", "bike_latitude", "bike_longitude", "is_reserved", "is_disabled",
                    "vehicle_type_id", "nearest_station_id", "nearest_station_name", "region_id",
                    "region_name", "distance_km", "ingested_at"]
 POSITION = ["bike_latitude", "bike_longitude"]
+STATION = ["nearest_station_id", "nearest_station_name", "region_id", "region_name"]
 LOCAL_LEVELS = 3
 #: Levels of the pyramid that one job goes down.
 LEVELS_A_JOB = 7
+#: Stations that share a cell of the finest grid, in the mean over stations, and the level at which cells get no smaller.
+CELL_STATIONS, FINEST_LEVEL = 8, 26
+#: Positions that one task searches.
+TASK_POSITIONS = 2_000
+#: Stations that one task puts into cells.
+TASK_STATIONS = 50_000
 
 _RAD = math.pi / 180.0
 _MARGIN = 1e-9
@@ -54,8 +63,31 @@ def _cells(lat, lon, n: int, size: float):
     return cx, cy
 
 
-def _search(pending: DataFrame, stations: DataFrame, n: int) -> DataFrame:
-    """Best station in the 3 x 3 block of each pending position at a grid of ``n`` columns."""
+def _finest_level(stations: DataFrame, p: int) -> int:
+    """First level from ``p`` on at which a station shares its cell with few others."""
+    finest = max(p, FINEST_LEVEL)
+    while p < finest:
+        cx, cy = _cells(F.col("_slat"), F.col("_slon"), 2 ** p, 360.0 / 2 ** p)
+        n = F.col("n").cast("double")
+        crowd = stations.groupBy(cx.alias("_cx"), cy.alias("_cy")).agg(F.count(F.lit(1)).alias("n")) \
+            .agg(F.sum(n * n) / F.sum(n)).first()[0]
+        if crowd is None or crowd <= CELL_STATIONS:
+            break
+        p += max(1, math.ceil(math.log(crowd / CELL_STATIONS, 4)))  # a level quarters the cells
+    return min(p, finest)
+
+
+def _spread(positions: DataFrame) -> tuple[DataFrame, int]:
+    """The positions dealt out so that a task searches at most about ``TASK_POSITIONS``, and their number."""
+    rows = positions.count()
+    return positions.repartition(max(1, -(-rows // TASK_POSITIONS)), *POSITION), rows
+
+
+def _search(pending: DataFrame, stations: DataFrame, n: int, small: bool = False) -> DataFrame:
+    """Best station in the 3 x 3 block of each pending position at a grid of ``n`` columns.
+
+    A cell's stations are one array, so a position meets nine rows; ``small`` cells are broadcast.
+    """
     size = 360.0 / n
     blat, blon = F.col("bike_latitude"), F.col("bike_longitude")
     bcx, bcy = _cells(blat, blon, n, size)
@@ -69,17 +101,13 @@ def _search(pending: DataFrame, stations: DataFrame, n: int) -> DataFrame:
     if n <= 2:  # the wrapped neighbours repeat cells
         probe = probe.dropDuplicates(POSITION + ["_cx", "_cy"])
     scx, scy = _cells(F.col("_slat"), F.col("_slon"), n, size)
-    cells = stations.withColumn("_cx", scx).withColumn("_cy", scy)
-    cand = probe.join(cells, ["_cx", "_cy"], "left")
-    a = haversine_term(blat, blon, F.col("_slat"), F.col("_slon"))
-    best = (cand.withColumn("_a", a)
-            .groupBy(*POSITION, "_bcx", "_bcy")
-            .agg(F.min(F.when(F.col("_a").isNotNull(),
-                              F.struct(F.col("_a").alias("a"),
-                                       F.col("nearest_station_id"),
-                                       F.col("nearest_station_name"),
-                                       F.col("region_id"),
-                                       F.col("region_name")))).alias("_best")))
+    cells = stations.groupBy(scx.alias("_cx"), scy.alias("_cy")).agg(
+        F.collect_list(F.struct("_slat", "_slon", *STATION)).alias("_stations"))
+    cand = probe.join(F.broadcast(cells) if small else cells, ["_cx", "_cy"], "left")
+    of_cell = F.array_min(F.transform("_stations", lambda s: F.struct(
+        haversine_term(blat, blon, s["_slat"], s["_slon"]).alias("a"), *[s[c].alias(c) for c in STATION])))
+    best = cand.select(*POSITION, "_bcx", "_bcy", of_cell.alias("_of_cell")) \
+        .groupBy(*POSITION, "_bcx", "_bcy").agg(F.min("_of_cell").alias("_best"))
     # Angular distance from the position to the edges of its 3 x 3 block.
     south = (F.col("_bcy") - 1) * size - 90.0
     north = (F.col("_bcy") + 2) * size - 90.0
@@ -117,13 +145,15 @@ def _least_term(blat, blon, cx, cy, size):
 
 def _pyramid(stations: DataFrame, p: int) -> DataFrame:
     """One representative position for each cell that holds a station, at all levels from 4 columns to 2 ** p."""
-    n = F.expr("shiftleft(1L, _level)")
-    cx, cy = _cells(F.col("_slat"), F.col("_slon"), n, F.lit(360.0) / n)
+    cx, cy = _cells(F.col("_slat"), F.col("_slon"), 2 ** p, 360.0 / 2 ** p)
     # a station on the pole belongs to the last row of cells
-    return stations.select("_slat", "_slon", F.explode(F.sequence(F.lit(2), F.lit(p))).alias("_level")) \
-        .groupBy("_level", (F.lit(360.0) / n).alias("_size"), cx.alias("_cx"),
-                 F.least(cy, F.expr("shiftleft(1L, _level - 1)") - 1).alias("_cy")) \
+    finest = stations.groupBy(cx.alias("_x"), F.least(cy, F.lit(2 ** (p - 1) - 1)).alias("_y")) \
         .agg(F.min(F.struct("_slat", "_slon")).alias("_rep"))
+    # a cell's representative is one of those of its quarters
+    return finest.select("_x", "_y", "_rep", F.explode(F.sequence(F.lit(2), F.lit(p))).alias("_level")) \
+        .groupBy("_level", (F.lit(360.0) / F.expr("shiftleft(1L, _level)")).alias("_size"),
+                 F.expr(f"shiftright(_x, {p} - _level)").alias("_cx"), F.expr(f"shiftright(_y, {p} - _level)").alias("_cy")) \
+        .agg(F.min("_rep").alias("_rep"))
 
 
 def _descend(pending: DataFrame, stations: DataFrame, p: int, broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
@@ -151,7 +181,7 @@ def _descend(pending: DataFrame, stations: DataFrame, p: int, broadcast_rows: in
     cells = stations.withColumn("_cx", scx).withColumn("_cy", F.least(scy, F.lit(n // 2 - 1)))
     a = haversine_term(blat, blon, F.col("_slat"), F.col("_slon"))
     return held.join(cells, ["_cx", "_cy"]).groupBy(*POSITION) \
-        .agg(F.min(F.struct(a.alias("a"), "nearest_station_id", "nearest_station_name", "region_id", "region_name")).alias("_best"))
+        .agg(F.min(F.struct(a.alias("a"), *STATION)).alias("_best"))
 
 
 def nearest_station(bikes: DataFrame, stations: DataFrame, cell_deg: float = 0.01,
@@ -164,7 +194,8 @@ def nearest_station(bikes: DataFrame, stations: DataFrame, cell_deg: float = 0.0
     greatest by position, then the other columns, stays.  Bikes without coordinates, and
     all bikes if no station has any, keep a NULL station and distance; stations without
     coordinates take no part.  ``cell_deg`` should be near the typical station spacing:
-    a position's candidates are the stations in its 3 x 3 block of cells.
+    a position's candidates are the stations in its 3 x 3 block of cells, which are made
+    smaller where that block would be crowded.
 
     Each local level's result and every ``LEVELS_A_JOB``-th of the pyramid is checkpointed (to
     the shared checkpoint folder).  The station
@@ -189,17 +220,20 @@ def nearest_station(bikes: DataFrame, stations: DataFrame, cell_deg: float = 0.0
                               F.col("station_name").alias("nearest_station_name"),
                               "region_id", "region_name")).alias("_s"))
           .select("_s.*", "_slat", "_slon"))
-    st = bounded_broadcast(st, broadcast_rows)
-    found, left = [], True
+    st, rows, small = measured(st, broadcast_rows)
+    if rows is not None:
+        st = st.coalesce(max(1, -(-rows // TASK_STATIONS)))
+    p = _finest_level(st, p)
+    pending, left = _spread(pending)
+    found = []
     for level in range(p, max(1, p - LOCAL_LEVELS), -1):
-        best = _search(pending, st, 2 ** level).checkpoint(eager=True)
+        best = _search(pending, st, 2 ** level, small).checkpoint(eager=True)
         found.append(best.filter(F.col("_ok")).drop("_ok"))
-        pending = best.filter(~F.col("_ok")).select(*POSITION)
-        left = not pending.isEmpty()
+        pending, left = _spread(best.filter(~F.col("_ok")).select(*POSITION))
         if not left:
             break
     if left:
-        found.append(_descend(pending, st, p, broadcast_rows))
+        found.append(_descend(pending, F.broadcast(st) if small else st, p, broadcast_rows))
     out = bikes.join(reduce(DataFrame.unionByName, found), POSITION, "left")
     return out.select(
         "bike_id", *POSITION, "is_reserved", "is_disabled", "vehicle_type_id",

@@ -136,3 +136,23 @@ def test_a_station_of_many_minutes_is_quick(spark):
     ranks = availability_windows(df, bucket=F.date_trunc("minute", "ingested_at")) \
         .agg(F.min("snapshot_recency_rank"), F.max("snapshot_recency_rank"), F.sum("snapshot_recency_rank")).first()
     assert tuple(ranks) == (1, n, n * (n + 1) // 2) and time.time() - t < 120
+
+
+def test_cells_follow_crowded_stations(spark, monkeypatch):
+    """4,000 stations within one cell of 0.01 degrees: a position meets a few dozen of them, and finds the nearest."""
+    from dockstat.operators import nearest
+    rng = np.random.default_rng(21)
+    at = [(f"S{i:04d}", 40.7 + float(a) / 200, -74.0 + float(b) / 200) for i, (a, b) in enumerate(rng.random((4000, 2)))]
+    places = [(f"b{i}", 40.7 + float(a) / 200, -74.0 + float(b) / 200) for i, (a, b) in enumerate(rng.random((40, 2)))]
+    places += [("near", 40.9, -74.3), ("far", -33.0, 151.0)]
+    stations = spark.createDataFrame([(i, "n", "r", "rn", a, o) for i, a, o in at], STATIONS)
+    bikes = spark.createDataFrame([(i, a, o, False, False, "1", T0) for i, a, o in places], BIKES)
+    columns, held = [], nearest._search
+    monkeypatch.setattr(nearest, "_search", lambda pending, st, n, *a: columns.append(n) or held(pending, st, n, *a))
+    got = {r.bike_id: r.nearest_station_id for r in nearest_station(bikes, stations).collect()}
+    assert got == brute(places, at)
+    size, cells = 360.0 / columns[0], {}
+    for _, a, o in at:
+        key = math.floor((a + 90) / size), math.floor((o + 180) / size)
+        cells[key] = cells.get(key, 0) + 1
+    assert sum(n * n for n in cells.values()) <= nearest.CELL_STATIONS * len(at)

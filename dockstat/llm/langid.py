@@ -35,7 +35,6 @@ from dockstat.llm.common import hash_sample, importable, ragged, slices
 UND = "und"
 REFERENCE_SYMBOLS = 30_000  # of each language
 REFERENCE_ROWS = 60         # labelled rows they are cut from
-CALIBRATION_ROWS, CALIBRATION_CHARS = 150, 20_000
 SLACK, MARGIN = 3, 1.15     # phrases that a short text may need by chance; above the highest text calibrated on
 DENSE_LETTERS = 62          # a language with more has its transitions listed
 BLOCK = 1024
@@ -294,23 +293,24 @@ def identify(docs: DataFrame, held_out: Column, model: LanguageModel | None = No
 def level(docs: DataFrame, teach: Column, model: LanguageModel) -> float:
     """Bits per symbol that a text of a learned language may need, from labelled rows the model hasn't learned from.
 
-    The highest of CALIBRATION_ROWS rows a language (whole texts up to CALIBRATION_CHARS characters),
-    each let off SLACK phrases, and MARGIN above that; infinite where no such rows are left.
+    The highest of all those rows, whole texts, each let off SLACK phrases, and MARGIN above
+    that; infinite where no such rows are left.
     """
+    if not model.languages:
+        return float("inf")
     labelled = docs.filter(teach & F.col("lang").isin(list(model.languages)) & F.col("doc_id").isNotNull())
-    rows = labelled.filter(F.length("text").between(1, CALIBRATION_CHARS)).select("doc_id", "lang").distinct()
-    chosen = hash_sample(rows, "lang", dict.fromkeys(model.languages, REFERENCE_ROWS + CALIBRATION_ROWS)) \
-        .withColumn("h", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32)))
     taught = hash_sample(labelled.select("doc_id", "lang").distinct(), "lang", dict.fromkeys(model.languages, REFERENCE_ROWS))
-    # at most (reference + calibration rows) x languages ids
-    texts = labelled.join(F.broadcast(chosen.join(taught.select("doc_id"), "doc_id", "left_anti").select("doc_id")), "doc_id") \
-        .filter(F.length("text") <= CALIBRATION_CHARS).select("doc_id", "text").distinct().collect()
-    cross = parser(model)
-    if not texts or not cross.tables:
-        return float("inf")
-    bits, has, size = cross.measure([r.text for r in texts])
-    least = bits.min(axis=1) - SLACK * cross.weight.max() / np.maximum(size, 1)
-    return float(MARGIN * least[has].max()) if has.any() else float("inf")
+
+    def least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cross = parser(model)
+        for b in slices(batches):
+            bits, has, size = cross.measure([t or "" for t in b["text"].to_pylist()])
+            needs = bits.min(axis=1) - SLACK * cross.weight.max() / np.maximum(size, 1)
+            yield pa.RecordBatch.from_arrays([pa.array(needs[has].max(keepdims=True) if has.any() else [], pa.float64())], ["bits"])
+    # the rows learned from: at most REFERENCE_ROWS x languages ids
+    rows = labelled.select("doc_id", "text").join(F.broadcast(taught.select("doc_id")), "doc_id", "left_anti")
+    most = rows.mapInArrow(least, "bits double").agg(F.max("bits")).first()[0]
+    return float("inf") if most is None else float(MARGIN * most)
 
 
 def keep_identified(docs: DataFrame, held_out: Column) -> DataFrame:

@@ -75,6 +75,25 @@ def test_language_stage_rejects_what_no_language_explains(spark):
     assert kept == {*range(700), 2000}
 
 
+def test_language_level_is_calibrated_on_every_labelled_row(spark):
+    """One long labelled text of letters that no other has moves the level, wherever its id hashes to."""
+    rnd = random.Random(15)
+    words = "the cat sat on the mat and the dog ran over the hill to see what the old man had found there".split()
+    rows = [(i, " ".join(rnd.choice(words) for _ in range(rnd.randrange(3, 60))), "en") for i in range(700)]
+    odd = [(i, "".join(rnd.choice("bcdfghjklmnpqrstvwxyz") for _ in range(25_000)), "en") for i in (900, 901, 902)]
+    fold = langid.split_rest("doc_id", 4) == 2
+    docs = spark.createDataFrame(rows + odd, "doc_id long, text string, lang string").withColumn("held", fold)
+    labelled = docs.filter("not held")
+    taught = {r.doc_id for r in langid.hash_sample(labelled.select("doc_id", "lang"), "lang", {"en": langid.REFERENCE_ROWS}).collect()}
+    texts = [r.text for r in labelled.collect() if r.doc_id not in taught]
+    assert any(len(t) == 25_000 for t in texts)
+    model = langid.fit(docs, ~fold)
+    cross = langid.parser(model)
+    bits, has, size = cross.measure(texts)
+    assert langid.level(docs, ~fold, model) == pytest.approx(
+        langid.MARGIN * (bits.min(axis=1) - langid.SLACK * cross.weight.max() / np.maximum(size, 1))[has].max())
+
+
 # ---- toxicity -------------------------------------------------------------------
 
 def toxic_rows(n):

@@ -48,16 +48,28 @@ def small_batches(spark: SparkSession, rows: int = 2000) -> Iterator[None]:
         spark.conf.set(key, str(before))
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of each query go as soon as it ends, for loops whose results are read once."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def staged(df: DataFrame, name: str, rows_a_file: int = 0) -> DataFrame:
     """Write to the shared checkpoint folder and read back.
 
     Cuts lineage, so that a lost executor never repeats the work above and no
-    later stage evaluates it twice.
+    later stage evaluates it twice.  `rows_a_file` bounds the files of large rows.
     """
     spark = df.sparkSession
     path = f"{checkpoint_root(spark)}/llm/{name}-{uuid.uuid4().hex[:12]}"
     with small_batches(spark):
-        df.write.option("compression", "zstd").parquet(path)
+        df.write.option("compression", "zstd").option("maxRecordsPerFile", rows_a_file).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

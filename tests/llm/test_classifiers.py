@@ -128,6 +128,22 @@ def test_toxicity_held_out(spark):
     assert {r.score for r in toxicity.score_documents(docs, labels.limit(0), fold).collect()} == {0.0}
 
 
+def test_toxicity_learns_from_every_labelled_row(spark, monkeypatch):
+    """1,200 bad words of ten rows each: too many for a sample of a few thousand rows; learned over several shards."""
+    monkeypatch.setattr(toxicity, "SHARD_CHARS", 140_000)
+    rnd = random.Random(30)
+    word = lambda: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7))
+    fine, bad = [word() for _ in range(300)], [word() for _ in range(1200)]
+    rows = [(i, " ".join([rnd.choice(fine) for _ in range(5)] + ([bad[i % 1200]] if i < 12_000 else [rnd.choice(fine)])),
+             "en", int(i < 12_000)) for i in range(16_000)]
+    docs = spark.createDataFrame([r[:3] for r in rows], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(r[0], r[3]) for r in rows], "doc_id long, toxic int")
+    fold = langid.split_rest("doc_id", 5) == 0
+    got = {r.doc_id: r for r in toxicity.score_documents(docs, labels, fold).collect()}
+    held = [r for r in rows if got[r[0]].held_out]
+    assert sum(got[r[0]].predicted == r[3] for r in held) >= 0.9 * len(held)
+
+
 def test_toxicity_query(spark):
     sf = "/root/testdata/sf0.1"
     got = QUERIES["op3_cnn_toxicity"](spark, sf)
